@@ -37,7 +37,8 @@ def d02_bin_assignment(spark, sf):
     from gradus.functions.columns import bin_index, number
 
     train = _train(spark, sf)
-    return train.select("applicant_id", *[bin_index(number(f), e).alias(f"bin_{f}") for f, e in FIXED_EDGES.items()])
+    numbers = train.select("applicant_id", *[number(f).alias(f) for f in FIXED])
+    return numbers.select("applicant_id", *[bin_index(f, e).alias(f"bin_{f}") for f, e in FIXED_EDGES.items()])
 
 
 def d03_bin_counts(spark, sf):

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from catalogue import binning_queries, lake_queries
+from catalogue import binning_queries, lake_queries, scoring_queries
 
-MODULES = (lake_queries, binning_queries)
+MODULES = (lake_queries, binning_queries, scoring_queries)
 
 
 def queries() -> dict:

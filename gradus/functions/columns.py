@@ -34,10 +34,22 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def number(c: str | Column) -> Column:
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(v: float) -> str:
+    """A double as SQL text (plain decimals would be DECIMAL)."""
+    v = float(v)
+    if math.isinf(v):
+        return f"double('{'-' if v < 0 else ''}Infinity')"
+    return f"{v!r}D"
+
+
+def number(name: str) -> Column:
     """Double value of a column; text that is no number, and NaN, become NULL."""
-    v = as_col(c).try_cast("double")
-    return F.when(~F.isnan(v), v)
+    v = f"try_cast({quoted(name)} AS double)"
+    return F.expr(f"CASE WHEN NOT isnan({v}) THEN {v} END")
 
 
 def any_of(conditions: list[Column]) -> Column:
@@ -52,28 +64,28 @@ def total(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
-def bin_index(value: Column, edges: list[float], missing: int = MISSING_BIN) -> Column:
-    """Right-closed bin number, ``(e[i-1], e[i]]``; NULL goes to the Missing bin.
-
-    A sum of comparisons rather than ``size(filter(...))``: higher-order functions fall out
-    of code generation and the edge lists are short.
-    """
-    index = total([(value > F.lit(float(e))).cast("int") for e in edges]) if edges else F.lit(0)
-    return F.when(value.isNull(), F.lit(missing)).otherwise(index)
+# The next three embed short lists of cut points as literals.  They are CASE chains, not
+# ``filter`` over an array, because higher-order functions fall out of code generation; and
+# they are built as SQL text, because a Column per literal is slow to assemble from Python.
+def bin_index(name: str, edges: list[float], missing: int = MISSING_BIN) -> Column:
+    """Right-closed bin number of a numeric column, ``(e[i-1], e[i]]``; NULL is the Missing bin."""
+    c = quoted(name)
+    steps = " ".join(f"WHEN {c} <= {literal(e)} THEN {i}" for i, e in enumerate(edges))
+    return F.expr(f"CASE WHEN {c} IS NULL THEN {missing} {steps} ELSE {len(edges)} END")
 
 
-def left_closed_index(value: Column, edges: list[float]) -> Column:
+def left_closed_index(name: str, edges: list[float]) -> Column:
     """Left-closed bin number, ``[e[i-1], e[i])``, as stability indices use; NULL stays NULL."""
-    index = total([(value >= F.lit(float(e))).cast("int") for e in edges]) if edges else F.lit(0)
-    return F.when(value.isNotNull(), index)
+    c = quoted(name)
+    steps = " ".join(f"WHEN {c} < {literal(e)} THEN {i}" for i, e in enumerate(edges))
+    return F.expr(f"CASE WHEN {c} IS NULL THEN NULL {steps} ELSE {len(edges)} END")
 
 
-def lookup_by_edge(value: Column, edges: list[float], values: list[float], missing: float) -> Column:
-    """Value of the right-closed bin a number falls in (a short-circuit CASE)."""
-    out = F.when(value.isNull(), F.lit(float(missing)))
-    for edge, v in zip(edges, values):
-        out = out.when(value <= F.lit(float(edge)), F.lit(float(v)))
-    return out.otherwise(F.lit(float(values[len(edges)])))
+def lookup_by_edge(name: str, edges: list[float], values: list[float], missing: float) -> Column:
+    """Value of the right-closed bin a number falls in."""
+    c = quoted(name)
+    steps = " ".join(f"WHEN {c} <= {literal(e)} THEN {literal(v)}" for e, v in zip(edges, values))
+    return F.expr(f"CASE WHEN {c} IS NULL THEN {literal(missing)} {steps} ELSE {literal(values[len(edges)])} END")
 
 
 def age_band(age: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from gradus.functions.columns import id_uniform, left_closed_index, number, psi_verdict
+from gradus.functions.columns import id_uniform, left_closed_index, literal, number, psi_verdict, quoted
 from gradus.operators.ordering import melt, quantiles
 from gradus.sources.tables import materialise
 
@@ -34,13 +34,12 @@ class StabilityBins:
     def size(self) -> int:
         return len(self.cuts) + 1
 
-    def index(self, v: Column) -> Column:
+    def index(self) -> Column:
         if not self.discrete:
-            return left_closed_index(v, self.cuts)
-        out = F.when(v.isNull(), F.lit(None).cast("int"))
-        for i, level in enumerate(self.cuts):
-            out = out.when(v == F.lit(level), F.lit(i))
-        return out.otherwise(F.lit(len(self.cuts)))
+            return left_closed_index(self.column, self.cuts)
+        c = quoted(self.column)
+        steps = " ".join(f"WHEN {c} = {literal(v)} THEN {i}" for i, v in enumerate(self.cuts))
+        return F.expr(f"CASE WHEN {c} IS NULL THEN NULL {steps} ELSE {len(self.cuts)} END")
 
 
 def common_levels(df: DataFrame, columns: list[str], max_levels: int = 20) -> dict[str, list[float]]:
@@ -81,7 +80,7 @@ def stability_bins(reference: DataFrame, columns: list[str], bins: int = 10, max
 
 def _counts(df: DataFrame, spec: dict[str, StabilityBins], side: str) -> DataFrame:
     numbers = df.select(*[number(c).alias(c) for c in spec])
-    cells = {c: [s.index(F.col(c))] for c, s in spec.items()}
+    cells = {c: [s.index()] for c, s in spec.items()}
     return (
         melt(numbers, [], cells, ["bin"]).where(F.col("bin").isNotNull())
         .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(side))

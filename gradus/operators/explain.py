@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from gradus.functions.columns import bin_index, number, total
+from gradus.functions.columns import bin_index, literal, number, quoted, total
 from gradus.operators.scoring import Scorecard, add_log_odds
 
 # Wording shown to applicants.
@@ -74,34 +74,46 @@ def _entries(points: DataFrame) -> dict[str, list]:
     return out
 
 
-def _slot(card: Scorecard, feature: str, rows: list) -> Column:
-    """Position in ``rows`` of the bin a value falls in; NULL when no such bin was trained."""
-    at = {r["bin_index"]: i for i, r in enumerate(rows)}
-    index = bin_index(number(feature), card.bins.features[feature].edges)
-    out = F.lit(None).cast("int")
-    for b, i in at.items():
-        out = F.when(index == b, F.lit(i)).otherwise(out)
-    return out
+def _slots(df: DataFrame, card: Scorecard, table: dict[str, list]) -> DataFrame:
+    """Add ``_v_<f>`` (numeric value) and ``_s_<f>``: the position in ``table[f]`` of the bin the
+    value falls in, NULL when no such bin was trained."""
+    values = df.withColumns({f"_v_{f}": number(f) for f in table})
+    placed = values.withColumns({f"_s_{f}": bin_index(f"_v_{f}", card.bins.features[f].edges) for f in table})
+
+    def position(f: str) -> Column:
+        steps = " ".join(f"WHEN {r['bin_index']} THEN {i}" for i, r in enumerate(table[f]))
+        return F.expr(f"CASE {quoted(f'_s_{f}')} {steps} END")
+
+    return placed.withColumns({f"_s_{f}": position(f) for f in table})
+
+
+def _row_values(table: dict[str, list], f: str, column: str) -> Column:
+    """Value of the chosen points-table row."""
+    def text(v) -> str:
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return literal(v) if isinstance(v, float) else str(v)
+
+    steps = " ".join(f"WHEN {i} THEN {text(r[column])}" for i, r in enumerate(table[f]))
+    return F.expr(f"CASE {quoted(f'_s_{f}')} {steps} END")
 
 
 def _contributions(df: DataFrame, card: Scorecard, points: DataFrame, id_col: str, min_lost: float | None, top_n: int | None) -> DataFrame:
     table = {f: rows for f, rows in _entries(points).items() if f in card.features}
-    slots = df.select(
-        id_col, *[number(f).alias(f"v_{f}") for f in table], *[_slot(card, f, rows).alias(f"s_{f}") for f, rows in table.items()]
-    )
+    slots = _slots(df.select(*dict.fromkeys([id_col, *table])), card, table)
 
     def pick(f: str, column: str) -> Column:
-        return F.get(F.array(*[F.lit(r[column]) for r in table[f]]), F.col(f"s_{f}"))
+        return _row_values(table, f, column)
 
     entries = []
     for f in table:
         lost = pick(f, "points_lost")
         entry = F.struct(
             (-lost).alias("order"), F.lit(f).alias("feature"), F.lit(describe(f)).alias("description"),
-            F.col(f"v_{f}").alias("value"), pick(f, "bin_index").alias("bin_index"), pick(f, "bin").alias("bin"),
+            F.col(f"_v_{f}").alias("value"), pick(f, "bin_index").alias("bin_index"), pick(f, "bin").alias("bin"),
             pick(f, "points").alias("points"), lost.alias("points_lost"), pick(f, "bad_rate").alias("bin_bad_rate"),
         )
-        present = F.col(f"s_{f}").isNotNull()
+        present = F.col(f"_s_{f}").isNotNull()
         entries.append(F.when(present & (lost > min_lost) if min_lost is not None else present, entry))
     ranked = F.sort_array(F.array_compact(F.array(*entries)))
     if top_n is not None:
@@ -162,11 +174,9 @@ def summed_points(df: DataFrame, card: Scorecard, points: DataFrame, out: str =
     is neutral, worth the shared constant."""
     s = card.scaling
     shared = (s.offset - s.factor * card.intercept) / max(len(card.features), 1)
-    table = _entries(points)
-    parts = [
-        F.coalesce(F.get(F.array(*[F.lit(r["points"]) for r in table[f]]), _slot(card, f, table[f])), F.lit(shared)) for f in card.features
-    ]
-    return df.withColumn(out, total(parts))
+    table = {f: rows for f, rows in _entries(points).items() if f in card.features}
+    parts = [F.coalesce(_row_values(table, f, "points"), F.lit(shared)) for f in card.features]
+    return _slots(df, card, table).withColumn(out, total(parts)).select(*df.columns, out)
 
 
 def reconstruct(df: DataFrame, card: Scorecard, points: DataFrame) -> DataFrame:

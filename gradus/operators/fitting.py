@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from gradus.functions.columns import DEFAULT_BANDS, ScoreScaling, bin_index, md5_int, number
+from gradus.functions.columns import DEFAULT_BANDS, MISSING_BIN, ScoreScaling, bin_index, literal, md5_int, number, quoted
 from gradus.operators.evaluation import auc_gini
 from gradus.operators.ordering import melt, score_table
 from gradus.operators.scoring import IsotonicCurve, PlattCurve, Scorecard, calibrated_pd, with_decision
-from gradus.operators.woe import MISSING_BIN, WoeBins
+from gradus.operators.woe import WoeBins
 from gradus.sources.tables import materialise
 
 ABSENT = -1.0e12
@@ -31,17 +31,15 @@ def design_cells(train: DataFrame, bins: WoeBins, target: str) -> DataFrame:
     features = list(bins.features)
     cells = (
         train.select(F.col(target).cast("double").alias("label"), *[number(f).alias(f) for f in features])
-        .select("label", *[bin_index(F.col(f), bins.features[f].edges).alias(f) for f in features])
+        .select("label", *[bin_index(f, bins.features[f].edges).alias(f) for f in features])
         .groupBy("label", *features)
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
 
     def woe_of(f: str):
         b = bins.features[f]
-        out = F.when(F.col(f) == MISSING_BIN, F.lit(b.missing_woe))
-        for i, w in enumerate(b.woe):
-            out = out.when(F.col(f) == i, F.lit(w))
-        return out
+        steps = " ".join(f"WHEN {i} THEN {literal(w)}" for i, w in enumerate(b.woe))
+        return F.expr(f"CASE {quoted(f)} WHEN {MISSING_BIN} THEN {literal(b.missing_woe)} {steps} END")
 
     return cells.select("label", "weight", *[woe_of(f).alias(f) for f in features])
 

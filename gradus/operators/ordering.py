@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from gradus.functions.columns import any_of, number
+from gradus.functions.columns import literal, number, quoted
 from gradus.sources.tables import materialise
 
 ROWS_PER_BUCKET = 1_000_000
@@ -115,14 +115,13 @@ def _disjoint(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return out
 
 
-def _interval_cells(value: Column, brackets: list[tuple[float, float]]) -> list[Column]:
-    """(interval number, value inside a bracket else NULL).  Odd intervals are brackets."""
-    interval = F.when(value.isNull(), F.lit(None).cast("int"))
-    for i, (lo, hi) in enumerate(brackets):
-        interval = interval.when(value < F.lit(lo), F.lit(2 * i)).when(value <= F.lit(hi), F.lit(2 * i + 1))
-    interval = interval.otherwise(F.lit(2 * len(brackets)))
-    inside = any_of([value.between(F.lit(lo), F.lit(hi)) for lo, hi in brackets])
-    return [interval, F.when(inside, value)]
+def _interval_sql(name: str, brackets: list[tuple[float, float]]) -> str:
+    """Interval number of a value: odd ones are brackets, even ones lie between them."""
+    c = quoted(name)
+    steps = " ".join(
+        f"WHEN {c} < {literal(lo)} THEN {2 * i} WHEN {c} <= {literal(hi)} THEN {2 * i + 1}" for i, (lo, hi) in enumerate(brackets)
+    )
+    return f"CASE WHEN {c} IS NULL THEN NULL {steps} ELSE {2 * len(brackets)} END"
 
 
 def quantiles(
@@ -148,9 +147,10 @@ def quantiles(
     margin = 3.0 / accuracy
     points = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
     position = {p: i for i, p in enumerate(points)}
+    wanted = ", ".join(literal(x) for x in points)
     first = base.groupBy("_group").agg(
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(c, points, accuracy).alias(f"q_{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"percentile_approx({quoted(c)}, array({wanted}), {accuracy})").alias(f"q_{i}") for i, c in enumerate(columns)],
     )
     summary = first.limit(max_groups + 1).collect()
     if len(summary) > max_groups:
@@ -183,24 +183,27 @@ def quantiles(
     return out
 
 
+def _cases(by_group: dict[str, str]) -> str:
+    names = {g: g.replace("\\", "\\\\").replace("'", "\\'") for g in by_group}
+    return " ".join(f"WHEN _group = '{names[g]}' THEN {sql}" for g, sql in by_group.items())
+
+
 def _select_in_brackets(base, brackets, out, probs, method, rows_per_bucket) -> dict[tuple, float]:
     spark = base.sparkSession
     columns = list(dict.fromkeys(c for _, c in brackets))
     groups = list(dict.fromkeys(g for g, _ in brackets))
-    cells = {}
+    intervals = []
     for c in columns:
-        parts = [
-            (F.col("_group").eqNullSafe(F.lit(g)), _interval_cells(F.col(c), brackets[g, c])) for g in groups if (g, c) in brackets
-        ]
-        if len(groups) == 1:
-            cells[c] = parts[0][1]
-            continue
-        interval, value = F.when(parts[0][0], parts[0][1][0]), F.when(parts[0][0], parts[0][1][1])
-        for condition, (i, v) in parts[1:]:
-            interval, value = interval.when(condition, i), value.when(condition, v)
-        cells[c] = [interval, value]
+        cases = {g: _interval_sql(c, brackets[g, c]) for g in groups if (g, c) in brackets}
+        if None in cases:
+            text = cases[None] if len(cases) == 1 else f"CASE WHEN _group IS NULL THEN {cases.pop(None)} {_cases(cases)} END"
+        else:
+            text = f"CASE {_cases(cases)} END"
+        intervals.append(F.expr(text).alias(f"_interval_{c}"))
+    placed = base.select("_group", *columns, *intervals)
+    cells = {c: [F.col(f"_interval_{c}"), F.when(F.col(f"_interval_{c}") % 2 == 1, F.col(c))] for c in columns}
     counted = materialise(
-        melt(base, ["_group"], cells, ["interval", "value"])
+        melt(placed, ["_group"], cells, ["interval", "value"])
         .where(F.col("interval").isNotNull())
         .groupBy("_group", "feature", "interval", "value")
         .agg(F.count(F.lit(1)).alias("n"))

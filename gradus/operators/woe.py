@@ -125,7 +125,7 @@ def coarse_edges(df: DataFrame, features: list[str], max_bins: int = 8) -> dict[
 def bin_counts(df: DataFrame, edges: dict[str, list[float]], target: str) -> DataFrame:
     """Rows, goods and bads per feature and bin: one pass, combined on the map side."""
     clean = df.select(F.col(target).cast("bigint").alias("_y"), *[number(f).alias(f) for f in edges])
-    cells = {f: [bin_index(F.col(f), e)] for f, e in edges.items()}
+    cells = {f: [bin_index(f, e)] for f, e in edges.items()}
     return (
         melt(clean, ["_y"], cells, ["bin_index"])
         .groupBy("feature", "bin_index")
@@ -225,11 +225,9 @@ def woe_transform(df: DataFrame, bins: WoeBins, features: list[str] | None = Non
     """Add ``woe_<feature>`` columns: CASE expressions on literals, no join and no UDF."""
     features = list(bins.features) if features is None else features
     bins.require(features)
-    out = {}
-    for f in features:
-        b = bins.features[f]
-        out[f"woe_{f}"] = lookup_by_edge(number(f), b.edges, b.woe, b.missing_woe)
-    return df.withColumns(out)
+    numeric = df.withColumns({f"woe_{f}": number(f) for f in features})
+    chosen = {f: bins.features[f] for f in features}
+    return numeric.withColumns({f"woe_{f}": lookup_by_edge(f"woe_{f}", b.edges, b.woe, b.missing_woe) for f, b in chosen.items()})
 
 
 def information_values(table: DataFrame) -> DataFrame:
