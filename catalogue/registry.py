@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from catalogue import binning_queries, lake_queries, scoring_queries
+from catalogue import binning_queries, lake_queries, ledger_queries, measurement_queries, scoring_queries
 
-MODULES = (lake_queries, binning_queries, scoring_queries)
+MODULES = (lake_queries, binning_queries, scoring_queries, measurement_queries, ledger_queries)
 
 
 def queries() -> dict:

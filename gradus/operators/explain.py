@@ -121,11 +121,16 @@ def _contributions(df: DataFrame, card: Scorecard, points: DataFrame, id_col: st
     return slots.select(id_col, ranked.alias("ranked"))
 
 
+def _one_per_row(contributions: DataFrame, id_col: str) -> DataFrame:
+    # The outer form: for a plain explode the optimizer infers "array is not empty" and pushes
+    # that test, with the whole array expression in it, below every projection.
+    return contributions.select(id_col, F.posexplode_outer("ranked").alias("pos", "e")).where(F.col("e").isNotNull())
+
+
 def explain(df: DataFrame, card: Scorecard, points: DataFrame, id_col: str = "applicant_id") -> DataFrame:
     """Every applicant's features ranked by points lost (ties by name)."""
     return (
-        _contributions(df, card, points, id_col, None, None)
-        .select(id_col, F.posexplode("ranked").alias("pos", "e"))
+        _one_per_row(_contributions(df, card, points, id_col, None, None), id_col)
         .select(id_col, (F.col("pos") + 1).alias("rank"), "e.feature", "e.description", "e.value", "e.bin_index", "e.bin", "e.points", "e.points_lost", "e.bin_bad_rate")
     )
 
@@ -135,8 +140,7 @@ def reason_codes(
 ) -> DataFrame:
     """The largest material shortfalls of each applicant, one row per reason."""
     return (
-        _contributions(df, card, points, id_col, min_lost, top_n)
-        .select(id_col, F.posexplode("ranked").alias("pos", "e"))
+        _one_per_row(_contributions(df, card, points, id_col, min_lost, top_n), id_col)
         .select(
             id_col, (F.col("pos") + 1).alias("rank"), "e.feature", F.col("e.description").alias("reason"),
             F.col("e.value").alias("applicant_value"), F.coalesce(F.col("e.value").cast("string"), F.lit(NOT_REPORTED)).alias("shown_value"),
