@@ -48,8 +48,7 @@ def literal(v: float) -> str:
 
 def number(name: str) -> Column:
     """Double value of a column; text that is no number, and NaN, become NULL."""
-    v = f"try_cast({quoted(name)} AS double)"
-    return F.expr(f"CASE WHEN NOT isnan({v}) THEN {v} END")
+    return F.expr(f"nanvl(try_cast({quoted(name)} AS double), CAST(NULL AS double))")
 
 
 def any_of(conditions: list[Column]) -> Column:

@@ -48,6 +48,7 @@ def running_totals(
     by: list[str] | None = None,
     ties: list[str] | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<s>``: inclusive running sum of each column in ``key`` order, within ``by``.
 
@@ -59,7 +60,7 @@ def running_totals(
     """
     by = by or []
     order = [F.col(key), *[F.col(t) for t in ties or []]]
-    n_rows = df.count()
+    n_rows = df.count() if n_rows is None else n_rows
     buckets = min(MAX_BUCKETS, math.ceil(n_rows / rows_per_bucket)) if n_rows else 1
     if buckets <= 1:
         # A checked, bounded table: one window partition per group is safe.
@@ -208,10 +209,8 @@ def _select_in_brackets(base, brackets, out, probs, method, rows_per_bucket) ->
         .groupBy("_group", "feature", "interval", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    sizes = {
-        (r["_group"], r["feature"], r["interval"]): r["n"]
-        for r in counted.groupBy("_group", "feature", "interval").agg(F.sum("n").alias("n")).collect()
-    }
+    summed = counted.groupBy("_group", "feature", "interval").agg(F.sum("n").alias("n"), F.count("value").alias("inside")).collect()
+    sizes = {(r["_group"], r["feature"], r["interval"]): r["n"] for r in summed}
     targets, base_rank = [], {}
     for (g, c), pieces in brackets.items():
         below = 0
@@ -225,7 +224,8 @@ def _select_in_brackets(base, brackets, out, probs, method, rows_per_bucket) ->
     if not targets:
         return {}
     inside = counted.where(F.col("value").isNotNull())
-    ranked = running_totals(inside, "value", ["n"], by=["_group", "feature", "interval"], rows_per_bucket=rows_per_bucket)
+    ranked = running_totals(inside, "value", ["n"], by=["_group", "feature", "interval"], rows_per_bucket=rows_per_bucket,
+                            n_rows=sum(r["inside"] for r in summed))
     # The wanted ranks are columns x quantiles rows, so they are safe to broadcast.
     wanted_df = spark.createDataFrame(targets, "t_group string, t_feature string, t_interval int, rank long")
     hits = ranked.join(
@@ -303,12 +303,12 @@ def totals_at_ranks(
         "key": -F.col("p") if descending else F.col("p"),
         "sum_p": F.col("p") * F.col("n"),
     }))
-    totals = table.agg(F.sum("n").alias("n"), F.sum("bads").alias("bads")).first()
+    totals = table.agg(F.sum("n").alias("n"), F.sum("bads").alias("bads"), F.count(F.lit(1)).alias("scores")).first()
     n, bads = totals["n"] or 0, totals["bads"] or 0
     ranks = sorted({int(r) for r in ranks_of(n) if 1 <= r <= n})
     if not ranks:
         return n, bads, {}
-    ranked = running_totals(table, "key", ["n", "bads", "sum_p"], rows_per_bucket=rows_per_bucket)
+    ranked = running_totals(table, "key", ["n", "bads", "sum_p"], rows_per_bucket=rows_per_bucket, n_rows=totals["scores"])
     wanted = df.sparkSession.createDataFrame([(r,) for r in ranks], "rank long")
     hits = ranked.join(
         F.broadcast(wanted), (F.col("rank") > F.col("cum_n") - F.col("n")) & (F.col("rank") <= F.col("cum_n"))

@@ -48,7 +48,7 @@ def _typed(column: str, dtype: str) -> Column:
     value = F.trim(F.col(column).cast("string")).try_cast(dtype)
     if dtype == "double":
         # Text "NaN" parses as a number; as a value it is missing, not the largest one.
-        value = F.when(~F.isnan(value), value)
+        value = F.nanvl(value, F.lit(None).cast("double"))
     return value
 
 

@@ -24,8 +24,8 @@ def applications_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag, status, qty = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity")
     per_order = line.groupBy(F.col("l_orderkey").alias("k")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.round(F.col("l_discount") * 100).cast("int")).alias("disc"),
-        F.sum(F.round(F.col("l_tax") * 100).cast("int")).alias("tax"),
+        F.sum(F.rint(F.col("l_discount") * 100).cast("int")).alias("disc"),
+        F.sum(F.rint(F.col("l_tax") * 100).cast("int")).alias("tax"),
         F.count_if((flag == "R") & (status == "F")).alias("d30"),
         F.count_if((flag == "R") & (status == "O") & (qty > 35)).alias("d60"),
         F.count_if((flag == "A") & (qty > 45)).alias("d90"),
@@ -35,6 +35,9 @@ def applications_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (
         _table(spark, sf_dir, "orders")
         .select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), "o_totalprice")
+        # The shuffle a sort-merge join needs anyway; it also spreads a one-split file when the
+        # other side turns out small enough to broadcast.
+        .repartition("k")
         .join(per_order, "k", "left")
         .withColumns({x: F.coalesce(F.col(x), F.lit(0)) for x in counts})
     )
@@ -104,7 +107,7 @@ def ledger(spark: SparkSession, sf_dir: str, with_balance: bool = False) -> Data
         .when(kind == "error", F.when(F.col("k") % 4 == 0, "cash").when(F.col("k") % 4 == 1, "debt_repayment").when(F.col("k") % 4 == 2, "fees").otherwise("transfers"))
     )
     seconds = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1000000.0)
-    cents = F.round(F.col("value") * 100).cast("bigint")
+    cents = F.rint(F.col("value") * 100).cast("bigint")
     rows = (
         e.select("event_id", "user_id", "ts", "event_type", cents.alias("raw_cents"), k.alias("k"), seconds.alias("sec"))
         .withColumn("true_category", category)
