@@ -70,9 +70,9 @@ def running_totals(
     points = [i / buckets for i in range(1, buckets)]
     cuts = df.agg(F.percentile_approx(F.col(key).cast("double"), points, max(BRACKET_ACCURACY, 10 * buckets))).first()[0]
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    placed = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket").transform(
-        df.withColumn("_key", F.col(key).cast("double"))
-    ).drop("_key")
+    placed = Bucketizer(splits=splits, inputCol="_position", outputCol="_bucket").transform(
+        df.withColumn("_position", F.col(key).cast("double"))
+    ).drop("_position")
     totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     # At most one row per bucket and group here, so this window is bounded by MAX_BUCKETS.
     below = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
