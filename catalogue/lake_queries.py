@@ -33,16 +33,15 @@ def a14_landed_check(spark, sf):
 
 
 def b01_unparseable(spark, sf):
-    return q.cast_with_audit(applications_raw(spark, sf))[1]
+    return q.cast_audit(applications_raw(spark, sf))
 
 
 def b02_dedupe(spark, sf):
-    typed, _ = q.cast_with_audit(applications_raw(spark, sf))
-    return q.drop_exact_duplicates(typed)
+    return _deduped(spark, sf)
 
 
 def _deduped(spark, sf):
-    return q.drop_exact_duplicates(q.cast_with_audit(applications_raw(spark, sf))[0])
+    return q.drop_exact_duplicates(q.cast_columns(applications_raw(spark, sf)))
 
 
 def b03_sentinel(spark, sf):

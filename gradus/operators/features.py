@@ -86,17 +86,21 @@ class ImputationConstants:
 def fit_constants(silver: DataFrame, fit_on: Column | None = None) -> ImputationConstants:
     """Medians that are values of the data, over all rows or over ``fit_on`` only."""
     base = silver if fit_on is None else silver.where(fit_on)
-    base = base.select("age", "debt_ratio", "monthly_income", age_band(F.col("age")).alias("age_band"))
-    whole = quantiles(base, ["monthly_income", "age", "debt_ratio"], [0.5], method="lower")
-    bands = quantiles(base, ["monthly_income"], [0.5], method="lower", by="age_band")
+    # Every row counts once for the whole table (NULL scope) and once for its band, so one
+    # pass finds both kinds of median.
+    base = base.select(
+        "age", "debt_ratio", "monthly_income", F.explode(F.array(F.lit(None).cast("string"), age_band(F.col("age")))).alias("scope")
+    )
+    whole_only = {c: F.when(F.col("scope").isNull(), F.col(c)) for c in ("age", "debt_ratio")}
+    cells = quantiles(base.withColumns(whole_only), ["monthly_income", "age", "debt_ratio"], [0.5], method="lower", by="scope")
 
     def middle(column: str, default: float) -> float:
-        cell = whole.get((None, column))
+        cell = cells.get((None, column))
         return cell.values[0.5] if cell and cell.n else default
 
     income = middle("monthly_income", 5000.0)
     # A band with no income at all is filled with the global median, so that is its median.
-    by_band = {band: (cell.values[0.5] if cell.n else income) for (band, _), cell in bands.items()}
+    by_band = {band: (cell.values[0.5] if cell.n else income) for (band, c), cell in cells.items() if band is not None and c == "monthly_income"}
     return ImputationConstants(by_band, income, middle("age", 52.0), middle("debt_ratio", 0.35))
 
 

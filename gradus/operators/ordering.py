@@ -21,8 +21,10 @@ from gradus.functions.columns import literal, number, quoted
 from gradus.sources.tables import materialise
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 10_000
-BRACKET_ACCURACY = 10_000
+MAX_BUCKETS = 2_000
+CUT_SKETCH = 8_192
+BRACKET_SKETCH = 2_048
+MERGE_WIDTH = 256
 
 
 def melt(df: DataFrame, keep: list[str], cells: dict[str, list[Column]], names: list[str]) -> DataFrame:
@@ -41,6 +43,26 @@ def melt(df: DataFrame, keep: list[str], cells: dict[str, list[Column]], names:
     )
 
 
+def sketched_quantiles(df: DataFrame, columns: list[str], points: list[float], size: int, by: str | None = None) -> DataFrame:
+    """Approximate quantiles (``n_<i>``, ``q_<i>`` per column) from mergeable KLL sketches.
+
+    Sketches of the map tasks are merged in two levels, so that no single task receives one
+    from every input split.
+    """
+    group = [by] if by else []
+    names = [quoted(c) for c in columns]
+    first = df.groupBy(*group, F.pmod(F.spark_partition_id(), F.lit(MERGE_WIDTH)).alias("_part")).agg(
+        *[F.expr(f"kll_sketch_agg_double({c}, {size})").alias(f"k_{i}") for i, c in enumerate(names)]
+    )
+    merged = first.groupBy(*group).agg(*[F.expr(f"kll_merge_agg_double(k_{i})").alias(f"k_{i}") for i in range(len(names))])
+    wanted = ", ".join(literal(x) for x in points)
+    cells = []
+    for i in range(len(names)):
+        n = f"kll_sketch_get_n_double(k_{i})"
+        cells += [F.expr(n).alias(f"n_{i}"), F.expr(f"CASE WHEN {n} > 0 THEN kll_sketch_get_quantile_double(k_{i}, array({wanted})) END").alias(f"q_{i}")]
+    return merged.select(*group, *cells)
+
+
 def running_totals(
     df: DataFrame,
     key: str,
@@ -68,7 +90,7 @@ def running_totals(
         return df.withColumns({f"cum_{s}": F.sum(s).over(w) for s in sums})
 
     points = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(F.col(key).cast("double"), points, max(BRACKET_ACCURACY, 10 * buckets))).first()[0]
+    cuts = sketched_quantiles(df.select(F.col(key).cast("double").alias("k")), ["k"], points, CUT_SKETCH).first()["q_0"]
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     placed = Bucketizer(splits=splits, inputCol="_position", outputCol="_bucket").transform(
         df.withColumn("_position", F.col(key).cast("double"))
@@ -132,27 +154,22 @@ def quantiles(
     method: str = "linear",
     by: str | None = None,
     max_groups: int = 1_000,
-    accuracy: int = BRACKET_ACCURACY,
+    sketch: int = BRACKET_SKETCH,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> dict[tuple, ColumnQuantiles]:
     """Exact quantiles of many columns, keyed ``(group, column)``.
 
     ``linear`` interpolates as numpy does; ``lower`` returns a value of the data.  Two scans
-    and no sort of the data: the first brackets each quantile with ``percentile_approx``, the
-    second counts what lies outside the brackets and keeps only the distinct values inside
+    and no sort of the data: the first brackets each quantile with a sketch, the second counts what lies outside the brackets and keeps only the distinct values inside
     them.  If a bracket turns out not to hold its rank, that column is counted again with an
     open bracket, so the answer never depends on the approximation.
     """
     group = [F.col(by).alias("_group")] if by else [F.lit(None).cast("string").alias("_group")]
     base = df.select(*group, *[number(c).alias(c) for c in columns])
-    margin = 3.0 / accuracy
+    margin = 4.0 / sketch**0.9  # well over the rank error of a sketch of this size
     points = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
     position = {p: i for i, p in enumerate(points)}
-    wanted = ", ".join(literal(x) for x in points)
-    first = base.groupBy("_group").agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[F.expr(f"percentile_approx({quoted(c)}, array({wanted}), {accuracy})").alias(f"q_{i}") for i, c in enumerate(columns)],
-    )
+    first = sketched_quantiles(base, columns, points, sketch, by="_group")
     summary = first.limit(max_groups + 1).collect()
     if len(summary) > max_groups:
         raise ValueError(f"more than {max_groups} groups; use grouped_median for wide grouping")

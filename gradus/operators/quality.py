@@ -58,13 +58,21 @@ def unparseable(column: str, dtype: str) -> Column:
     return raw.isNotNull() & (raw != "") & raw.try_cast(dtype).isNull()
 
 
-def cast_with_audit(df: DataFrame, schema: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Typed table and the count of values that were present but would not cast."""
+def cast_columns(df: DataFrame, schema: dict[str, str] | None = None) -> DataFrame:
+    schema = schema or NUMERIC_SCHEMA
+    return df.withColumns({c: _typed(c, t) for c, t in schema.items() if c in df.columns})
+
+
+def cast_audit(df: DataFrame, schema: dict[str, str] | None = None) -> DataFrame:
+    """``column, records``: values that were present but would not cast, in one aggregate."""
     schema = {c: t for c, t in (schema or NUMERIC_SCHEMA).items() if c in df.columns}
-    typed = df.withColumns({c: _typed(c, t) for c, t in schema.items()})
     counts = df.agg(*[F.count_if(unparseable(c, t)).alias(c) for c, t in schema.items()])
-    long = counts.unpivot([], list(schema), "column", "records").where(F.col("records") > 0)
-    return typed, long
+    return counts.unpivot([], list(schema), "column", "records").where(F.col("records") > 0)
+
+
+def cast_with_audit(df: DataFrame, schema: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Typed table and the count of what the casts lost."""
+    return cast_columns(df, schema), cast_audit(df, schema)
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "applicant_id", ignore: tuple[str, ...] = PROVENANCE) -> DataFrame:
@@ -136,31 +144,35 @@ def without_hits(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if not c.startswith(HIT)])
 
 
-def clean(bronze: DataFrame) -> DataFrame:
-    """Silver as one lazy plan: cast, de-duplicate, repair, stamp."""
-    typed, _ = cast_with_audit(bronze)
-    return without_hits(repair(drop_exact_duplicates(typed))).withColumn("cleaned_at", F.current_timestamp())
+def repaired(bronze: DataFrame) -> DataFrame:
+    """Cast, de-duplicated and repaired rows, hit flags attached."""
+    return repair(drop_exact_duplicates(cast_columns(bronze)))
 
 
-def build_silver(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Silver table and its data-quality report (``rule, column, records``).
+def stamp(silver: DataFrame) -> DataFrame:
+    return without_hits(silver).withColumn("cleaned_at", F.current_timestamp())
 
-    The repaired rows are staged once, with their hit flags; the table and all the counters
-    after the duplicate removal are read from there.
-    """
-    typed, unparsed = cast_with_audit(bronze)
-    staged = materialise(repair(drop_exact_duplicates(typed)))
-    silver = without_hits(staged).withColumn("cleaned_at", F.current_timestamp())
 
-    rows_in = bronze.agg(F.count(F.lit(1)).alias("rows_in"))
-    after = staged.agg(
+def clean(bronze: DataFrame) -> DataFrame:
+    """Silver as one lazy plan."""
+    return stamp(repaired(bronze))
+
+
+def repair_counters() -> list[Column]:
+    """Counters after the duplicate removal, for an aggregate or an observation."""
+    return [
         F.count(F.lit(1)).alias("rows_out"),
         F.count_if(F.col("flag_delinquency_sentinel") == 1).alias("sentinel"),
         F.count_if(F.col(f"{HIT}invalid_age") == 1).alias("age"),
         F.count_if(F.col("flag_debt_ratio_is_amount") == 1).alias("unit"),
         *[F.count_if(F.col(f"flag_{c}_missing") == 1).alias(f"missing_{c}") for c in MISSING_FLAGS],
         *[F.count_if(F.col(f"{HIT}winsorised_{c}") == 1).alias(f"winsor_{c}") for c in WINSOR_BOUNDS],
-    )
+    ]
+
+
+def quality_report(bronze: DataFrame, after: DataFrame) -> DataFrame:
+    """``rule, column, records`` from the raw rows and the one-row table of counters."""
+    rows_in = bronze.agg(F.count(F.lit(1)).alias("rows_in"))
     lines = [
         ("rows_in", None, "rows_in"),
         ("exact_duplicates_removed", None, "rows_in - rows_out"),
@@ -174,8 +186,14 @@ def build_silver(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     stack = ", ".join(f"'{rule}', {repr(c) if c else 'cast(null as string)'}, {value}" for rule, c, value in lines)
     # Both sides are one-row aggregates.
     counted = rows_in.crossJoin(after).select(F.expr(f"stack({len(lines)}, {stack}) as (rule, column, records)"))
-    report = counted.unionByName(unparsed.select(F.lit("unparseable_values_nulled").alias("rule"), "column", "records"))
-    return silver, report
+    lost = cast_audit(bronze).select(F.lit("unparseable_values_nulled").alias("rule"), "column", "records")
+    return counted.unionByName(lost)
+
+
+def build_silver(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Silver table and its report.  The repaired rows are staged once; both read from there."""
+    staged = materialise(repaired(bronze))
+    return stamp(staged), quality_report(bronze, staged.agg(*repair_counters()))
 
 
 def quality_document(report: DataFrame) -> DataFrame:

@@ -13,7 +13,9 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gradus.functions.columns import md5_int
 from gradus.operators.ledger import BEHAVIOUR
+from gradus.operators.ordering import running_totals
 from gradus.sources.tables import materialise
 
 
@@ -62,6 +64,13 @@ def tfidf(descriptions: DataFrame, idf: DataFrame) -> DataFrame:
     return weighted.join(length, "description").withColumn("weight", F.col("w") / F.col("_length")).drop("w", "_length")
 
 
+def numbered(idf: DataFrame) -> DataFrame:
+    """Give every gram a position, in hashed order, without gathering the vocabulary."""
+    keyed = materialise(idf.select("gram", "idf", md5_int(F.col("gram"), 15).alias("place"), F.lit(1).cast("bigint").alias("one")))
+    ranked = running_totals(keyed, "place", ["one"], ties=["gram"])
+    return materialise(ranked.select("gram", "idf", (F.col("cum_one") - 1).cast("int").alias("position")))
+
+
 @dataclass(frozen=True)
 class Categoriser:
     """Fitted categoriser: vocabulary, optional behaviour scaler, multinomial model."""
@@ -109,12 +118,11 @@ def _attach_vectors(rows: DataFrame, vocabulary: DataFrame, size: int, scaler) -
 def fit_categoriser(train: DataFrame, behaviour: bool, c: float = 5.0, max_iter: int = 2000, min_df: int = 2) -> Categoriser:
     """Multinomial logistic model on text, or on text and standardised behaviour.
 
-    The vocabulary has as many entries as the model has columns, so it fits wherever the
-    coefficients do.  Text-only rows that are equal are fitted once, weighted.
+    The vocabulary stays a table; only its size reaches the driver.  Text-only rows that are
+    equal are fitted once, weighted.
     """
-    spark = train.sparkSession
-    idf = fit_idf(train, min_df).orderBy("gram").collect()
-    vocabulary = materialise(spark.createDataFrame([(r["gram"], r["idf"], i) for i, r in enumerate(idf)], "gram string, idf double, position int"))
+    vocabulary = numbered(fit_idf(train, min_df))
+    size = vocabulary.count()
     classes = [r[0] for r in train.groupBy("true_category").agg(F.lit(1)).orderBy("true_category").collect()]
     label = F.lit(None).cast("double")
     for i, name in enumerate(classes):
@@ -126,13 +134,13 @@ def fit_categoriser(train: DataFrame, behaviour: bool, c: float = 5.0, max_iter:
         scaler = StandardScaler(inputCol="_behaviour", outputCol="_scaled", withMean=True, withStd=True).fit(assembled)
     else:
         weighted = train.groupBy("description", "true_category").agg(F.count(F.lit(1)).cast("double").alias("_weight"))
-    ready = materialise(_attach_vectors(weighted, vocabulary, len(idf), scaler).select("_x", label.alias("_label"), "_weight"))
+    ready = materialise(_attach_vectors(weighted, vocabulary, size, scaler).select("_x", label.alias("_label"), "_weight"))
     n = ready.agg(F.sum("_weight")).first()[0]
     model = LogisticRegression(
         featuresCol="_x", labelCol="_label", weightCol="_weight", family="multinomial", regParam=1.0 / (c * n), elasticNetParam=0.0,
         standardization=False, maxIter=max_iter,
     ).fit(ready)
-    return Categoriser(vocabulary, len(idf), classes, model, scaler)
+    return Categoriser(vocabulary, size, classes, model, scaler)
 
 
 def accuracy(predicted: DataFrame, true: str = "true_category", guess: str = "category") -> DataFrame:

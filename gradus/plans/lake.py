@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from gradus.operators.features import ImputationConstants, build_gold, fit_constants
-from gradus.operators.quality import build_silver, quality_document
+from gradus.operators.quality import quality_document, quality_report, repair_counters, repaired, stamp
 from gradus.sources.tables import land_raw, materialise, read_gold, read_raw_csv, read_table, write_report, write_table
 
 
@@ -40,10 +40,16 @@ def land_bronze(spark: SparkSession, raw_path: str, lake: LakeLayout, fmt: str =
 
 
 def land_silver(spark: SparkSession, lake: LakeLayout, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
-    """Silver and its report; the repair runs once, the counters read the staged result."""
-    silver, report = build_silver(read_table(spark, lake.bronze, fmt))
-    write_table(silver, lake.silver, fmt)
-    report = materialise(report)
+    """Silver and its report.
+
+    The counters are observed in the last stage of the write itself, where a task counts
+    once however often it is retried; no second pass over the de-duplicated rows is needed.
+    """
+    bronze = read_table(spark, lake.bronze, fmt)
+    seen = Observation("silver")
+    write_table(stamp(repaired(bronze).observe(seen, *repair_counters())), lake.silver, fmt)
+    after = spark.createDataFrame([tuple(seen.get.values())], ", ".join(f"{c} long" for c in seen.get))
+    report = materialise(quality_report(bronze, after))
     write_report(report, lake.report("data_quality"))
     write_report(quality_document(report), lake.report("data_quality_json"), "json")
     return read_table(spark, lake.silver, fmt), report

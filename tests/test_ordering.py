@@ -50,7 +50,7 @@ def test_quantiles_match_numpy(spark, method, limit):
         "nan": [float("nan") if i % 2 else float(i) for i in range(700)],
     }
     df = frame(spark, list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns))
-    got = o.quantiles(df, list(columns), probs, method=method, accuracy=50, rows_per_bucket=limit)
+    got = o.quantiles(df, list(columns), probs, method=method, sketch=50, rows_per_bucket=limit)
     how = {"linear": "linear", "lower": "inverted_cdf"}[method]
     for c, values in columns.items():
         present = [v for v in values if v is not None and v == v]
