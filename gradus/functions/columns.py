@@ -6,7 +6,7 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The age bands used for imputation and for segment reports.
@@ -34,6 +34,11 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row aggregate (a few scalars) to every row."""
+    return df.crossJoin(F.broadcast(row))
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

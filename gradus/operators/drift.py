@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from gradus.functions.columns import id_uniform, left_closed_index, literal, number, psi_verdict, quoted
+from gradus.functions.columns import id_uniform, left_closed_index, literal, number, psi_verdict, quoted, with_row
 from gradus.operators.ordering import melt, quantiles
 from gradus.sources.tables import materialise
 
@@ -134,7 +134,7 @@ class DriftReport:
         """One monitoring row with the largest shifts as JSON."""
         top = self.shifts.where(F.col("shift_rank") <= 5)
         listed = top.agg(F.array_sort(F.collect_list(F.struct("shift_rank", "feature", "psi", "verdict"))).alias("s"))
-        return self.summary.crossJoin(F.broadcast(listed)).select(  # one row each
+        return with_row(self.summary, listed).select(
             "score_psi", "score_verdict", "reference_mean_score", "current_mean_score", F.to_json("s").alias("largest_shifts"), "action"
         )
 
@@ -148,11 +148,11 @@ def drift_report(
     enough = (F.col("feature") != score) & (F.col("reference_rows") >= bins) & (F.col("current_rows") >= bins)
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("psi"), "feature"))  # a row per feature
     shifts = table.where(enough).select("feature", "psi", "verdict").withColumn("shift_rank", rank)
-    means = reference.agg(F.avg(score).alias("reference_mean_score")).crossJoin(current.agg(F.avg(score).alias("current_mean_score")))
+    means = with_row(reference.agg(F.avg(score).alias("reference_mean_score")), current.agg(F.avg(score).alias("current_mean_score")))
     action = F.lit(ACTIONS["revalidate"])
     for verdict in ("investigate", "stable"):
         action = F.when(F.col("verdict") == verdict, F.lit(ACTIONS[verdict])).otherwise(action)
-    summary = table.where(F.col("feature") == score).crossJoin(F.broadcast(means)).select(
+    summary = with_row(table.where(F.col("feature") == score), means).select(
         F.col("psi").alias("score_psi"), F.col("verdict").alias("score_verdict"), "reference_mean_score", "current_mean_score", action.alias("action")
     )
     return DriftReport(shifts, summary)
@@ -193,7 +193,7 @@ def promotion_gate(
 ) -> DataFrame:
     """``gate, value, threshold, passed`` rows from three one-row tables: test metrics,
     ``bands_monotonic`` and the score's ``verdict``."""
-    one = metrics.select("gini", "ks", "brier").crossJoin(monotonic).crossJoin(stability.select("psi", "verdict"))
+    one = with_row(with_row(metrics.select("gini", "ks", "brier"), monotonic), stability.select("psi", "verdict"))
     return one.select(F.expr(
         f"stack(5, 'gini', gini, {min_gini}D, gini >= {min_gini}D, 'ks', ks, {min_ks}D, ks >= {min_ks}D, "
         f"'brier', brier, {max_brier}D, brier <= {max_brier}D, "

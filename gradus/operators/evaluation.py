@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from gradus.functions.columns import DEFAULT_BANDS, all_of
+from gradus.functions.columns import DEFAULT_BANDS, all_of, with_row
 from gradus.operators.ordering import quantiles, running_totals, score_table, totals_at_ranks
 from gradus.sources.tables import materialise
 
@@ -47,7 +47,7 @@ def _with_ks(ranked: DataFrame, by: list[str]) -> DataFrame:
     if by:
         joined = ranked.join(sums, all_of([F.col(b).eqNullSafe(F.col(f"_by_{b}")) for b in by]))
     else:
-        joined = ranked.crossJoin(F.broadcast(sums))  # one row
+        joined = with_row(ranked, sums)
     gap = F.abs(F.try_divide(F.col("cum_bads").cast("double"), F.col("_b").cast("double"))
                 - F.try_divide(F.col("cum_goods").cast("double"), F.col("_g").cast("double")))
     return joined.withColumn("_gap", gap)
@@ -154,7 +154,7 @@ def apply_cutoff(
     """
     if isinstance(cutoff, DataFrame):
         frozen = cutoff.select(F.col("score_cutoff_probability").alias("pd_cutoff"), F.col("approval_rate").alias("approval_rate_on_validation"))
-        marked = df.crossJoin(F.broadcast(frozen))  # one row
+        marked = with_row(df, frozen)
     else:
         marked = df.withColumns({"pd_cutoff": F.lit(float(cutoff)), "approval_rate_on_validation": F.lit(None).cast("double")})
     taken, bad = F.col(p) <= F.col("pd_cutoff"), F.col(y).cast("bigint")

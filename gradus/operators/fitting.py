@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from gradus.functions.columns import DEFAULT_BANDS, MISSING_BIN, ScoreScaling, bin_index, literal, md5_int, number, quoted
+from gradus.functions.columns import DEFAULT_BANDS, MISSING_BIN, ScoreScaling, bin_index, literal, md5_int, number, quoted, with_row
 from gradus.operators.evaluation import auc_gini
 from gradus.operators.ordering import melt, score_table
 from gradus.operators.scoring import IsotonicCurve, PlattCurve, Scorecard, calibrated_pd, with_decision
@@ -175,7 +175,6 @@ def permutation_importance(
     auc = materialise(auc_gini(scored, "_p", target, by=["_variant"]).select(F.element_at(names, F.col("_variant")).alias("feature"), "auc"))
     base = auc.where(F.col("feature") == "(none)").select(F.col("auc").alias("base_auc"))
     return (
-        auc.where(F.col("feature") != "(none)")
-        .crossJoin(F.broadcast(base))  # one row
+        with_row(auc.where(F.col("feature") != "(none)"), base)
         .select("feature", F.col("auc").alias("permuted_auc"), (F.col("base_auc") - F.col("auc")).alias("auc_loss"))
     )

@@ -105,39 +105,37 @@ def cashflow_features(ledger: DataFrame, months: int = 6, category: str = "categ
     """The 18 affordability features of each applicant.
 
     One aggregate keyed by applicant (partial sums first, so a busy account is combined
-    before the shuffle) plus the income median, which is found on counted payments.
+    before the shuffle; its overdrawn days are made distinct on (account, day) first) plus
+    the income median, which is found on counted payments.
     """
     amount, kind = F.col("amount"), F.col(category)
     month = F.least(F.expr("day div 30"), F.lit(months - 1))
     rows = ledger.select("applicant_id", "day", "amount", "balance_after", kind.alias("_kind"), outflow(amount).alias("_out"), month.alias("_month"))
-    # Months seen anywhere in the data: a constant of the run, at most ``months`` values.
-    seen = sorted(r[0] for r in rows.select("_month").distinct().collect())
     income = F.when(F.col("_kind") == "income", amount)
 
     def spent(*kinds: str) -> Column:
         return F.sum(F.when(F.col("_kind").isin(*kinds), F.col("_out")))
 
-    sums = rows.groupBy("applicant_id").agg(
+    sums = materialise(rows.groupBy("applicant_id").agg(
         F.count(income).alias("_payments"), F.avg(income).alias("_income_mean"), F.stddev_samp(income).alias("_income_std"),
         F.sum("_out").alias("_total_out"), spent(*ESSENTIAL).alias("_essential"), spent(*DISCRETIONARY).alias("_discretionary"),
         *[spent(k).alias(f"_{k}") for k in ("debt_repayment", "cash", "fees")],
         F.count_if(F.col("_kind") == "fees").alias("_fee_events"),
         F.min("balance_after").alias("ob_min_balance"), F.avg("balance_after").alias("ob_mean_balance"),
-        *[F.sum(F.when(F.col("_month") == m, F.col("_out")).otherwise(F.lit(0.0))).alias(f"_m{i}") for i, m in enumerate(seen)],
-    )
-    # Distinct overdrawn days: distinct rows first, so an account's days are spread out.
-    overdrawn = rows.where(F.col("balance_after") < 0).select("applicant_id", "day").distinct().groupBy("applicant_id").agg(
-        F.count(F.lit(1)).alias("_overdrawn")
-    )
+        F.count_distinct(F.when(F.col("balance_after") < 0, F.col("day"))).alias("_overdrawn"),
+        # NULL, not 0, for a month without rows: that tells which months the data has at all.
+        *[F.sum(F.when(F.col("_month") == m, F.col("_out"))).alias(f"_m{m}") for m in range(months)],
+    ))
+    present = sums.agg(*[F.count(f"_m{m}").alias(f"_m{m}") for m in range(months)]).first()
+    by_month = [F.coalesce(F.col(f"_m{m}"), F.lit(0.0)) for m in range(months) if present[f"_m{m}"]]
     median = grouped_median(rows.where(F.col("_kind") == "income"), ["applicant_id"], "amount", "ob_income_monthly_median")
-    by_month = [F.col(f"_m{i}") for i in range(len(seen))]
-    mean = total(by_month) / F.lit(float(len(seen))) if seen else F.lit(None).cast("double")
+    mean = total(by_month) / F.lit(float(len(by_month))) if by_month else F.lit(None).cast("double")
     spread = (
-        F.sqrt(total([(m - F.col("_month_mean")) * (m - F.col("_month_mean")) for m in by_month]) / F.lit(float(len(seen) - 1)))
-        if len(seen) > 1 else F.lit(None).cast("double")
+        F.sqrt(total([(m - F.col("_month_mean")) * (m - F.col("_month_mean")) for m in by_month]) / F.lit(float(len(by_month) - 1)))
+        if len(by_month) > 1 else F.lit(None).cast("double")
     )
     fixed = float(months)
-    joined = sums.join(median, "applicant_id", "left").join(overdrawn, "applicant_id", "left").withColumn("_month_mean", mean)
+    joined = sums.join(median, "applicant_id", "left").withColumn("_month_mean", mean)
     volatility = F.try_divide(F.col("_income_std"), F.col("_income_mean"))
     essential = F.col("_essential") / F.lit(fixed)
     return joined.select(
@@ -153,7 +151,7 @@ def cashflow_features(ledger: DataFrame, months: int = 6, category: str = "categ
         *[(F.coalesce(F.col(f"_{k}"), F.lit(0.0)) / F.lit(fixed)).alias(f"ob_{k}_monthly") for k in ("debt_repayment", "cash", "fees")],
         F.col("_fee_events").cast("double").alias("ob_fee_events"),
         "ob_min_balance", "ob_mean_balance",
-        F.coalesce(F.col("_overdrawn"), F.lit(0)).cast("double").alias("ob_days_in_overdraft"),
+        F.col("_overdrawn").cast("double").alias("ob_days_in_overdraft"),
         (F.coalesce(F.col("ob_income_monthly_median"), F.lit(0.0)) - F.coalesce(essential, F.lit(0.0))).alias("ob_surplus_after_essentials"),
         F.try_divide(F.col("ob_income_monthly_median"), essential).alias("ob_essential_cover_ratio"),
         F.try_divide(spread, F.col("_month_mean")).alias("ob_spend_volatility"),

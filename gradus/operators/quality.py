@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradus.functions.columns import any_of
+from gradus.functions.columns import any_of, with_row
 from gradus.sources.tables import materialise
 
 # Declared type of each raw column.
@@ -184,8 +184,7 @@ def quality_report(bronze: DataFrame, after: DataFrame) -> DataFrame:
         ("rows_out", None, "rows_out"),
     ]
     stack = ", ".join(f"'{rule}', {repr(c) if c else 'cast(null as string)'}, {value}" for rule, c, value in lines)
-    # Both sides are one-row aggregates.
-    counted = rows_in.crossJoin(after).select(F.expr(f"stack({len(lines)}, {stack}) as (rule, column, records)"))
+    counted = with_row(rows_in, after).select(F.expr(f"stack({len(lines)}, {stack}) as (rule, column, records)"))
     lost = cast_audit(bronze).select(F.lit("unparseable_values_nulled").alias("rule"), "column", "records")
     return counted.unionByName(lost)
 

@@ -13,7 +13,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradus.functions.columns import md5_int
+from gradus.functions.columns import md5_int, with_row
 from gradus.operators.ledger import BEHAVIOUR
 from gradus.operators.ordering import running_totals
 from gradus.sources.tables import materialise
@@ -52,7 +52,7 @@ def fit_idf(ledger: DataFrame, min_df: int = 2) -> DataFrame:
     size = descriptions.agg(F.sum("documents").alias("_n"))
     frequency = term_counts(descriptions).groupBy("gram").agg(F.sum("documents").alias("df")).where(F.col("df") >= min_df)
     idf = F.ln((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    return frequency.crossJoin(F.broadcast(size)).select("gram", "df", idf.alias("idf"))  # one row
+    return with_row(frequency, size).select("gram", "df", idf.alias("idf"))
 
 
 def tfidf(descriptions: DataFrame, idf: DataFrame) -> DataFrame:
