@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.ctes import md5u, with_
-from catalogue.fixed import SEED
+from catalogue.ctes import bins_over, md5u, with_
+from catalogue.fixed import BETAS, FIXED_EDGES, SEED
 from catalogue.inputs import fixed_card, gold, r6, splits
-from catalogue.scoring_queries import MODEL, band_sql, score_sql
+from catalogue.scoring_queries import FACTOR, MODEL, OFFSET, band_sql, fixed_order_logit, score_sql
 from gradus.functions.columns import ScoreScaling
 from gradus.operators import drift as dr
 from gradus.operators import evaluation as ev
@@ -144,7 +144,7 @@ def h06_control_and_treatment(spark, sf):
     for population, rows in (("holdout", test), ("shifted", dr.stress_shift(test, "applicant_id", SEED))):
         report = dr.drift_report(reference, sc.score(rows, card), card.features, "raw_score")
         parts.append(report.summary.withColumn("population", F.lit(population)))
-    return parts[0].unionByName(parts[1])
+    return parts[0].unionByName(parts[1]).withColumns(r6("score_psi", "reference_mean_score", "current_mean_score"))
 
 
 def h07_train_test_psi(spark, sf):
@@ -248,7 +248,32 @@ _PD_SIDES = {
 _U = md5u(f"cast(applicant_id AS varchar) || '|{SEED}'") + " / 4294967296::double"
 _STRESS = {"revolving_utilisation": 1.45, "utilisation_x_delinquency": 1.45, "debt_ratio": 1.3, "monthly_income": 0.8, "log_monthly_income": 0.95, "disposable_income": 0.75, "income_per_dependent": 0.8}
 
+def _population(name: str, source: str, changes: dict[str, str]) -> dict[str, str]:
+    """Raw scores of one population under the fixed model."""
+    columns = ", ".join(f"cast({changes.get(f, f)} AS double) AS {f}" for f in BETAS)
+    placed = ", ".join(f"CASE WHEN {f} IS NULL THEN -1 ELSE len(list_filter({FIXED_EDGES[f]}::double[], lambda e: e < {f})) END AS {f}" for f in BETAS)
+    looked_up = ", ".join(f"coalesce((SELECT woe FROM woe WHERE feature = '{f}' AND bin_index = {name}_bins.{f}), 0) AS w_{f}" for f in BETAS)
+    return {
+        f"{name}_bins": f"SELECT {placed} FROM (SELECT {columns} FROM gold WHERE split = '{source}')",
+        name: f"SELECT {OFFSET} - {FACTOR} * {fixed_order_logit('w_')} AS raw_score FROM (SELECT {looked_up} FROM {name}_bins)",
+    }
+
+
+_SHIFTED = {"age": f"least(greatest(age - 8::double * (0.5::double + {_U}), 18), 100)", **{c: f"{c} * {m}::double" for c, m in _STRESS.items()}}
+
+
+def _control(name: str, changes: dict[str, str]) -> str:
+    extra = {
+        **bins_over("fixed_edges"), **_population("train_scores", "train", {}), **_population("current_scores", "test", changes),
+        **stability(["raw_score"], "train_scores", "current_scores"),
+    }
+    return with_("train_long", "fixed_edges", extra=extra) + f"""SELECT '{name}' AS population, round(psi, 6) AS score_psi, v AS score_verdict,
+        round((SELECT avg(raw_score) FROM train_scores), 6) AS reference_mean_score, round((SELECT avg(raw_score) FROM current_scores), 6) AS current_mean_score,
+        {_ACTION} AS action FROM (SELECT psi, {_VERDICT} AS v FROM psi)"""
+
+
 ORACLES = {
+    "h06_control_and_treatment": f"SELECT * FROM ({_control('holdout', {})}) UNION ALL SELECT * FROM ({_control('shifted', _SHIFTED)})",
     "f01_auc": _M + "SELECT round(auc, 6) AS auc, round(2 * auc - 1, 6) AS gini FROM measured",
     "f02_ks": _M + "SELECT round(ks, 6) AS ks FROM measured",
     "f03_evaluate": _M + """SELECT round(auc, 6) AS auc, round(2 * auc - 1, 6) AS gini, round(ks, 6) AS ks, round(brier, 6) AS brier, round(log_loss, 6) AS log_loss,

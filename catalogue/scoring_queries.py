@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogue.ctes import bins_over, with_
-from catalogue.fixed import BANDS, BETAS, CURVE, FIXED_EDGES, INTERCEPT
+from catalogue.ctes import bins_over, md5u, with_
+from catalogue.fixed import BANDS, BETAS, CURVE, FIXED_EDGES, INTERCEPT, SEED
 from catalogue.inputs import fixed_card, r6, splits
 from gradus.functions.columns import ScoreScaling, assign_band
 from gradus.operators import explain as ex
@@ -54,8 +54,9 @@ def _raw_scored(spark, sf):
 
 
 def e03_isotonic(spark, sf):
-    curve = fit.fit_calibrator(scored(spark, sf), "p", "y", "isotonic")
-    return spark.createDataFrame(list(zip(curve.boundaries, curve.predictions)), "boundary double, prediction double")
+    rows = scored(spark, sf)
+    curve = fit.fit_calibrator(rows, "p", "y", "isotonic")
+    return curve.add(rows.select("p").distinct(), "p", "calibrated").withColumns(r6("calibrated"))
 
 
 def e04_platt(spark, sf):
@@ -140,7 +141,8 @@ def g08_permutation_importance(spark, sf):
     def raw(df: DataFrame, out: str) -> DataFrame:
         return sc.add_log_odds(df, card, out)
 
-    return fit.permutation_importance(test, FEATURES, TARGET, "applicant_id", raw)
+    out = fit.permutation_importance(test, FEATURES, TARGET, "applicant_id", raw, seed=SEED)
+    return out.withColumns(r6("permuted_auc", "auc_loss"))
 
 
 def g09_shown_values(spark, sf):
@@ -158,19 +160,29 @@ def h11_monotone_score(spark, sf):
     return reduce(DataFrame.unionByName, audits)
 
 
+GRIDS = {"times_90_dpd": [0.0, 1.0, 2.0, 4.0], "revolving_utilisation": [0.0, 0.03, 0.045, 0.055, 0.5, 1.5]}
+
+
+def h11_monotone_score_fixed_model(spark, sf):
+    """The coarse bins are not merged, so the audit has rises to find."""
+    card, _, _, test = _fixed(spark, sf)
+    audits = [ex.monotone_score_audit(test, card, c, g).withColumn("feature", F.lit(c)) for c, g in GRIDS.items()]
+    return reduce(DataFrame.unionByName, audits)
+
+
 QUERIES = {f.__name__: f for f in (
-    e01_logistic, e02_boosted, e03_isotonic, e04_platt, e05_calibrated_pd, e06_raw_score, e07_score_scaling, e08_score_to_probability, e09_bands,
+    h11_monotone_score_fixed_model, e01_logistic, e02_boosted, e03_isotonic, e04_platt, e05_calibrated_pd, e06_raw_score, e07_score_scaling, e08_score_to_probability, e09_bands,
     e10_decision_fixed_model, e11_band_counts, e12_decision_struct, e13_candidates, g01_points_fixed_model, g03_contributions, g04_reason_codes,
     g05_importance, g07_reconstruct, g08_permutation_importance, g09_shown_values, h11_monotone_score,
 )}
 
 # --- SQL ----------------------------------------------------------------------------------
-_FACTOR, _OFFSET = f"cast({SCALE.factor!r} AS double)", f"cast({SCALE.offset!r} AS double)"
+FACTOR, OFFSET = f"cast({SCALE.factor!r} AS double)", f"cast({SCALE.offset!r} AS double)"
 
 
 def score_sql(p: str) -> str:
     clipped = f"least(greatest({p}, 1e-6::double), 1 - 1e-6::double)"
-    return f"({_OFFSET} + {_FACTOR} * ln((1 - {clipped}) / {clipped}))"
+    return f"({OFFSET} + {FACTOR} * ln((1 - {clipped}) / {clipped}))"
 
 
 def band_sql(score: str, bands) -> str:
@@ -190,7 +202,7 @@ MODEL = {
     **bins_over("fixed_edges"),
     "betas": "SELECT * FROM (VALUES " + ", ".join(f"('{f}', {b}::double)" for f, b in BETAS.items()) + ") AS t(feature, beta)",
     "points0": f"""SELECT feature, bin_index, count, bad_rate, woe,
-        round(({_OFFSET} - {_FACTOR} * {INTERCEPT}::double) / {len(BETAS)} - {_FACTOR} * beta * woe, 2) AS points FROM woe JOIN betas USING (feature)""",
+        round(({OFFSET} - {FACTOR} * {INTERCEPT}::double) / {len(BETAS)} - {FACTOR} * beta * woe, 2) AS points FROM woe JOIN betas USING (feature)""",
     "points": """SELECT *, max(points) OVER (PARTITION BY feature) AS max_points_for_feature,
         round(max(points) OVER (PARTITION BY feature) - points, 2) AS points_lost FROM points0""",
     "test_long": "SELECT applicant_id, y, feature, value FROM (SELECT applicant_id, target_default_90dpd_2yr AS y, "
@@ -203,14 +215,50 @@ MODEL = {
         FROM test_bins JOIN betas USING (feature) LEFT JOIN woe USING (feature, bin_index) GROUP BY 1""",
     "decided": f"""SELECT applicant_id, y, least(greatest({curve_sql('raw')}, 1e-6::double), 1 - 1e-6::double) AS pd, raw_score,
         cast(round_even(raw_score, 0) AS bigint) AS score, {band_sql('raw_score', BANDS)} AS band
-        FROM (SELECT applicant_id, y, 1 / (1 + exp(-logit)) AS raw, {_OFFSET} - {_FACTOR} * logit AS raw_score FROM logits)""",
+        FROM (SELECT applicant_id, y, 1 / (1 + exp(-logit)) AS raw, {OFFSET} - {FACTOR} * logit AS raw_score FROM logits)""",
     "explained": """SELECT applicant_id, cast(row_number() OVER (PARTITION BY applicant_id ORDER BY points_lost DESC, feature) AS int) AS rank,
         feature, value, bin_index, points, points_lost, bad_rate FROM test_bins JOIN points USING (feature, bin_index)""",
 }
 _W = with_("train_long", "fixed_edges", extra=MODEL)
 _DESCRIBE = "CASE feature " + " ".join(f"WHEN '{f}' THEN '{ex.describe(f)}'" for f in FEATURES) + " END"
 
+def fixed_order_logit(prefix: str, swapped: str | None = None, other: str = "") -> str:
+    """The dot product in the order of the features, so equal bins give equal sums."""
+    terms = [f"{b}::double * {other if f == swapped else prefix}{f}" for f, b in BETAS.items()]
+    return "(" + f"{INTERCEPT}::double + " + " + ".join(terms) + ")"
+
+
+_KEY = md5u(f"cast(applicant_id AS varchar) || '|{SEED}'", 15)
+_NEXT = "OVER (PARTITION BY bucket ORDER BY key, applicant_id)"
+_PERMUTED = {
+    **MODEL,
+    "test_wide": "SELECT applicant_id, max(y) AS y, " + ", ".join(f"max(coalesce(woe, 0)) FILTER (feature = '{f}') AS w_{f}" for f in FEATURES)
+    + " FROM test_bins LEFT JOIN woe USING (feature, bin_index) GROUP BY 1",
+    "keyed": f"SELECT *, {_KEY} AS key, {_KEY} % cast(greatest(1, ceil((SELECT count(*) FROM test_wide) / 1000000::double)) AS bigint) AS bucket FROM test_wide",
+    "donated": "SELECT *, " + ", ".join(f"coalesce(lead(w_{f}) {_NEXT}, first_value(w_{f}) {_NEXT}) AS d_{f}" for f in FEATURES) + " FROM keyed",
+    "variants": " UNION ALL ".join(
+        f"SELECT '{f or '(none)'}' AS variant, y, {fixed_order_logit('w_', f, 'd_')} AS p FROM donated" for f in (None, *FEATURES)
+    ),
+    "per_logit": "SELECT variant, p, sum(y) AS b, count(*) - sum(y) AS g FROM variants GROUP BY 1, 2",
+    "ranked": "SELECT *, sum(g) OVER (PARTITION BY variant ORDER BY p) AS cg FROM per_logit",
+    "aucs": "SELECT variant, sum(cast(b AS double) * (cg - g + g / 2::double)) / (sum(b)::double * sum(g)::double) AS auc FROM ranked GROUP BY 1",
+}
+_STEPS = "SELECT * FROM (VALUES " + ", ".join(f"('{f}', {a}::double, {b}::double)" for f, g in GRIDS.items() for a, b in zip(g, g[1:])) + ") AS t(feature, from_value, to_value)"
+
 ORACLES = {
+    "e03_isotonic": with_("scored", extra={
+        "t": "SELECT p, row_number() OVER (ORDER BY p) AS i, sum(sum(y)) OVER (ORDER BY p) AS cb, sum(count(*)) OVER (ORDER BY p) AS cn, sum(y) AS b, count(*) AS n FROM scored GROUP BY p",
+        "spans": "SELECT l.i AS l, r.i AS r, (r.cb - l.cb + l.b)::double / (r.cn - l.cn + l.n)::double AS rate FROM t l JOIN t r ON l.i <= r.i",
+    }) + """SELECT p, round(max(low), 6) AS calibrated FROM (
+        SELECT t.p, l, min(rate) AS low FROM t JOIN spans ON l <= t.i AND r >= t.i GROUP BY 1, 2) GROUP BY 1""",
+    "g08_permutation_importance": with_("train_long", "fixed_edges", extra=_PERMUTED)
+    + """SELECT variant AS feature, round(auc, 6) AS permuted_auc, round((SELECT auc FROM aucs WHERE variant = '(none)') - auc, 6) AS auc_loss
+        FROM aucs WHERE variant <> '(none)'""",
+    "h11_monotone_score_fixed_model": with_("train_long", "fixed_edges", extra={**MODEL, "steps": _STEPS}) + """
+        SELECT feature, from_value, to_value, n AS applicants, CASE WHEN beta * (b.woe - a.woe) < -1e-9 THEN n ELSE 0 END AS score_rises
+        FROM steps JOIN fixed_edges USING (feature) JOIN betas USING (feature) JOIN (SELECT count(*) AS n FROM gold WHERE split = 'test') ON true
+        JOIN woe a ON a.feature = steps.feature AND a.bin_index = len(list_filter(edges, lambda e: e < from_value))
+        JOIN woe b ON b.feature = steps.feature AND b.bin_index = len(list_filter(edges, lambda e: e < to_value))""",
     "e05_calibrated_pd": _W + "SELECT applicant_id, round(pd, 6) AS probability_of_default FROM decided",
     "e06_raw_score": _W + "SELECT applicant_id, round(raw_score, 6) AS raw_score FROM decided",
     "e07_score_scaling": with_("scored") + f"SELECT id, round({score_sql('p')}, 6) AS score FROM scored",
@@ -229,7 +277,7 @@ ORACLES = {
         round(sum(count * abs(points - mean)) / sum(count), 2) AS population_weighted_spread, round(max(count) / sum(count), 3) AS largest_bin_share
         FROM points JOIN (SELECT feature, sum(points * count) / sum(count) AS mean FROM points GROUP BY 1) USING (feature) GROUP BY 1""",
     "g07_reconstruct": _W + f"""SELECT count(*) AS applicants, max(abs(total - raw_score)) < 0.1 AS within_a_tenth FROM decided JOIN
-        (SELECT applicant_id, sum(coalesce(points, ({_OFFSET} - {_FACTOR} * {INTERCEPT}::double) / {len(BETAS)})) AS total
+        (SELECT applicant_id, sum(coalesce(points, ({OFFSET} - {FACTOR} * {INTERCEPT}::double) / {len(BETAS)})) AS total
          FROM test_bins LEFT JOIN points USING (feature, bin_index) GROUP BY 1) USING (applicant_id)""",
     "g09_shown_values": _W + """SELECT feature, count(*) FILTER (value IS NULL) AS not_reported, count(*) AS reasons FROM explained
         WHERE points_lost > 0.5 AND rank <= 4 GROUP BY 1""",
