@@ -47,7 +47,7 @@ def d03_bin_counts(spark, sf):
 
 
 def d06_monotone_bins(spark, sf):
-    return woe.woe_fit(_train(spark, sf), MODEL_FEATURES, TARGET).table(spark)
+    return woe.woe_fit(_train(spark, sf), MODEL_FEATURES, TARGET).table(spark).drop("bin").withColumns(r6("bad_rate", "woe", "iv_contribution"))
 
 
 def d07_woe_iv_coarse(spark, sf):
@@ -108,7 +108,41 @@ _FIXED_WIDE = {
 }
 _PAIRS = [(a, b) for i, a in enumerate(FIXED) for b in FIXED[i + 1 :]]
 
+# The merge rules as a recursion over lists: one merge per step, small bins first, then the
+# pair that breaks the trend most.
+_RATES = "list_transform(range(1, len(g) + 1), lambda i: b[i] / greatest(g[i] + b[i], 1))"
+_MERGED = {
+    **bins_over("edges"),
+    "finite": "SELECT feature, list(goods::double ORDER BY bin_index) AS g, list(bads::double ORDER BY bin_index) AS b FROM woe WHERE bin_index >= 0 GROUP BY 1",
+    "start": """SELECT feature, 1 AS phase, greatest(1, 0.05::double * (list_sum(g) + list_sum(b))) AS need, g, b, edges AS e FROM finite JOIN edges USING (feature)""",
+    "sized": f"""SELECT feature, g, b, e FROM (
+        WITH RECURSIVE step AS (
+          SELECT feature, need, g, b, e, 0 AS n FROM start
+          UNION ALL
+          SELECT feature, need, g[1:l - 1] || [g[l] + g[l + 1]] || g[l + 2:], b[1:l - 1] || [b[l] + b[l + 1]] || b[l + 2:], e[1:l - 1] || e[l + 1:], n + 1
+          FROM (SELECT *, least(coalesce(list_position(list_transform(range(1, len(g) + 1), lambda i: g[i] + b[i] < need), true), 0), len(g) - 1) AS l FROM step WHERE len(g) > 1)
+          WHERE l >= 1)
+        SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC) AS last FROM step) WHERE last = 1""",
+    "trended": f"""SELECT *, CASE WHEN list_sum(list_transform(range(1, len(g) + 1), lambda i: (i - (len(g) + 1) / 2::double) * r[i])) < 0
+          AND list_max(list_transform(r, lambda x: abs(x - r[1]) - 1e-8::double - 1e-5::double * abs(r[1]))) > 0 THEN -1 ELSE 1 END AS trend
+        FROM (SELECT *, {_RATES} AS r FROM sized)""",
+    "monotone": f"""SELECT feature, g, b, e FROM (
+        WITH RECURSIVE step AS (
+          SELECT feature, trend, g, b, e, 0 AS n FROM trended
+          UNION ALL
+          SELECT feature, trend, g[1:l - 1] || [g[l] + g[l + 1]] || g[l + 2:], b[1:l - 1] || [b[l] + b[l + 1]] || b[l + 2:], e[1:l - 1] || e[l + 1:], n + 1
+          FROM (SELECT *, list_position(d, list_min(d)) AS l FROM (
+            SELECT *, list_transform(range(1, len(g)), lambda i: (r[i + 1] - r[i]) * trend) AS d FROM (SELECT *, {_RATES} AS r FROM step WHERE len(g) > 1))
+            WHERE list_min(d) < 0))
+        SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC) AS last FROM step) WHERE last = 1""",
+    "merged": """SELECT feature, cast(i - 1 AS int) AS bin_index, g[i] AS goods, b[i] AS bads FROM (SELECT *, unnest(range(1, len(g) + 1)) AS i FROM monotone)
+        UNION ALL SELECT feature, -1, goods::double, bads::double FROM bin_counts WHERE bin_index = -1""",
+    "merged_shares": "SELECT feature, bin_index, goods, bads, (goods + 0.5::double) / (g + 1) AS sg, (bads + 0.5::double) / (b + 1) AS sb FROM merged JOIN totals USING (feature)",
+}
+
 ORACLES = {
+    "d06_monotone_bins": with_("train_long", "edges", extra=_MERGED) + """SELECT feature, bin_index, cast(goods + bads AS bigint) AS count, cast(goods AS bigint) AS goods,
+        cast(bads AS bigint) AS bads, round(bads / greatest(goods + bads, 1), 6) AS bad_rate, round(ln(sg / sb), 6) AS woe, round((sg - sb) * ln(sg / sb), 6) AS iv_contribution FROM merged_shares""",
     "d01_edges": with_("edges") + "SELECT feature, cast(i AS int) AS position, edges[i + 1] AS edge FROM (SELECT feature, edges, unnest(range(len(edges))) AS i FROM edges)",
     "d02_bin_assignment": with_("fixed_edges", "train_long", extra=_FIXED_WIDE) + "SELECT applicant_id, "
     + ", ".join(f"cast(max(bin_index) FILTER (feature = '{f}') AS int) AS bin_{f}" for f in FIXED) + " FROM placed GROUP BY 1",
