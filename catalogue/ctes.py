@@ -148,7 +148,7 @@ _add("ledger", [], """
     CASE WHEN true_category = 'income' THEN 4 * raw_cents ELSE -raw_cents END AS cents, true_category, transaction_id,
     cast(CASE WHEN true_category = 'income' THEN 4 * raw_cents ELSE -raw_cents END AS double) / 100 AS amount
   FROM (SELECT user_id AS applicant_id, event_id AS transaction_id,
-      cast(floor((epoch_us(ts) / cast(1000000 AS double) - 1704067200) / cast(86400 AS double) * 6) AS int) AS day,
+      cast(floor((epoch_us(ts) - 1704067200000000) / cast(1000000 AS double) / cast(86400 AS double) * 6) AS int) AS day,
       cast(round(value * 100) AS bigint) AS raw_cents, k,
       CASE event_type WHEN 'signup' THEN 'income' WHEN 'click' THEN CASE WHEN k % 2 = 0 THEN 'groceries' ELSE 'transport' END
         WHEN 'view' THEN CASE WHEN k % 2 = 0 THEN 'eating_out' ELSE 'shopping' END

@@ -106,14 +106,16 @@ def ledger(spark: SparkSession, sf_dir: str, with_balance: bool = False) -> Data
         .when(kind == "purchase", F.when(F.col("k") % 3 == 0, "housing").when(F.col("k") % 3 == 1, "utilities").otherwise("subscriptions"))
         .when(kind == "error", F.when(F.col("k") % 4 == 0, "cash").when(F.col("k") % 4 == 1, "debt_repayment").when(F.col("k") % 4 == 2, "fees").otherwise("transfers"))
     )
-    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1000000.0)
+    # A difference of two local times, so the session's time zone does not matter.
+    opened = F.lit("2024-01-01").cast("timestamp_ntz").cast("timestamp")
+    seconds = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(opened)) / F.lit(1000000.0)
     cents = F.rint(F.col("value") * 100).cast("bigint")
     rows = (
         e.select("event_id", "user_id", "ts", "event_type", cents.alias("raw_cents"), k.alias("k"), seconds.alias("sec"))
         .withColumn("true_category", category)
         .select(
             F.col("user_id").alias("applicant_id"),
-            F.floor((F.col("sec") - F.lit(1704067200.0)) / F.lit(86400.0) * F.lit(6.0)).cast("int").alias("day"),
+            F.floor(F.col("sec") / F.lit(86400.0) * F.lit(6.0)).cast("int").alias("day"),
             F.concat_ws(" ", F.upper("true_category"), F.char(65 + F.col("k") % 5), (1000 + F.col("k")).cast("string")).alias("description"),
             F.when(F.col("true_category") == "income", 4 * F.col("raw_cents")).otherwise(-F.col("raw_cents")).alias("cents"),
             "true_category",
