@@ -7,9 +7,10 @@ universal hash functions; two nodes that agree on all rows of a band share a buc
 Pairs of a bucket are not all written out.  First every node is checked against one
 centre, the busiest node of most of its buckets, which settles groups of copies with one
 check per member.  What is left are buckets whose members are still in different
-components: there, members outside the largest component are checked against all members of
-other components, so that every pair that shares a bucket is either checked or already
-connected.  A pair is checked on its signatures first, then on the full sets.
+components: their members are checked against members of other components, as far as sizes
+and the places of shared shingles allow the similarity, so that every pair that shares a
+bucket is checked, already connected or impossible.  A pair is checked on its signatures
+first, then on the full sets.
 """
 
 from __future__ import annotations
@@ -163,18 +164,47 @@ def _centres(buckets: DataFrame) -> DataFrame:
     return counted.groupBy("b").agg(F.max(F.struct("n", "score", (-F.col("a")).alias("minus"))).alias("best")).select((-F.col("best.minus")).alias("a"), "b")
 
 
-def _across(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs that share a bucket and are in different components, at least one of them outside the bucket's largest."""
+def _shingle_rows(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(doc_id, h) for each shingle of the documents ``ids``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 200):
+                part = batch.slice(lo, 200)
+                sets = shingles(part.column("text"), width)
+                owner = np.repeat(part.column("doc_id").to_numpy(), [len(s) for s in sets])
+                hashes = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(hashes)], names=["doc_id", "h"])
+
+    wanted = small_or_plain(ids.select(F.col("doc_id").alias("w_id")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return in_arrow(texts.join(wanted, F.col("doc_id") == F.col("w_id"), "left_semi"), run, "doc_id long, h long").distinct()
+
+
+def _across(docs: DataFrame, buckets: DataFrame, found: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs of different components among the nodes of buckets that hold more than one.
+
+    Shingles are put in one order, the rarest among these nodes first.  If the first one that
+    two sets share stands at places i and j, they have at most ``min(size - place)`` in common,
+    and similar sets need ``percent / (100 + percent)`` of both sizes.  So pairs are met on a
+    shared shingle near the front of both sets, which copies changed too much for their
+    centre don't have: a group of those makes few pairs, and no pair that could hold is lost.
+    """
     placed = materialise(_with_component(buckets, found))
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    split = placed.join(mixed_keys, "key")
-    counts = split.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("largest"))
-    marked = materialise(split.join(largest, "key"))
-    x, y = marked.where("component != largest").toDF(*[f"{c}_x" for c in marked.columns]), marked.toDF(*[f"{c}_y" for c in marked.columns])
-    apart = (F.col("key_x") == F.col("key_y")) & (F.col("component_x") != F.col("component_y"))
-    once = (F.col("component_y") == F.col("largest_y")) | (F.col("doc_id_x") < F.col("doc_id_y"))
-    return x.join(y, apart & once).select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
+    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
+    ids = materialise(placed.join(split, "key").select("doc_id", "component").distinct())
+    rows = materialise(_shingle_rows(docs, ids, width))
+    counts = rows.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    ordered = rows.join(counts, "h").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("o"))
+    n = F.size("o")
+    front = ordered.select("doc_id", n.alias("n"), F.posexplode(F.slice("o", F.lit(1), n - F.ceil(n * F.lit(percent) / 100).cast("int") + 1)).alias("place", "s"))
+    front = front.where("s.df > 1").select("doc_id", "n", (F.col("n") - F.col("place")).alias("left"), F.col("s.h").alias("h"))
+    front = materialise(front.join(ids, "doc_id"))
+    x, y = (front.toDF(*[f"{c}_{side}" for c in front.columns]) for side in "xy")
+    need = (F.col("n_x") + F.col("n_y")) * percent
+    possible = (F.least("left_x", "left_y") * (100 + percent) >= need) & (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent)
+    apart = (F.col("h_x") == F.col("h_y")) & (F.col("doc_id_x") < F.col("doc_id_y")) & (F.col("component_x") != F.col("component_y"))
+    return x.join(y, apart & possible).select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -200,7 +230,7 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     first = materialise(likely(_centres(buckets), nodes, percent, BANDS * ROWS))
     links = materialise(confirmed(docs, first, width, percent))
     found = materialise(components(links))
-    rest = materialise(likely(_across(buckets, found), nodes, percent, BANDS * ROWS))
+    rest = materialise(likely(_across(docs, buckets, found, width, percent), nodes, percent, BANDS * ROWS))
     more = confirmed(docs, rest, width, percent)
     ties = found.select(F.col("component").alias("a"), F.col("id").alias("b"))
     final = components(ties.unionByName(more).unionByName(same_id))
