@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradus.llm import bpe, minhash
+from gradus.llm import bpe, katz, minhash
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -32,5 +32,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op6_minhash": op6_minhash, "op8_byte_bpe": op8_byte_bpe}
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.scores(_documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
+QUERIES = {"op9_katz": op9_katz, "op6_minhash": op6_minhash, "op8_byte_bpe": op8_byte_bpe}
 ORACLES: dict[str, str] = {}
