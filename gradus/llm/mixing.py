@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradus.llm.columns import packed, text_of, words
+from gradus.llm.columns import packed, words
 
 #: Fixed values of the mix: weights by the source's place, share of all sizes, most copies.
 WEIGHTS = (3, 1, 2)
@@ -64,43 +64,43 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_p
 
 def _offset(source: Column, seed: int) -> Column:
     """The source's random offset, in units below one copy."""
-    name = F.concat(F.lit(f"{seed}|"), F.when(source.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), source)))
-    return F.conv(F.substring(F.md5(name), 1, 5), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), source)), 1, 5), 16, 10).cast("long")
 
 
-def copies(docs: DataFrame, seed: int = SEED, weights: tuple[int, ...] = WEIGHTS, share_percent: int = SHARE_PERCENT, most: int = MOST) -> DataFrame:
-    """``row`` (all columns of ``docs``), size, source_size, target and copies, for every row.
+def copies(
+    docs: DataFrame, carry: list[str] | None = None, seed: int = SEED, weights: tuple[int, ...] = WEIGHTS, share_percent: int = SHARE_PERCENT, most: int = MOST
+) -> DataFrame:
+    """``row`` (the columns ``carry`` of ``docs``, or all), size, source_size, target and copies, for every row.
 
     Size is the number of words; a null text has none.  Null is a source of its own.  A
     document without words expects copies like any other of its source, they add nothing;
     a source without words is left out.  Rows that repeat a doc_id are documents of their
     own.  An empty table gives no rows.
     """
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    # The source as a key that is never null, so that join and window agree on where rows go.
+    source = F.coalesce(F.concat(F.lit("+"), F.col("row.source").cast("string")), F.lit("-"))
+    kept = [F.col("row")[c].alias(c) for c in (docs.columns if carry is None else carry)]
     sized = packed(docs).select(
-        "row", F.col("row.source").cast("string").alias("source"), F.size(words(F.coalesce(F.col("row.text").cast("string"), F.lit("")))).cast("long").alias("size"),
+        F.struct(*kept).alias("row"), F.col("row.doc_id").alias("id"), source.alias("source"), F.size(words(text)).cast("long").alias("size"),
         F.md5(F.coalesce(F.col("row.doc_id").cast("string"), F.lit(""))).alias("key"),
     ).withColumn("cell", F.substring("key", 1, CELL))
     # The counts read source, size and cell alone: at most one row per cell reaches a task.
-    narrow = docs.select(
-        F.col("source").cast("string").alias("source"), F.size(words(text_of())).cast("long").alias("size"),
-        F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, CELL).alias("cell"),
-    )
-    cells = narrow.groupBy("source", "size", "cell").agg(F.count(F.lit(1)).alias("n"))
+    cells = sized.groupBy("source", "size", "cell").agg(F.count(F.lit(1)).alias("n"))
     by_size = cells.groupBy("source", "size").agg(F.sum("n").alias("size_n"))
-    targets = source_targets(by_size.select("source", (F.col("size") * F.col("size_n")).alias("size")), weights, share_percent, most)
+    sources = by_size.select(F.when(F.col("source") != "-", F.substr("source", F.lit(2))).alias("source"), (F.col("size") * F.col("size_n")).alias("size"))
+    targets = source_targets(sources, weights, share_percent, most)
     lower = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = by_size.select(F.col("source").alias("s_source"), F.col("size").alias("s_size"), F.coalesce(F.sum("size_n").over(lower), F.lit(0)).alias("below"))
+    sizes = by_size.select("source", "size", F.coalesce(F.sum("size_n").over(lower), F.lit(0)).alias("below"))
     earlier = Window.partitionBy("source", "size").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     placed = cells.select("source", "size", "cell", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("inside"))
-    placed = placed.join(sizes, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("size") == F.col("s_size")))
-    named = targets.withColumnRenamed("source", "t_source")
+    named = targets.select(F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("-")).alias("source"), "source_size", "target")
     expected = F.round(F.lit(float(UNIT)) * F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))).cast("long")
-    starts = placed.join(named, F.col("source").eqNullSafe(F.col("t_source"))).select(
-        F.col("source").alias("c_source"), F.col("size").alias("c_size"), F.col("cell").alias("c_cell"),
-        (F.col("below") + F.col("inside")).alias("before"), "source_size", "target", expected.alias("expected"),
+    starts = placed.join(sizes, ["source", "size"]).join(named, "source").select(
+        "source", "size", "cell", (F.col("below") + F.col("inside")).alias("before"), "source_size", "target", expected.alias("expected")
     )
-    found = sized.join(starts, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size")) & (F.col("cell") == F.col("c_cell")))
-    in_cell = Window.partitionBy("source", "size", "cell").orderBy("key", F.col("row.doc_id"))
+    found = sized.join(starts, ["source", "size", "cell"])
+    in_cell = Window.partitionBy("source", "size", "cell").orderBy("key", "id")
     rank = F.col("before") + F.row_number().over(in_cell)
     return found.select("row", "source", "size", "source_size", "target", "expected", rank.alias("rank")).select(
         "row", "size", "source_size", "target", _crossed(_offset(F.col("source"), seed)).alias("copies")

@@ -13,7 +13,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    drawn = mixing.copies(docs)
+    drawn = mixing.copies(docs, carry=["doc_id"])
     return drawn.selectExpr("row.doc_id as doc_id", "size", "source_size", "target", "copies * size as taken", "copies")
 
 

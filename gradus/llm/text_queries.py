@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradus.llm import bpe, katz, minhash
+from gradus.llm import bpe, katz, minhash, repeats
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -21,6 +21,11 @@ def rank_file() -> bytes:
     return Path(public_tokenizers.path(TOKENIZER)).read_bytes()
 
 
+def op2_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(_documents(spark, sf_dir))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(_documents(spark, sf_dir), width=4, percent=80)
 
@@ -36,5 +41,15 @@ def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.scores(_documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
-QUERIES = {"op9_katz": op9_katz, "op6_minhash": op6_minhash, "op8_byte_bpe": op8_byte_bpe}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op2_debruijn": op2_debruijn, "op9_katz": op9_katz, "op6_minhash": op6_minhash, "op8_byte_bpe": op8_byte_bpe}
+_OP2 = r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT id, generate_subscripts(w, 1) AS pos, unnest(w) AS x FROM d),
+g AS (SELECT p.id, pos, sha256(array_to_string(w[pos : pos + 34], ' ')) AS g FROM p JOIN d USING (id) WHERE pos + 34 <= len(w)),
+h AS (SELECT id, pos FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM g) WHERE n > 1),
+c AS (SELECT p.id, pos, x, max(h.pos) OVER (PARTITION BY p.id ORDER BY p.pos) AS last FROM p LEFT JOIN h USING (id, pos)),
+k AS (SELECT id, count(*) AS n_kept, string_agg(x, ' ' ORDER BY pos) AS kept FROM c WHERE last IS NULL OR pos > last + 34 GROUP BY id)
+SELECT doc_id, len(w)::bigint AS n_words, (len(w) - coalesce(n_kept, 0))::bigint AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (id)
+"""
+ORACLES: dict[str, str] = {"op2_debruijn": _OP2}
