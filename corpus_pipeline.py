@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gradus.llm import exact_dedup, mixing, quality_rules
+from gradus.llm import bpe, exact_dedup, minhash, mixing, quality_rules
+from gradus.llm.text_queries import rank_file
 from gradus.sources.tables import materialise
 
 
@@ -18,12 +21,25 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    return minhash.deduplicate(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the source targets take them."""
     return mixing.mix(docs)
 
 
-STAGES = [("quality rules", rules), ("exact dedup", exact), ("mixing", mixed)]
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, token ids (little-endian, 32 bits) and their number, and digests of the ids and of what they decode to."""
+    coded = bpe.round_trip(docs.select("doc_id", "text"), rank_file(), public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+STAGES = [("quality rules", rules), ("exact dedup", exact), ("MinHash near-dedup", near), ("mixing", mixed), ("byte-level BPE", encoded)]
 
 #: Encoding and connected components are beyond SQL; the stages are tested against plain Python.
 ORACLE_SQL = None

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradus.llm import bpe, katz, minhash, repeats
+from gradus.llm import bpe, katz, line_dedup, minhash, nbsvm, repeats, token_files
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -21,6 +21,21 @@ def rank_file() -> bytes:
     return Path(public_tokenizers.path(TOKENIZER)).read_bytes()
 
 
+def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_files.scan(token_files.blocks_of_documents(_documents(spark, sf_dir)))
+    return counted.select(F.col("name").alias("doc_id"), "n_tokens")
+
+
+def op5_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.remove_repeated_lines(_documents(spark, sf_dir))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op7_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return nbsvm.scores(_documents(spark, sf_dir), labels, F.crc32(F.col("doc_id").cast("string")) % 3 == 1)
+
+
 def op2_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeats(_documents(spark, sf_dir))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -41,7 +56,10 @@ def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.scores(_documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
-QUERIES = {"op2_debruijn": op2_debruijn, "op9_katz": op9_katz, "op6_minhash": op6_minhash, "op8_byte_bpe": op8_byte_bpe}
+QUERIES = {
+    "op1_separator_scan": op1_separator_scan, "op2_debruijn": op2_debruijn, "op5_line_windows": op5_line_windows, "op6_minhash": op6_minhash,
+    "op7_nbsvm": op7_nbsvm, "op8_byte_bpe": op8_byte_bpe, "op9_katz": op9_katz,
+}
 _OP2 = r"""
 WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 p AS (SELECT id, generate_subscripts(w, 1) AS pos, unnest(w) AS x FROM d),
@@ -52,4 +70,16 @@ k AS (SELECT id, count(*) AS n_kept, string_agg(x, ' ' ORDER BY pos) AS kept FRO
 SELECT doc_id, len(w)::bigint AS n_words, (len(w) - coalesce(n_kept, 0))::bigint AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (id)
 """
-ORACLES: dict[str, str] = {"op2_debruijn": _OP2}
+_OP1 = r"SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint AS n_tokens FROM documents"
+
+_OP5 = r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+p AS (SELECT id, doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS x FROM d),
+w AS (SELECT id, doc_id, pos, x || chr(10) || lead(x, 1) OVER o || chr(10) || lead(x, 2) OVER o AS g FROM p WINDOW o AS (PARTITION BY id ORDER BY pos)),
+r AS (SELECT id, pos, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS LAST, pos) AS n FROM w WHERE regexp_matches(g, '[^\x20\x09-\x0D]')),
+c AS (SELECT p.id, p.pos, x, max(r.pos) OVER (PARTITION BY p.id ORDER BY p.pos) AS last FROM p LEFT JOIN (FROM r WHERE n > 1) r USING (id, pos)),
+k AS (SELECT id, count(*) AS n_kept, string_agg(x, chr(10) ORDER BY pos) AS kept FROM c WHERE last IS NULL OR pos > last + 2 GROUP BY id)
+SELECT doc_id, len(l)::bigint AS n_lines, (len(l) - coalesce(n_kept, 0))::bigint AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (id)
+"""
+ORACLES: dict[str, str] = {"op1_separator_scan": _OP1, "op2_debruijn": _OP2, "op5_line_windows": _OP5}
