@@ -162,7 +162,7 @@ def _compacted(paths: DataFrame) -> DataFrame:
 def repeated(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
     """k, spans, singles: what is repeated in each document that has any of it.
 
-    ``spans`` are ranges of windows with the names of the paths in them put together, ``singles``
+    ``spans`` are ranges of windows with the least and greatest name of the paths in them, ``singles``
     windows with their hash.  A span is all windows from ``a`` to before ``b``.
     """
     read = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(_key().alias("k"), "text")
@@ -182,11 +182,11 @@ def repeated(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame
     whole = (
         found.select("path", "k", F.expr(_LO).alias("lo"), F.expr(_N).alias("n")).join(chains, "path")
         .groupBy("k", "chain", (F.col("lo") - F.col("offset")).alias("start"))
-        .agg(F.min("lo").alias("a"), F.max(F.col("lo") + F.col("n")).alias("b"), F.sum("n").alias("n"), F.bit_xor("path").alias("x"))
-        .select("k", F.struct("a", "b", "x").alias("span"))
+        .agg(F.min("lo").alias("a"), F.max(F.col("lo") + F.col("n")).alias("b"), F.min("path").alias("x"), F.max("path").alias("y"))
+        .select("k", F.struct("a", "b", "x", "y").alias("span"))
     )
     both = whole.select("k", "span", F.lit(None).cast("struct<p: bigint, w: bigint>").alias("single")).unionByName(
-        singles.select("k", F.lit(None).cast("struct<a: bigint, b: bigint, x: bigint>").alias("span"), "single")
+        singles.select("k", F.lit(None).cast("struct<a: bigint, b: bigint, x: bigint, y: bigint>").alias("span"), "single")
     )
     return both.groupBy("k").agg(F.collect_list("span").alias("spans"), F.collect_list("single").alias("singles"))
 
@@ -219,7 +219,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> Dat
                 out = [np.zeros(0, np.int64)]
                 for s in own:
                     x, y = np.searchsorted(lo, s["a"]), np.searchsorted(ends, s["b"]) + 1
-                    if y <= len(lo) and lo[x] == s["a"] and ends[y - 1] == s["b"] and np.bitwise_xor.reduce(name[x:y]) == s["x"]:
+                    if x < y <= len(lo) and lo[x] == s["a"] and ends[y - 1] == s["b"] and name[x:y].min() == s["x"] and name[x:y].max() == s["y"]:
                         out.append(np.arange(s["a"], s["b"]))
                 if one:
                     at = np.array([s["p"] for s in one])
