@@ -235,9 +235,12 @@ def dataset_summary(gold: DataFrame, target: str, features: list[str]) -> DataFr
 
 
 def score_histogram(df: DataFrame, score: str, y: str, bins: int = 29, tails: tuple[float, float] = (0.005, 0.995)) -> DataFrame:
-    """Density of the score per outcome, between two tail percentiles; the last bin is closed."""
-    cell = quantiles(df, [score], list(tails))[None, score]
-    low, high = cell.values[tails[0]], cell.values[tails[1]]
+    """Density of the score per outcome, between two tail percentiles; the last bin is closed.
+
+    Without a score there are no bins and no rows.
+    """
+    cell = quantiles(df, [score], list(tails)).get((None, score))
+    low, high = (cell.values[t] for t in tails) if cell is not None and cell.n else (0.0, 0.0)
     width = (high - low) / bins
     s = F.col(score)
     index = F.least(F.floor((s - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int") if width > 0 else F.lit(0)

@@ -118,12 +118,19 @@ def tree_vector(df: DataFrame, features: list[str]) -> DataFrame:
     )
 
 
+def rounds_to_keep(losses: list[float], patience: int) -> int | None:
+    """Round (from 1) of the least loss, once ``patience`` rounds have passed without a lower one; None before."""
+    best = min(range(len(losses)), key=losses.__getitem__)
+    return best + 1 if len(losses) - 1 - best >= patience else None
+
+
 def fit_challenger(
     train: DataFrame,
     valid: DataFrame,
     features: list[str],
     target: str,
     max_iter: int = 400,
+    patience: int = 40,
     max_depth: int = 4,
     step: float = 0.05,
     subsample: float = 0.9,
@@ -131,16 +138,34 @@ def fit_challenger(
     min_instances: int = 20,
     seed: int = 42,
 ) -> Challenger:
-    """Boosted trees with early stopping on the validation rows."""
-    marked = train.select(*features, target).withColumn("_valid", F.lit(False)).unionByName(
-        valid.select(*features, target).withColumn("_valid", F.lit(True))
-    )
-    vectors = tree_vector(marked, features).select("_x", F.col(target).cast("double").alias("label"), "_valid")
-    gbt = GBTClassifier(
-        featuresCol="_x", labelCol="label", maxIter=max_iter, maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
-        featureSubsetStrategy=column_sample, minInstancesPerNode=min_instances, validationIndicatorCol="_valid", seed=seed,
-    )
-    return Challenger(gbt.fit(materialise(vectors)), list(features))
+    """Boosted trees; the round of the least validation loss within ``patience`` is kept.
+
+    Spark's own early stop ends at the first round that gains too little.  Here rounds are
+    doubled until the loss on ``valid``, read after every round, has not improved for
+    ``patience`` of them (or ``max_iter`` is reached), and the best round is fitted again: the
+    trees before it come out the same, as the seed does.
+    """
+    vectors = {
+        name: materialise(tree_vector(df.select(*features, target), features).select("_x", F.col(target).cast("double").alias("label")))
+        for name, df in (("train", train), ("valid", valid))
+    }
+
+    def boosted(rounds: int) -> GBTClassificationModel:
+        return GBTClassifier(
+            featuresCol="_x", labelCol="label", maxIter=rounds, maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
+            featureSubsetStrategy=column_sample, minInstancesPerNode=min_instances, seed=seed,
+        ).fit(vectors["train"])
+
+    rounds = min(max_iter, max(1, 2 * patience))
+    while True:
+        model = boosted(rounds)
+        losses = model.evaluateEachIteration(vectors["valid"])
+        best = rounds_to_keep(losses, patience)
+        if best is not None or rounds == max_iter:
+            best = best or 1 + min(range(rounds), key=losses.__getitem__)
+            break
+        rounds = min(max_iter, 2 * rounds)
+    return Challenger(model if best == rounds else boosted(best), list(features))
 
 
 def permutation_importance(
@@ -154,18 +179,24 @@ def permutation_importance(
 ) -> DataFrame:
     """AUC lost when one feature is replaced by that of another row.
 
-    The donor row is the next one in a hashed order inside a hashed bucket (the last takes
-    the first), one shuffle for all features.  ``raw_probability(df, out)`` scores every
-    variant in the same pass.
+    The donor row is the next one in a hashed order of all rows, the last takes the first.
+    Ranges of the hash split the work, and the first row of each range serves the range before,
+    so the numbers don't depend on ``rows_per_bucket``.  ``raw_probability(df, out)`` scores
+    every variant in the same pass.
     """
     n = df.count()
     buckets = max(1, -(-n // rows_per_bucket))
     key = md5_int(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(seed))), 15)
-    placed = df.select(id_col, target, *features).withColumns({"_key": key}).withColumn("_bucket", F.col("_key") % buckets)
+    placed = df.select(id_col, target, *features).withColumns({"_key": key}).withColumn("_bucket", F.expr(f"_key div {-(-(16**15) // buckets)}"))
     w = Window.partitionBy("_bucket").orderBy("_key", id_col)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     row = F.struct(*features)
-    donors = placed.withColumn("_donor", F.coalesce(F.lead(row).over(w), F.first(row).over(whole)))
+    # The first row of each range: one row per range, and the first of all after the last.
+    firsts = placed.groupBy("_bucket").agg(F.min(F.struct("_key", F.col(id_col).alias("_id"), row.alias("row"))).alias("first"))
+    ring = Window.partitionBy(F.lit(0)).orderBy("_bucket")
+    around = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    served = firsts.select(F.col("_bucket").alias("_s_bucket"), F.coalesce(F.lead("first.row").over(ring), F.first("first.row").over(around)).alias("_after"))
+    donors = placed.withColumn("_lead", F.lead(row).over(w)).join(served, F.col("_bucket") == F.col("_s_bucket"))
+    donors = donors.withColumn("_donor", F.coalesce("_lead", "_after"))
     cells = {"(none)": [F.col(f) for f in features]}
     for f in features:
         cells[f] = [F.col(f"_donor.{f}") if g == f else F.col(g) for g in features]

@@ -21,7 +21,6 @@ from gradus.functions.columns import literal, number, quoted
 from gradus.sources.tables import materialise
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 2_000
 CUT_SKETCH = 8_192
 BRACKET_SKETCH = 2_048
 MERGE_WIDTH = 256
@@ -74,29 +73,35 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<s>``: inclusive running sum of each column in ``key`` order, within ``by``.
 
-    ``key`` must be numeric; rows equal on ``key`` are ordered by ``ties``.  A table of at most
-    ``rows_per_bucket`` rows uses a plain window.  Above that, rows are bucketed by
-    approximate cut points of the key; each (by, bucket) is summed, the sums of the lower
-    buckets become offsets, and the window runs inside a bucket only.  A hot ``by`` value is
-    split over many buckets, because the cut points come from all rows.
+    ``key`` must be numeric; rows equal on ``key`` are ordered by ``ties``.  A NULL key comes
+    first and a NaN last, and no row is dropped.  Rows are bucketed by approximate cut points of
+    the key, as many as it takes for ``rows_per_bucket``; each (by, bucket) is summed, the sums
+    of the lower buckets become offsets, and the window runs inside a bucket only.  A hot
+    ``by`` value is split over many buckets, because the cut points come from all rows.  How
+    many buckets there are changes where the work is done, not the result; of a single one
+    all offsets are zero, and that join is left out.
     """
     by = by or []
     order = [F.col(key), *[F.col(t) for t in ties or []]]
     n_rows = df.count() if n_rows is None else n_rows
-    buckets = min(MAX_BUCKETS, math.ceil(n_rows / rows_per_bucket)) if n_rows else 1
-    if buckets <= 1:
-        # A checked, bounded table: one window partition per group is safe.
+    buckets = max(1, math.ceil(n_rows / rows_per_bucket))
+    cuts: list[float] = []
+    position = F.col(key).cast("double")
+    present = F.when(~F.isnan(position), position)
+    if buckets > 1:
+        points = [i / buckets for i in range(1, buckets)]
+        cuts = sketched_quantiles(df.select(present.alias("k")), ["k"], points, CUT_SKETCH).first()["q_0"] or []
+    cuts = sorted({c for c in cuts if math.isfinite(c)})
+    if not cuts:
         w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({f"cum_{s}": F.sum(s).over(w) for s in sums})
 
-    points = [i / buckets for i in range(1, buckets)]
-    cuts = sketched_quantiles(df.select(F.col(key).cast("double").alias("k")), ["k"], points, CUT_SKETCH).first()["q_0"]
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    placed = Bucketizer(splits=splits, inputCol="_position", outputCol="_bucket").transform(
-        df.withColumn("_position", F.col(key).cast("double"))
-    ).drop("_position")
+    splits = [-math.inf, *cuts, math.inf]
+    found = Bucketizer(splits=splits, inputCol="_position", outputCol="_found").transform(df.withColumn("_position", F.coalesce(present, F.lit(0.0))))
+    bucket = F.when(position.isNull(), F.lit(-1.0)).when(F.isnan(position), F.lit(float(len(splits)))).otherwise(F.col("_found"))
+    placed = found.withColumn("_bucket", bucket).drop("_position", "_found")
     totals = placed.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    # At most one row per bucket and group here, so this window is bounded by MAX_BUCKETS.
+    # One row per bucket and group: what a task of this window holds is 1 / rows_per_bucket of the rows.
     below = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *[F.col(b).alias(f"_b_{b}") for b in by],
@@ -162,7 +167,9 @@ def quantiles(
     ``linear`` interpolates as numpy does; ``lower`` returns a value of the data.  Two scans
     and no sort of the data: the first brackets each quantile with a sketch, the second counts what lies outside the brackets and keeps only the distinct values inside
     them.  If a bracket turns out not to hold its rank, that column is counted again with an
-    open bracket, so the answer never depends on the approximation.
+    open bracket, so the answer never depends on the approximation.  Cut points and quantiles
+    are model-sized, so ``by`` is for a few groups (splits, bands): more than ``max_groups`` are
+    refused; medians of many groups are ``grouped_median``'s.
     """
     group = [F.col(by).alias("_group")] if by else [F.lit(None).cast("string").alias("_group")]
     base = df.select(*group, *[number(c).alias(c) for c in columns])

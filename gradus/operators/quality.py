@@ -53,9 +53,9 @@ def _typed(column: str, dtype: str) -> Column:
 
 
 def unparseable(column: str, dtype: str) -> Column:
-    """Present and not empty, but no value of the declared type."""
+    """Present and not empty, but no value of the declared type; text "NaN" is lost too."""
     raw = F.trim(F.col(column).cast("string"))
-    return raw.isNotNull() & (raw != "") & raw.try_cast(dtype).isNull()
+    return raw.isNotNull() & (raw != "") & _typed(column, dtype).isNull()
 
 
 def cast_columns(df: DataFrame, schema: dict[str, str] | None = None) -> DataFrame:
@@ -217,13 +217,13 @@ def gold_expectations(
     per_id = gold.groupBy(id_col).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(target).isNull()).alias("null_target"),
         F.sum(F.col(target).cast("bigint")).alias("bads"), F.count(target).alias("known"),
-        F.bit_or(F.when(F.col("split") == "train", 1).when(F.col("split") == "valid", 2).when(F.col("split") == "test", 4).otherwise(8)).alias("splits"),
     )
-    facts = per_id.agg(
+    # Labels are counted as they are, whatever they are called; NULL is none.
+    labels = gold.groupBy("split").agg(F.count(F.lit(1)).alias("n")).agg(F.count("split").alias("splits"))
+    facts = with_row(per_id.agg(
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("ids"), F.sum("null_target").alias("null_target"),
-        F.bit_count(F.bit_or("splits")).cast("bigint").alias("splits"),
-        (F.sum("bads").cast("double") / F.sum("known").cast("double")).alias("rate"),
-    )
+        F.try_divide(F.sum("bads").cast("double"), F.sum("known").cast("double")).alias("rate"),
+    ), labels)
     low, high = rate_range
     checks = [
         ("unique_ids", "cast(total - ids as double)", "total = ids"),

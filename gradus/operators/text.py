@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,13 +73,13 @@ def numbered(idf: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Categoriser:
-    """Fitted categoriser: vocabulary, optional behaviour scaler, multinomial model."""
+    """Fitted categoriser: vocabulary, mean and population deviation of behaviour if used, multinomial model."""
 
     vocabulary: DataFrame
     size: int
     classes: list[str]
     model: object
-    scaler: object | None
+    scaler: dict[str, tuple[float, float]] | None
 
     def vectors(self, rows: DataFrame) -> DataFrame:
         """Attach the feature vector; text vectors are built once per distinct description."""
@@ -89,7 +89,7 @@ class Categoriser:
         scored = self.model.transform(self.vectors(rows))
         names = F.array(*[F.lit(c) for c in self.classes])
         return scored.withColumn(out, F.get(names, F.col("prediction").cast("int"))).drop(
-            "_x", "_text", "_behaviour", "_scaled", "rawPrediction", "probability", "prediction"
+            "_x", "_text", "rawPrediction", "probability", "prediction"
         )
 
 
@@ -108,11 +108,14 @@ def _text_vectors(descriptions: DataFrame, vocabulary: DataFrame, size: int) ->
 
 def _attach_vectors(rows: DataFrame, vocabulary: DataFrame, size: int, scaler) -> DataFrame:
     texts = _text_vectors(description_counts(rows), vocabulary, size)
-    joined = rows.join(texts, "description")
+    # NULL is a description too: such a row keeps its place, with an empty vector.
+    named = texts.withColumnRenamed("description", "_described")
+    joined = rows.join(named, F.col("description").eqNullSafe(F.col("_described"))).drop("_described")
     if scaler is None:
         return joined.withColumnRenamed("_text", "_x")
-    behaviour = VectorAssembler(inputCols=BEHAVIOUR, outputCol="_behaviour").transform(joined)
-    return VectorAssembler(inputCols=["_text", "_scaled"], outputCol="_x").transform(scaler.transform(behaviour))
+    scaled = [((F.col(c) - F.lit(mean)) * F.lit(1.0 / deviation if deviation else 0.0)).alias(f"_s_{c}") for c, (mean, deviation) in scaler.items()]
+    wide = joined.select("*", *scaled)
+    return VectorAssembler(inputCols=["_text", *[f"_s_{c}" for c in scaler]], outputCol="_x").transform(wide).drop(*[f"_s_{c}" for c in scaler])
 
 
 def fit_categoriser(train: DataFrame, behaviour: bool, c: float = 5.0, max_iter: int = 2000, min_df: int = 2) -> Categoriser:
@@ -130,8 +133,8 @@ def fit_categoriser(train: DataFrame, behaviour: bool, c: float = 5.0, max_iter:
     scaler = None
     if behaviour:
         weighted = train.withColumn("_weight", F.lit(1.0))
-        assembled = VectorAssembler(inputCols=BEHAVIOUR, outputCol="_behaviour").transform(train.select(*BEHAVIOUR))
-        scaler = StandardScaler(inputCol="_behaviour", outputCol="_scaled", withMean=True, withStd=True).fit(assembled)
+        row = train.agg(*[f(c).alias(f"{c}_{n}") for c in BEHAVIOUR for n, f in (("mean", F.avg), ("deviation", F.stddev_pop))]).first()
+        scaler = {c: (row[f"{c}_mean"], row[f"{c}_deviation"]) for c in BEHAVIOUR}
     else:
         weighted = train.groupBy("description", "true_category").agg(F.count(F.lit(1)).cast("double").alias("_weight"))
     ready = materialise(_attach_vectors(weighted, vocabulary, size, scaler).select("_x", label.alias("_label"), "_weight"))

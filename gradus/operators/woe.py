@@ -243,10 +243,3 @@ def information_values(table: DataFrame) -> DataFrame:
 def top_information_values(table: DataFrame, n: int = 14) -> DataFrame:
     return information_values(table).limit(n)
 
-
-def combine_tables(tables: list[DataFrame]) -> DataFrame:
-    """Bin tables of separate fits as one long table."""
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out

@@ -7,9 +7,9 @@ import shutil
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Raw header -> SQL-safe column name.
 RAW_COLUMN_NAMES = {
@@ -31,16 +31,17 @@ RAW_COLUMN_NAMES = {
 _own_staging_dir: str | None = None
 
 
-def staging_dir(spark: SparkSession) -> str | None:
+def staging_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Where that is unset, a cluster's tables go beside its warehouse, which is shared as well, and
+    a local session's to a folder of its own that goes with it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
-        return None
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     global _own_staging_dir
     if _own_staging_dir is None:
         _own_staging_dir = tempfile.mkdtemp(prefix="gradus-staging-")
@@ -52,14 +53,10 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write a DataFrame that several jobs will read to the shared folder and read it back.
 
     Survives lost executors (unlike a cache or a local checkpoint), is computed once, and
-    keeps column pruning for the readers.  Without a shared folder the plan is returned
-    as it is: slower, but right.
+    keeps column pruning for the readers.
     """
     spark = df.sparkSession
-    folder = staging_dir(spark)
-    if folder is None:
-        return df
-    path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    path = f"{staging_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -122,16 +119,27 @@ def take_split(gold: DataFrame, name: str) -> DataFrame:
     return gold.filter(F.col("split") == F.lit(name))
 
 
+def _append(df: DataFrame, dest: str, fmt: str) -> None:
+    """Append to a table whose schema is fixed by its first rows; other columns or types are refused."""
+    try:
+        stored = read_table(df.sparkSession, dest, fmt).schema
+    except AnalysisException:  # no table there yet
+        stored = None
+    if stored is not None:
+        have, want = ({f.name: f.dataType.simpleString() for f in schema.fields} for schema in (df.schema, stored))
+        if have != want:
+            raise ValueError(f"{dest} holds {want}, not {have}")
+    df.write.mode("append").format(fmt).save(dest)
+
+
 def append_decisions(decisions: DataFrame, dest: str, model_version: str, fmt: str = "parquet") -> None:
-    """Append scored rows, stamped; the stored schema is fixed, so no merge is allowed."""
-    stamped = decisions.withColumns({"scored_at": F.current_timestamp(), "model_version": F.lit(model_version)})
-    stamped.write.mode("append").format(fmt).option("mergeSchema", "false").save(dest)
+    """Append scored rows, stamped; the stored schema is fixed."""
+    _append(decisions.withColumns({"scored_at": F.current_timestamp(), "model_version": F.lit(model_version)}), dest, fmt)
 
 
 def append_monitoring_row(report: DataFrame, dest: str, model_version: str, fmt: str = "parquet") -> None:
     """Append the one-row monitoring record built by ``operators.drift.monitoring_record``."""
-    stamped = report.withColumns({"checked_at": F.current_timestamp(), "model_version": F.lit(model_version)})
-    stamped.write.mode("append").format(fmt).option("mergeSchema", "false").save(dest)
+    _append(report.withColumns({"checked_at": F.current_timestamp(), "model_version": F.lit(model_version)}), dest, fmt)
 
 
 def write_report(df: DataFrame, dest: str, fmt: str = "csv") -> None:
@@ -159,5 +167,3 @@ def ledger_sample(ledger: DataFrame, n: int = 500) -> DataFrame:
     """First ``n`` ledger rows in (applicant, day, transaction) order, a report sample."""
     return ledger.orderBy("applicant_id", "day", "transaction_id").limit(n)
 
-
-ALL_TEXT_BRONZE = T.StructType([T.StructField(c, T.StringType()) for c in ["applicant_id", *RAW_COLUMN_NAMES.values()]])
