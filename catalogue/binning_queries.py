@@ -77,9 +77,8 @@ def d16_degenerate(spark, sf):
 
 
 def d17_corr_pairs(spark, sf):
-    train = _train(spark, sf)
-    wide = woe.woe_transform(train, _fixed(train), FIXED).select(*[F.col(f"woe_{f}").alias(f) for f in FIXED])
-    return sel.correlation_pairs(wide, FIXED).withColumns(r6("corr"))
+    wide = woe.woe_transform(_train(spark, sf), _coarse(spark, sf), MODEL_FEATURES).select(*[F.col(f"woe_{f}").alias(f) for f in MODEL_FEATURES])
+    return sel.correlation_pairs(wide, MODEL_FEATURES).withColumns(r6("corr"))
 
 
 def d18_selection(spark, sf):
@@ -106,7 +105,14 @@ _FIXED_WIDE = {
     "wide": "SELECT applicant_id, " + ", ".join(f"max(woe) FILTER (feature = '{f}') AS {f}" for f in FIXED)
     + " FROM placed JOIN woe USING (feature, bin_index) GROUP BY 1",
 }
-_PAIRS = [(a, b) for i, a in enumerate(FIXED) for b in FIXED[i + 1 :]]
+_COARSE_WIDE = {
+    **bins_over("edges"),
+    "placed": """SELECT applicant_id, l.feature, CASE WHEN value IS NULL THEN -1 ELSE len(list_filter(edges, lambda e: e < value)) END AS bin_index
+        FROM train_long l JOIN edges USING (feature)""",
+    "wide": "SELECT applicant_id, " + ", ".join(f"max(woe) FILTER (feature = '{f}') AS {f}" for f in MODEL_FEATURES)
+    + " FROM placed JOIN woe USING (feature, bin_index) GROUP BY 1",
+}
+_PAIRS = [(a, b) for i, a in enumerate(MODEL_FEATURES) for b in MODEL_FEATURES[i + 1 :]]
 
 # The merge rules as a recursion over lists: one merge per step, small bins first, then the
 # pair that breaks the trend most.
@@ -156,7 +162,8 @@ ORACLES = {
     "d15_strength": _COARSE + f"""SELECT feature, CASE WHEN iv < 0.02 THEN 'unpredictive' WHEN iv < 0.1 THEN 'weak' WHEN iv < 0.3 THEN 'medium'
         WHEN iv < 0.5 THEN 'strong' ELSE 'suspiciously strong - check for leakage' END AS strength FROM ({_IV})""",
     "d16_degenerate": _COARSE + "SELECT feature, count(*) FILTER (bin_index <> -1) AS finite_bins FROM woe GROUP BY 1 HAVING count(*) FILTER (bin_index <> -1) < 2",
-    "d17_corr_pairs": with_("fixed_edges", "train_long", extra=_FIXED_WIDE)
-    + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM wide" for a, b in _PAIRS),
+    "d17_corr_pairs": with_("train_long", "edges", extra=_COARSE_WIDE) + "SELECT unnest([" + ", ".join(
+        f"{{'a': '{a}', 'b': '{b}', 'corr': CASE WHEN stddev_pop({a}) > 1e-9 AND stddev_pop({b}) > 1e-9 THEN round(corr({a}, {b}), 6) END}}" for a, b in _PAIRS
+    ) + "], recursive := true) FROM wide",
     "f14_top_iv": _COARSE + f"SELECT feature, round(iv, 6) AS information_value FROM ({_IV}) ORDER BY iv DESC, feature LIMIT 14",
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,10 @@ from gradus.operators.woe import WoeBins, information_values, woe_transform
 
 MIN_IV = 0.02
 MAX_CORRELATION = 0.85
+# Reasons as they are reported.
 DEGENERATE = "single populated bin - no separation among observed values"
 BELOW_FLOOR = "IV below floor"
+CORRELATED = "correlated {:.2f} with {}"
 
 
 def iv_floor(table: DataFrame, min_iv: float = MIN_IV) -> DataFrame:
@@ -31,45 +35,42 @@ def degenerate_features(table: DataFrame) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair, from plain sums in one pass without a shuffle of
-    rows.  A constant column has no correlation (NULL)."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    sums = [F.count(F.lit(1)).cast("double").alias("n")]
-    sums += [F.sum(c).alias(f"s_{i}") for i, c in enumerate(columns)]
-    sums += [F.sum(F.col(c) * F.col(c)).alias(f"q_{i}") for i, c in enumerate(columns)]
-    index = {c: i for i, c in enumerate(columns)}
-    sums += [F.sum(F.col(a) * F.col(b)).alias(f"x_{index[a]}_{index[b]}") for a, b in pairs]
-    one = df.agg(*sums)
-    n = F.col("n")
-
-    def spread(i: int):
-        # Relative guard: rounding alone must not give a constant column a variance.
-        v = n * F.col(f"q_{i}") - F.col(f"s_{i}") * F.col(f"s_{i}")
-        return F.when(v > F.lit(1e-12) * n * F.col(f"q_{i}"), v)
-
-    def corr(a: str, b: str):
-        i, j = index[a], index[b]
-        return F.try_divide(n * F.col(f"x_{i}_{j}") - F.col(f"s_{i}") * F.col(f"s_{j}"), F.sqrt(spread(i)) * F.sqrt(spread(j)))
-
-    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), corr(a, b).alias("corr")) for a, b in pairs])
-    return one.select(F.inline(rows)) if pairs else df.sparkSession.createDataFrame([], "a string, b string, corr double")
+    """Pearson correlation of every pair, in one pass without a shuffle of rows.
+
+    The sums of products are Spark's, merged in a tree; features x features numbers reach the
+    driver.  A constant column has no correlation (NULL).  Columns must not be NULL.
+    """
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
+    schema = "a string, b string, corr double"
+    if not pairs or df.isEmpty():
+        return df.sparkSession.createDataFrame([(columns[i], columns[j], None) for i, j in pairs], schema)
+    wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    vectors = VectorAssembler(inputCols=wide.columns, outputCol="_x").transform(wide)
+    matrix = Correlation.corr(vectors, "_x").first()[0].toArray()
+    rows = [(columns[i], columns[j], None if math.isnan(matrix[i, j]) else float(matrix[i, j])) for i, j in pairs]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def prune_correlated(pairs: DataFrame, ranking: list[str], threshold: float = MAX_CORRELATION) -> tuple[list[str], dict[str, str]]:
-    """Walk features by strength; drop one that correlates with an earlier survivor.
+    """Of features that correlate, those that no stronger survivor outranks, and why the others go.
 
-    ``pairs`` is a features x features table; only that reaches the driver.
+    Each feature has its stronger rivals from the pair table, in rank order; the first rival
+    that itself stays is the reason.  ``pairs`` is a features x features table; only that
+    reaches the driver.
     """
-    strength = {frozenset((r["a"], r["b"])): abs(r["corr"]) for r in pairs.collect() if r["corr"] is not None and not math.isnan(r["corr"])}
-    kept: list[str] = []
+    rank = {f: i for i, f in enumerate(ranking)}
+    rivals: dict[str, list[tuple[int, float]]] = {f: [] for f in ranking}
+    for row in pairs.where(F.abs("corr") >= threshold).collect():
+        strong, weak = sorted((row["a"], row["b"]), key=lambda f: rank.get(f, len(rank)))
+        if weak in rank:
+            rivals[weak].append((rank[strong], abs(row["corr"])))
     dropped: dict[str, str] = {}
-    for feature in ranking:
-        clash = [k for k in kept if strength.get(frozenset((feature, k)), 0.0) >= threshold]
-        if clash:
-            dropped[feature] = f"correlated {strength[frozenset((feature, clash[0]))]:.2f} with {clash[0]}"
-        else:
-            kept.append(feature)
-    return kept, dropped
+    for weak, met in rivals.items():
+        standing = [(i, r) for i, r in sorted(met) if ranking[i] not in dropped]
+        if standing:
+            i, r = standing[0]
+            dropped[weak] = CORRELATED.format(r, ranking[i])
+    return [f for f in ranking if f not in dropped], dropped
 
 
 @dataclass(frozen=True)
