@@ -11,7 +11,7 @@ HEADLINE = (
     "d12_iv_rank", "d17_corr_pairs", "d18_selection", "e01_logistic", "e03_isotonic", "e07_score_scaling", "e10_decision_fixed_model",
     "f03_evaluate", "f04_calibration", "f05_gains", "f06_approval", "f08_business", "f11_segments", "f13_hist", "g03_contributions",
     "g04_reason_codes", "g07_reconstruct", "h01_psi", "h04_drift", "h08_expectations", "i03_i05_behaviour", "i06_holdout", "i07_char_ngrams",
-    "i13_i18_cashflow", "i20_invariants",
+    "i13_i18_cashflow", "i20_invariants", "g08_permutation_importance", "h06_control_and_treatment", "i08_text_clf", "i12_categorise",
 )
 
 

@@ -10,7 +10,7 @@ from catalogue.inputs import gold, r6, silver, staged_silver
 from gradus.operators import features as feat
 from gradus.operators import quality as q
 from gradus.sources.retail import applications_raw
-from gradus.sources.tables import RAW_COLUMN_NAMES, land_raw, landed_check
+from gradus.sources.tables import RAW_COLUMN_NAMES, land_raw, landed_check, materialise
 
 ID, TARGET = "applicant_id", feat.TARGET
 
@@ -127,12 +127,18 @@ def c12_replay(spark, sf):
 
 
 def c13_parity(spark, sf):
+    """Written gold next to a replay from written constants; two slips in gold have to be found."""
     s = staged_silver(spark, sf)
-    constants = feat.fit_constants(s)
-    built = feat.build_gold(s, constants, SEED, "md5")
+    fitted = feat.fit_constants(s)
+    constants = feat.ImputationConstants.from_frame(materialise(fitted.to_frame(spark)))
+    slips = {
+        "age": F.when(F.col(ID) % 1000 == 7, F.col("age") + 1).otherwise(F.col("age")),
+        "debt_ratio": F.when(F.col(ID) % 1000 != 65, F.col("debt_ratio")),
+    }
+    stored = materialise(feat.build_gold(s, fitted, SEED, "md5").withColumns(slips))
     replayed = feat.derive_features(_applications_only(s), constants)
     # What the form cannot know: the flags, and the amount that the silver layer set apart.
-    return feat.parity(built, replayed, ID, feat.MODEL_FEATURES, exempt=(*feat.CLEAN_FLAGS, "monthly_debt_amount"))
+    return feat.parity(stored, replayed, ID, feat.MODEL_FEATURES, exempt=(*feat.CLEAN_FLAGS, "monthly_debt_amount"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -150,9 +156,12 @@ _SILVER_COLUMNS = [
     "applicant_id", TARGET, *NUMERIC, "flag_delinquency_sentinel", "flag_debt_ratio_is_amount", "monthly_debt_amount",
     "flag_monthly_income_missing", "flag_dependents_missing",
 ]
+_SLIPS = {"age": "CASE WHEN applicant_id % 1000 = 7 THEN age + 1 ELSE age END", "debt_ratio": "CASE WHEN applicant_id % 1000 <> 65 THEN debt_ratio END"}
 _PARITY = " UNION ALL ".join(
-    f"""SELECT '{f}' AS feature, count(*) AS compared, cast(0 AS bigint) AS null_mismatches, cast(0 AS double) AS max_abs_difference,
-        true AS within_tolerance FROM gold"""
+    f"""SELECT '{f}' AS feature, count(*) AS compared, count(*) FILTER ((a IS NULL) <> (b IS NULL)) AS null_mismatches,
+        coalesce(max(abs(a - b)), 0)::double AS max_abs_difference,
+        count(*) FILTER ((a IS NULL) <> (b IS NULL)) = 0 AND coalesce(max(abs(a - b)), 0) <= 1e-6 AS within_tolerance
+        FROM (SELECT cast({_SLIPS.get(f, f)} AS double) AS a, cast({f} AS double) AS b FROM gold)"""
     for f in feat.MODEL_FEATURES if f not in (*feat.CLEAN_FLAGS, "monthly_debt_amount")
 )
 
