@@ -9,8 +9,8 @@ probabilities and weights are a bounded table that every task gets.  All other c
 stay in tables dealt out by key: one row per bucket, with sorted keys and counts.
 
 Texts go to the tables as postings: per chunk of documents and bucket, the keys that occur,
-each once, with the documents they occur in.  A bucket looks its keys up and answers with
-sums per document.  Pairs of at least ``FREQUENT`` of all tokens travel with the histories, so no
+each once, with the documents they occur in.  A bucket looks its keys up and answers each
+chunk in one row of sums per document, which are added up per chunk.  Pairs of at least ``FREQUENT`` of all tokens travel with the histories, so no
 bucket gets the postings of a hot key.
 """
 
@@ -266,7 +266,8 @@ def pair_model(model: Model, pairs: DataFrame, texts: int, frequent: float = FRE
 
 # --- scoring ------------------------------------------------------------------------------
 _POSTINGS = "bucket int, kind int, chunk long, texts int, keys binary, lengths binary, places binary, counts binary"
-_ANSWER = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
+_ANSWER = "chunk long, texts int, places binary, names binary, known binary, base binary, score binary"
+_SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
 def _postings(kind: int, chunk: int, texts: int, keys: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBatch | None:
@@ -349,13 +350,14 @@ class _Chunk:
 def _answers(model: Model, asked: pa.Table, table: pa.Table) -> pa.Table:
     counted = {k: (np.frombuffer(a, "<u8"), np.frombuffer(c, "<i8")) for k, a, c in zip(*(table.column(n).to_pylist() for n in ("kind", "keys", "counts")))}
     sums: dict[int, np.ndarray] = {}
+    sizes: dict[int, int] = {}
     out = []
     for i in range(asked.num_rows):
         row = {n: asked.column(n)[i].as_py() for n in asked.column_names}
-        n, first = row["texts"], row["chunk"] << 24
+        n = sizes[row["chunk"]] = row["texts"]
         if row["kind"] == TEXTS:
             whole = np.frombuffer(row["keys"], "<i8").reshape(4, n)
-            out.append((np.arange(first, first + n), whole[0], whole[1].astype(bool), whole[2], whole[3], np.frombuffer(row["lengths"]), np.frombuffer(row["places"]), False))
+            out.append((row["chunk"], n, None, whole[:3].tobytes(), whole[3].tobytes(), row["lengths"], row["places"]))
             continue
         keys, lengths, places, often = (np.frombuffer(row[c], t) for c, t in (("keys", "<u8"), ("lengths", "<u4"), ("places", "<u4"), ("counts", "<u4")))
         known_keys, known_counts = counted.get(row["kind"], (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
@@ -371,15 +373,25 @@ def _answers(model: Model, asked: pa.Table, table: pa.Table) -> pa.Table:
             total[2] += np.bincount(places, np.repeat(gain, lengths) * often, n)
     for chunk, total in sums.items():
         at = np.flatnonzero(total.any(axis=0))
-        zero = np.zeros(len(at), np.int64)
-        out.append(((chunk << 24) + at, zero, zero.astype(bool), zero, np.rint(total[0, at]).astype(np.int64), total[1, at], total[2, at], True))
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
-    if not out:
-        return pa.table({n: pa.array([], t) for n, t in zip(names, [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()])})
-    columns = [np.concatenate([x[i] for x in out]) for i in range(7)]
-    nameless = np.concatenate([np.full(len(x[0]), x[7]) for x in out])
-    arrays = [pa.array(c, mask=nameless) if i in (1, 2) else pa.array(c) for i, c in enumerate(columns)]
-    return pa.table(dict(zip(names, arrays)))
+        known, base, score = np.rint(total[0, at]).astype("<i8"), total[1, at], total[2, at]
+        out.append((chunk, sizes[chunk], at.astype("<u4").tobytes(), None, known.tobytes(), base.tobytes(), score.tobytes()))
+    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
+    names = ["chunk", "texts", "places", "names", "known", "base", "score"]
+    return pa.table({name: pa.array([x[i] for x in out], kind) for i, (name, kind) in enumerate(zip(names, kinds))})
+
+
+def _texts_of(answers: pa.Table) -> pa.Table:
+    """The texts of one chunk with the sums of all buckets' answers; as many numbers as the chunk has tokens at most."""
+    n = answers.column("texts")[0].as_py()
+    names, known, base, score = None, np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+    for row in answers.to_pylist():
+        at = slice(None) if row["places"] is None else np.frombuffer(row["places"], "<u4")
+        names = row["names"] or names
+        known[at] += np.frombuffer(row["known"], "<i8")
+        base[at] += np.frombuffer(row["base"])
+        score[at] += np.frombuffer(row["score"])
+    ids, held, tokens = np.frombuffer(names, "<i8").reshape(3, n)
+    return pa.table({"doc_id": pa.array(ids), "held_out": pa.array(held.astype(bool)), "n_tokens": pa.array(tokens), "n_known": pa.array(known), "base": pa.array(base), "score": pa.array(score)})
 
 
 def scores(docs: DataFrame, held_out, frequent: float = FREQUENT, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -426,9 +438,7 @@ def scores(docs: DataFrame, held_out, frequent: float = FREQUENT, bucket_bytes:
     tables = words.unionByName(pairs)
     asked = in_arrow(read, run, _POSTINGS).groupBy("bucket").cogroup(tables.groupBy("bucket"))
     found = asked.applyInArrow(lambda left, right: _answers(sent.value, left, right), _ANSWER)
-    one = found.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")]
-    )
+    one = found.groupBy("chunk").applyInArrow(_texts_of, _SCORED)
     total = math.log10(model.n + 1 * (model.v + 1))
     return one.select(
         F.expr("nullif(doc_id, -9223372036854775808)").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"),
