@@ -11,6 +11,7 @@ Joining is associative, hence any tree gives the same tokens.  Decoding joins by
 from __future__ import annotations
 
 import base64
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
@@ -25,8 +26,8 @@ from gradus.llm.workers import in_arrow
 
 #: Bytes that are merged directly.
 LEAF = 24
-#: Pieces that a worker remembers; then it starts afresh, with the same results.
-REMEMBERED = 400_000
+#: Matches, and stretches between spaces, that a worker remembers; how many doesn't change results.
+REMEMBERED, REMEMBERED_STRETCHES = 300_000, 100_000
 REMEMBERED_LENGTH = 64
 #: A text of more code points is split into pieces in steps, not in one list.
 STEP_FROM = 1_000_000
@@ -45,28 +46,27 @@ class Encoder:
         # A space amid white space belongs to a run that has to be seen as a whole.
         self.in_run = regex.compile(r"\s \s")
         self.agreeing: dict[tuple[int, int], bool] = {}
-        self.pieces = _Pieces(self)
+        # Matches, and stretches from a space on by what follows it.
+        self.pieces = _Known(lambda piece: _packed(self.piece(piece.encode())), REMEMBERED)
+        self.stretches = _Known(lambda rest: self.matches(" " + rest), REMEMBERED_STRETCHES)
 
     def merge(self, raw: bytes) -> list[int]:
         """Merges of the lowest rank first, the leftmost of equals."""
         if len(raw) > 4 * LEAF:
             return self._merge_long(raw)
-        ranks, parts = self.ranks, [raw[i : i + 1] for i in range(len(raw))]
-        pairs = [ranks.get(parts[i] + parts[i + 1]) for i in range(len(parts) - 1)]
-        while pairs:
-            low, at = None, -1
-            for i, rank in enumerate(pairs):
-                if rank is not None and (low is None or rank < low):
-                    low, at = rank, i
-            if low is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        rank_of, never = self.ranks.get, len(self.tokens)
+        parts = [raw[i : i + 1] for i in range(len(raw))]
+        pairs = [rank_of(raw[i : i + 2], never) for i in range(len(raw) - 1)]
+        while pairs and (low := min(pairs)) != never:
+            at = pairs.index(low)
+            made = parts[at] + parts.pop(at + 1)
+            parts[at] = made
             del pairs[at]
             if at < len(pairs):
-                pairs[at] = ranks.get(parts[at] + parts[at + 1])
+                pairs[at] = rank_of(made + parts[at + 1], never)
             if at:
-                pairs[at - 1] = ranks.get(parts[at - 1] + parts[at])
-        return [ranks[p] for p in parts]
+                pairs[at - 1] = rank_of(parts[at - 1] + made, never)
+        return [rank_of(p) for p in parts]
 
     def _merge_long(self, raw: bytes) -> list[int]:
         """The same by a queue of pairs; a pair that changed since it was queued is passed over."""
@@ -138,13 +138,15 @@ class Encoder:
         if self.in_run.search(text) or len(text) > STEP_FROM:
             return self.matches(text)
         first, *others = text.split(" ")
-        return self.matches(first) + b"".join(map(self.pieces.__getitem__, others))
+        return self.matches(first) + b"".join(map(self.stretches.__getitem__, others))
 
     def matches(self, text: str) -> bytes:
         """Ids of a text, match by match."""
+        if len(text) <= STEP:
+            return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
         found, parts = (m.group() for m in self.pattern.finditer(text)), []
         while step := list(islice(found, STEP)):
-            parts.append(b"".join(np.array(self.piece(m.encode()), dtype="<u4").tobytes() for m in step))
+            parts.append(b"".join(map(self.pieces.__getitem__, step)))
         return b"".join(parts)
 
     def decode(self, ids: bytes) -> bytes:
@@ -154,19 +156,26 @@ class Encoder:
         return b"".join(parts)
 
 
-class _Pieces(dict):
-    """Ids of a space and what follows it, by what follows."""
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
-    def __init__(self, encoder: Encoder):
+
+class _Known(dict):
+    """Ids of texts seen before: a young half of ``most`` texts, and the half before it."""
+
+    def __init__(self, encode: Callable[[str], bytes], most: int):
         super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, rest: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self.encoder.matches(" " + rest)
-        if len(rest) <= REMEMBERED_LENGTH:
-            self[rest] = ids
+        self.encode, self.most, self.old = encode, most, {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.old.get(text)
+        if ids is None:
+            ids = self.encode(text)
+        if len(text) <= REMEMBERED_LENGTH:
+            if 2 * len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[text] = ids
         return ids
 
 
