@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradus.llm.columns import SPACE
+from gradus.llm.columns import SPACE, let
 from gradus.sources.tables import materialise
 
 LINES = 3
@@ -26,6 +26,12 @@ def _windows(lines: Column, width: int) -> Column:
     return F.when(F.size(lines) >= width, F.filter(made, lambda w: w["h"].isNotNull()))
 
 
+def _kept(lines: Column, gone: Column) -> Column:
+    """Lines whose number is not among ``gone``, joined again."""
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    return F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n")
+
+
 def remove_repeated_lines(docs: DataFrame, width: int = LINES) -> DataFrame:
     """doc_id, n_lines, n_removed and the kept text of every row of ``docs``.
 
@@ -38,7 +44,7 @@ def remove_repeated_lines(docs: DataFrame, width: int = LINES) -> DataFrame:
     """
     read = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("k", F.xxhash64("doc_id", "text"))
     lines = F.split("text", "\n", -1)
-    rows = materialise(read.select("k", "doc_id", F.explode(_windows(lines, width)).alias("w")).select("k", "doc_id", "w.*"))
+    rows = materialise(read.select("k", "doc_id", F.explode(let(lines, lambda l: _windows(l, width))).alias("w")).select("k", "doc_id", "w.*"))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("place"))
     # Within a document first, so that a run that is common in it is one row in the shuffle.
     own = rows.groupBy("h", "g", "k").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -47,9 +53,10 @@ def remove_repeated_lines(docs: DataFrame, width: int = LINES) -> DataFrame:
     covered = F.array_distinct(F.flatten(F.transform(F.collect_list("place"), lambda p: F.sequence(p, p + (width - 1)))))
     gone = materialise(later.groupBy("k").agg(covered.alias("gone")))
     size = gone.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0)).alias("n")).first()["n"]
-    met = read.join(F.broadcast(gone) if size <= BROADCAST_LINES else gone, "k", "left").select("doc_id", lines.alias("lines"), "gone", "text")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")), lambda i: F.element_at("lines", i + 1))
+    met = read.join(F.broadcast(gone) if size <= BROADCAST_LINES else gone, "k", "left")
+    # The text is split once, not once for each line that looks into it.
+    kept = let(lines, lambda l: _kept(l, F.col("gone")))
     return met.select(
-        "doc_id", F.size("lines").cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        "doc_id", F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
     )
