@@ -131,7 +131,7 @@ def edited(seed):
     out = []
     for i in range(120):
         w = list(base) if i % 4 else [f"{i}x{j}" for j in range(r.randint(1, 90))]
-        for _ in range(r.randint(0, 8)):
+        for _ in range(r.randint(0, 8) if len(w) > 8 else 0):
             at = r.randrange(len(w))
             w[at : at + 1] = [] if r.random() < 0.4 else [r.choice(["the", "a", f"n{r.randrange(50)}"])]
         out.append((1_000 - 3 * i, " ".join(w)))
