@@ -1,24 +1,28 @@
 """Log-probabilities of texts by a Katz backoff model of word pairs.
 
-Counts of words, and of pairs of words that both make up ``FREQUENT`` or more of the training
-tokens, are discounted by Good-Turing estimates.  What a history gives up goes to all words
-that it has no pair with, in proportion to their word probability, by a backoff weight that
-makes each history's distribution sum to one exactly; likewise the words give up mass to the
-one unknown word.  Words are at most ``1 / FREQUENT`` as histories, so their
-probabilities and weights are a bounded table that every task gets.  All other counts
-stay in tables dealt out by key: one row per bucket, with sorted keys and counts.
+Counts of words, and of all pairs of words that follow each other, are discounted by Good-Turing
+estimates.  What a history gives up goes to all words that it has no pair with, in proportion
+to their word probability, by a backoff weight that makes each history's distribution sum to
+one exactly; likewise the words give up mass to the one unknown word.
+
+All counts stay in tables dealt out by key into buckets.  Words that make up ``FREQUENT``
+or more of the training tokens, and pairs that do, are a bounded table that every task gets as
+well; they are modelled like the others.  A pair lies in the bucket of its history where that
+is not frequent, else in that of its word where that is not frequent, else by its own hash, so
+no bucket has a hot key and each knows the counts of one rare member of its pairs.  Those of
+the other one, where both are rare, are asked of its bucket.  A frequent history's sums are
+added up over buckets.
 
 Texts go to the tables as postings: per chunk of documents and bucket, the keys that occur,
 each once, with the documents they occur in.  A bucket looks its keys up and answers each
-chunk in one row of sums per document, which are added up per chunk.  Pairs of at least ``FREQUENT`` of all tokens travel with the histories, so no
-bucket gets the postings of a hot key.
+chunk in one row of sums per document, which are added up per chunk.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +34,21 @@ from gradus.llm.kernels import mixed, slices, spans, utf8, word_hashes
 from gradus.llm.workers import in_arrow, ship
 from gradus.sources.tables import materialise
 
+#: Share of the tokens from which words and pairs are sent to every task.
 FREQUENT = 1e-5
 #: Counts up to this one are discounted.
 DISCOUNTED = 5
-#: Bytes of text per bucket of the tables.
-BUCKET_BYTES = 48_000_000
+#: Bytes of text per bucket of the tables; a bucket's pairs are about as large, and sorted in one task.
+BUCKET_BYTES = 16_000_000
 #: Tokens whose keys are brought together before they are sent.
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 1_000_000
 _PIECE_BYTES = 1 << 20
+#: Keys in a row of pairs or postings, so that rows stay under half a megabyte.
+_ROW_KEYS = 1 << 14
 END = np.uint64(0x5851F42D4C957F2D)
-WORDS, PAIRS, TEXTS = 0, 1, 2
+START = np.uint64(0x14057B7EF767814F)
+_PAIR = np.uint64(0xD6E8FEB86659FD93)
+WORDS, PAIRS, TEXTS, ASKED, SUMS = 0, 1, 2, 3, 4
 
 
 # --- counting -----------------------------------------------------------------------------
@@ -115,6 +124,93 @@ def _table(training: DataFrame, kind: int, keys_of, buckets: int) -> DataFrame:
     return materialise(in_arrow(training.select("text"), run, _TABLE).groupBy("bucket", "kind").applyInArrow(_merged, _TABLE))
 
 
+def _dealt(where: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order that brings items of a bucket together, and where each bucket begins in it."""
+    order = np.argsort(where.astype(np.uint16) if buckets <= 1 << 16 else where, kind="stable")
+    return order, np.searchsorted(where[order], np.arange(buckets + 1))
+
+
+def pair_keys(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(history * _PAIR + word)
+
+
+def _distinct(history: np.ndarray, word: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs and the sum of their counts (of ones, without)."""
+    if not len(history):
+        return history, word, np.zeros(0, np.int64)
+    keys = pair_keys(history, word)
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    sums = np.diff(np.append(at, len(keys))) if counts is None else np.add.reduceat(counts[order], at)
+    return history[order[at]], word[order[at]], sums
+
+
+def _cut(start: int, stop: int) -> list[slice]:
+    return [slice(i, min(i + _ROW_KEYS, stop)) for i in range(start, stop, _ROW_KEYS)]
+
+
+_PAIR_TABLE = "bucket int, histories binary, words binary, counts binary"
+
+
+def _pair_rows(rows: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> dict:
+    return {
+        "bucket": pa.array([r[0] for r in rows], pa.int32()),
+        **{name: pa.array([r[i].astype(kind).tobytes() for r in rows], pa.binary()) for i, name, kind in ((1, "histories", "<u8"), (2, "words", "<u8"), (3, "counts", "<i8"))},
+    }
+
+
+def _merged_pairs(table: pa.Table) -> pa.Table:
+    if not table.num_rows:
+        return table
+    bucket = table.column("bucket")[0].as_py()
+    parts = [np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table.column(c)]) for c, t in (("histories", "<u8"), ("words", "<u8"), ("counts", "<i8"))]
+    del table
+    parts = _distinct(*parts)
+    order = np.argsort(parts[1], kind="stable")  # a row's words are in no other row, but for those at its ends
+    return pa.table(_pair_rows([(bucket, *(x[order[part]] for x in parts)) for part in _cut(0, len(order))]))
+
+
+def _pair_table(training: DataFrame, lexicon, least: float, buckets: int) -> DataFrame:
+    """Counts of all pairs of training texts; rows of ``_ROW_KEYS`` pairs of a bucket.  ``lexicon`` is a broadcast Model.
+
+    With ``least`` above 0 only pairs of words with that count are taken.
+    """
+
+    def packed(waiting: list) -> pa.RecordBatch:
+        history, word, counts = _distinct(*(np.concatenate(x) for x in zip(*waiting)))
+        by_history = np.argsort(history)  # equal histories beside each other are compressed
+        history, word, counts = history[by_history], word[by_history], counts[by_history]
+        order, cuts = _dealt(_bucket_of(lexicon.value.route(history, word), buckets), buckets)
+        rows = [(b, *(x[order[part]] for x in (history, word, counts))) for b in range(buckets) for part in _cut(cuts[b], cuts[b + 1])]
+        return pa.RecordBatch.from_pydict(_pair_rows(rows))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+        for batch in batches:
+            for *_, tokens, starts in _tokens(batch.column("text")):
+                history = histories(tokens, starts)
+                if least > 0:
+                    taken = lexicon.value.reach(tokens, least) & ((history == START) | lexicon.value.reach(history, least))
+                    history, tokens = history[taken], tokens[taken]
+                waiting.append((history, tokens))
+                size += len(tokens)
+                if size >= CHUNK_TOKENS:
+                    yield packed(waiting)
+                    waiting, size = [], 0
+        if size:
+            yield packed(waiting)
+
+    return materialise(in_arrow(training.select("text"), run, _PAIR_TABLE).groupBy("bucket").applyInArrow(_merged_pairs, _PAIR_TABLE))
+
+
+def histories(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The token before each one; START at the start of a text."""
+    before = np.concatenate(([START], tokens[:-1])) if len(tokens) else tokens
+    before[starts[:-1]] = START
+    return before
+
+
 def _profile(table: DataFrame) -> tuple[int, int, np.ndarray]:
     """Sum of counts, number of keys, and how many keys have each count up to DISCOUNTED + 1."""
 
@@ -180,10 +276,12 @@ class Model:
     log_unknown: float
     pair_factors: np.ndarray | None = None
     history_counts: np.ndarray | None = None
-    history_scales: np.ndarray | None = None
     log_backoff: np.ndarray | None = None
+    #: What a frequent history adds to the gain of its pairs.
+    log_lead: np.ndarray | None = None
+    #: Keys of frequent pairs, sorted, and their gains.
     pairs: np.ndarray | None = None
-    pair_counts: np.ndarray | None = None
+    gains: np.ndarray | None = None
 
     def place(self, tokens: np.ndarray) -> np.ndarray:
         """Place among the frequent words, -1 for others."""
@@ -192,15 +290,16 @@ class Model:
         at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
         return np.where(self.words[at] == tokens, at, -1)
 
-    def sequence(self, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of each token's history and of the token itself."""
-        word = self.place(tokens)
-        history = np.concatenate(([0], word[:-1])) if len(word) else word
-        history[starts[:-1]] = len(self.words)
-        return history, word
+    def history_place(self, tokens: np.ndarray) -> np.ndarray:
+        return np.where(tokens == START, len(self.words), self.place(tokens))
 
-    def pair_keys(self, history: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return history.astype(np.uint64) * np.uint64(len(self.words) + 1) + word.astype(np.uint64)
+    def reach(self, tokens: np.ndarray, least: float) -> np.ndarray:
+        at = self.place(tokens)
+        return (at >= 0) & (self.counts[at] >= least) if len(self.counts) else at >= 0
+
+    def route(self, history: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """What a pair's bucket is chosen by: a member that is not frequent, the history first, or both."""
+        return routed(history, word, self.history_place(history), self.place(word))
 
     def log_word(self, counts: np.ndarray) -> np.ndarray:
         """log10 probability of words with these training counts."""
@@ -209,16 +308,20 @@ class Model:
         share = discounted(counts, self.word_factors) * self.word_scale / self.n
         return np.where(counts > 0, np.log10(np.where(counts > 0, share, 1.0)), self.log_unknown)
 
-    def pair_share(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Probability of pairs that the history has, before the history's scale."""
-        return discounted(counts, self.pair_factors) / self.history_counts[(keys // np.uint64(len(self.words) + 1)).astype(np.int64)]
 
-    def pair_gain(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """What a known pair's log10 probability is above that of backing off."""
-        history = (keys // np.uint64(len(self.words) + 1)).astype(np.int64)
-        word = (keys % np.uint64(len(self.words) + 1)).astype(np.int64)
-        known = np.log10(self.pair_share(keys, counts) * self.history_scales[history])
-        return known - self.log_backoff[history] - self.log_word(self.counts[word])
+def routed(history: np.ndarray, word: np.ndarray, history_place: np.ndarray, word_place: np.ndarray) -> np.ndarray:
+    return np.where(history_place < 0, history, np.where(word_place < 0, word, pair_keys(history, word)))
+
+
+def weights(counts: np.ndarray, own: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of the backoff weight of histories, and what each adds to the gain of its pairs.
+
+    ``own`` is the discounted share of a history's pairs, ``lower`` their words' probability.
+    A history whose pairs are all frequent still leaves one part of its count plus one.
+    """
+    scales = np.minimum(1.0, (counts / (counts + 1)) / np.maximum(own, 1e-300))
+    backoff = np.log10((1.0 - scales * own) / np.maximum(1.0 - lower, 1e-300))
+    return backoff, np.log10(np.maximum(scales, 1e-300) / np.maximum(counts, 1.0)) - backoff
 
 
 def word_model(words: DataFrame, frequent: float = FREQUENT) -> Model:
@@ -235,33 +338,123 @@ def _discounted_sum(n: int, having: np.ndarray, factors: np.ndarray) -> float:
     return n - float((r * having[r] * (1 - factors[r])).sum())
 
 
-def pair_model(model: Model, pairs: DataFrame, texts: int, frequent: float = FREQUENT) -> Model:
-    """The model with discounts of pairs and each history's weights; ``texts`` were trained on."""
-    _, _, having = _profile(pairs)
-    histories = np.append(model.counts, texts).astype(float)
-    found = Model(**{**model.__dict__, "pair_factors": discounts(having), "history_counts": np.maximum(histories, 1.0)})
+_ASKED = "bucket int, kind int, keys binary, counts binary"
+_WEIGHED = "bucket int, kind int, keys binary, counts binary, extra binary"
+
+
+def _looked_up(table_keys: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Values of sorted ``table_keys``, 0 for other keys."""
+    if not len(table_keys):
+        return np.zeros(len(keys), values.dtype)
+    at = np.minimum(np.searchsorted(table_keys, keys), len(table_keys) - 1)
+    return np.where(table_keys[at] == keys, values[at], 0)
+
+
+def _asked(pairs: DataFrame, words: DataFrame, sent, buckets: int) -> DataFrame:
+    """For each bucket of pairs, the counts of words that are not frequent and lie in other buckets."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, h, w in zip(*(batch.column(c).to_pylist() for c in ("bucket", "histories", "words"))):
+                h, w = np.frombuffer(h, "<u8"), np.frombuffer(w, "<u8")
+                keys = np.unique(w[(sent.value.history_place(h) < 0) & (sent.value.place(w) < 0)])
+                order, cuts = _dealt(_bucket_of(keys, buckets), buckets)
+                rows = [(b, keys[order[cuts[b] : cuts[b + 1]]].tobytes()) for b in range(buckets) if b != bucket and cuts[b] < cuts[b + 1]]
+                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([bucket] * len(rows), pa.int32()), pa.array([k for _, k in rows], pa.binary())], names=["bucket", "asker", "keys"])
+
+    def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
+        known = [np.frombuffer(table.column(c)[0].as_py(), t) if table.num_rows else np.zeros(0, t) for c, t in (("keys", "<u8"), ("counts", "<i8"))]
+        counts = [_looked_up(*known, np.frombuffer(k, "<u8")).tobytes() for k in asked.column("keys").to_pylist()]
+        return pa.table({
+            "bucket": asked.column("asker"), "kind": pa.array([ASKED] * asked.num_rows, pa.int32()),
+            "keys": asked.column("keys"), "counts": pa.array(counts, pa.binary()),
+        })
+
+    asked = in_arrow(pairs, ask, "bucket int, asker int, keys binary")
+    return asked.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(answer, _ASKED)
+
+
+def _weighed(model: Model, pairs: pa.Table, counted: pa.Table) -> pa.Table:
+    """Of a bucket: its words' counts and backoff weights, its pairs' gains, and its part of the sums of frequent histories.
+
+    A gain is what a known pair's log10 probability is above that of backing off, for a
+    frequent history before what the history adds.
+    """
+    bucket = (pairs if pairs.num_rows else counted).column("bucket")[0].as_py()
+    own_words, others = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), []
+    for kind, k, c in zip(*(counted.column(n) for n in ("kind", "keys", "counts"))):
+        found = np.frombuffer(k.as_buffer(), "<u8"), np.frombuffer(c.as_buffer(), "<i8")
+        if kind.as_py() == WORDS:
+            own_words = found
+        else:
+            others.append(found)
+    keys, counts = own_words
+    table_keys, table_counts = (np.concatenate(x) for x in zip(own_words, *others))
+    order = np.argsort(table_keys)
+    h, w, c = (np.concatenate([np.zeros(0, t), *(np.frombuffer(x.as_buffer(), t) for x in pairs.column(n))]) for n, t in (("histories", "<u8"), ("words", "<u8"), ("counts", "<i8")))
+    h_at, w_at = model.history_place(h), model.place(w)
+    w_counts = np.where(w_at >= 0, model.counts[w_at] if len(model.counts) else 0, _looked_up(table_keys[order], table_counts[order], w))
+    taken, log_lower = discounted(c, model.pair_factors), model.log_word(w_counts)
+    lower, gain = 10.0**log_lower, np.log10(taken) - log_lower
+    led = h_at >= 0
+    width = len(model.history_counts)
+    sums = [np.bincount(h_at[led], x[led], width) for x in (taken / model.history_counts[h_at], lower)]
+    at = np.searchsorted(keys, h[~led])
+    backoff, lead = weights(counts.astype(float), np.bincount(at, taken[~led], len(keys)) / np.maximum(counts, 1), np.bincount(at, lower[~led], len(keys)))
+    gain[~led] += lead[at]
+    pair = pair_keys(h, w)
+    order, some = np.argsort(pair), np.flatnonzero(sums[0])
+    rows = [
+        (WORDS, keys, counts, backoff), *((PAIRS, pair[order[part]], gain[order[part]], h_at[order[part]].astype("<i4")) for part in _cut(0, len(order))), (SUMS, some.astype("<i8"), sums[0][some], sums[1][some])
+    ]
+    return pa.table({
+        "bucket": pa.array([bucket] * len(rows), pa.int32()), "kind": pa.array([r[0] for r in rows], pa.int32()),
+        **{name: pa.array([r[i].tobytes() for r in rows], pa.binary()) for i, name in enumerate(("keys", "counts", "extra"), 1)},
+    })
+
+
+def _pairs_at_least(pairs: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs with a count of ``least`` or more, and the counts.  The caller bounds how many there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = np.uint64(len(found.words) + 1)
         for batch in batches:
-            for k, c in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                k, c = np.frombuffer(k, "<u8"), np.frombuffer(c, "<i8")
-                history = (k // base).astype(np.int64)
-                own = np.bincount(history, found.pair_share(k, c), len(found.words) + 1)
-                lower = np.bincount(history, 10.0 ** found.log_word(found.counts[(k % base).astype(np.int64)]), len(found.words) + 1)
-                h = np.flatnonzero(own)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(own[h]), pa.array(lower[h])], names=["h", "own", "lower"])
+            for h, w, c in zip(*(batch.column(n).to_pylist() for n in ("histories", "words", "counts"))):
+                h, w, c = np.frombuffer(h, "<i8"), np.frombuffer(w, "<i8"), np.frombuffer(c, "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(x[c >= least]) for x in (h, w, c)], names=["h", "w", "c"])
+
+    rows = in_arrow(pairs, run, "h long, w long, c long").toArrow()
+    return rows.column("h").to_numpy().view(np.uint64), rows.column("w").to_numpy().view(np.uint64), rows.column("c").to_numpy()
+
+
+def pair_model(lexicon: Model, words: DataFrame, pairs: DataFrame, texts: int, buckets: int, frequent: float = FREQUENT) -> tuple[Model, DataFrame]:
+    """The model with weights of frequent histories and gains of frequent pairs, and the table of all others; ``texts`` were trained on."""
+    _, _, having = _profile(pairs)
+    # A text's start is never a word; its pairs are counted by the texts.
+    counts = np.append(lexicon.counts, texts).astype(float)
+    found = replace(lexicon, pair_factors=discounts(having), history_counts=np.maximum(counts, 1.0))
+    sent = words.sparkSession.sparkContext.broadcast(found)  # 1 / frequent words at most
+    known = words.unionByName(_asked(pairs, words, sent, buckets))
+    weighed = pairs.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(lambda left, right: _weighed(sent.value, left, right), _WEIGHED)
+    weighed = materialise(weighed)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in zip(*(batch.column(n).to_pylist() for n in ("keys", "counts", "extra"))):
+                h, own, lower = (np.frombuffer(x, t) for x, t in zip(row, ("<i8", "<f8", "<f8")))
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(own), pa.array(lower)], names=["h", "own", "lower"])
 
     # One row per frequent word, so it may be brought to the driver.
-    rows = in_arrow(pairs, run, "h long, own double, lower double").groupBy("h").agg(F.sum("own").alias("own"), F.sum("lower").alias("lower")).toArrow()
-    own, lower = np.zeros(len(histories)), np.zeros(len(histories))
+    rows = in_arrow(weighed.where(F.col("kind") == SUMS).select("keys", "counts", "extra"), parts, "h long, own double, lower double")
+    rows = rows.groupBy("h").agg(F.sum("own").alias("own"), F.sum("lower").alias("lower")).toArrow()
+    own, lower = np.zeros(len(counts)), np.zeros(len(counts))
     at = rows.column("h").to_numpy()
     own[at], lower[at] = rows.column("own").to_numpy(), rows.column("lower").to_numpy()
-    # A history whose pairs are all frequent still leaves one part of its count plus one.
-    scales = np.minimum(1.0, (histories / (histories + 1)) / np.maximum(own, 1e-300))
-    backoff = np.log10((1.0 - scales * own) / np.maximum(1.0 - lower, 1e-300))
-    keys, counts = _at_least(pairs, max(1.0, frequent * model.n))  # at most 1 / frequent of them
-    return Model(**{**found.__dict__, "history_scales": scales, "log_backoff": backoff, "pairs": keys, "pair_counts": counts})
+    backoff, lead = weights(counts, own, lower)
+    h, w, c = _pairs_at_least(pairs, max(1.0, frequent * lexicon.n))  # at most 1 / frequent of them, of words that are frequent as well
+    gains = np.log10(discounted(c, found.pair_factors)) + lead[found.history_place(h)] - found.log_word(found.counts[found.place(w)])
+    keys = pair_keys(h, w)
+    order = np.argsort(keys)
+    return replace(found, log_backoff=backoff, log_lead=lead, pairs=keys[order], gains=gains[order]), weighed
 
 
 # --- scoring ------------------------------------------------------------------------------
@@ -270,12 +463,12 @@ _ANSWER = "chunk long, texts int, places binary, names binary, known binary, bas
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
-def _postings(kind: int, chunk: int, texts: int, keys: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBatch | None:
-    """Each key once per bucket row, with the texts it is in and how often."""
+def _postings(kind: int, chunk: int, texts: int, keys: np.ndarray, where: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBatch | None:
+    """Each key of a bucket once, with the texts it is in and how often; rows of ``_ROW_KEYS`` keys.  ``places`` ascend."""
     if not len(keys):
         return None
-    where = _bucket_of(keys, buckets)
-    order = np.lexsort((places, keys, where))
+    order = np.argsort(keys, kind="stable")
+    order = order[_dealt(where[order], buckets)[0]]
     keys, places, where = keys[order], places[order], where[order]
     new_key = np.concatenate(([True], keys[1:] != keys[:-1]))
     new_post = new_key | np.concatenate(([True], places[1:] != places[:-1]))
@@ -286,8 +479,8 @@ def _postings(kind: int, chunk: int, texts: int, keys: np.ndarray, places: np.nd
     cuts = np.searchsorted(where[key_at], np.arange(buckets + 1))
     rows = []
     for b in range(buckets):
-        i, j = cuts[b], cuts[b + 1]
-        if i < j:
+        for part in _cut(cuts[b], cuts[b + 1]):
+            i, j = part.start, part.stop
             p, q = key_post[i], key_post[j] if j < len(key_at) else len(post_at)
             rows.append((b, keys[key_at[i:j]].astype("<u8").tobytes(), lengths[i:j].astype("<u4").tobytes(), places[post_at[p:q]].astype("<u4").tobytes(), post_n[p:q].astype("<u4").tobytes()))
     return pa.RecordBatch.from_arrays(
@@ -308,22 +501,23 @@ class _Chunk:
         self.pairs: list = []
         self.known: list = []
 
-    def add(self, model: Model, ids: np.ndarray, held: np.ndarray, tokens: np.ndarray, starts: np.ndarray) -> None:
-        history, word = model.sequence(tokens, starts)
+    def add(self, model: Model, buckets: int, ids: np.ndarray, held: np.ndarray, tokens: np.ndarray, starts: np.ndarray) -> None:
+        before = histories(tokens, starts)
+        history, word = model.history_place(before), model.place(tokens)
         place = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         frequent, led = word >= 0, history >= 0
         counts = np.where(frequent, model.counts[word] if len(model.counts) else 0, 0)
         # As if no pair were known; buckets answer with what known pairs and other words add.
+        # A text ends with END, so each other word is a history once: its bucket adds both parts.
         score = np.where(frequent, model.log_word(counts), 0.0) + np.where(led, model.log_backoff[history], 0.0)
-        both = frequent & led
-        keys = model.pair_keys(history[both], word[both])
+        keys = pair_keys(before, tokens)
         at = np.minimum(np.searchsorted(model.pairs, keys), max(len(model.pairs) - 1, 0))
         hot = model.pairs[at] == keys if len(model.pairs) else np.zeros(len(keys), bool)
-        gain = np.zeros(len(keys))
-        gain[hot] = model.pair_gain(keys[hot], model.pair_counts[at[hot]])
-        score[both] += gain
-        self.rare.append((tokens[~frequent], place[~frequent] + self.texts))
-        self.pairs.append((keys[~hot], place[both][~hot] + self.texts))
+        score[hot] += model.gains[at[hot]]
+        self.rare.append((tokens[~frequent], _bucket_of(tokens[~frequent], buckets), place[~frequent] + self.texts))
+        cold = ~hot
+        where = _bucket_of(routed(before[cold], tokens[cold], history[cold], word[cold]), buckets)
+        self.pairs.append((keys[cold], where, place[cold] + self.texts))
         n = len(starts) - 1
         self.known.append((
             ids, held, np.diff(starts), np.bincount(place, frequent, n), np.bincount(place, np.where(frequent, np.log10(counts + 1.0), 0.0), n), np.bincount(place, score, n)
@@ -334,6 +528,7 @@ class _Chunk:
     def rows(self, buckets: int) -> Iterator[pa.RecordBatch]:
         for kind, waiting in ((WORDS, self.rare), (PAIRS, self.pairs)):
             made = _postings(kind, self.number, self.texts, *(np.concatenate(x) for x in zip(*waiting)), buckets)
+            waiting.clear()
             if made is not None:
                 yield made
         ids, held, tokens, known, base, score = (np.concatenate(x) for x in zip(*self.known))
@@ -348,7 +543,15 @@ class _Chunk:
 
 
 def _answers(model: Model, asked: pa.Table, table: pa.Table) -> pa.Table:
-    counted = {k: (np.frombuffer(a, "<u8"), np.frombuffer(c, "<i8")) for k, a, c in zip(*(table.column(n).to_pylist() for n in ("kind", "keys", "counts")))}
+    kinds = {WORDS: ("<u8", "<i8", "<f8"), PAIRS: ("<u8", "<f8", "<i4")}
+    parts: dict[int, list] = {}
+    for kind, *row in zip(*(table.column(n) for n in ("kind", "keys", "counts", "extra"))):
+        parts.setdefault(kind.as_py(), []).append([np.frombuffer(x.as_buffer(), t) for x, t in zip(row, kinds[kind.as_py()])])
+    counted = {}
+    for kind, rows in parts.items():
+        rows = sorted((r for r in rows if len(r[0])), key=lambda r: r[0][0])  # their ranges of keys don't overlap
+        if rows:
+            counted[kind] = [np.concatenate(x) for x in zip(*rows)]
     sums: dict[int, np.ndarray] = {}
     sizes: dict[int, int] = {}
     out = []
@@ -360,16 +563,19 @@ def _answers(model: Model, asked: pa.Table, table: pa.Table) -> pa.Table:
             out.append((row["chunk"], n, None, whole[:3].tobytes(), whole[3].tobytes(), row["lengths"], row["places"]))
             continue
         keys, lengths, places, often = (np.frombuffer(row[c], t) for c, t in (("keys", "<u8"), ("lengths", "<u4"), ("places", "<u4"), ("counts", "<u4")))
-        known_keys, known_counts = counted.get(row["kind"], (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+        known_keys, values, extra = counted.get(row["kind"], [np.zeros(0, t) for t in kinds[row["kind"]]])
         at = np.minimum(np.searchsorted(known_keys, keys), max(len(known_keys) - 1, 0))
-        counts = np.where(known_keys[at] == keys, known_counts[at], 0) if len(known_keys) else np.zeros(len(keys), np.int64)
+        hit = known_keys[at] == keys if len(known_keys) else np.zeros(len(keys), bool)
+        at = at[hit]
         total = sums.setdefault(row["chunk"], np.zeros((3, n)))
         if row["kind"] == WORDS:
-            for j, value in enumerate(((counts > 0).astype(float), np.log10(counts + 1.0), model.log_word(counts))):
+            counts, backoff = np.zeros(len(keys), np.int64), np.zeros(len(keys))
+            counts[hit], backoff[hit] = values[at], extra[at]
+            for j, value in enumerate((hit.astype(float), np.log10(counts + 1.0), model.log_word(counts) + backoff)):
                 total[j] += np.bincount(places, np.repeat(value, lengths) * often, n)
         else:
             gain = np.zeros(len(keys))
-            gain[counts > 0] = model.pair_gain(keys[counts > 0], counts[counts > 0])
+            gain[hit] = values[at] + np.where(extra[at] >= 0, model.log_lead[extra[at]], 0.0)
             total[2] += np.bincount(places, np.repeat(gain, lengths) * often, n)
     for chunk, total in sums.items():
         at = np.flatnonzero(total.any(axis=0))
@@ -394,7 +600,7 @@ def _texts_of(answers: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(ids), "held_out": pa.array(held.astype(bool)), "n_tokens": pa.array(tokens), "n_known": pa.array(known), "base": pa.array(base), "score": pa.array(score)})
 
 
-def scores(docs: DataFrame, held_out, frequent: float = FREQUENT, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def scores(docs: DataFrame, held_out, frequent: float = 0.0, bucket_bytes: int = BUCKET_BYTES, sent_share: float = FREQUENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words, A-Z in lower case, and one end per text; a null or empty text is its
@@ -402,23 +608,23 @@ def scores(docs: DataFrame, held_out, frequent: float = FREQUENT, bucket_bytes:
     a null doc_id, of which the expression is null.  ``score`` is log10 of the model's
     probability, ``base_score`` that of add-one words.  Rows that repeat a doc_id count and
     are scored each by itself.  Without training texts every word is the unknown one.
+
+    All pairs are modelled, unless the caller asks for those of words with a share of
+    ``frequent`` only.  ``sent_share`` is from where words and pairs are sent to every task;
+    it has no part in the result.
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     size = read.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"), F.count(F.when(~F.col("held_out"), 1)).alias("texts")).first()
     buckets = max(1, math.ceil(size["bytes"] / bucket_bytes))
     training = read.where(~F.col("held_out"))
     words = _table(training, WORDS, lambda tokens, starts: tokens, buckets)
-    lexicon = word_model(words, frequent)
-
-    def pair_keys(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        history, word = lexicon.sequence(tokens, starts)
-        both = (history >= 0) & (word >= 0)
-        return lexicon.pair_keys(history[both], word[both])
-
-    pairs = _table(training, PAIRS, pair_keys, buckets)
-    model = pair_model(lexicon, pairs, size["texts"], frequent)
+    share = min(sent_share, frequent) if frequent > 0 else sent_share
+    lexicon = word_model(words, share)
+    least = max(1.0, frequent * lexicon.n) if frequent > 0 else 0.0
+    pairs = _pair_table(training, docs.sparkSession.sparkContext.broadcast(lexicon), least, buckets)
+    model, tables = pair_model(lexicon, words, pairs, size["texts"], buckets, share)
     ship(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 1 / frequent words and pairs at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # 1 / share words and pairs at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 16
@@ -427,7 +633,7 @@ def scores(docs: DataFrame, held_out, frequent: float = FREQUENT, bucket_bytes:
             ids = batch.column("doc_id").fill_null(-(1 << 63)).to_numpy()
             held = batch.column("held_out").to_numpy(zero_copy_only=False)
             for i, j, tokens, starts in _tokens(batch.column("text")):
-                chunk.add(sent.value, ids[i:j], held[i:j], tokens, starts)
+                chunk.add(sent.value, buckets, ids[i:j], held[i:j], tokens, starts)
                 if chunk.size >= CHUNK_TOKENS:
                     yield from chunk.rows(buckets)
                     number += 1
@@ -435,7 +641,7 @@ def scores(docs: DataFrame, held_out, frequent: float = FREQUENT, bucket_bytes:
         if chunk.texts:
             yield from chunk.rows(buckets)
 
-    tables = words.unionByName(pairs)
+    tables = tables.where(F.col("kind").isin(WORDS, PAIRS))
     asked = in_arrow(read, run, _POSTINGS).groupBy("bucket").cogroup(tables.groupBy("bucket"))
     found = asked.applyInArrow(lambda left, right: _answers(sent.value, left, right), _ANSWER)
     one = found.groupBy("chunk").applyInArrow(_texts_of, _SCORED)

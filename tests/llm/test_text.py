@@ -299,6 +299,19 @@ def test_katz(spark, monkeypatch, frequent, bucket_bytes):
         assert tuple(r)[:5] == w[:5] and math.isclose(r.base_score, w[5], rel_tol=1e-9) and math.isclose(r.score, w[6], rel_tol=1e-9), (r, w)
 
 
+@pytest.mark.parametrize("sent_share,bucket_bytes", [(1e-5, 48_000_000), (0.005, 2_000), (0.2, 5_000), (1.0, 700)])
+def test_katz_models_all_pairs_whatever_is_sent(spark, monkeypatch, sent_share, bucket_bytes):
+    monkeypatch.setattr(katz, "CHUNK_TOKENS", 500 if bucket_bytes < 10_000 else 3_000_000)
+    docs = documents(spark)
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    want = {r[0]: r for r in brute_katz([tuple(r) for r in docs.select("doc_id", held, "text").collect()], 0.0)}
+    got = katz.scores(docs, held, bucket_bytes=bucket_bytes, sent_share=sent_share).collect()
+    assert len(got) == len(want)
+    for r in got:
+        w = want[r.doc_id]
+        assert tuple(r)[:5] == w[:5] and math.isclose(r.base_score, w[5], rel_tol=1e-9) and math.isclose(r.score, w[6], rel_tol=1e-9), (r, w)
+
+
 def test_katz_of_odd_tables(spark):
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     got = katz.scores(strange(spark), held).collect()
