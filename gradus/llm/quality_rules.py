@@ -8,6 +8,11 @@ tested from the loosest on and end at the first failure, which needs no correcti
 over rules and strata the level is divided (Bonferroni).  With probability ``1 - DELTA`` all
 certified cut-offs hold at once, so that one may be picked freely among them: the one that
 rejects the largest share of bad documents less the share of good ones, the loosest of equals.
+
+That choice is made for each rule by itself.  Where documents are dropped for good (``accepted``),
+rules are chosen in turn instead: of the certified cut-offs of all rules left, the one that
+rejects most bad documents that no chosen rule rejects yet, less ``WORTH`` times the good
+ones, as long as that is above 0.
 """
 
 from __future__ import annotations
@@ -23,6 +28,8 @@ from gradus.sources.tables import materialise
 #: Good documents of a stratum that the rules together may reject, and the chance of being wrong about it.
 RISK = 0.12
 DELTA = 0.05
+#: Bad documents that a rule chosen in turn must newly reject for each good one.
+WORTH = 2
 #: Rules: numerator and denominator of the share.
 RULES = {
     "symbols": ("n_symbols", "word_chars"),
@@ -121,39 +128,79 @@ def allowed(n: Column, risk: float, level: Column) -> Column:
     return F.aggregate(steps, start, step, lambda s: s["most"])
 
 
-def cutoffs(found: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """stratum and one column ``cut_<rule>`` each, null where no cut-off is certified or of use.
-
-    ``found`` has doc_id, stratum, base_failed and the counts.  Rows that base rejects are left
-    out, as are labels other than 0 and 1; of several labels of one id the lower counts.
-    """
+def _labelled(found: DataFrame, labels: DataFrame) -> DataFrame:
+    """stratum, good and the rules' shares of labelled documents that base does not reject."""
     marks = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("good"))
-    shares = F.array(*[F.struct(F.lit(r).alias("rule"), share(r).alias("v")) for r in RULES])
+    return found.where(~F.col("base_failed")).join(marks, "doc_id").select("stratum", "good", *[share(r).alias(f"share_{r}") for r in RULES])
+
+
+def _lost(labelled: DataFrame) -> DataFrame:
+    """Of each stratum and rule, documents in all and above each share as a cut-off."""
+    shares = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"share_{r}").alias("v")) for r in RULES])
     cells = (
-        found.where(~F.col("base_failed")).join(marks, "doc_id")
-        .select("stratum", "good", F.explode(shares).alias("s"))
+        labelled.select("stratum", "good", F.explode(shares).alias("s"))
         .groupBy("stratum", "s.rule", "s.v")
         .agg(F.sum(F.col("good").cast("long")).alias("good"), F.sum((1 - F.col("good")).cast("long")).alias("bad"))
     )
     group = Window.partitionBy("stratum", "rule")
     above = group.orderBy(F.col("v").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    tried = cells.select(
+    return cells.select(
         "stratum", "rule", "v",
         F.sum("good").over(group).alias("n_good"), F.sum("bad").over(group).alias("n_bad"),
         F.coalesce(F.sum("good").over(above), F.lit(0)).alias("good_lost"), F.coalesce(F.sum("bad").over(above), F.lit(0)).alias("bad_lost"),
     )
+
+
+def _tried(labelled: DataFrame, risk: float, delta: float) -> tuple[DataFrame, DataFrame]:
+    """What each cut-off loses, and the good documents that a rule may lose per stratum."""
+    tried = _lost(labelled)
     sizes = tried.groupBy("stratum").agg(F.max("n_good").alias("n_good"))
     strata = sizes.agg(F.count(F.lit(1)).alias("strata"))
     part = risk / len(RULES)
     level = F.lit(delta) / (F.col("strata") * F.lit(len(RULES)))
     quota = sizes.join(F.broadcast(strata)).select(F.col("stratum").alias("q_stratum"), allowed(F.col("n_good"), part, level).alias("quota"))
+    return tried, quota
+
+
+def cutoffs(found: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """stratum and one column ``cut_<rule>`` each, null where no cut-off is certified or of use.
+
+    ``found`` has doc_id, stratum, base_failed and the counts.  Rows that base rejects are left
+    out, as are labels other than 0 and 1; of several labels of one id the lower counts.
+    """
+    tried, quota = _tried(_labelled(found, labels), risk, delta)
     gain = F.col("bad_lost") * F.col("n_good") - F.col("good_lost") * F.col("n_bad")
     certified = tried.join(quota, F.col("stratum").eqNullSafe(F.col("q_stratum"))).where((F.col("good_lost") <= F.col("quota")) & (gain > 0))
     best = certified.groupBy("stratum", "rule").agg(F.max(F.struct(gain.alias("gain"), F.col("v").alias("cut"))).alias("best"))
     return best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("best.cut"))).alias(f"cut_{r}") for r in RULES])
 
 
-def judge(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
+def cutoffs_in_turn(found: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """Like ``cutoffs``, with each rule chosen for what it adds to the ones before it."""
+    labelled = materialise(_labelled(found, labels))
+    tried, quota = _tried(labelled, risk, delta)
+    certified = tried.join(quota, F.col("stratum").eqNullSafe(F.col("q_stratum"))).where(F.col("good_lost") <= F.col("quota"))
+    # What is lost only falls with the cut-off, so all from this one on are certified.
+    least = materialise(certified.groupBy(F.col("stratum").alias("l_stratum"), F.col("rule").alias("l_rule")).agg(F.min("v").alias("least")))
+    chosen = []
+    for _ in RULES:
+        left = labelled
+        for cut in chosen:
+            rejects = F.lit(False)
+            for rule in RULES:
+                rejects = rejects | ((F.col("c_rule") == rule) & (F.col(f"share_{rule}") > F.col("c_cut")))
+            left = left.join(cut, F.col("stratum").eqNullSafe(F.col("c_stratum")), "left").where(~F.coalesce(rejects, F.lit(False))).select(*labelled.columns)
+        worth = F.col("bad_lost") - WORTH * F.col("good_lost")
+        open_ = _lost(left).join(least, F.col("stratum").eqNullSafe(F.col("l_stratum")) & (F.col("rule") == F.col("l_rule"))).where((F.col("v") >= F.col("least")) & (worth > 0))
+        best = open_.groupBy("stratum").agg(F.max(F.struct(worth.alias("worth"), F.col("v").alias("cut"), F.col("rule").alias("rule"))).alias("best"))
+        chosen.append(materialise(best.select(F.col("stratum").alias("c_stratum"), F.col("best.rule").alias("c_rule"), F.col("best.cut").alias("c_cut"))))
+    together = chosen[0]
+    for cut in chosen[1:]:
+        together = together.unionByName(cut)
+    return together.groupBy(F.col("c_stratum").alias("stratum")).agg(*[F.min(F.when(F.col("c_rule") == r, F.col("c_cut"))).alias(f"cut_{r}") for r in RULES])
+
+
+def judge(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None, stratum: str = "lang", risk: float = RISK, delta: float = DELTA, in_turn: bool = False) -> DataFrame:
     """``row`` (the columns ``carry`` of ``docs``, or all), the counts, base_failed and kept.
 
     A null or empty text has no words and fails base.  Null is a stratum of its own; one with
@@ -166,7 +213,8 @@ def judge(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None, st
         F.col("row")[stratum].cast("string").alias("stratum"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_lines", "base_failed",
     )
     found = materialise(found)
-    cuts = materialise(cutoffs(found.drop("row"), labels, risk, delta)).withColumnRenamed("stratum", "c_stratum")
+    choose = cutoffs_in_turn if in_turn else cutoffs
+    cuts = materialise(choose(found.drop("row"), labels, risk, delta)).withColumnRenamed("stratum", "c_stratum")
     passed = F.lit(True)
     for rule in RULES:
         passed = passed & (F.col(f"cut_{rule}").isNull() | (share(rule) <= F.col(f"cut_{rule}")))
@@ -177,5 +225,5 @@ def judge(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None, st
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs``, all columns, that the rules keep."""
-    return judge(docs, labels, **options).where("kept").select("row.*")
+    """Rows of ``docs``, all columns, that the rules keep; rules are chosen in turn."""
+    return judge(docs, labels, **{"in_turn": True, **options}).where("kept").select("row.*")

@@ -133,6 +133,17 @@ def test_cutoffs_hold_their_risk_and_catch_the_rest(spark):
     assert kept.columns == docs.columns and kept.count() == 1_600
 
 
+def test_dropped_documents_are_worth_it(spark):
+    """The symbols rule rejects all bad documents; capitals alone would lose good ones for bad ones that are gone already."""
+    clean, loud, dirty = "plain words in a line of text that go on for a while ", "PLAIN WORDS in a line of text that go on for a while ", "#### $$ words &&& WITH *** symbols ||| %%% in between them all"
+    text = lambda i: (dirty if i % 5 == 0 else loud if i % 200 == 1 else clean) + f" n{i}"
+    rows = [(i, text(i), "en" if i % 2 else None, None, None, "x", "y", "z", None, "d", i) for i in range(2_000)]
+    docs = spark.createDataFrame(rows, documents(spark).schema)
+    labels = spark.createDataFrame([(i, 1 if i % 5 else 0) for i in range(2_000)], "doc_id long, quality int")
+    kept = {r.doc_id for r in quality_rules.accepted(docs, labels).collect()}
+    assert kept == {i for i in range(2_000) if i % 5}
+
+
 def test_rules_on_odd_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     got = quality_rules.judge(strange(spark), labels).collect()
