@@ -15,7 +15,8 @@ from gradus.operators import explain as ex
 from gradus.operators import fitting as fit
 from gradus.operators import scoring as sc
 from gradus.operators.evaluation import evaluate
-from gradus.operators.features import TARGET
+from gradus.operators.features import MODEL_FEATURES, TARGET
+from gradus.operators.selection import select_features
 from gradus.operators.woe import woe_fit
 from gradus.plans.development import candidate_metrics
 from gradus.sources.retail import scored
@@ -31,19 +32,23 @@ def _fixed(spark, sf):
 
 
 # --- fits ---------------------------------------------------------------------------------
-def _champion(train):
-    return fit.fit_champion(train, woe_fit(train, FEATURES, TARGET), TARGET)
+def _selected(spark, sf):
+    """Train, valid and test, staged, and the bins of the model features that selection keeps."""
+    train, valid, test = (materialise(s) for s in splits(spark, sf))
+    bins = woe_fit(train, MODEL_FEATURES, TARGET)
+    return train, valid, test, bins.only(select_features(train, bins).selected)
 
 
 def e01_logistic(spark, sf):
-    card = _champion(splits(spark, sf)[0])
+    train, _, _, bins = _selected(spark, sf)
+    card = fit.fit_champion(train, bins, TARGET)
     rows = [("intercept", card.intercept), *card.coefficients.items()]
     return spark.createDataFrame(rows, "feature string, beta double")
 
 
 def e02_boosted(spark, sf):
-    train, valid, test = splits(spark, sf)
-    challenger = fit.fit_challenger(train, valid, FEATURES, TARGET)
+    train, valid, test, bins = _selected(spark, sf)
+    challenger = fit.fit_challenger(train, valid, list(bins.features), TARGET)
     return evaluate(challenger.score(test), "probability_of_default", TARGET)
 
 
@@ -101,9 +106,9 @@ def e12_decision_struct(spark, sf):
 
 
 def e13_candidates(spark, sf):
-    train, valid, test = splits(spark, sf)
-    card = _champion(train)
-    challenger = fit.fit_challenger(train, valid, FEATURES, TARGET)
+    train, valid, test, bins = _selected(spark, sf)
+    card = fit.fit_champion(train, bins, TARGET)
+    challenger = fit.fit_challenger(train, valid, list(bins.features), TARGET)
     return candidate_metrics({"logistic_woe": lambda d: sc.score(d, card), "boosted": challenger.score}, train.unionByName(valid).unionByName(test))
 
 

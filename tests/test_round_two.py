@@ -98,3 +98,31 @@ def test_an_append_keeps_the_schema(spark, tmp_path):
         with pytest.raises(ValueError):
             tables.append_decisions(other, dest, "1")
     assert spark.read.parquet(dest).count() == 2
+
+
+def test_candidates_are_fitted_on_the_selected_features(spark, monkeypatch):
+    """e01, e02 and e13 fit what selection keeps of all model features, not hand-picked columns."""
+    from catalogue import scoring_queries as q
+    from catalogue.inputs import splits
+    from gradus.operators.features import MODEL_FEATURES, TARGET
+    from gradus.operators.selection import select_features
+    from gradus.operators.woe import woe_fit
+    from gradus.sources.tables import materialise
+
+    sf = "/root/testdata/sf0.01"
+    train = materialise(splits(spark, sf)[0])
+    selected = select_features(train, woe_fit(train, MODEL_FEATURES, TARGET)).selected
+    assert selected and set(selected) != set(q.FEATURES)
+    assert {r.feature for r in q.e01_logistic(spark, sf).collect()} == {"intercept", *selected}
+
+    class Fitted(Exception):
+        pass
+
+    def challenger(train, valid, features, target):
+        raise Fitted(sorted(features))
+
+    monkeypatch.setattr(q.fit, "fit_challenger", challenger)
+    for query in (q.e02_boosted, q.e13_candidates):
+        with pytest.raises(Fitted) as found:
+            query(spark, sf)
+        assert found.value.args[0] == sorted(selected)
