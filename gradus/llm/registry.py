@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from gradus.llm import native_queries, text_queries
+from gradus.llm import native_queries, text_queries, vector_queries
 
-MODULES = (native_queries, text_queries)
+MODULES = (native_queries, text_queries, vector_queries)
 
 
 def queries() -> dict:
