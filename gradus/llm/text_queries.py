@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradus.llm import bpe, katz, line_dedup, minhash, nbsvm, repeats, token_files
+from gradus.llm import bpe, fingerprints, katz, line_dedup, minhash, nbsvm, repeats, token_files
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -56,9 +56,13 @@ def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.scores(_documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
+def op12_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.against_next(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_separator_scan": op1_separator_scan, "op2_debruijn": op2_debruijn, "op5_line_windows": op5_line_windows, "op6_minhash": op6_minhash,
-    "op7_nbsvm": op7_nbsvm, "op8_byte_bpe": op8_byte_bpe, "op9_katz": op9_katz,
+    "op7_nbsvm": op7_nbsvm, "op8_byte_bpe": op8_byte_bpe, "op9_katz": op9_katz, "op12_bottom_k": op12_bottom_k,
 }
 _OP2 = r"""
 WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
