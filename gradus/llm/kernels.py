@@ -35,9 +35,12 @@ def utf8(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]
     return (_LOWER[raw] if lower else raw), offsets - offsets[0]
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word, and at which word each text starts (one more at the end)."""
-    inside = ~_SPACE[data]
+def spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word, and at which word each text starts (one more at the end).
+
+    ``space`` says of each byte whether it is between words.
+    """
+    inside = ~space[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     before = np.concatenate(([False], inside[:-1])) if len(data) else inside
@@ -62,7 +65,8 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, space: np.ndarray = _SPACE, base: np.uint64 = _BASE) -> np.ndarray:
+    """Hash of each word by its bytes; ``base`` is an odd number."""
     out = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):
@@ -71,8 +75,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         raw = data[starts[i] : ends[j - 1]]
         longest = int((ends[i:j] - starts[i:j]).max())
         place = np.arange(n) - np.repeat(at, np.diff(np.append(at, n)))
-        value = (raw.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, longest + 1)[np.minimum(place, longest)]
-        value[_SPACE[raw]] = 0
+        value = (raw.astype(np.uint64) + np.uint64(1)) * _powers(base, longest + 1)[np.minimum(place, longest)]
+        value[space[raw]] = 0
         out[i:j] = np.add.reduceat(value, at)
         i = j
     return mixed(out)

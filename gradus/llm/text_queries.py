@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradus.llm import bpe, fingerprints, katz, line_dedup, minhash, nbsvm, repeats, token_files
+from gradus.llm import bpe, collocations, fingerprints, katz, line_dedup, minhash, nbsvm, repeats, token_files
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -60,9 +60,13 @@ def op12_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_next(_documents(spark, sf_dir))
 
 
+def op13_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang", "text"))
+
+
 QUERIES = {
     "op1_separator_scan": op1_separator_scan, "op2_debruijn": op2_debruijn, "op5_line_windows": op5_line_windows, "op6_minhash": op6_minhash,
-    "op7_nbsvm": op7_nbsvm, "op8_byte_bpe": op8_byte_bpe, "op9_katz": op9_katz, "op12_bottom_k": op12_bottom_k,
+    "op7_nbsvm": op7_nbsvm, "op8_byte_bpe": op8_byte_bpe, "op9_katz": op9_katz, "op12_bottom_k": op12_bottom_k, "op13_tiles": op13_tiles,
 }
 _OP2 = r"""
 WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -86,4 +90,28 @@ k AS (SELECT id, count(*) AS n_kept, string_agg(x, chr(10) ORDER BY pos) AS kept
 SELECT doc_id, len(l)::bigint AS n_lines, (len(l) - coalesce(n_kept, 0))::bigint AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (id)
 """
-ORACLES: dict[str, str] = {"op1_separator_scan": _OP1, "op2_debruijn": _OP2, "op5_line_windows": _OP5}
+_OP13 = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT row_number() OVER () AS id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT id, lang, unnest(w) AS x, generate_subscripts(w, 1) AS pos FROM w),
+o AS (SELECT lang, x, lead(x) OVER q AS y, lead(x, 2) OVER q AS z FROM t WINDOW q AS (PARTITION BY id ORDER BY pos)),
+g AS (
+  SELECT lang, 1 AS m, x AS phrase FROM o UNION ALL SELECT lang, 2, x || ' ' || y FROM o WHERE y IS NOT NULL
+  UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM o WHERE z IS NOT NULL),
+f AS (SELECT lang, m, phrase, lang || chr(9) || phrase AS name, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::bigint AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS x FROM f WHERE m > 1 AND f >= 10),
+i AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+k AS (SELECT *, lang || chr(9) || array_to_string(x[1 : k], ' ') AS head, lang || chr(9) || array_to_string(x[k + 1 :], ' ') AS tail FROM i),
+s AS (
+  SELECT k.lang, k.m, k.phrase, a, k, l.f AS l, r.f AS r, (1000000::hugeint * a * a) // (l.f::hugeint * r.f) AS score
+  FROM k JOIN f l ON l.name = head JOIN f r ON r.name = tail),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+h AS (
+  SELECT lang, part, max(a) AS held FROM (SELECT lang, a, unnest([x[1] || ' ' || x[2], x[2] || ' ' || x[3]]) AS part FROM c WHERE m = 3) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::bigint AS score
+FROM b JOIN n USING (lang) LEFT JOIN h ON b.lang = h.lang AND b.phrase = h.part WHERE held IS NULL OR 100 * held < 50 * a
+QUALIFY rank <= 2000
+"""
+ORACLES: dict[str, str] = {"op13_tiles": _OP13, "op1_separator_scan": _OP1, "op2_debruijn": _OP2, "op5_line_windows": _OP5}
