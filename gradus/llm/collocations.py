@@ -29,11 +29,11 @@ from gradus.sources.tables import materialise
 #: Ranks that have tiles, and ranks along one side of a tile.
 HEAD, SIDE = 1 << 15, 1 << 9
 #: Occurrences in one slice of texts that make a tile dense, and dense tiles of a task at most.
-DENSE, TILES = 1 << 12, 48
+DENSE, TILES = 1 << 12, 24
 #: Bits of the bitmap at most (16 MB), and bits for each key as long as there are fewer.
 BITMAP_BITS, BITS_PER_KEY = 27, 16
 #: Bytes of texts that are counted at a time.
-SLICE = 1 << 23
+SLICE = 1 << 22
 
 _CUT = np.zeros(256, dtype=bool)
 _CUT[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
