@@ -33,7 +33,7 @@ BITS, HEX = 48, 12
 #: Bytes of a text that are hashed at a time; longer ones are taken in parts of this size.
 PART = 1 << 22
 #: Rows of one stretch of the doc_id order, and stretches at most (beyond that they grow).
-ROWS_PER_STRETCH, STRETCHES = 20_000, 4_096
+ROWS_PER_STRETCH, STRETCHES = 2_000, 4_096
 
 _CUTS = np.array([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D], dtype=np.uint8)
 _AGAINST = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
