@@ -11,6 +11,8 @@ from gradus.functions.columns import iv_strength
 from gradus.operators import selection as sel
 from gradus.operators import woe
 from gradus.operators.features import MODEL_FEATURES, TARGET
+from gradus.operators.joint import bin_values, correlations, counts_by_bin, joint_bin_counts
+from gradus.sources.tables import materialise
 
 FIXED = list(FIXED_EDGES)
 
@@ -76,14 +78,20 @@ def d16_degenerate(spark, sf):
     return sel.degenerate_features(_coarse(spark, sf).table(spark))
 
 
+def _narrow(spark, sf):
+    return materialise(_train(spark, sf).select(TARGET, *MODEL_FEATURES))
+
+
 def d17_corr_pairs(spark, sf):
-    wide = woe.woe_transform(_train(spark, sf), _coarse(spark, sf), MODEL_FEATURES).select(*[F.col(f"woe_{f}").alias(f) for f in MODEL_FEATURES])
-    return sel.correlation_pairs(wide, MODEL_FEATURES).withColumns(r6("corr"))
+    train = _narrow(spark, sf)
+    edges = woe.coarse_edges(train, MODEL_FEATURES)
+    joint = materialise(joint_bin_counts(train, edges, TARGET))
+    bins = woe.bins_of_counts(counts_by_bin(joint, TARGET), edges, monotone=False)
+    return correlations(joint, bin_values(bins, edges), MODEL_FEATURES).withColumns(r6("corr"))
 
 
 def d18_selection(spark, sf):
-    train = _train(spark, sf)
-    return sel.select_features(train, woe.woe_fit(train, MODEL_FEATURES, TARGET)).report(spark)
+    return sel.fit_and_select(_narrow(spark, sf), MODEL_FEATURES, TARGET)[1].report(spark).withColumns(r6("information_value"))
 
 
 def f14_top_iv(spark, sf):
@@ -112,6 +120,7 @@ _COARSE_WIDE = {
     "wide": "SELECT applicant_id, " + ", ".join(f"max(woe) FILTER (feature = '{f}') AS {f}" for f in MODEL_FEATURES)
     + " FROM placed JOIN woe USING (feature, bin_index) GROUP BY 1",
 }
+_CORR = "CASE WHEN stddev_pop({0}) > 1e-9 AND stddev_pop({1}) > 1e-9 THEN corr({0}, {1}) END"
 _PAIRS = [(a, b) for i, a in enumerate(MODEL_FEATURES) for b in MODEL_FEATURES[i + 1 :]]
 
 # The merge rules as a recursion over lists: one merge per step, small bins first, then the
@@ -145,8 +154,36 @@ _MERGED = {
         UNION ALL SELECT feature, -1, goods::double, bads::double FROM bin_counts WHERE bin_index = -1""",
     "merged_shares": "SELECT feature, bin_index, goods, bads, (goods + 0.5::double) / (g + 1) AS sg, (bads + 0.5::double) / (b + 1) AS sb FROM merged JOIN totals USING (feature)",
 }
+# Selection: floor, degenerate bins, and a walk in IV order that a feature survives if none of
+# the survivors before it correlates too much with it.
+_SELECTED = {
+    **_MERGED,
+    "merged_woe": "SELECT feature, bin_index, ln(sg / sb) AS woe, (sg - sb) * ln(sg / sb) AS iv FROM merged_shares",
+    "placed": """SELECT applicant_id, l.feature, CASE WHEN value IS NULL THEN -1 ELSE len(list_filter(e, lambda c: c < value)) END AS bin_index
+        FROM train_long l JOIN monotone USING (feature)""",
+    "wide": "SELECT applicant_id, " + ", ".join(f"max(woe) FILTER (feature = '{f}') AS {f}" for f in MODEL_FEATURES)
+    + " FROM placed JOIN merged_woe USING (feature, bin_index) GROUP BY 1",
+    "pairs": "SELECT unnest([" + ", ".join(f"{{'a': '{a}', 'b': '{b}', 'r': {_CORR.format(a, b)}}}" for a, b in _PAIRS) + "], recursive := true) FROM wide",
+    "rated": """SELECT feature, sum(iv) AS iv, CASE WHEN sum(iv) < 0.02 THEN 'IV below floor'
+        WHEN count(*) FILTER (bin_index >= 0) < 2 THEN 'single populated bin - no separation among observed values' END AS reason FROM merged_woe GROUP BY 1""",
+    "ranked": "SELECT feature, iv, row_number() OVER (ORDER BY iv DESC, feature) AS i FROM rated WHERE reason IS NULL",
+    "rivals": """SELECT w.feature, w.i, list({'name': s.feature, 'r': abs(r)} ORDER BY s.i) FILTER (s.feature IS NOT NULL) AS met
+        FROM ranked w LEFT JOIN (SELECT a, b, r FROM pairs UNION ALL SELECT b, a, r FROM pairs) p ON p.b = w.feature AND abs(r) >= 0.85
+        LEFT JOIN ranked s ON s.feature = p.a AND s.i < w.i GROUP BY ALL""",
+    "walked": """SELECT feature, hit FROM (
+        WITH RECURSIVE step AS (
+          SELECT 0::bigint AS i, cast([] AS varchar[]) AS kept, cast(NULL AS varchar) AS feature, cast(NULL AS struct(name varchar, r double)) AS hit
+          UNION ALL
+          SELECT i, CASE WHEN hit IS NULL THEN kept || [feature] ELSE kept END, feature, hit
+          FROM (SELECT n.i, kept, n.feature, list_filter(n.met, lambda m: list_contains(kept, m.name))[1] AS hit FROM step JOIN rivals n ON n.i = step.i + 1))
+        SELECT * FROM step) WHERE feature IS NOT NULL""",
+}
 
 ORACLES = {
+    "d18_selection": with_("train_long", "edges", extra=_SELECTED) + """SELECT feature, round(iv, 6) AS information_value,
+        CASE WHEN iv < 0.02 THEN 'unpredictive' WHEN iv < 0.1 THEN 'weak' WHEN iv < 0.3 THEN 'medium' WHEN iv < 0.5 THEN 'strong' ELSE 'suspiciously strong - check for leakage' END AS strength,
+        reason IS NULL AND hit IS NULL AS selected, coalesce(reason, 'correlated ' || printf('%.2f', hit.r) || ' with ' || hit.name, '') AS exclusion_reason
+        FROM rated LEFT JOIN walked USING (feature)""",
     "d06_monotone_bins": with_("train_long", "edges", extra=_MERGED) + """SELECT feature, bin_index, cast(goods + bads AS bigint) AS count, cast(goods AS bigint) AS goods,
         cast(bads AS bigint) AS bads, round(bads / greatest(goods + bads, 1), 6) AS bad_rate, round(ln(sg / sb), 6) AS woe, round((sg - sb) * ln(sg / sb), 6) AS iv_contribution FROM merged_shares""",
     "d01_edges": with_("edges") + "SELECT feature, cast(i AS int) AS position, edges[i + 1] AS edge FROM (SELECT feature, edges, unnest(range(len(edges))) AS i FROM edges)",

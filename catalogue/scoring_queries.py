@@ -16,7 +16,7 @@ from gradus.operators import fitting as fit
 from gradus.operators import scoring as sc
 from gradus.operators.evaluation import evaluate
 from gradus.operators.features import MODEL_FEATURES, TARGET
-from gradus.operators.selection import select_features
+from gradus.operators.selection import fit_and_select
 from gradus.operators.woe import woe_fit
 from gradus.plans.development import candidate_metrics
 from gradus.sources.retail import scored
@@ -35,8 +35,8 @@ def _fixed(spark, sf):
 def _selected(spark, sf):
     """Train, valid and test, staged, and the bins of the model features that selection keeps."""
     train, valid, test = (materialise(s) for s in splits(spark, sf))
-    bins = woe_fit(train, MODEL_FEATURES, TARGET)
-    return train, valid, test, bins.only(select_features(train, bins).selected)
+    bins, selection = fit_and_select(train, MODEL_FEATURES, TARGET)
+    return train, valid, test, bins.only(selection.selected)
 
 
 def e01_logistic(spark, sf):

@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradus.functions.columns import MISSING_BIN, iv_strength
-from gradus.operators.woe import WoeBins, information_values, woe_transform
+from gradus.operators.features import TARGET
+from gradus.operators.joint import bin_values, correlations, counts_by_bin, joint_bin_counts
+from gradus.operators.woe import WoeBins, bins_of_counts, coarse_edges, information_values
+from gradus.sources.tables import materialise
 
 MIN_IV = 0.02
 MAX_CORRELATION = 0.85
@@ -86,13 +89,32 @@ class Selection:
 
 
 def select_features(
-    train: DataFrame, bins: WoeBins, min_iv: float = MIN_IV, max_correlation: float = MAX_CORRELATION
+    train: DataFrame, bins: WoeBins, target: str = TARGET, min_iv: float = MIN_IV, max_correlation: float = MAX_CORRELATION
 ) -> Selection:
+    """Selection among fitted bins, with one scan of ``train`` for the counts per pair of bins."""
+    edges = {f: b.edges for f, b in bins.features.items()}
+    return _selection(joint_bin_counts(train, edges, target), bins, edges, min_iv, max_correlation)
+
+
+def fit_and_select(
+    train: DataFrame, features: list[str], target: str, max_bins: int = 8, min_iv: float = MIN_IV, max_correlation: float = MAX_CORRELATION, **fitting: float
+) -> tuple[WoeBins, Selection]:
+    """Bins and the selection among them: after the cut points, one scan of ``train`` gives both.
+
+    ``fitting`` goes to :func:`gradus.operators.woe.bins_of_counts`.
+    """
+    edges = coarse_edges(train, features, max_bins)
+    joint = materialise(joint_bin_counts(train, edges, target))
+    bins = bins_of_counts(counts_by_bin(joint, target), edges, **fitting)
+    return bins, _selection(joint, bins, edges, min_iv, max_correlation)
+
+
+def _selection(joint: DataFrame, bins: WoeBins, edges: dict[str, list[float]], min_iv: float, max_correlation: float) -> Selection:
     """IV floor, then degenerate features, then the correlation walk in IV order."""
     ivs = dict(sorted(((f, b.information_value) for f, b in bins.features.items()), key=lambda kv: (-kv[1], kv[0])))
     reasons = {f: BELOW_FLOOR for f, iv in ivs.items() if iv < min_iv}
     reasons.update({f: DEGENERATE for f in ivs if f not in reasons and len(bins.features[f].finite) < 2})
     ranking = [f for f in ivs if f not in reasons]
-    matrix = woe_transform(train, bins, ranking).select(*[F.col(f"woe_{f}").alias(f) for f in ranking])
-    selected, correlated = prune_correlated(correlation_pairs(matrix, ranking), ranking, max_correlation)
+    pairs = correlations(joint, bin_values(bins.only(ranking), edges), ranking)
+    selected, correlated = prune_correlated(pairs, ranking, max_correlation)
     return Selection(selected, {**reasons, **correlated}, ivs)

@@ -202,17 +202,21 @@ def woe_fit(
     """Fit WoE bins of every feature.  ``edges`` fixes the cut points; ``monotone=False``
     keeps the coarse bins as they are."""
     edges = coarse_edges(df, features, max_bins) if edges is None else {f: list(edges[f]) for f in features}
-    # features x (bins + 1) rows
+    return bins_of_counts(bin_counts(df, edges, target), edges, min_bin_fraction, smoothing, monotone)
+
+
+def bins_of_counts(counted: DataFrame, edges: dict[str, list[float]], min_bin_fraction: float = 0.05, smoothing: float = 0.5, monotone: bool = True) -> WoeBins:
+    """WoE bins from goods and bads per (feature, bin_index), features x (bins + 1) rows."""
     tally = {f: np.zeros((len(e) + 1, 2)) for f, e in edges.items()}
     missing = {f: np.zeros(2) for f in edges}
-    for r in bin_counts(df, edges, target).collect():
+    for r in counted.collect():
         cell = np.array([r["goods"] or 0, r["bads"] or 0], dtype=float)
         if r["bin_index"] == MISSING_BIN:
             missing[r["feature"]] += cell
         else:
             tally[r["feature"]][r["bin_index"]] += cell
     fitted = {}
-    for f in features:
+    for f in edges:
         total_good, total_bad = tally[f].sum(axis=0) + missing[f]
         if total_good == 0 or total_bad == 0:
             raise ValueError(f"feature {f!r}: the target has only one class")

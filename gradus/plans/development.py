@@ -15,7 +15,7 @@ from gradus.operators.drift import psi, with_verdict
 from gradus.operators.features import MODEL_FEATURES, TARGET
 from gradus.operators.fitting import Challenger, fit_calibrator, fit_challenger, fit_champion
 from gradus.operators.scoring import Scorecard, add_log_odds, score, sigmoid
-from gradus.operators.selection import Selection, select_features
+from gradus.operators.selection import Selection, fit_and_select
 from gradus.operators.woe import WoeBins, woe_fit
 from gradus.sources.tables import materialise, take_split, write_report
 
@@ -44,8 +44,7 @@ def develop(
     """Fit on train, calibrate on valid.  ``rounds=None`` leaves the challenger out."""
     features = [f for f in (features or MODEL_FEATURES) if f in gold.columns]
     train, valid = take_split(gold, "train"), take_split(gold, "valid")
-    bins = woe_fit(train, features, target)
-    selection = select_features(train, bins)
+    bins, selection = fit_and_select(materialise(train.select(target, *features)), features, target)
     card = fit_champion(train, bins.only(selection.selected), target, bands=bands)
     raw = add_log_odds(valid, card, "_l").select(sigmoid(F.col("_l")).alias("p"), target)
     card = card.with_calibrator(fit_calibrator(raw, "p", target, calibration))

@@ -132,7 +132,7 @@ def test_selection_reasons(spark, credit):
     df, _ = credit
     df = df.withColumn("twin", F.col("util") * 2).withColumn("mostly", F.when(F.col("y") == 1, F.lit(None)).otherwise(F.lit(1.0)))
     names = ["util", "income", "noise", "twin", "mostly"]
-    report = {r["feature"]: r for r in sel.select_features(df, woe.woe_fit(df, names, "y")).report(spark).collect()}
+    report = {r["feature"]: r for r in sel.select_features(df, woe.woe_fit(df, names, "y"), "y").report(spark).collect()}
     assert report["mostly"]["exclusion_reason"].startswith("single populated bin")
     assert "correlated 1.00 with" in (report["twin"]["exclusion_reason"] or report["util"]["exclusion_reason"])
     assert report["income"]["selected"]
