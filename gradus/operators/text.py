@@ -5,13 +5,14 @@ Descriptions repeat, so all text work runs on distinct descriptions with their c
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from gradus.functions.columns import md5_int, with_row
 from gradus.operators.ledger import BEHAVIOUR
@@ -73,56 +74,90 @@ def numbered(idf: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Categoriser:
-    """Fitted categoriser: vocabulary, mean and population deviation of behaviour if used, multinomial model."""
+    """Fitted categoriser: a table of grams, and what every class adds to that.
 
-    vocabulary: DataFrame
-    size: int
-    classes: list[str]
-    model: object
-    scaler: dict[str, tuple[float, float]] | None
+    ``grams`` has gram, idf and weights (one per class).  ``scaler`` and ``behaviour`` hold, for each
+    behavioural column if used, its mean and population deviation and its weights per class.
+    ``rounds`` is how many the fit took.
+    """
 
-    def vectors(self, rows: DataFrame) -> DataFrame:
-        """Attach the feature vector; text vectors are built once per distinct description."""
-        return _attach_vectors(rows, self.vocabulary, self.size, self.scaler)
+    grams: DataFrame
+    classes: list[str]
+    intercepts: list[float]
+    scaler: dict[str, tuple[float, float]] = field(default_factory=dict)
+    behaviour: dict[str, list[float]] = field(default_factory=dict)
+    rounds: int = 0
+
+    def text_margins(self, rows: DataFrame) -> DataFrame:
+        """described and margins (one per class) of each distinct description with a known gram.
+
+        A sparse product: grams of a description meet their weights in a join and are summed
+        per class, together with the length that makes the weights a unit vector.
+        """
+        met = term_counts(description_counts(rows)).join(self.grams, "gram")
+        w = (F.lit(1.0) + F.ln("tf")) * F.col("idf")
+        sums = [F.sum(w * F.col("weights")[k]).alias(f"m{k}") for k in range(len(self.classes))]
+        summed = met.groupBy(F.col("description").alias("described")).agg(F.sqrt(F.sum(w * w)).alias("length"), *sums)
+        return summed.select("described", F.array(*[F.col(f"m{k}") / F.col("length") for k in range(len(self.classes))]).alias("margins"))
 
     def transform(self, rows: DataFrame, out: str = "category") -> DataFrame:
-        scored = self.model.transform(self.vectors(rows))
+        """Add the likeliest class.  A row without a description, or without known grams, keeps
+        its place: its other columns decide.  Of equal classes the first is taken."""
+        margins = self.text_margins(rows).select(F.col("described").alias("_described"), F.col("margins").alias("_margins"))
+        joined = rows.join(margins, F.col("description") == F.col("_described"), "left")
+        scaled = {c: (F.col(c) - F.lit(mean)) * F.lit(1.0 / deviation if deviation else 0.0) for c, (mean, deviation) in self.scaler.items()}
+        scores = []
+        for k, base in enumerate(self.intercepts):
+            score = F.lit(base) + F.coalesce(F.col("_margins")[k], F.lit(0.0))
+            for c, value in scaled.items():
+                score = score + value * F.lit(self.behaviour[c][k])
+            scores.append(score)
+        chosen = joined.withColumn("_scores", F.array(*scores))
+        best = F.array_position("_scores", F.array_max("_scores")).cast("int")
         names = F.array(*[F.lit(c) for c in self.classes])
-        return scored.withColumn(out, F.get(names, F.col("prediction").cast("int"))).drop(
-            "_x", "_text", "rawPrediction", "probability", "prediction"
-        )
-
-
-def _text_vectors(descriptions: DataFrame, vocabulary: DataFrame, size: int) -> DataFrame:
-    cells = tfidf(descriptions, vocabulary).groupBy("description").agg(F.sort_array(F.collect_list(F.struct("position", "weight"))).alias("cells"))
-
-    @F.udf(VectorUDT())
-    def sparse(pairs):
-        return SparseVector(size, [p[0] for p in pairs], [p[1] for p in pairs])
-
-    # A description without a known gram still gets a vector, an empty one.
-    complete = descriptions.select("description").join(cells, "description", "left")
-    none = F.array().cast("array<struct<position:int,weight:double>>")
-    return complete.select("description", sparse(F.coalesce("cells", none)).alias("_text"))
-
-
-def _attach_vectors(rows: DataFrame, vocabulary: DataFrame, size: int, scaler) -> DataFrame:
-    texts = _text_vectors(description_counts(rows), vocabulary, size)
-    # NULL is a description too: such a row keeps its place, with an empty vector.
-    named = texts.withColumnRenamed("description", "_described")
-    joined = rows.join(named, F.col("description").eqNullSafe(F.col("_described"))).drop("_described")
-    if scaler is None:
-        return joined.withColumnRenamed("_text", "_x")
-    scaled = [((F.col(c) - F.lit(mean)) * F.lit(1.0 / deviation if deviation else 0.0)).alias(f"_s_{c}") for c, (mean, deviation) in scaler.items()]
-    wide = joined.select("*", *scaled)
-    return VectorAssembler(inputCols=["_text", *[f"_s_{c}" for c in scaler]], outputCol="_x").transform(wide).drop(*[f"_s_{c}" for c in scaler])
+        return chosen.withColumn(out, F.get(names, best - 1)).drop("_described", "_margins", "_scores")
+
+    def save(self, folder: str) -> None:
+        """The grams as a table, the rest as one row a class."""
+        spark = self.grams.sparkSession
+        self.grams.write.mode("overwrite").parquet(f"{folder}/grams")
+        scaler = [(c, *self.scaler[c]) for c in self.scaler]
+        rows = [(k, name, self.intercepts[k], scaler, [self.behaviour[c][k] for c in self.scaler], self.rounds) for k, name in enumerate(self.classes)]
+        schema = "place int, class string, intercept double, scaler array<struct<name:string,mean:double,deviation:double>>, behaviour array<double>, rounds int"
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{folder}/classes")
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str) -> Categoriser:
+        rows = spark.read.parquet(f"{folder}/classes").orderBy("place").collect()
+        scaler = {x["name"]: (x["mean"], x["deviation"]) for x in rows[0]["scaler"]} if rows else {}
+        behaviour = {c: [r["behaviour"][i] for r in rows] for i, c in enumerate(scaler)}
+        return cls(spark.read.parquet(f"{folder}/grams"), [r["class"] for r in rows], [r["intercept"] for r in rows], scaler, behaviour, rows[0]["rounds"] if rows else 0)
+
+
+def _vectors(rows: DataFrame, vocabulary: DataFrame, size: int, scaled: dict[str, Column], keep: list[Column]) -> DataFrame:
+    """``keep`` and ``x``, the sparse vector of text and scaled columns, as a written table.
+
+    A vector is stored as a struct of its kind, size, positions and values, so it is put
+    together by SQL functions and only read back as a vector.
+    """
+    cells = tfidf(description_counts(rows), vocabulary).groupBy(F.col("description").alias("_described")).agg(
+        F.sort_array(F.collect_list(F.struct("position", "weight"))).alias("_cells")
+    )
+    joined = rows.join(cells, F.col("description") == F.col("_described"), "left")
+    found = F.coalesce(F.col("_cells"), F.array().cast("array<struct<position:int,weight:double>>"))
+    places = F.concat(found["position"], F.array(*[F.lit(size + i) for i in range(len(scaled))]).cast("array<int>"))
+    values = F.concat(found["weight"], F.array(*scaled.values()).cast("array<double>"))
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size + len(scaled)).alias("size"), places.alias("indices"), values.alias("values"))
+    out = joined.select(vector.alias("x"), *keep)
+    read_as = StructType([StructField("x", VectorUDT()), *out.schema.fields[1:]])
+    return materialise(out, read_as)
 
 
 def fit_categoriser(train: DataFrame, behaviour: bool, c: float = 5.0, max_iter: int = 2000, min_df: int = 2) -> Categoriser:
     """Multinomial logistic model on text, or on text and standardised behaviour.
 
-    The vocabulary stays a table; only its size reaches the driver.  Text-only rows that are
-    equal are fitted once, weighted.
+    The vocabulary stays a table; its size and one weight per gram and class reach the driver.
+    Text-only rows that are equal are fitted once, weighted.
     """
     vocabulary = numbered(fit_idf(train, min_df))
     size = vocabulary.count()
@@ -130,20 +165,29 @@ def fit_categoriser(train: DataFrame, behaviour: bool, c: float = 5.0, max_iter:
     label = F.lit(None).cast("double")
     for i, name in enumerate(classes):
         label = F.when(F.col("true_category") == name, F.lit(float(i))).otherwise(label)
-    scaler = None
+    scaler = {}
     if behaviour:
         weighted = train.withColumn("_weight", F.lit(1.0))
         row = train.agg(*[f(c).alias(f"{c}_{n}") for c in BEHAVIOUR for n, f in (("mean", F.avg), ("deviation", F.stddev_pop))]).first()
         scaler = {c: (row[f"{c}_mean"], row[f"{c}_deviation"]) for c in BEHAVIOUR}
     else:
         weighted = train.groupBy("description", "true_category").agg(F.count(F.lit(1)).cast("double").alias("_weight"))
-    ready = materialise(_attach_vectors(weighted, vocabulary, size, scaler).select("_x", label.alias("_label"), "_weight"))
-    n = ready.agg(F.sum("_weight")).first()[0]
+    scaled = {c: (F.col(c) - F.lit(mean)) * F.lit(1.0 / deviation if deviation else 0.0) for c, (mean, deviation) in scaler.items()}
+    ready = _vectors(weighted, vocabulary, size, scaled, [label.alias("label"), F.col("_weight").alias("weight")])
+    n = ready.agg(F.sum("weight")).first()[0]
     model = LogisticRegression(
-        featuresCol="_x", labelCol="_label", weightCol="_weight", family="multinomial", regParam=1.0 / (c * n), elasticNetParam=0.0,
+        featuresCol="x", labelCol="label", weightCol="weight", family="multinomial", regParam=1.0 / (c * n), elasticNetParam=0.0,
         standardization=False, maxIter=max_iter,
     ).fit(ready)
-    return Categoriser(vocabulary, size, classes, model, scaler)
+    weights = model.coefficientMatrix.toArray()
+    positions = train.sparkSession.createDataFrame(pa.table({
+        "position": pa.array(range(size), pa.int32()), "weights": pa.array(list(weights.T[:size]), pa.list_(pa.float64())),
+    }))
+    grams = materialise(vocabulary.join(positions, "position").select("gram", "idf", "weights"))
+    return Categoriser(
+        grams, classes, [float(x) for x in model.interceptVector], scaler,
+        {name: weights[:, size + i].tolist() for i, name in enumerate(scaler)}, int(model.summary.totalIterations),
+    )
 
 
 def accuracy(predicted: DataFrame, true: str = "true_category", guess: str = "category") -> DataFrame:

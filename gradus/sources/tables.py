@@ -10,6 +10,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Raw header -> SQL-safe column name.
 RAW_COLUMN_NAMES = {
@@ -49,16 +50,16 @@ def staging_dir(spark: SparkSession) -> str:
     return _own_staging_dir
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, read_as: StructType | None = None) -> DataFrame:
     """Write a DataFrame that several jobs will read to the shared folder and read it back.
 
     Survives lost executors (unlike a cache or a local checkpoint), is computed once, and
-    keeps column pruning for the readers.
+    keeps column pruning for the readers.  ``read_as`` names types that are stored alike.
     """
     spark = df.sparkSession
     path = f"{staging_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(read_as or df.schema).parquet(path)
 
 
 # --- scans and sinks ----------------------------------------------------------------------
