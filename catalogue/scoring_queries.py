@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -20,7 +22,8 @@ from gradus.operators.selection import fit_and_select
 from gradus.operators.woe import woe_fit
 from gradus.plans.development import candidate_metrics
 from gradus.sources.retail import scored
-from gradus.sources.tables import materialise
+from gradus.sources import models
+from gradus.sources.tables import materialise, staging_dir
 
 FEATURES = list(FIXED_EDGES)
 SCALE = ScoreScaling()
@@ -102,7 +105,7 @@ def e11_band_counts(spark, sf):
 
 def e12_decision_struct(spark, sf):
     card, _, _, test = _fixed(spark, sf)
-    return sc.decision_struct(test, card).select("applicant_id", "decision.score", "decision.band")
+    return sc.decision_struct(test, card).select("applicant_id", F.round("decision.probability_of_default", 6).alias("probability_of_default"), "decision.score", "decision.band")
 
 
 def e13_candidates(spark, sf):
@@ -112,6 +115,15 @@ def e13_candidates(spark, sf):
     return candidate_metrics({"logistic_woe": lambda d: sc.score(d, card), "boosted": challenger.score}, train.unionByName(valid).unionByName(test))
 
 
+def e14_published_scorecard(spark, sf):
+    """Published, read back by name and used: the same decisions as before it was saved."""
+    card, _, _, test = _fixed(spark, sf)
+    root = f"{staging_dir(spark)}/models-{uuid.uuid4().hex}"
+    models.publish(spark, root, "1", replace(card, intercept=0.0))
+    models.publish(spark, root, "2", card)
+    return sc.decide(test, models.read_model(spark, root, "scorecard")).withColumns(r6("probability_of_default"))
+
+
 # --- explanation --------------------------------------------------------------------------
 def g01_points_fixed_model(spark, sf):
     card = _fixed(spark, sf)[0]
@@ -149,6 +161,12 @@ def g08_permutation_importance(spark, sf):
     return out.withColumns(r6("permuted_auc", "auc_loss"))
 
 
+def g08_challenger_importance(spark, sf):
+    train, valid, test, bins = _selected(spark, sf)
+    challenger = fit.fit_challenger(train, valid, list(bins.features), TARGET)
+    return fit.permutation_importance(test, challenger.features, TARGET, "applicant_id", challenger.raw_probability, seed=SEED)
+
+
 def g09_shown_values(spark, sf):
     card, _, _, test = _fixed(spark, sf)
     shown = ex.reason_codes(test, card, materialise(ex.points_table(spark, card)))
@@ -176,8 +194,8 @@ def h11_monotone_score_fixed_model(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     h11_monotone_score_fixed_model, e01_logistic, e02_boosted, e03_isotonic, e04_platt, e05_calibrated_pd, e06_raw_score, e07_score_scaling, e08_score_to_probability, e09_bands,
-    e10_decision_fixed_model, e11_band_counts, e12_decision_struct, e13_candidates, g01_points_fixed_model, g03_contributions, g04_reason_codes,
-    g05_importance, g07_reconstruct, g08_permutation_importance, g09_shown_values, h11_monotone_score,
+    e10_decision_fixed_model, e11_band_counts, e12_decision_struct, e13_candidates, e14_published_scorecard, g01_points_fixed_model, g03_contributions, g04_reason_codes,
+    g05_importance, g07_reconstruct, g08_permutation_importance, g08_challenger_importance, g09_shown_values, h11_monotone_score,
 )}
 
 # --- SQL ----------------------------------------------------------------------------------
@@ -255,6 +273,7 @@ ORACLES = {
         "spans": "SELECT l.i AS l, r.i AS r, (r.cb - l.cb + l.b)::double / (r.cn - l.cn + l.n)::double AS rate FROM t l JOIN t r ON l.i <= r.i",
     }) + """SELECT p, round(max(low), 6) AS calibrated FROM (
         SELECT t.p, l, min(rate) AS low FROM t JOIN spans ON l <= t.i AND r >= t.i GROUP BY 1, 2) GROUP BY 1""",
+    "e14_published_scorecard": _W + "SELECT applicant_id, round(pd, 6) AS probability_of_default, score, band FROM decided",
     "g08_permutation_importance": with_("train_long", "fixed_edges", extra=_PERMUTED)
     + """SELECT variant AS feature, round(auc, 6) AS permuted_auc, round((SELECT auc FROM aucs WHERE variant = '(none)') - auc, 6) AS auc_loss
         FROM aucs WHERE variant <> '(none)'""",
@@ -270,7 +289,7 @@ ORACLES = {
     "e09_bands": with_("scored") + f"SELECT id, {band_sql(score_sql('p'), sc.DEFAULT_BANDS)} AS band FROM scored",
     "e10_decision_fixed_model": _W + "SELECT applicant_id, round(pd, 6) AS probability_of_default, score, band FROM decided",
     "e11_band_counts": _W + "SELECT band, count(*) AS applicants FROM decided GROUP BY 1",
-    "e12_decision_struct": _W + "SELECT applicant_id, score, band FROM decided",
+    "e12_decision_struct": _W + "SELECT applicant_id, round(pd, 6) AS probability_of_default, score, band FROM decided",
     "g01_points_fixed_model": _W + f"""SELECT feature, {_DESCRIBE} AS description, bin_index, count, round(bad_rate, 6) AS bad_rate, round(woe, 6) AS woe,
         points, max_points_for_feature, points_lost FROM points""",
     "g03_contributions": _W + f"""SELECT applicant_id, rank, feature, {_DESCRIBE} AS description, value, bin_index, points, points_lost,

@@ -10,21 +10,21 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from gradus.functions.columns import DEFAULT_BANDS, MISSING_BIN, ScoreScaling, bin_index, literal, md5_int, number, quoted, with_row
 from gradus.operators.evaluation import auc_gini
 from gradus.operators.ordering import melt, score_table
-from gradus.operators.scoring import IsotonicCurve, PlattCurve, Scorecard, calibrated_pd, with_decision
+from gradus.operators.scoring import (
+    CURVE_SCHEMA, IsotonicCurve, PlattCurve, Scorecard, band_frame, bands_of, calibrated_pd, curve_of, curve_rows, with_decision, write_tables,
+)
+from gradus.operators.trees import ABSENT, Trees
 from gradus.operators.woe import WoeBins
 from gradus.sources.tables import materialise
 
-ABSENT = -1.0e12
-
 
 def design_cells(train: DataFrame, bins: WoeBins, target: str) -> DataFrame:
     """Distinct (bin of every feature, target) with their row count and WoE values."""
@@ -87,17 +87,18 @@ def fit_calibrator(df: DataFrame, p: str, y: str, method: str = "isotonic") -> I
 class Challenger:
     """Boosted trees on raw features, with calibrator and score scale."""
 
-    model: GBTClassificationModel
-    features: list[str]
+    trees: Trees
     calibrator: IsotonicCurve | PlattCurve | None = None
     scaling: ScoreScaling = ScoreScaling()
     bands: tuple = DEFAULT_BANDS
 
+    @property
+    def features(self) -> list[str]:
+        return self.trees.features
+
     def raw_probability(self, df: DataFrame, out: str = "_raw") -> DataFrame:
-        assembled = tree_vector(df, self.features)
-        return self.model.transform(assembled).withColumn(out, vector_to_array("probability")[1]).drop(
-            "_x", "rawPrediction", "probability", "prediction"
-        )
+        margined = self.trees.margin(df, "_margin")
+        return margined.withColumn(out, self.trees.probability(F.col("_margin"))).drop("_margin")
 
     def score(self, df: DataFrame) -> DataFrame:
         """PD, score and band; the score is the scaled calibrated PD."""
@@ -105,6 +106,25 @@ class Challenger:
         scored = scored.withColumn("raw_score", self.scaling.to_score(F.col("probability_of_default")))
         return with_decision(scored, self.bands).drop("_raw")
 
+    def save(self, spark: SparkSession, folder: str) -> None:
+        """Parameter tables, readable by any engine: nodes, features, curve, scale and bands."""
+        write_tables({
+            "nodes": self.trees.to_frame(spark),
+            "features": spark.createDataFrame(list(enumerate(self.features)), "position int, feature string"),
+            "curve": spark.createDataFrame(curve_rows(self.calibrator), CURVE_SCHEMA),
+            "settings": spark.createDataFrame([(self.scaling.base_score, self.scaling.base_odds, self.scaling.pdo)], "base_score double, base_odds double, pdo double"),
+            "bands": band_frame(spark, self.bands),
+        }, folder)
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str) -> Challenger:
+        def read(name: str) -> DataFrame:
+            return spark.read.parquet(f"{folder}/{name}")
+
+        features = [r["feature"] for r in sorted(read("features").collect(), key=lambda r: r["position"])]
+        s = read("settings").first()
+        return cls(Trees.from_frame(read("nodes"), features), curve_of(read("curve")), ScoreScaling(s["base_score"], s["base_odds"], s["pdo"]), bands_of(read("bands")))
+
 
 def tree_vector(df: DataFrame, features: list[str]) -> DataFrame:
     """Feature vector for trees.  A missing value sits left of every other one, so a split
@@ -165,7 +185,7 @@ def fit_challenger(
             best = best or 1 + min(range(rounds), key=losses.__getitem__)
             break
         rounds = min(max_iter, 2 * rounds)
-    return Challenger(model if best == rounds else boosted(best), list(features))
+    return Challenger(Trees.of(model if best == rounds else boosted(best), features))
 
 
 def permutation_importance(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import math
 from dataclasses import dataclass, field, replace
 
@@ -53,6 +52,38 @@ def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
+# --- curves and bands as tables -----------------------------------------------------------
+CURVE_SCHEMA = "kind string, position int, x double, y double"
+
+
+def curve_rows(curve: IsotonicCurve | PlattCurve | None) -> list[tuple]:
+    """A calibrator as rows: the points of a step curve, or slope and intercept."""
+    if isinstance(curve, IsotonicCurve):
+        return [("isotonic", i, float(x), float(y)) for i, (x, y) in enumerate(zip(curve.boundaries, curve.predictions))]
+    return [("platt", 0, curve.slope, curve.intercept)] if curve else [("none", 0, None, None)]
+
+
+def curve_of(table: DataFrame) -> IsotonicCurve | PlattCurve | None:
+    rows = sorted(table.collect(), key=lambda r: r["position"])
+    if rows[0]["kind"] == "platt":
+        return PlattCurve(rows[0]["x"], rows[0]["y"])
+    return IsotonicCurve([r["x"] for r in rows], [r["y"] for r in rows]) if rows[0]["kind"] == "isotonic" else None
+
+
+def band_frame(spark: SparkSession, bands: tuple) -> DataFrame:
+    return spark.createDataFrame([(n, float(m), l) for n, m, l in bands], "name string, min_score double, label string")
+
+
+def bands_of(table: DataFrame) -> tuple:
+    return tuple((r["name"], r["min_score"], r["label"]) for r in sorted(table.collect(), key=lambda r: -r["min_score"]))
+
+
+def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
+    """Tables of a model, each a few rows, one file each."""
+    for name, df in tables.items():
+        df.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
 @dataclass(frozen=True)
 class Scorecard:
     """Everything that turns an applicant into a decision, as plain numbers."""
@@ -73,24 +104,16 @@ class Scorecard:
 
     # --- persistence: parameter tables, readable by any engine ---------------------------
     def save(self, spark: SparkSession, folder: str) -> None:
-        c = self.calibrator
-        curve = (
-            {"kind": "isotonic", "boundaries": c.boundaries, "predictions": c.predictions} if isinstance(c, IsotonicCurve)
-            else {"kind": "platt", "slope": c.slope, "intercept": c.intercept} if isinstance(c, PlattCurve) else {"kind": "none"}
-        )
-        tables = {
-            "coefficients": spark.createDataFrame(list(enumerate(self.features)), "position int, feature string")
-            .join(spark.createDataFrame(list(self.coefficients.items()), "feature string, beta double"), "feature"),
+        write_tables({
+            "coefficients": spark.createDataFrame([(i, f, b) for i, (f, b) in enumerate(self.coefficients.items())], "position int, feature string, beta double"),
             "bins": self.bins.to_frame(spark),
             "bin_table": self.bins.table(spark),
             "settings": spark.createDataFrame(
-                [(self.intercept, self.scaling.base_score, self.scaling.base_odds, self.scaling.pdo, json.dumps(curve))],
-                "intercept double, base_score double, base_odds double, pdo double, calibrator string",
+                [(self.intercept, self.scaling.base_score, self.scaling.base_odds, self.scaling.pdo)], "intercept double, base_score double, base_odds double, pdo double"
             ),
-            "bands": spark.createDataFrame([(n, float(m), l) for n, m, l in self.bands], "name string, min_score double, label string"),
-        }
-        for name, df in tables.items():
-            df.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}")
+            "curve": spark.createDataFrame(curve_rows(self.calibrator), CURVE_SCHEMA),
+            "bands": band_frame(spark, self.bands),
+        }, folder)
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str) -> Scorecard:
@@ -98,16 +121,10 @@ class Scorecard:
             return spark.read.parquet(f"{folder}/{name}")
 
         s = read("settings").first()
-        curve = json.loads(s["calibrator"])
-        calibrator = (
-            IsotonicCurve(curve["boundaries"], curve["predictions"]) if curve["kind"] == "isotonic"
-            else PlattCurve(curve["slope"], curve["intercept"]) if curve["kind"] == "platt" else None
-        )
         betas = sorted(read("coefficients").collect(), key=lambda r: r["position"])
-        bands = tuple((r["name"], r["min_score"], r["label"]) for r in sorted(read("bands").collect(), key=lambda r: -r["min_score"]))
         return cls(
             WoeBins.from_frames(read("bins"), read("bin_table")), {r["feature"]: r["beta"] for r in betas}, s["intercept"],
-            calibrator, ScoreScaling(s["base_score"], s["base_odds"], s["pdo"]), bands,
+            curve_of(read("curve")), ScoreScaling(s["base_score"], s["base_odds"], s["pdo"]), bands_of(read("bands")),
         )
 
 

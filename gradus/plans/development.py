@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,7 +16,7 @@ from gradus.operators.features import MODEL_FEATURES, TARGET
 from gradus.operators.fitting import Challenger, fit_calibrator, fit_challenger, fit_champion
 from gradus.operators.scoring import Scorecard, add_log_odds, score, sigmoid
 from gradus.operators.selection import Selection, fit_and_select
-from gradus.operators.woe import WoeBins, woe_fit
+from gradus.operators.woe import WoeBins
 from gradus.sources.tables import materialise, take_split, write_report
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -52,7 +52,7 @@ def develop(
     if rounds:
         challenger = fit_challenger(train, valid, selection.selected, target, max_iter=rounds)
         curve = fit_calibrator(challenger.raw_probability(valid), "_raw", target, calibration)
-        challenger = Challenger(challenger.model, challenger.features, curve, bands=bands)
+        challenger = replace(challenger, calibrator=curve, bands=bands)
     return Development(bins, selection, card, challenger)
 
 
@@ -93,6 +93,8 @@ def champion_reports(gold: DataFrame, scorer: Scorer, target: str = TARGET, band
 def write_development(result: Development, gold: DataFrame, folder: str) -> None:
     spark = gold.sparkSession
     result.card.save(spark, f"{folder}/scorecard")
+    if result.challenger is not None:
+        result.challenger.save(spark, f"{folder}/challenger")
     write_report(result.selection.report(spark), f"{folder}/information_values")
     write_report(result.bins.table(spark), f"{folder}/woe_bin_table")
     write_report(candidate_metrics(result.scorers, gold), f"{folder}/metrics")

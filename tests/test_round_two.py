@@ -59,7 +59,7 @@ def test_challenger_goes_past_the_first_tree(spark):
     train, valid, test = (df.where(F.col("id") % 3 == i) for i in range(3))
     found = fit.fit_challenger(train, valid, ["a", "b"], "y", max_iter=24, patience=6)
     single = fit.fit_challenger(train, valid, ["a", "b"], "y", max_iter=1, patience=0)
-    assert found.model.getNumTrees > 1 and single.model.getNumTrees == 1
+    assert len(found.trees.trees) > 1 and len(single.trees.trees) == 1
     auc = [ev.auc_gini(m.raw_probability(test, "p"), "p", "y").first().auc for m in (found, single)]
     assert auc[0] > auc[1]
 
