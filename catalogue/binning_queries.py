@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.ctes import bins_over, with_
+from catalogue.ctes import bin_label, bins_over, with_
 from catalogue.fixed import FIXED_EDGES
 from catalogue.inputs import r6, splits
 from gradus.functions.columns import iv_strength
@@ -49,11 +49,11 @@ def d03_bin_counts(spark, sf):
 
 
 def d06_monotone_bins(spark, sf):
-    return woe.woe_fit(_train(spark, sf), MODEL_FEATURES, TARGET).table(spark).drop("bin").withColumns(r6("bad_rate", "woe", "iv_contribution"))
+    return woe.woe_fit(_train(spark, sf), MODEL_FEATURES, TARGET).table(spark).withColumns(r6("bad_rate", "woe", "iv_contribution"))
 
 
 def d07_woe_iv_coarse(spark, sf):
-    return _coarse(spark, sf).table(spark).drop("bin").withColumns(r6("bad_rate", "woe", "iv_contribution"))
+    return _coarse(spark, sf).table(spark).withColumns(r6("bad_rate", "woe", "iv_contribution"))
 
 
 def d10_woe_transform_fixed_bins(spark, sf):
@@ -184,14 +184,14 @@ ORACLES = {
         CASE WHEN iv < 0.02 THEN 'unpredictive' WHEN iv < 0.1 THEN 'weak' WHEN iv < 0.3 THEN 'medium' WHEN iv < 0.5 THEN 'strong' ELSE 'suspiciously strong - check for leakage' END AS strength,
         reason IS NULL AND hit IS NULL AS selected, coalesce(reason, 'correlated ' || printf('%.2f', hit.r) || ' with ' || hit.name, '') AS exclusion_reason
         FROM rated LEFT JOIN walked USING (feature)""",
-    "d06_monotone_bins": with_("train_long", "edges", extra=_MERGED) + """SELECT feature, bin_index, cast(goods + bads AS bigint) AS count, cast(goods AS bigint) AS goods,
-        cast(bads AS bigint) AS bads, round(bads / greatest(goods + bads, 1), 6) AS bad_rate, round(ln(sg / sb), 6) AS woe, round((sg - sb) * ln(sg / sb), 6) AS iv_contribution FROM merged_shares""",
+    "d06_monotone_bins": with_("train_long", "edges", extra=_MERGED) + f"""SELECT feature, bin_index, {bin_label('e')} AS bin, cast(goods + bads AS bigint) AS count, cast(goods AS bigint) AS goods,
+        cast(bads AS bigint) AS bads, round(bads / greatest(goods + bads, 1), 6) AS bad_rate, round(ln(sg / sb), 6) AS woe, round((sg - sb) * ln(sg / sb), 6) AS iv_contribution FROM merged_shares JOIN monotone USING (feature)""",
     "d01_edges": with_("edges") + "SELECT feature, cast(i AS int) AS position, edges[i + 1] AS edge FROM (SELECT feature, edges, unnest(range(len(edges))) AS i FROM edges)",
     "d02_bin_assignment": with_("fixed_edges", "train_long", extra=_FIXED_WIDE) + "SELECT applicant_id, "
     + ", ".join(f"cast(max(bin_index) FILTER (feature = '{f}') AS int) AS bin_{f}" for f in FIXED) + " FROM placed GROUP BY 1",
     "d03_bin_counts": _COARSE + "SELECT feature, cast(bin_index AS int) AS bin_index, count, goods, bads FROM bin_counts",
-    "d07_woe_iv_coarse": _COARSE + """SELECT feature, bin_index, count, goods, bads, round(bad_rate, 6) AS bad_rate, round(woe, 6) AS woe,
-        round(iv_contribution, 6) AS iv_contribution FROM woe""",
+    "d07_woe_iv_coarse": _COARSE + f"""SELECT feature, bin_index, {bin_label()} AS bin, count, goods, bads, round(bad_rate, 6) AS bad_rate, round(woe, 6) AS woe,
+        round(iv_contribution, 6) AS iv_contribution FROM woe JOIN edges USING (feature)""",
     "d10_woe_transform_fixed_bins": with_("fixed_edges", "train_long", extra=_FIXED_WIDE) + "SELECT applicant_id, "
     + ", ".join(f"round({f}, 6) AS woe_{f}" for f in FIXED) + " FROM wide",
     "d12_iv_rank": _COARSE + f"SELECT feature, round(iv, 6) AS information_value FROM ({_IV})",

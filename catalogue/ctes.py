@@ -138,6 +138,14 @@ def bins_over(edges: str) -> dict[str, str]:
     }
 
 
+def bin_label(edges: str = "edges", index: str = "bin_index") -> str:
+    """Interval that a bin of a list of cut points stands for."""
+    cut = lambda i: f"format('{{:g}}', {edges}[{i}])"
+    low = f"CASE WHEN {index} = 0 THEN '(-inf' ELSE '(' || {cut(index)} END"
+    high = f"CASE WHEN {index} = len({edges}) THEN 'inf)' ELSE {cut(f'{index} + 1')} || ']' END"
+    return f"CASE WHEN {index} = -1 THEN 'Missing' ELSE {low} || ', ' || {high} END"
+
+
 _add("scored", [], f"""
   SELECT id, cast(pm AS double) / 1000 AS p, CASE WHEN w < pm THEN 1 ELSE 0 END AS y, seg FROM (
     SELECT id, seg, w, 20 + (60 * u) // 16 + CASE WHEN v = 0 THEN 400 ELSE 0 END AS pm FROM (

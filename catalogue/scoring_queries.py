@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalogue.ctes import bins_over, md5u, with_
+from catalogue.ctes import bin_label, bins_over, md5u, with_
 from catalogue.fixed import BANDS, BETAS, CURVE, FIXED_EDGES, INTERCEPT, SEED
 from catalogue.inputs import fixed_card, r6, splits
 from gradus.functions.columns import ScoreScaling, assign_band
@@ -127,18 +127,18 @@ def e14_published_scorecard(spark, sf):
 # --- explanation --------------------------------------------------------------------------
 def g01_points_fixed_model(spark, sf):
     card = _fixed(spark, sf)[0]
-    return ex.points_table(spark, card).drop("bin").withColumns(r6("bad_rate", "woe"))
+    return ex.points_table(spark, card).withColumns(r6("bad_rate", "woe"))
 
 
 def g03_contributions(spark, sf):
     card, _, _, test = _fixed(spark, sf)
     points = materialise(ex.points_table(spark, card))
-    return ex.explain(test, card, points).drop("bin").withColumns(r6("bin_bad_rate"))
+    return ex.explain(test, card, points).withColumns(r6("bin_bad_rate"))
 
 
 def g04_reason_codes(spark, sf):
     card, _, _, test = _fixed(spark, sf)
-    return ex.reason_codes(test, card, materialise(ex.points_table(spark, card))).drop("bin", "shown_value")
+    return ex.reason_codes(test, card, materialise(ex.points_table(spark, card)))
 
 
 def g05_importance(spark, sf):
@@ -290,12 +290,12 @@ ORACLES = {
     "e10_decision_fixed_model": _W + "SELECT applicant_id, round(pd, 6) AS probability_of_default, score, band FROM decided",
     "e11_band_counts": _W + "SELECT band, count(*) AS applicants FROM decided GROUP BY 1",
     "e12_decision_struct": _W + "SELECT applicant_id, round(pd, 6) AS probability_of_default, score, band FROM decided",
-    "g01_points_fixed_model": _W + f"""SELECT feature, {_DESCRIBE} AS description, bin_index, count, round(bad_rate, 6) AS bad_rate, round(woe, 6) AS woe,
-        points, max_points_for_feature, points_lost FROM points""",
-    "g03_contributions": _W + f"""SELECT applicant_id, rank, feature, {_DESCRIBE} AS description, value, bin_index, points, points_lost,
-        round(bad_rate, 6) AS bin_bad_rate FROM explained""",
-    "g04_reason_codes": _W + f"""SELECT applicant_id, rank, feature, {_DESCRIBE} AS reason, value AS applicant_value, round(points_lost, 1) AS points_lost,
-        round(bad_rate, 4) AS bin_default_rate FROM explained WHERE points_lost > 0.5 AND rank <= 4""",
+    "g01_points_fixed_model": _W + f"""SELECT feature, {_DESCRIBE} AS description, bin_index, {bin_label()} AS bin, count, round(bad_rate, 6) AS bad_rate, round(woe, 6) AS woe,
+        points, max_points_for_feature, points_lost FROM points JOIN fixed_edges USING (feature)""",
+    "g03_contributions": _W + f"""SELECT applicant_id, rank, feature, {_DESCRIBE} AS description, value, bin_index, {bin_label()} AS bin, points, points_lost,
+        round(bad_rate, 6) AS bin_bad_rate FROM explained JOIN fixed_edges USING (feature)""",
+    "g04_reason_codes": _W + f"""SELECT applicant_id, rank, feature, {_DESCRIBE} AS reason, value AS applicant_value, coalesce(cast(value AS varchar), '{ex.NOT_REPORTED}') AS shown_value, {bin_label()} AS bin, round(points_lost, 1) AS points_lost,
+        round(bad_rate, 4) AS bin_default_rate FROM explained JOIN fixed_edges USING (feature) WHERE points_lost > 0.5 AND rank <= 4""",
     "g05_importance": _W + f"""SELECT feature, {_DESCRIBE} AS description, min(points) AS min, max(points) AS max, round(max(points) - min(points), 2) AS points_range,
         round(sum(count * abs(points - mean)) / sum(count), 2) AS population_weighted_spread, round(max(count) / sum(count), 3) AS largest_bin_share
         FROM points JOIN (SELECT feature, sum(points * count) / sum(count) AS mean FROM points GROUP BY 1) USING (feature) GROUP BY 1""",
