@@ -24,6 +24,7 @@ ROWS_PER_BUCKET = 1_000_000
 CUT_SKETCH = 8_192
 BRACKET_SKETCH = 2_048
 MERGE_WIDTH = 256
+RANK_STRETCHES = 1_024
 
 
 def melt(df: DataFrame, keep: list[str], cells: dict[str, list[Column]], names: list[str]) -> DataFrame:
@@ -333,9 +334,13 @@ def totals_at_ranks(
     if not ranks:
         return n, bads, {}
     ranked = running_totals(table, "key", ["n", "bads", "sum_p"], rows_per_bucket=rows_per_bucket, n_rows=totals["scores"])
-    wanted = df.sparkSession.createDataFrame([(r,) for r in ranks], "rank long")
-    hits = ranked.join(
-        F.broadcast(wanted), (F.col("rank") > F.col("cum_n") - F.col("n")) & (F.col("rank") <= F.col("cum_n"))
+    # Ranks are met by the stretch they lie in.  A score takes part in as many stretches as its
+    # rows reach over, so all scores together make RANK_STRETCHES rows more at most.
+    stretch = max(1, -(-n // RANK_STRETCHES))
+    wanted = df.sparkSession.createDataFrame([(r, (r - 1) // stretch) for r in ranks], "rank long, place long")
+    reach = F.sequence(F.expr(f"(cum_n - n) div {stretch}"), F.expr(f"(cum_n - 1) div {stretch}"))
+    hits = ranked.withColumn("stretch", F.explode(reach)).join(
+        F.broadcast(wanted), (F.col("stretch") == F.col("place")) & (F.col("rank") > F.col("cum_n") - F.col("n")) & (F.col("rank") <= F.col("cum_n"))
     ).collect()
     out, cut_through = {}, {}
     for h in hits:

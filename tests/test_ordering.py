@@ -1,5 +1,7 @@
 """Global order statistics against numpy, on the plain and on the bucketed path."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +152,23 @@ def test_small_and_empty_inputs(spark):
     assert ev.gains_table(none, "p", "y", "id").count() == 0
     assert ev.approval_curve(none, "p", "y", "id").count() == 0
     assert ev.calibration_table(none, "p", "y", "id").count() == 0
+
+
+def test_ranks_are_met_without_a_nested_loop(spark, monkeypatch):
+    """The join of scores and wanted ranks has a key; ranks in long ties and short stretches are found."""
+    r = random.Random(12)
+    rows = [(i, 0.5 if i % 3 else round(r.random(), 3), int(r.random() < 0.3)) for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, p double, y int")
+    ordered = sorted((p, i, y) for i, p, y in rows)
+    plans = []
+    real = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: (plans.append(self._jdf.queryExecution().optimizedPlan().toString()), real(self))[1])
+    for stretches in (1, 7, 100_000):
+        monkeypatch.setattr(o, "RANK_STRETCHES", stretches)
+        wanted = [1, 2, 13, 350, 351, 352, 699, 700]
+        n, bads, cuts = o.totals_at_ranks(df, "p", "y", "id", lambda n: wanted)
+        assert (n, bads) == (700, sum(y for _, _, y in ordered)) and sorted(cuts) == wanted
+        for k, cut in cuts.items():
+            assert cut.p == ordered[k - 1][0] and cut.bads == sum(y for _, _, y in ordered[:k])
+            assert cut.sum_p == pytest.approx(sum(p for p, _, _ in ordered[:k]))
+    assert any("stretch" in p and "= place" in p for p in plans)
