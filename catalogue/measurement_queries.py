@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalogue.ctes import bins_over, md5u, with_
@@ -14,7 +16,9 @@ from gradus.operators import evaluation as ev
 from gradus.operators import scoring as sc
 from gradus.operators.features import MODEL_FEATURES, TARGET
 from gradus.operators.quality import gold_expectations
+from gradus.plans import monitoring
 from gradus.sources.retail import drift_pair, scored
+from gradus.sources.tables import read_appended, staging_dir, take_split
 
 SCALE = ScoreScaling()
 # Bands that spread the scores of the ``scored`` view.
@@ -121,9 +125,26 @@ def h04_drift_summary(spark, sf):
     return _drift(spark, sf).summary.withColumns(r6("score_psi", "reference_mean_score", "current_mean_score"))
 
 
+def _record_rows(record, *keep):
+    """A monitoring record with one row per shift that it lists."""
+    shifts = F.explode(F.from_json("largest_shifts", dr.SHIFTS_SCHEMA)).alias("s")
+    summary = ["score_psi", "score_verdict", "reference_mean_score", "current_mean_score", "action"]
+    return record.select(*keep, *summary, shifts).select(*keep, *summary, "s.*").withColumns(r6("score_psi", "reference_mean_score", "current_mean_score", "psi"))
+
+
 def a11_monitoring_row(spark, sf):
-    row = _drift(spark, sf).record()
-    return row.select("score_verdict", F.get_json_object("largest_shifts", "$[0].feature").alias("worst"), "action")
+    return _record_rows(_drift(spark, sf).record())
+
+
+def a10_appended_decisions(spark, sf):
+    """Two batches, one of them delivered twice, in the table that readers see."""
+    train, _, test = splits(spark, sf)
+    card = fixed_card(train)
+    dest = f"{staging_dir(spark)}/decisions-{uuid.uuid4().hex}"
+    for batch in (0, 1, 0):
+        monitoring.score_book(test.where(F.col("applicant_id") % 2 == batch), card, dest, "1", f"day {batch}")
+    seen = read_appended(spark, dest)
+    return seen.select("applicant_id", F.round("probability_of_default", 6).alias("probability_of_default"), "score", "band", "model_version", "batch")
 
 
 def h05_stress(spark, sf):
@@ -137,14 +158,9 @@ def h05_stress(spark, sf):
 
 
 def h06_control_and_treatment(spark, sf):
-    train, _, test = splits(spark, sf)
-    card = fixed_card(train)
-    reference = sc.score(train, card)
-    parts = []
-    for population, rows in (("holdout", test), ("shifted", dr.stress_shift(test, "applicant_id", SEED))):
-        report = dr.drift_report(reference, sc.score(rows, card), card.features, "raw_score")
-        parts.append(report.summary.withColumn("population", F.lit(population)))
-    return parts[0].unionByName(parts[1]).withColumns(r6("score_psi", "reference_mean_score", "current_mean_score"))
+    rows = gold(spark, sf)
+    card = fixed_card(take_split(rows, "train"))
+    return _record_rows(monitoring.control_and_treatment(rows, card, SEED), "population")
 
 
 def h07_train_test_psi(spark, sf):
@@ -166,7 +182,7 @@ def h09_gate(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     f01_auc, f02_ks, f03_evaluate, f04_calibration, f05_gains, f06_approval, f07_cutoff, f08_business, f09_bands, f10_monotone, f11_segments,
-    f12_summary, f13_hist, h01_psi, h02_discrete_psi, h03_verdict, h04_drift, h04_drift_summary, a11_monitoring_row, h05_stress,
+    f12_summary, f13_hist, h01_psi, h02_discrete_psi, h03_verdict, h04_drift, h04_drift_summary, a10_appended_decisions, a11_monitoring_row, h05_stress,
     h06_control_and_treatment, h07_train_test_psi, h08_expectations, h09_gate,
 )}
 
@@ -254,26 +270,34 @@ def _population(name: str, source: str, changes: dict[str, str]) -> dict[str, st
     placed = ", ".join(f"CASE WHEN {f} IS NULL THEN -1 ELSE len(list_filter({FIXED_EDGES[f]}::double[], lambda e: e < {f})) END AS {f}" for f in BETAS)
     looked_up = ", ".join(f"coalesce((SELECT woe FROM woe WHERE feature = '{f}' AND bin_index = {name}_bins.{f}), 0) AS w_{f}" for f in BETAS)
     return {
-        f"{name}_bins": f"SELECT {placed} FROM (SELECT {columns} FROM gold WHERE split = '{source}')",
-        name: f"SELECT {OFFSET} - {FACTOR} * {fixed_order_logit('w_')} AS raw_score FROM (SELECT {looked_up} FROM {name}_bins)",
+        f"{name}_bins": f"SELECT {placed}, {', '.join(f'{f} AS v_{f}' for f in BETAS)} FROM (SELECT {columns} FROM gold WHERE split = '{source}')",
+        name: f"SELECT {OFFSET} - {FACTOR} * {fixed_order_logit('w_')} AS raw_score, {', '.join(f'v_{f} AS {f}' for f in BETAS)} FROM (SELECT {looked_up}, * FROM {name}_bins)",
     }
 
 
 _SHIFTED = {"age": f"least(greatest(age - 8::double * (0.5::double + {_U}), 18), 100)", **{c: f"{c} * {m}::double" for c, m in _STRESS.items()}}
 
 
+def _recorded(score: str, reference: str, current: str) -> str:
+    """A monitoring record over the table psi, one row per listed shift."""
+    return f"""round(t.psi, 6) AS score_psi, v AS score_verdict,
+        round((SELECT avg({score}) FROM {reference}), 6) AS reference_mean_score, round((SELECT avg({score}) FROM {current}), 6) AS current_mean_score,
+        {_ACTION} AS action, shift_rank, f.feature, round(f.psi, 6) AS psi, {_VERDICT.replace('psi', 'f.psi')} AS verdict
+        FROM (SELECT psi, {_VERDICT} AS v FROM psi WHERE feature = '{score}') t,
+        (SELECT feature, psi, cast(row_number() OVER (ORDER BY psi DESC, feature) AS int) AS shift_rank FROM psi
+         WHERE feature <> '{score}' AND reference_rows >= 10 AND current_rows >= 10) f WHERE shift_rank <= 5"""
+
+
 def _control(name: str, changes: dict[str, str]) -> str:
     extra = {
         **bins_over("fixed_edges"), **_population("train_scores", "train", {}), **_population("current_scores", "test", changes),
-        **stability(["raw_score"], "train_scores", "current_scores"),
+        **stability(["raw_score", *BETAS], "train_scores", "current_scores"),
     }
-    return with_("train_long", "fixed_edges", extra=extra) + f"""SELECT '{name}' AS population, round(psi, 6) AS score_psi, v AS score_verdict,
-        round((SELECT avg(raw_score) FROM train_scores), 6) AS reference_mean_score, round((SELECT avg(raw_score) FROM current_scores), 6) AS current_mean_score,
-        {_ACTION} AS action FROM (SELECT psi, {_VERDICT} AS v FROM psi)"""
+    return with_("train_long", "fixed_edges", extra=extra) + f"""SELECT '{name}' AS population, {_recorded('raw_score', 'train_scores', 'current_scores')}"""
 
 
 ORACLES = {
-    "h06_control_and_treatment": f"SELECT * FROM ({_control('holdout', {})}) UNION ALL SELECT * FROM ({_control('shifted', _SHIFTED)})",
+    "h06_control_and_treatment": f"SELECT * FROM ({_control('holdout', {})}) UNION ALL SELECT * FROM ({_control('shifted_population', _SHIFTED)})",
     "f01_auc": _M + "SELECT round(auc, 6) AS auc, round(2 * auc - 1, 6) AS gini FROM measured",
     "f02_ks": _M + "SELECT round(ks, 6) AS ks FROM measured",
     "f03_evaluate": _M + """SELECT round(auc, 6) AS auc, round(2 * auc - 1, 6) AS gini, round(ks, 6) AS ks, round(brier, 6) AS brier, round(log_loss, 6) AS log_loss,
@@ -322,8 +346,9 @@ ORACLES = {
         FROM psi WHERE feature <> 'p' AND reference_rows >= 10 AND current_rows >= 10""",
     "h04_drift_summary": _drift_with(_ALL) + f"""SELECT round(psi, 6) AS score_psi, v AS score_verdict, round((SELECT avg(p) FROM drift_ref), 6) AS reference_mean_score,
         round((SELECT avg(p) FROM drift_cur), 6) AS current_mean_score, {_ACTION} AS action FROM (SELECT psi, {_VERDICT} AS v FROM psi WHERE feature = 'p')""",
-    "a11_monitoring_row": _drift_with(_ALL) + f"""SELECT v AS score_verdict, (SELECT feature FROM psi WHERE feature <> 'p' ORDER BY psi DESC, feature LIMIT 1) AS worst,
-        {_ACTION} AS action FROM (SELECT {_VERDICT} AS v FROM psi WHERE feature = 'p')""",
+    "a11_monitoring_row": _drift_with(_ALL) + f"SELECT {_recorded('p', 'drift_ref', 'drift_cur')}",
+    "a10_appended_decisions": with_("train_long", "fixed_edges", extra=MODEL)
+    + "SELECT applicant_id, round(pd, 6) AS probability_of_default, score, band, '1' AS model_version, 'day ' || (applicant_id % 2) AS batch FROM decided",
     "h05_stress": with_("gold") + f"SELECT applicant_id, least(greatest(age - 8::double * (0.5::double + {_U}), 18), 100) AS age, "
     + ", ".join(f"round({c} * {m}::double, 6) AS {c}" if c.startswith("log") else f"{c} * {m}::double AS {c}" for c, m in _STRESS.items()) + " FROM gold WHERE split = 'test'",
     "h07_train_test_psi": with_("train_long", "fixed_edges", extra=_PD_SIDES) + f"SELECT feature, reference_rows, current_rows, round(psi, 6) AS psi, {_VERDICT} AS verdict FROM psi",

@@ -123,6 +123,9 @@ def with_verdict(table: DataFrame, stable: float = 0.10, investigate: float = 0.
     return table.withColumn("verdict", psi_verdict(F.col("psi"), stable, investigate))
 
 
+SHIFTS_SCHEMA = "array<struct<shift_rank: int, feature: string, psi: double, verdict: string>>"
+
+
 @dataclass(frozen=True)
 class DriftReport:
     """``shifts``: PSI, verdict and rank per feature.  ``summary``: one row on the score."""
@@ -140,10 +143,14 @@ class DriftReport:
 
 
 def drift_report(
-    reference: DataFrame, current: DataFrame, features: list[str], score: str, bins: int = 10, stable: float = 0.10, investigate: float = 0.25
+    reference: DataFrame, current: DataFrame, features: list[str], score: str, bins: int = 10, stable: float = 0.10, investigate: float = 0.25,
+    spec: dict[str, StabilityBins] | None = None,
 ) -> DriftReport:
-    """PSI of the score and of every feature, from one set of bins and one pass per side."""
-    spec = stability_bins(reference, [score, *features], bins)
+    """PSI of the score and of every feature, from one set of bins and one pass per side.
+
+    ``spec`` are bins of the reference that are known already.
+    """
+    spec = stability_bins(reference, [score, *features], bins) if spec is None else spec
     table = materialise(with_verdict(stability_index(reference, current, spec), stable, investigate))
     enough = (F.col("feature") != score) & (F.col("reference_rows") >= bins) & (F.col("current_rows") >= bins)
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("psi"), "feature"))  # a row per feature

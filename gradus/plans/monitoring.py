@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradus.operators.drift import DriftReport, drift_report, stop_the_line, stress_shift
+from gradus.operators.drift import DriftReport, drift_report, stability_bins, stop_the_line, stress_shift
 from gradus.operators.scoring import Scorecard, decide, score
 from gradus.sources.tables import append_decisions, append_monitoring_row, materialise, take_split
 
 
-def score_book(gold: DataFrame, card: Scorecard, dest: str, model_version: str) -> None:
-    """Append a decision per applicant.  Scoring is plain expressions: no UDF, no shuffle."""
-    append_decisions(decide(gold, card), dest, model_version)
+def score_book(gold: DataFrame, card: Scorecard, dest: str, model_version: str, batch: str | None = None) -> bool:
+    """Append a decision per applicant.  Scoring is plain expressions: no UDF, no shuffle.
+
+    A named batch is added once, however often the job is run.
+    """
+    return append_decisions(decide(gold, card), dest, model_version, batch=batch)
 
 
 def monitor(
@@ -30,11 +33,17 @@ def monitor(
 
 
 def control_and_treatment(gold: DataFrame, card: Scorecard, seed: int = 42, intensity: float = 1.0) -> DataFrame:
-    """Drift of the holdout (should be none) and of a stressed holdout (should be seen)."""
+    """Drift of the holdout (should be none) and of a stressed holdout (should be seen).
+
+    One row per population: the score's summary and the largest feature shifts.  The bins of the
+    reference are worked out once for both.
+    """
     train, test = take_split(gold, "train"), take_split(gold, "test")
-    reference = materialise(score(train, card).select("applicant_id", *card.features, "raw_score"))
+    narrow = ["applicant_id", *card.features, "raw_score"]
+    reference = materialise(score(train, card).select(*narrow))
+    spec = stability_bins(reference, ["raw_score", *card.features], 10)
     rows = []
     for population, side in (("holdout", test), ("shifted_population", stress_shift(test, "applicant_id", seed, intensity))):
-        report = drift_report(reference, score(side, card), card.features, "raw_score")
+        report = drift_report(reference, score(side, card).select(*narrow), card.features, "raw_score", spec=spec)
         rows.append(report.record().withColumn("population", F.lit(population)))
     return rows[0].unionByName(rows[1])

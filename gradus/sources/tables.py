@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,27 +121,60 @@ def take_split(gold: DataFrame, name: str) -> DataFrame:
     return gold.filter(F.col("split") == F.lit(name))
 
 
-def _append(df: DataFrame, dest: str, fmt: str) -> None:
-    """Append to a table whose schema is fixed by its first rows; other columns or types are refused."""
+# Appended tables.  Rows of a batch are written into a folder of their own attempt; one row in
+# the table of commits, written last, makes an attempt count.  The first commit of a batch wins,
+# so a job that is run again, or twice at a time, adds its rows once.
+_COMMITS = "_commits"  # underscored folders are not read as part of a table
+_PLACE = ["batch", "attempt"]
+
+
+def commits(spark: SparkSession, dest: str) -> DataFrame:
+    """batch and the attempt that counts for it."""
+    try:
+        log = spark.read.parquet(f"{dest}/{_COMMITS}")
+    except AnalysisException:  # nothing was ever committed
+        return spark.createDataFrame([], "batch string, attempt string")
+    return log.groupBy("batch").agg(F.min(F.struct("committed_at", "attempt")).alias("first")).select("batch", "first.attempt")
+
+
+def read_appended(spark: SparkSession, dest: str, fmt: str = "parquet") -> DataFrame:
+    """Rows of all committed batches, with their ``batch``; what was never committed is not seen."""
+    rows = spark.read.format(fmt).load(dest).withColumns({c: F.col(c).cast("string") for c in _PLACE})
+    return rows.join(F.broadcast(commits(spark, dest)), _PLACE, "left_semi").drop("attempt")
+
+
+def _append(df: DataFrame, dest: str, fmt: str, batch: str | None) -> bool:
+    """Append a batch to a table whose schema is fixed by its first rows; False if it is there already.
+
+    Without a name every call is a batch of its own.  Other columns or types are refused.
+    """
+    spark = df.sparkSession
+    batch = uuid.uuid4().hex if batch is None else batch
     try:
-        stored = read_table(df.sparkSession, dest, fmt).schema
+        stored = read_table(spark, dest, fmt).drop(*_PLACE).schema
     except AnalysisException:  # no table there yet
         stored = None
     if stored is not None:
         have, want = ({f.name: f.dataType.simpleString() for f in schema.fields} for schema in (df.schema, stored))
         if have != want:
             raise ValueError(f"{dest} holds {want}, not {have}")
-    df.write.mode("append").format(fmt).save(dest)
+    if not commits(spark, dest).where(F.col("batch") == batch).isEmpty():
+        return False
+    attempt = f"a{uuid.uuid4().hex}"
+    df.write.format(fmt).save(f"{dest}/batch={quote(batch, safe='')}/attempt={attempt}")
+    row = spark.createDataFrame([(batch, attempt)], "batch string, attempt string").withColumn("committed_at", F.current_timestamp())
+    row.coalesce(1).write.mode("append").parquet(f"{dest}/{_COMMITS}")
+    return True
 
 
-def append_decisions(decisions: DataFrame, dest: str, model_version: str, fmt: str = "parquet") -> None:
-    """Append scored rows, stamped; the stored schema is fixed."""
-    _append(decisions.withColumns({"scored_at": F.current_timestamp(), "model_version": F.lit(model_version)}), dest, fmt)
+def append_decisions(decisions: DataFrame, dest: str, model_version: str, fmt: str = "parquet", batch: str | None = None) -> bool:
+    """Append scored rows, stamped; the stored schema is fixed, and a named batch is added once."""
+    return _append(decisions.withColumns({"scored_at": F.current_timestamp(), "model_version": F.lit(model_version)}), dest, fmt, batch)
 
 
-def append_monitoring_row(report: DataFrame, dest: str, model_version: str, fmt: str = "parquet") -> None:
+def append_monitoring_row(report: DataFrame, dest: str, model_version: str, fmt: str = "parquet", batch: str | None = None) -> bool:
     """Append the one-row monitoring record built by ``operators.drift.monitoring_record``."""
-    _append(report.withColumns({"checked_at": F.current_timestamp(), "model_version": F.lit(model_version)}), dest, fmt)
+    return _append(report.withColumns({"checked_at": F.current_timestamp(), "model_version": F.lit(model_version)}), dest, fmt, batch)
 
 
 def write_report(df: DataFrame, dest: str, fmt: str = "csv") -> None:

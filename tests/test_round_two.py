@@ -126,3 +126,27 @@ def test_candidates_are_fitted_on_the_selected_features(spark, monkeypatch):
         with pytest.raises(Fitted) as found:
             query(spark, sf)
         assert found.value.args[0] == sorted(selected)
+
+
+def test_a_batch_is_appended_once(spark, tmp_path, monkeypatch):
+    dest = str(tmp_path / "decisions")
+    rows = lambda *ids: spark.createDataFrame([(i, 600 + i) for i in ids], "id long, score int")
+    assert tables.append_decisions(rows(1, 2), dest, "1", batch="day 1")
+    assert not tables.append_decisions(rows(1, 2), dest, "1", batch="day 1")
+    assert tables.append_decisions(rows(3), dest, "1", batch="day 2/x")
+
+    # A job that dies after its rows are written and before they are committed.
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_COMMITS", "_elsewhere/_commits")
+        tables.append_decisions(rows(4), dest, "1", batch="day 3")
+    assert spark.read.parquet(dest).count() == 4 and {r.id for r in tables.read_appended(spark, dest).collect()} == {1, 2, 3}
+    assert tables.append_decisions(rows(4), dest, "1", batch="day 3")
+
+    # Two writers that both found the batch missing: the first commit counts.
+    missing = tables.commits
+    with monkeypatch.context() as m:
+        m.setattr(tables, "commits", lambda spark, dest: missing(spark, dest).limit(0))
+        tables.append_decisions(rows(4), dest, "1", batch="day 3")
+    seen = tables.read_appended(spark, dest)
+    assert sorted((r.id, r.batch) for r in seen.collect()) == [(1, "day 1"), (2, "day 1"), (3, "day 2/x"), (4, "day 3")]
+    assert tables.commits(spark, dest).count() == 3 and tables.commits(spark, str(tmp_path / "none")).count() == 0
