@@ -10,16 +10,16 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from gradus.functions.columns import DEFAULT_BANDS, MISSING_BIN, ScoreScaling, bin_index, literal, md5_int, number, quoted, with_row
 from gradus.operators.evaluation import auc_gini
+from gradus.operators.isotonic import curve_points, pooled_blocks
 from gradus.operators.ordering import melt, score_table
 from gradus.operators.scoring import (
-    CURVE_SCHEMA, IsotonicCurve, PlattCurve, Scorecard, band_frame, bands_of, calibrated_pd, curve_of, curve_rows, with_decision, write_tables,
+    IsotonicCurve, IsotonicTable, PlattCurve, Scorecard, band_frame, bands_of, calibrated_pd, curve_frame, curve_of, step_curve, with_decision, write_tables,
 )
 from gradus.operators.trees import ABSENT, Trees
 from gradus.operators.woe import WoeBins
@@ -63,13 +63,11 @@ def fit_champion(train: DataFrame, bins: WoeBins, target: str, c: float = 1.0, m
     return Scorecard(bins, dict(zip(features, (float(v) for v in model.coefficients))), float(model.intercept), **card)
 
 
-def fit_calibrator(df: DataFrame, p: str, y: str, method: str = "isotonic") -> IsotonicCurve | PlattCurve:
+def fit_calibrator(df: DataFrame, p: str, y: str, method: str = "isotonic") -> IsotonicCurve | IsotonicTable | PlattCurve:
     """Post-hoc calibrator, fitted on counted scores rather than on rows."""
     table = score_table(df, p, y)
     if method == "isotonic":
-        points = table.select("p", (F.col("bads") / F.col("n")).alias("rate"), F.col("n").cast("double").alias("weight"))
-        model = IsotonicRegression(featuresCol="p", labelCol="rate", weightCol="weight").fit(points)
-        return IsotonicCurve([float(v) for v in model.boundaries], [float(v) for v in model.predictions])
+        return step_curve(materialise(curve_points(pooled_blocks(table))))
     if method == "platt":
         goods = F.col("n") - F.col("bads")
         cells = table.select(
@@ -88,7 +86,7 @@ class Challenger:
     """Boosted trees on raw features, with calibrator and score scale."""
 
     trees: Trees
-    calibrator: IsotonicCurve | PlattCurve | None = None
+    calibrator: IsotonicCurve | IsotonicTable | PlattCurve | None = None
     scaling: ScoreScaling = ScoreScaling()
     bands: tuple = DEFAULT_BANDS
 
@@ -111,7 +109,7 @@ class Challenger:
         write_tables({
             "nodes": self.trees.to_frame(spark),
             "features": spark.createDataFrame(list(enumerate(self.features)), "position int, feature string"),
-            "curve": spark.createDataFrame(curve_rows(self.calibrator), CURVE_SCHEMA),
+            "curve": curve_frame(spark, self.calibrator),
             "settings": spark.createDataFrame([(self.scaling.base_score, self.scaling.base_odds, self.scaling.pdo)], "base_score double, base_odds double, pdo double"),
             "bands": band_frame(spark, self.bands),
         }, folder)

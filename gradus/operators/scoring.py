@@ -6,10 +6,11 @@ import math
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradus.functions.columns import DEFAULT_BANDS, ScoreScaling, assign_band, total
+from gradus.operators.ordering import sketched_quantiles
 from gradus.operators.woe import WoeBins, woe_transform
 
 PD_FLOOR = 1e-6
@@ -37,6 +38,48 @@ class IsotonicCurve:
         return placed.withColumn(out, value).drop("_slot")
 
 
+@dataclass(frozen=True)
+class IsotonicTable:
+    """A step curve of any number of points, kept as a table (x, y) and met by an interval lookup.
+
+    Points are grouped into stretches of x, each with the points beside it; a row meets its
+    stretch in a join with a key and looks up its neighbours there.
+    """
+
+    points: DataFrame
+    stretches: int = 1_024
+
+    def add(self, df: DataFrame, raw: str, out: str) -> DataFrame:
+        cuts: list[float] = []
+        if self.stretches > 1:
+            found = sketched_quantiles(self.points, ["x"], [i / self.stretches for i in range(1, self.stretches)], max(64, 4 * self.stretches)).first()["q_0"]
+            cuts = sorted({*(found or [])})
+
+        def split(rows: DataFrame, column: str) -> DataFrame:
+            if not cuts:
+                return rows.withColumn("_slot", F.lit(0.0))
+            return Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol=column, outputCol="_slot").transform(rows)
+
+        grouped = split(self.points, "x").groupBy("_slot").agg(F.sort_array(F.collect_list(F.struct("x", "y"))).alias("own"))
+        beside = Window.orderBy("_slot")  # a row per stretch
+        before, after = F.lag("own").over(beside), F.lead("own").over(beside)
+        near = grouped.select(F.col("_slot").alias("_place"), F.concat(
+            F.coalesce(F.slice(before, -1, 1), F.array()), "own", F.coalesce(F.slice(after, 1, 1), F.array())
+        ).alias("_near"))
+        # Stretches without points of their own have those of the nearest ones around them.
+        every = self.points.sparkSession.range(len(cuts) + 1).select(F.col("id").cast("double").alias("_place"))
+        order = Window.orderBy("_place")
+        filled = every.join(near, "_place", "left").select("_place", "_near", F.last("_near", True).over(order).alias("_l"), F.first("_near", True).over(order.rowsBetween(0, Window.unboundedFollowing)).alias("_r"))
+        near = filled.select("_place", F.coalesce("_near", F.array_distinct(F.concat(F.coalesce("_l", F.array()), F.coalesce("_r", F.array())))).alias("_near"))
+        joined = split(df, raw).join(near, F.col("_slot") == F.col("_place"), "left")
+        low = F.array_max(F.filter("_near", lambda p: p["x"] <= F.col(raw)))
+        high = F.array_min(F.filter("_near", lambda p: p["x"] > F.col(raw)))
+        met = joined.withColumns({"_low": low, "_high": high})
+        inside = F.col("_low.y") + (F.col("_high.y") - F.col("_low.y")) * (F.col(raw) - F.col("_low.x")) / (F.col("_high.x") - F.col("_low.x"))
+        value = F.when(F.col("_low").isNull(), F.col("_high.y")).when(F.col("_high").isNull(), F.col("_low.y")).otherwise(inside)
+        return met.withColumn(out, value).drop("_slot", "_place", "_near", "_low", "_high")
+
+
 @dataclass(frozen=True)
 class PlattCurve:
     """One-variable logistic calibrator."""
@@ -53,21 +96,35 @@ def sigmoid(x: Column) -> Column:
 
 
 # --- curves and bands as tables -----------------------------------------------------------
-CURVE_SCHEMA = "kind string, position int, x double, y double"
+CURVE_SCHEMA = "kind string, x double, y double"
+#: Points of a curve that may travel inside an expression.
+LITERAL_POINTS = 10_000
 
 
-def curve_rows(curve: IsotonicCurve | PlattCurve | None) -> list[tuple]:
+def curve_frame(spark: SparkSession, curve: IsotonicCurve | IsotonicTable | PlattCurve | None) -> DataFrame:
     """A calibrator as rows: the points of a step curve, or slope and intercept."""
+    if isinstance(curve, IsotonicTable):
+        return curve.points.select(F.lit("isotonic").alias("kind"), "x", "y")
     if isinstance(curve, IsotonicCurve):
-        return [("isotonic", i, float(x), float(y)) for i, (x, y) in enumerate(zip(curve.boundaries, curve.predictions))]
-    return [("platt", 0, curve.slope, curve.intercept)] if curve else [("none", 0, None, None)]
+        rows = [("isotonic", float(x), float(y)) for x, y in zip(curve.boundaries, curve.predictions)]
+    else:
+        rows = [("platt", curve.slope, curve.intercept)] if curve else [("none", None, None)]
+    return spark.createDataFrame(rows, CURVE_SCHEMA)
+
+
+def step_curve(points: DataFrame, literal_points: int = LITERAL_POINTS) -> IsotonicCurve | IsotonicTable:
+    """The curve through a written table of points: as literals where they are few, or else as the table."""
+    if points.limit(literal_points + 1).count() > literal_points:
+        return IsotonicTable(points)
+    rows = sorted((r["x"], r["y"]) for r in points.collect())
+    return IsotonicCurve([x for x, _ in rows], [y for _, y in rows])
 
 
-def curve_of(table: DataFrame) -> IsotonicCurve | PlattCurve | None:
-    rows = sorted(table.collect(), key=lambda r: r["position"])
-    if rows[0]["kind"] == "platt":
-        return PlattCurve(rows[0]["x"], rows[0]["y"])
-    return IsotonicCurve([r["x"] for r in rows], [r["y"] for r in rows]) if rows[0]["kind"] == "isotonic" else None
+def curve_of(table: DataFrame) -> IsotonicCurve | IsotonicTable | PlattCurve | None:
+    first = table.first()
+    if first["kind"] == "platt":
+        return PlattCurve(first["x"], first["y"])
+    return step_curve(table.select("x", "y")) if first["kind"] == "isotonic" else None
 
 
 def band_frame(spark: SparkSession, bands: tuple) -> DataFrame:
@@ -91,7 +148,7 @@ class Scorecard:
     bins: WoeBins
     coefficients: dict[str, float]
     intercept: float
-    calibrator: IsotonicCurve | PlattCurve | None = None
+    calibrator: IsotonicCurve | IsotonicTable | PlattCurve | None = None
     scaling: ScoreScaling = field(default_factory=ScoreScaling)
     bands: tuple = DEFAULT_BANDS
 
@@ -111,7 +168,7 @@ class Scorecard:
             "settings": spark.createDataFrame(
                 [(self.intercept, self.scaling.base_score, self.scaling.base_odds, self.scaling.pdo)], "intercept double, base_score double, base_odds double, pdo double"
             ),
-            "curve": spark.createDataFrame(curve_rows(self.calibrator), CURVE_SCHEMA),
+            "curve": curve_frame(spark, self.calibrator),
             "bands": band_frame(spark, self.bands),
         }, folder)
 
