@@ -29,11 +29,11 @@ from gradus.sources.tables import materialise
 #: Ranks that have tiles, and ranks along one side of a tile.
 HEAD, SIDE = 1 << 15, 1 << 9
 #: Occurrences in one slice of texts that make a tile dense, and dense tiles of a task at most.
-DENSE, TILES = 1 << 12, 24
+DENSE, TILES = 1 << 10, 24
 #: Bits of the bitmap at most (16 MB), and bits for each key as long as there are fewer.
 BITMAP_BITS, BITS_PER_KEY = 27, 16
 #: Bytes of texts that are counted at a time.
-SLICE = 1 << 22
+SLICE = 1 << 20
 
 _CUT = np.zeros(256, dtype=bool)
 _CUT[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -172,8 +172,7 @@ class Tiles:
             own, code = own[order], code[order]
             edges = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
             for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(own)]):
-                total = np.bincount(code[a:b], minlength=SIDE * SIDE)
-                self.dense[int(own[a])] = self.dense[int(own[a])] + total if int(own[a]) in self.dense else total
+                self.dense.setdefault(int(own[a]), np.zeros(SIDE * SIDE, dtype=np.int64))[:] += np.bincount(code[a:b], minlength=SIDE * SIDE)
         return taken
 
     def cells(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
