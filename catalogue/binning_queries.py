@@ -75,7 +75,9 @@ def d15_strength(spark, sf):
 
 
 def d16_degenerate(spark, sf):
-    return sel.degenerate_features(_coarse(spark, sf).table(spark))
+    """Beside the model's features one that says nothing but whether it was reported."""
+    train = _train(spark, sf).withColumn("reported", F.when(F.col("applicant_id") % 3 != 0, F.lit(1.0)))
+    return sel.degenerate_features(woe.woe_fit(train, [*MODEL_FEATURES, "reported"], TARGET, monotone=False).table(spark))
 
 
 def _narrow(spark, sf):
@@ -198,7 +200,8 @@ ORACLES = {
     "d14_iv_floor": _COARSE + f"SELECT feature FROM ({_IV}) WHERE iv >= 0.02",
     "d15_strength": _COARSE + f"""SELECT feature, CASE WHEN iv < 0.02 THEN 'unpredictive' WHEN iv < 0.1 THEN 'weak' WHEN iv < 0.3 THEN 'medium'
         WHEN iv < 0.5 THEN 'strong' ELSE 'suspiciously strong - check for leakage' END AS strength FROM ({_IV})""",
-    "d16_degenerate": _COARSE + "SELECT feature, count(*) FILTER (bin_index <> -1) AS finite_bins FROM woe GROUP BY 1 HAVING count(*) FILTER (bin_index <> -1) < 2",
+    "d16_degenerate": _COARSE + """SELECT feature, count(*) FILTER (bin_index <> -1) AS finite_bins FROM woe GROUP BY 1 HAVING count(*) FILTER (bin_index <> -1) < 2
+        UNION ALL SELECT 'reported', count(DISTINCT CASE WHEN applicant_id % 3 <> 0 THEN 1 END) FROM gold WHERE split = 'train'""",
     "d17_corr_pairs": with_("train_long", "edges", extra=_COARSE_WIDE) + "SELECT unnest([" + ", ".join(
         f"{{'a': '{a}', 'b': '{b}', 'corr': CASE WHEN stddev_pop({a}) > 1e-9 AND stddev_pop({b}) > 1e-9 THEN round(corr({a}, {b}), 6) END}}" for a, b in _PAIRS
     ) + "], recursive := true) FROM wide",
