@@ -31,6 +31,7 @@ RAW_COLUMN_NAMES = {
 
 # --- staging ------------------------------------------------------------------------------
 _own_staging_dir: str | None = None
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -55,11 +56,17 @@ def materialise(df: DataFrame, read_as: StructType | None = None) -> DataFrame:
     """Write a DataFrame that several jobs will read to the shared folder and read it back.
 
     Survives lost executors (unlike a cache or a local checkpoint), is computed once, and
-    keeps column pruning for the readers.  ``read_as`` names types that are stored alike.
+    keeps column pruning for the readers.  ``read_as`` names types that are stored alike.  The
+    written table stands in for the shuffles behind it, so their files go once it is there.
     """
     spark = df.sparkSession
     path = f"{staging_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(read_as or df.schema).parquet(path)
 
 
