@@ -3,26 +3,27 @@
 Counts of words, and of all pairs of words that follow each other, are discounted by Good-Turing
 estimates.  What a history gives up goes to all words that it has no pair with, in proportion
 to their word probability, by a backoff weight that makes each history's distribution sum to
-one exactly; likewise the words give up mass to the one unknown word.
-
-All counts stay in tables dealt out by key into buckets.  Words that make up ``FREQUENT``
-or more of the training tokens, and pairs that do, are a bounded table that every task gets as
-well; they are modelled like the others.  A pair lies in the bucket of its history where that
-is not frequent, else in that of its word where that is not frequent, else by its own hash, so
-no bucket has a hot key and each knows the counts of one rare member of its pairs.  Those of
-the other one, where both are rare, are asked of its bucket.  A frequent history's sums are
-added up over buckets.
-
-Texts go to the tables as postings: per chunk of documents and bucket, the keys that occur,
-each once, with the documents they occur in.  A bucket looks its keys up and answers each
-chunk in one row of sums per document, which are added up per chunk.
+one exactly; likewise the words give up mass to the one unknown word.  The model ends at
+pairs: backing off is one step from the pair to the word, and one from the word to the unknown.
+
+Texts are tokenised once, into chunks of about ``CHUNK_TOKENS`` tokens: the distinct words of
+a chunk and the tokens as places among them.  Words lie in buckets by ranges of their hash.
+A chunk sends each of its words once to the word's bucket, with its training count, and gets
+the count over all chunks back; then each of its pairs once, and gets their counts and their
+history's sums back.  So what was sent to be counted is also what is asked for, nothing
+is sent twice, and what travels grows with the chunks' distinct keys, however many buckets
+there are.  All that a text's probability needs is then in its chunk.
+
+A pair goes to the bucket of its history.  Histories with more tokens than a part of a bucket's
+share are hot: their pairs are dealt by the pair's own hash, and their sums are added up over
+buckets and sent to every task (``SENT_SHARE`` bounds how many there are).
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,211 +35,236 @@ from gradus.llm.kernels import mixed, slices, spans, utf8, word_hashes
 from gradus.llm.workers import in_arrow, ship
 from gradus.sources.tables import materialise
 
-#: Share of the tokens from which words and pairs are sent to every task.
-FREQUENT = 1e-5
+#: Least share of the tokens for a history to be hot, so that 1 / SENT_SHARE are at most.
+SENT_SHARE = 1e-6
+#: A history is hot from this part of a bucket's tokens.
+HOT_PART = 8
 #: Counts up to this one are discounted.
 DISCOUNTED = 5
-#: Bytes of text per bucket of the tables; a bucket's pairs are about as large, and sorted in one task.
+#: Bytes of text per bucket; the pairs of a bucket are counted in one task.
 BUCKET_BYTES = 16_000_000
-#: Tokens whose keys are brought together before they are sent.
+#: Tokens of a chunk (more where a single text has more).
 CHUNK_TOKENS = 1_000_000
 _PIECE_BYTES = 1 << 20
-#: Keys in a row of pairs or postings, so that rows stay under half a megabyte.
-_ROW_KEYS = 1 << 14
 END = np.uint64(0x5851F42D4C957F2D)
 START = np.uint64(0x14057B7EF767814F)
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
-WORDS, PAIRS, TEXTS, ASKED, SUMS = 0, 1, 2, 3, 4
+WORDS, PAIRS, HOT = 0, 1, 2
 
 
-# --- counting -----------------------------------------------------------------------------
-def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (mixed(keys ^ np.uint64(0xA5A5)) % np.uint64(buckets)).astype(np.int32)
+# --- numbers in a few bytes ---------------------------------------------------------------
+def packed(values: np.ndarray) -> bytes:
+    """Numbers of 64 bits (doubles by their bits) as compressed planes of bytes, the highest that are used first."""
+    values = np.ascontiguousarray(values)
+    bits = values.view("<u8") if values.dtype.itemsize == 8 else values.astype("<u8")
+    width = (int(bits.max()).bit_length() + 7) // 8 if len(bits) else 0
+    planes = np.ascontiguousarray(bits.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return len(bits).to_bytes(8, "little") + bytes([width]) + (pa.compress(planes, codec="zstd", asbytes=True) if width else b"")
 
 
-def _sums(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and the sum of their counts (of ones, without)."""
-    if counts is None:
-        return np.unique(keys, return_counts=True)
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    if not len(keys):
-        return keys, counts
-    at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[at], np.add.reduceat(counts, at)
+def unpacked(raw: bytes, kind: str = "<i8") -> np.ndarray:
+    n, width = int.from_bytes(raw[:8], "little"), raw[8]
+    out = np.zeros((n, 8), np.uint8)
+    if width:
+        planes = pa.decompress(raw[9:], decompressed_size=n * width, codec="zstd")
+        out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+    return out.reshape(-1).view(kind)
 
 
-def _tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Of a range of texts: first, last, tokens (an end after each text) and where each text starts."""
-    data, offsets = utf8(column, lower=True)
-    for i, j in slices(offsets, _PIECE_BYTES):
-        own, part = offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]]
-        starts, ends, first = spans(part, own)
-        yield i, j, np.insert(word_hashes(part, starts, ends), first[1:], END), first + np.arange(len(first))
-
-
-def _packed_counts(kind: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
-    where = _bucket_of(keys, buckets)
-    order = np.argsort(where, kind="stable")
-    cuts = np.searchsorted(where[order], np.arange(buckets + 1))
-    rows = [(b, order[cuts[b] : cuts[b + 1]]) for b in range(buckets) if cuts[b] < cuts[b + 1]]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([b for b, _ in rows], pa.int32()), pa.array([kind] * len(rows), pa.int32()),
-            pa.array([keys[o].astype("<u8").tobytes() for _, o in rows], pa.binary()), pa.array([counts[o].astype("<i8").tobytes() for _, o in rows], pa.binary()),
-        ],
-        names=["bucket", "kind", "keys", "counts"],
-    )
-
-
-_TABLE = "bucket int, kind int, keys binary, counts binary"
-
+def packed_steps(ascending: np.ndarray) -> bytes:
+    return packed(np.diff(ascending, prepend=ascending.dtype.type(0)))
 
-def _merged(table: pa.Table) -> pa.Table:
-    if not table.num_rows:
-        return table
-    keys = np.concatenate([np.frombuffer(x, "<u8") for x in table.column("keys").to_pylist()])
-    counts = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("counts").to_pylist()])
-    keys, counts = _sums(keys, counts)
-    return pa.table({
-        "bucket": table.column("bucket").slice(0, 1), "kind": table.column("kind").slice(0, 1),
-        "keys": pa.array([keys.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()),
-    })
 
+def unpacked_steps(raw: bytes, kind: str = "<i8") -> np.ndarray:
+    return np.cumsum(unpacked(raw, kind), dtype=kind)
 
-def _table(training: DataFrame, kind: int, keys_of, buckets: int) -> DataFrame:
-    """Counts of the keys that ``keys_of`` (tokens, text starts) makes of training texts; one row per bucket."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size = [], 0
-        for batch in batches:
-            for *_, tokens, starts in _tokens(batch.column("text")):
-                waiting.append(keys_of(tokens, starts))
-                size += len(tokens)
-                if size >= CHUNK_TOKENS:
-                    yield _packed_counts(kind, *_sums(np.concatenate(waiting)), buckets)
-                    waiting, size = [], 0
-        if waiting:
-            yield _packed_counts(kind, *_sums(np.concatenate(waiting)), buckets)
-
-    return materialise(in_arrow(training.select("text"), run, _TABLE).groupBy("bucket", "kind").applyInArrow(_merged, _TABLE))
-
-
-def _dealt(where: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order that brings items of a bucket together, and where each bucket begins in it."""
-    order = np.argsort(where.astype(np.uint16) if buckets <= 1 << 16 else where, kind="stable")
-    return order, np.searchsorted(where[order], np.arange(buckets + 1))
+# --- chunks -------------------------------------------------------------------------------
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Ranges of hashes, so that ascending keys are in ascending buckets."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def pair_keys(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mixed(history * _PAIR + word)
 
 
-def _distinct(history: np.ndarray, word: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs and the sum of their counts (of ones, without)."""
-    if not len(history):
-        return history, word, np.zeros(0, np.int64)
-    keys = pair_keys(history, word)
-    order = np.argsort(keys)
-    keys = keys[order]
-    at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    sums = np.diff(np.append(at, len(keys))) if counts is None else np.add.reduceat(counts[order], at)
-    return history[order[at]], word[order[at]], sums
+def _tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Of a range of texts: first, last, tokens (an end after each text) and how many each text has."""
+    data, offsets = utf8(column, lower=True)
+    for i, j in slices(offsets, _PIECE_BYTES):
+        own, part = offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]]
+        starts, ends, first = spans(part, own)
+        yield i, j, np.insert(word_hashes(part, starts, ends), first[1:], END), np.diff(first) + 1
 
 
-def _cut(start: int, stop: int) -> list[slice]:
-    return [slice(i, min(i + _ROW_KEYS, stop)) for i in range(start, stop, _ROW_KEYS)]
+_CHUNKS = "chunk long, ids binary, nulls binary, held binary, lengths binary, words binary, often binary, tokens binary"
 
 
-_PAIR_TABLE = "bucket int, histories binary, words binary, counts binary"
+def _chunk_row(number: int, parts: list) -> pa.RecordBatch:
+    """A chunk's texts, its distinct words (START among them) with their training counts, and its tokens' places."""
+    ids, nulls, held, tokens, lengths = (np.concatenate(x) for x in zip(*parts))
+    words, at = np.unique(np.append(tokens, START), return_inverse=True)
+    often = np.bincount(at[:-1][np.repeat(~held, lengths)], minlength=len(words))
+    often[at[-1]] += int((~held).sum())
+    row = [packed(ids), packed(nulls), packed(held), packed(lengths), packed_steps(words), packed(often), packed(at[:-1])]
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x], pa.binary()) for x in row)], names=[c.split()[0] for c in _CHUNKS.split(", ")])
 
 
-def _pair_rows(rows: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> dict:
-    return {
-        "bucket": pa.array([r[0] for r in rows], pa.int32()),
-        **{name: pa.array([r[i].astype(kind).tobytes() for r in rows], pa.binary()) for i, name, kind in ((1, "histories", "<u8"), (2, "words", "<u8"), (3, "counts", "<i8"))},
-    }
+@dataclass(frozen=True)
+class _Pairs:
+    """Distinct pairs of a chunk, ascending by places of history and word, and which of them each token is."""
 
+    history: np.ndarray
+    word: np.ndarray
+    of_token: np.ndarray
 
-def _merged_pairs(table: pa.Table) -> pa.Table:
-    if not table.num_rows:
-        return table
-    bucket = table.column("bucket")[0].as_py()
-    parts = [np.concatenate([np.frombuffer(x.as_buffer(), t) for x in table.column(c)]) for c, t in (("histories", "<u8"), ("words", "<u8"), ("counts", "<i8"))]
-    del table
-    parts = _distinct(*parts)
-    order = np.argsort(parts[1], kind="stable")  # a row's words are in no other row, but for those at its ends
-    return pa.table(_pair_rows([(bucket, *(x[order[part]] for x in parts)) for part in _cut(0, len(order))]))
+    @staticmethod
+    def of(words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> _Pairs:
+        before = np.concatenate((tokens[:1], tokens[:-1]))
+        before[np.cumsum(lengths) - lengths] = np.searchsorted(words, START)
+        keys, of_token = np.unique(before * len(words) + tokens, return_inverse=True)
+        return _Pairs(keys // len(words), keys % len(words), of_token)
 
+    def dealt(self, words: np.ndarray, counts: np.ndarray, line: float, buckets: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Kind, bucket and pairs that go there; the same for the same chunk and counts."""
+        hot = counts[self.history] >= line
+        for kind, some in ((PAIRS, np.flatnonzero(~hot)), (HOT, np.flatnonzero(hot))):
+            h, w = words[self.history[some]], words[self.word[some]]
+            where = bucket_of(h if kind == PAIRS else pair_keys(h, w), buckets)
+            if kind == HOT:
+                order = np.argsort(where, kind="stable")
+                some, where = some[order], where[order]
+            at = np.flatnonzero(np.diff(where, prepend=-1))
+            for i, j in zip(at.tolist(), np.append(at[1:], len(where)).tolist()):
+                yield kind, int(where[i]), some[i:j]
 
-def _pair_table(training: DataFrame, lexicon, least: float, buckets: int) -> DataFrame:
-    """Counts of all pairs of training texts; rows of ``_ROW_KEYS`` pairs of a bucket.  ``lexicon`` is a broadcast Model.
 
-    With ``least`` above 0 only pairs of words with that count are taken.
-    """
+def _runs(ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal items begin, and how long they are."""
+    at = np.flatnonzero(np.concatenate(([True], ascending[1:] != ascending[:-1]))) if len(ascending) else np.zeros(0, np.int64)
+    return at, np.diff(np.append(at, len(ascending)))
 
-    def packed(waiting: list) -> pa.RecordBatch:
-        history, word, counts = _distinct(*(np.concatenate(x) for x in zip(*waiting)))
-        by_history = np.argsort(history)  # equal histories beside each other are compressed
-        history, word, counts = history[by_history], word[by_history], counts[by_history]
-        order, cuts = _dealt(_bucket_of(lexicon.value.route(history, word), buckets), buckets)
-        rows = [(b, *(x[order[part]] for x in (history, word, counts))) for b in range(buckets) for part in _cut(cuts[b], cuts[b + 1])]
-        return pa.RecordBatch.from_pydict(_pair_rows(rows))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size = [], 0
-        for batch in batches:
-            for *_, tokens, starts in _tokens(batch.column("text")):
-                history = histories(tokens, starts)
-                if least > 0:
-                    taken = lexicon.value.reach(tokens, least) & ((history == START) | lexicon.value.reach(history, least))
-                    history, tokens = history[taken], tokens[taken]
-                waiting.append((history, tokens))
-                size += len(tokens)
-                if size >= CHUNK_TOKENS:
-                    yield packed(waiting)
-                    waiting, size = [], 0
-        if size:
-            yield packed(waiting)
+# --- counting in buckets ------------------------------------------------------------------
+#: What a bucket answers a chunk with, in the order it was asked; rows without a chunk have sums for all.
+_ANSWER = "chunk long, bucket int, kind int, counts binary, few binary, lower binary, stats array<long>"
 
-    return materialise(in_arrow(training.select("text"), run, _PAIR_TABLE).groupBy("bucket").applyInArrow(_merged_pairs, _PAIR_TABLE))
 
+def _answers(rows: list[tuple]) -> pa.Table:
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+    return pa.table({c.split()[0]: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(zip(_ANSWER.split(", "), kinds))})
 
-def histories(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The token before each one; START at the start of a text."""
-    before = np.concatenate(([START], tokens[:-1])) if len(tokens) else tokens
-    before[starts[:-1]] = START
-    return before
 
+def _having(counts: np.ndarray) -> list[int]:
+    """How many keys have each count up to DISCOUNTED + 1 (index 0 unused)."""
+    return np.bincount(counts[(counts > 0) & (counts <= DISCOUNTED + 1)], minlength=DISCOUNTED + 2).tolist()
 
-def _profile(table: DataFrame) -> tuple[int, int, np.ndarray]:
-    """Sum of counts, number of keys, and how many keys have each count up to DISCOUNTED + 1."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for raw in batch.column("counts").to_pylist():
-                c = np.frombuffer(raw, "<i8")
-                low = np.bincount(c[c <= DISCOUNTED + 1], minlength=DISCOUNTED + 2)
-                yield pa.RecordBatch.from_arrays([pa.array([[int(c.sum()), len(c), *low.tolist()]], pa.list_(pa.int64()))], names=["v"])
+def _count_words(asked: pa.Table) -> pa.Table:
+    if not asked.num_rows:
+        return _answers([])
+    bucket = asked.column("bucket")[0].as_py()
+    keys = [unpacked_steps(x.as_py(), "<u8") for x in asked.column("words")]
+    cuts = np.cumsum([0, *map(len, keys)])
+    words, at = np.unique(np.concatenate(keys), return_inverse=True)
+    counts = np.zeros(len(words), np.int64)
+    np.add.at(counts, at, np.concatenate([unpacked(x.as_py()) for x in asked.column("often")]))
+    seen = counts[(words != START) & (counts > 0)]
+    rows = [(chunk, bucket, WORDS, packed(counts[at[cuts[i] : cuts[i + 1]]]), None, None, None) for i, chunk in enumerate(asked.column("chunk").to_pylist())]
+    return _answers([*rows, (None, bucket, WORDS, None, None, None, [int(seen.sum()), len(seen), *_having(seen)])])
+
+
+_ASKED = "bucket int, kind int, chunk long, histories binary, lengths binary, words binary, often binary, seen binary"
 
-    width = DISCOUNTED + 4
-    row = in_arrow(table, run, "v array<long>").agg(*[F.coalesce(F.sum(F.col("v")[i]), F.lit(0)).alias(f"v{i}") for i in range(width)]).first()
-    return row[0], row[1], np.array(row[2:], dtype=float)
 
+def _chunk_pairs(line: float, buckets: int, chunk: pa.Table, answers: pa.Table) -> pa.Table:
+    """The distinct pairs of a chunk with their training counts and their words' counts, dealt out.
 
-def _at_least(table: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys with a count of ``least`` or more, sorted, and the counts.  The caller bounds how many there are."""
+    Words of a history are told apart by 48 bits of their hash: a bucket compares them within one history only.
+    """
+    rows = []
+    for row in chunk.to_pylist():
+        words, tokens, lengths, held = unpacked_steps(row["words"], "<u8"), unpacked(row["tokens"]), unpacked(row["lengths"]), unpacked(row["held"]) == 1
+        counts = _word_counts(answers)
+        pairs = _Pairs.of(words, tokens, lengths)
+        often = np.bincount(pairs.of_token[np.repeat(~held, lengths)], minlength=len(pairs.word))
+        for kind, bucket, some in pairs.dealt(words, counts, line, buckets):
+            at, runs = _runs(pairs.history[some])
+            w = pairs.word[some]
+            rows.append((bucket, kind, row["chunk"], packed_steps(words[pairs.history[some[at]]]), packed(runs), packed(words[w] >> np.uint64(16)), packed(often[some]), packed(counts[w])))
+    kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
+    return pa.table({c.split()[0]: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(zip(_ASKED.split(", "), kinds))})
+
+
+def _word_counts(answers: pa.Table) -> np.ndarray:
+    """Counts of a chunk's words; its buckets are ranges of them."""
+    found = sorted((b, c) for b, k, c in zip(*(answers.column(n).to_pylist() for n in ("bucket", "kind", "counts"))) if k == WORDS)
+    return np.concatenate([unpacked(c) for _, c in found])
+
+
+def _count_pairs(model: Model, asked: pa.Table) -> pa.Table:
+    """Counts of a bucket's pairs for each chunk, and per history how many pairs have each low count and the probability of their words."""
+    if not asked.num_rows:
+        return _answers([])
+    bucket = asked.column("bucket")[0].as_py()
+    kinds, chunks = asked.column("kind").to_pylist(), asked.column("chunk").to_pylist()
+    out, stats = [], np.zeros(DISCOUNTED + 2, np.int64)
+    for kind in (PAIRS, HOT):
+        mine = [i for i, k in enumerate(kinds) if k == kind]
+        if not mine:
+            continue
+        col = {n: [asked.column(n)[i].as_py() for i in mine] for n in ("histories", "lengths", "words", "often", "seen")}
+        own = [unpacked_steps(x, "<u8") for x in col["histories"]]
+        h = np.concatenate([np.repeat(k, unpacked(n)) for k, n in zip(own, col["lengths"])])
+        w = np.concatenate([unpacked(x, "<u8") for x in col["words"]])
+        cuts = np.cumsum([0, *(int.from_bytes(x[:8], "little") for x in col["words"])])
+        order = np.lexsort((w, h))
+        h, w = h[order], w[order]
+        new = np.concatenate(([True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])))
+        at = np.flatnonzero(new)
+        sums = np.add.reduceat(np.concatenate([unpacked(x) for x in col["often"]])[order], at)
+        log_word = model.log_word(np.concatenate([unpacked(x) for x in col["seen"]])[order[at]])
+        counts = np.empty(len(order), np.int64)
+        counts[order] = sums[np.cumsum(new) - 1]
+        stats += _having(sums)
+        # Per history, over its distinct pairs.
+        h = h[at]
+        first, _ = _runs(h)
+        few = np.add.reduceat(sums[None, :] == np.arange(1, DISCOUNTED + 1)[:, None], first, axis=1, dtype=np.int64)
+        lower = np.add.reduceat(np.where(sums > 0, 10.0**log_word, 0.0), first)
+        h = h[first]
+        for i, row in enumerate(mine):
+            back = np.searchsorted(h, own[i]) if kind == PAIRS else np.zeros(0, np.int64)
+            out.append((chunks[row], bucket, kind, packed(counts[cuts[i] : cuts[i + 1]]), packed(few[:, back].reshape(-1)), packed(lower[back]), None))
+        if kind == HOT:
+            out.append((None, bucket, HOT, h.tobytes(), few.T.tobytes(), lower.tobytes(), None))
+    return _answers([*out, (None, bucket, PAIRS, None, None, None, stats.tolist())])
+
+
+def _stats(answers: DataFrame, width: int) -> np.ndarray:
+    parts = answers.where(F.col("stats").isNotNull())
+    return np.array(parts.agg(*[F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)).alias(f"v{i}") for i in range(width)]).first())
+
+
+def _hot_sums(answers: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hot histories, sorted, with their sums over all buckets; 1 / SENT_SHARE at most, so they may go to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, c in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                k, c = np.frombuffer(k, "<u8"), np.frombuffer(c, "<i8")
-                yield pa.RecordBatch.from_arrays([pa.array(k[c >= least].view(np.int64)), pa.array(c[c >= least])], names=["k", "c"])
+            for raw in zip(*(batch.column(c).to_pylist() for c in ("counts", "few", "lower"))):
+                h, few, lower = (np.frombuffer(x, t) for x, t in zip(raw, ("<i8", "<i8", "<f8")))
+                few = few.reshape(len(h), DISCOUNTED)
+                yield pa.RecordBatch.from_arrays([pa.array(h), *(pa.array(few[:, i]) for i in range(DISCOUNTED)), pa.array(lower)], names=["h", *names, "lower"])
 
-    rows = in_arrow(table, run, "k long, c long").toArrow()
-    keys, counts = rows.column("k").to_numpy().view(np.uint64), rows.column("c").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], counts[order]
+    names = [f"n{i}" for i in range(1, DISCOUNTED + 1)]
+    parts = answers.where(F.col("chunk").isNull() & (F.col("kind") == HOT)).select("counts", "few", "lower")
+    parts = in_arrow(parts, run, f"h long, {', '.join(n + ' long' for n in names)}, lower double")
+    rows = parts.groupBy("h").agg(*[F.sum(c).alias(c) for c in (*names, "lower")]).toArrow()
+    h = rows.column("h").to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    few = np.array([rows.column(n).to_numpy() for n in names], np.int64).reshape(DISCOUNTED, -1)
+    return h[order], few[:, order], rows.column("lower").to_numpy()[order]
 
 
 # --- the model ----------------------------------------------------------------------------
@@ -265,388 +291,153 @@ def discounted(counts: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """What every task knows.  ``words`` are the frequent ones, sorted; the last history is the start of a text."""
+    """What every task knows of the words: how many, and how their counts become probabilities."""
 
-    words: np.ndarray
-    counts: np.ndarray
     n: int
     v: int
-    word_factors: np.ndarray
-    word_scale: float
+    factors: np.ndarray
+    scale: float
     log_unknown: float
-    pair_factors: np.ndarray | None = None
-    history_counts: np.ndarray | None = None
-    log_backoff: np.ndarray | None = None
-    #: What a frequent history adds to the gain of its pairs.
-    log_lead: np.ndarray | None = None
-    #: Keys of frequent pairs, sorted, and their gains.
-    pairs: np.ndarray | None = None
-    gains: np.ndarray | None = None
-
-    def place(self, tokens: np.ndarray) -> np.ndarray:
-        """Place among the frequent words, -1 for others."""
-        if not len(self.words):
-            return np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        return np.where(self.words[at] == tokens, at, -1)
-
-    def history_place(self, tokens: np.ndarray) -> np.ndarray:
-        return np.where(tokens == START, len(self.words), self.place(tokens))
-
-    def reach(self, tokens: np.ndarray, least: float) -> np.ndarray:
-        at = self.place(tokens)
-        return (at >= 0) & (self.counts[at] >= least) if len(self.counts) else at >= 0
-
-    def route(self, history: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """What a pair's bucket is chosen by: a member that is not frequent, the history first, or both."""
-        return routed(history, word, self.history_place(history), self.place(word))
 
     def log_word(self, counts: np.ndarray) -> np.ndarray:
         """log10 probability of words with these training counts."""
         if not self.n:
             return np.full(len(counts), self.log_unknown)
-        share = discounted(counts, self.word_factors) * self.word_scale / self.n
+        share = discounted(counts, self.factors) * self.scale / self.n
         return np.where(counts > 0, np.log10(np.where(counts > 0, share, 1.0)), self.log_unknown)
 
 
-def routed(history: np.ndarray, word: np.ndarray, history_place: np.ndarray, word_place: np.ndarray) -> np.ndarray:
-    return np.where(history_place < 0, history, np.where(word_place < 0, word, pair_keys(history, word)))
-
-
-def weights(counts: np.ndarray, own: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of the backoff weight of histories, and what each adds to the gain of its pairs.
-
-    ``own`` is the discounted share of a history's pairs, ``lower`` their words' probability.
-    A history whose pairs are all frequent still leaves one part of its count plus one.
-    """
-    scales = np.minimum(1.0, (counts / (counts + 1)) / np.maximum(own, 1e-300))
-    backoff = np.log10((1.0 - scales * own) / np.maximum(1.0 - lower, 1e-300))
-    return backoff, np.log10(np.maximum(scales, 1e-300) / np.maximum(counts, 1.0)) - backoff
-
-
-def word_model(words: DataFrame, frequent: float = FREQUENT) -> Model:
-    n, v, having = _profile(words)
-    keys, counts = _at_least(words, max(1.0, frequent * n))  # at most 1 / frequent of them
+def word_model(n: int, v: int, having: np.ndarray) -> Model:
     factors = discounts(having)
-    taken = _discounted_sum(n, having, factors) / n if n else 0.0
-    scale = min(1.0, (n / (n + 1)) / taken) if taken else 1.0
-    return Model(keys, counts, n, v, factors, scale, math.log10(1.0 - scale * taken) if n else 0.0)
-
-
-def _discounted_sum(n: int, having: np.ndarray, factors: np.ndarray) -> float:
     r = np.arange(1, DISCOUNTED + 1)
-    return n - float((r * having[r] * (1 - factors[r])).sum())
-
+    taken = (n - float((r * having[r] * (1 - factors[r])).sum())) / n if n else 0.0
+    scale = min(1.0, (n / (n + 1)) / taken) if taken else 1.0
+    return Model(n, v, factors, scale, math.log10(1.0 - scale * taken) if n else 0.0)
 
-_ASKED = "bucket int, kind int, keys binary, counts binary"
-_WEIGHED = "bucket int, kind int, keys binary, counts binary, extra binary"
 
+def weights(counts: np.ndarray, few: np.ndarray, lower: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of the backoff weight of histories, and of what their pairs' discounted counts are multiplied by.
 
-def _looked_up(table_keys: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Values of sorted ``table_keys``, 0 for other keys."""
-    if not len(table_keys):
-        return np.zeros(len(keys), values.dtype)
-    at = np.minimum(np.searchsorted(table_keys, keys), len(table_keys) - 1)
-    return np.where(table_keys[at] == keys, values[at], 0)
+    ``few`` says how many of a history's pairs have each discounted count, ``lower`` is the
+    probability of its pairs' words.  Each training token but an end has one pair, so the other
+    pairs make up the rest of the count.  A history none of whose pairs is discounted still
+    leaves one part of its count plus one; a history that was never trained on leaves all.
+    """
+    r = np.arange(1, DISCOUNTED + 1)
+    known = np.maximum(counts, 1)
+    own = (known - ((1 - factors[1:]) * r) @ few) / known
+    scales = np.minimum(1.0, (known / (known + 1)) / np.maximum(own, 1e-300))
+    backoff = np.log10((1.0 - scales * own) / np.maximum(1.0 - lower, 1e-300))
+    return np.where(counts > 0, backoff, 0.0), np.log10(scales / known)
 
 
-def _asked(pairs: DataFrame, words: DataFrame, sent, buckets: int) -> DataFrame:
-    """For each bucket of pairs, the counts of words that are not frequent and lie in other buckets."""
+# --- scoring ------------------------------------------------------------------------------
+_SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for bucket, h, w in zip(*(batch.column(c).to_pylist() for c in ("bucket", "histories", "words"))):
-                h, w = np.frombuffer(h, "<u8"), np.frombuffer(w, "<u8")
-                keys = np.unique(w[(sent.value.history_place(h) < 0) & (sent.value.place(w) < 0)])
-                order, cuts = _dealt(_bucket_of(keys, buckets), buckets)
-                rows = [(b, keys[order[cuts[b] : cuts[b + 1]]].tobytes()) for b in range(buckets) if b != bucket and cuts[b] < cuts[b + 1]]
-                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([bucket] * len(rows), pa.int32()), pa.array([k for _, k in rows], pa.binary())], names=["bucket", "asker", "keys"])
-
-    def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
-        known = [np.frombuffer(table.column(c)[0].as_py(), t) if table.num_rows else np.zeros(0, t) for c, t in (("keys", "<u8"), ("counts", "<i8"))]
-        counts = [_looked_up(*known, np.frombuffer(k, "<u8")).tobytes() for k in asked.column("keys").to_pylist()]
-        return pa.table({
-            "bucket": asked.column("asker"), "kind": pa.array([ASKED] * asked.num_rows, pa.int32()),
-            "keys": asked.column("keys"), "counts": pa.array(counts, pa.binary()),
-        })
-
-    asked = in_arrow(pairs, ask, "bucket int, asker int, keys binary")
-    return asked.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(answer, _ASKED)
-
-
-def _weighed(model: Model, pairs: pa.Table, counted: pa.Table) -> pa.Table:
-    """Of a bucket: its words' counts and backoff weights, its pairs' gains, and its part of the sums of frequent histories.
-
-    A gain is what a known pair's log10 probability is above that of backing off, for a
-    frequent history before what the history adds.
-    """
-    bucket = (pairs if pairs.num_rows else counted).column("bucket")[0].as_py()
-    own_words, others = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), []
-    for kind, k, c in zip(*(counted.column(n) for n in ("kind", "keys", "counts"))):
-        found = np.frombuffer(k.as_buffer(), "<u8"), np.frombuffer(c.as_buffer(), "<i8")
-        if kind.as_py() == WORDS:
-            own_words = found
-        else:
-            others.append(found)
-    keys, counts = own_words
-    table_keys, table_counts = (np.concatenate(x) for x in zip(own_words, *others))
-    order = np.argsort(table_keys)
-    h, w, c = (np.concatenate([np.zeros(0, t), *(np.frombuffer(x.as_buffer(), t) for x in pairs.column(n))]) for n, t in (("histories", "<u8"), ("words", "<u8"), ("counts", "<i8")))
-    h_at, w_at = model.history_place(h), model.place(w)
-    w_counts = np.where(w_at >= 0, model.counts[w_at] if len(model.counts) else 0, _looked_up(table_keys[order], table_counts[order], w))
-    taken, log_lower = discounted(c, model.pair_factors), model.log_word(w_counts)
-    lower, gain = 10.0**log_lower, np.log10(taken) - log_lower
-    led = h_at >= 0
-    width = len(model.history_counts)
-    sums = [np.bincount(h_at[led], x[led], width) for x in (taken / model.history_counts[h_at], lower)]
-    at = np.searchsorted(keys, h[~led])
-    backoff, lead = weights(counts.astype(float), np.bincount(at, taken[~led], len(keys)) / np.maximum(counts, 1), np.bincount(at, lower[~led], len(keys)))
-    gain[~led] += lead[at]
-    pair = pair_keys(h, w)
-    order, some = np.argsort(pair), np.flatnonzero(sums[0])
-    rows = [
-        (WORDS, keys, counts, backoff), *((PAIRS, pair[order[part]], gain[order[part]], h_at[order[part]].astype("<i4")) for part in _cut(0, len(order))), (SUMS, some.astype("<i8"), sums[0][some], sums[1][some])
-    ]
-    return pa.table({
-        "bucket": pa.array([bucket] * len(rows), pa.int32()), "kind": pa.array([r[0] for r in rows], pa.int32()),
-        **{name: pa.array([r[i].tobytes() for r in rows], pa.binary()) for i, name in enumerate(("keys", "counts", "extra"), 1)},
-    })
-
-
-def _pairs_at_least(pairs: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs with a count of ``least`` or more, and the counts.  The caller bounds how many there are."""
 
+def _scored(model: Model, pair_factors: np.ndarray, hot: tuple[np.ndarray, np.ndarray, np.ndarray], line: float, buckets: int, chunk: pa.Table, answers: pa.Table) -> pa.Table:
+    """The texts of one chunk."""
+    out = []
+    for row in chunk.to_pylist():
+        words, tokens, lengths = unpacked_steps(row["words"], "<u8"), unpacked(row["tokens"]), unpacked(row["lengths"])
+        counts = _word_counts(answers)
+        log_word = model.log_word(counts)
+        pairs = _Pairs.of(words, tokens, lengths)
+        found = {(k, b): x for b, k, *x in zip(*(answers.column(n).to_pylist() for n in ("bucket", "kind", "counts", "few", "lower"))) if k != WORDS}
+        pair_counts = np.zeros(len(pairs.word), np.int64)
+        few, lower = np.zeros((DISCOUNTED, len(words)), np.int64), np.zeros(len(words))
+        led = np.flatnonzero(counts >= line)
+        if len(hot[0]) and len(led):
+            at = np.minimum(np.searchsorted(hot[0], words[led]), len(hot[0]) - 1)
+            led, at = led[hot[0][at] == words[led]], at[hot[0][at] == words[led]]
+            few[:, led], lower[led] = hot[1][:, at], hot[2][at]
+        for kind, bucket, some in pairs.dealt(words, counts, line, buckets):
+            own_counts, own_few, own_lower = found[kind, bucket]
+            pair_counts[some] = unpacked(own_counts)
+            if kind == PAIRS:
+                own = pairs.history[some[_runs(pairs.history[some])[0]]]
+                few[:, own], lower[own] = unpacked(own_few).reshape(DISCOUNTED, -1), unpacked(own_lower, "<f8")
+        backoff, lead = weights(counts, few, lower, pair_factors)
+        taken = discounted(pair_counts, pair_factors)
+        score = np.where(pair_counts > 0, np.log10(np.where(pair_counts > 0, taken, 1.0)) + lead[pairs.history], backoff[pairs.history] + log_word[pairs.word])
+        n = len(lengths)
+        text = np.repeat(np.arange(n), lengths)
+        known = np.bincount(text, counts[tokens] > 0, n)
+        base = np.bincount(text, np.log10(counts + 1.0)[tokens], n)
+        out.append(pa.table({
+            "doc_id": pa.array(unpacked(row["ids"]), mask=unpacked(row["nulls"]) == 1), "held_out": pa.array(unpacked(row["held"]) == 1), "n_tokens": pa.array(lengths),
+            "n_known": pa.array(np.rint(known).astype("<i8")), "base": pa.array(base), "score": pa.array(np.bincount(text, score[pairs.of_token], n)),
+        }))
+    return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()), **{c: pa.array([], t) for c, t in (("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()))}})
+
+
+def _chunks(read: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, parts, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            for h, w, c in zip(*(batch.column(n).to_pylist() for n in ("histories", "words", "counts"))):
-                h, w, c = np.frombuffer(h, "<i8"), np.frombuffer(w, "<i8"), np.frombuffer(c, "<i8")
-                yield pa.RecordBatch.from_arrays([pa.array(x[c >= least]) for x in (h, w, c)], names=["h", "w", "c"])
-
-    rows = in_arrow(pairs, run, "h long, w long, c long").toArrow()
-    return rows.column("h").to_numpy().view(np.uint64), rows.column("w").to_numpy().view(np.uint64), rows.column("c").to_numpy()
-
-
-def pair_model(lexicon: Model, words: DataFrame, pairs: DataFrame, texts: int, buckets: int, frequent: float = FREQUENT) -> tuple[Model, DataFrame]:
-    """The model with weights of frequent histories and gains of frequent pairs, and the table of all others; ``texts`` were trained on."""
-    _, _, having = _profile(pairs)
-    # A text's start is never a word; its pairs are counted by the texts.
-    counts = np.append(lexicon.counts, texts).astype(float)
-    found = replace(lexicon, pair_factors=discounts(having), history_counts=np.maximum(counts, 1.0))
-    sent = words.sparkSession.sparkContext.broadcast(found)  # 1 / frequent words at most
-    known = words.unionByName(_asked(pairs, words, sent, buckets))
-    weighed = pairs.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(lambda left, right: _weighed(sent.value, left, right), _WEIGHED)
-    weighed = materialise(weighed)
-
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in zip(*(batch.column(n).to_pylist() for n in ("keys", "counts", "extra"))):
-                h, own, lower = (np.frombuffer(x, t) for x, t in zip(row, ("<i8", "<f8", "<f8")))
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(own), pa.array(lower)], names=["h", "own", "lower"])
-
-    # One row per frequent word, so it may be brought to the driver.
-    rows = in_arrow(weighed.where(F.col("kind") == SUMS).select("keys", "counts", "extra"), parts, "h long, own double, lower double")
-    rows = rows.groupBy("h").agg(F.sum("own").alias("own"), F.sum("lower").alias("lower")).toArrow()
-    own, lower = np.zeros(len(counts)), np.zeros(len(counts))
-    at = rows.column("h").to_numpy()
-    own[at], lower[at] = rows.column("own").to_numpy(), rows.column("lower").to_numpy()
-    backoff, lead = weights(counts, own, lower)
-    h, w, c = _pairs_at_least(pairs, max(1.0, frequent * lexicon.n))  # at most 1 / frequent of them, of words that are frequent as well
-    gains = np.log10(discounted(c, found.pair_factors)) + lead[found.history_place(h)] - found.log_word(found.counts[found.place(w)])
-    keys = pair_keys(h, w)
-    order = np.argsort(keys)
-    return replace(found, log_backoff=backoff, log_lead=lead, pairs=keys[order], gains=gains[order]), weighed
+            ids = batch.column("doc_id")
+            nulls, ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
+            held = batch.column("held_out").to_numpy(zero_copy_only=False)
+            for i, j, tokens, lengths in _tokens(batch.column("text")):
+                parts.append((ids[i:j], nulls[i:j], held[i:j], tokens, lengths))
+                size += len(tokens)
+                if size >= CHUNK_TOKENS:
+                    yield _chunk_row(number, parts)
+                    number, parts, size = number + 1, [], 0
+        if parts:
+            yield _chunk_row(number, parts)
 
+    return materialise(in_arrow(read, run, _CHUNKS))
 
-# --- scoring ------------------------------------------------------------------------------
-_POSTINGS = "bucket int, kind int, chunk long, texts int, keys binary, lengths binary, places binary, counts binary"
-_ANSWER = "chunk long, texts int, places binary, names binary, known binary, base binary, score binary"
-_SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
+def _asked_words(chunks: DataFrame, buckets: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, words, often in zip(*(batch.column(c).to_pylist() for c in ("chunk", "words", "often"))):
+                words, often = unpacked_steps(words, "<u8"), unpacked(often)
+                where = bucket_of(words, buckets)
+                at, runs = _runs(where)
+                rows = [(int(where[i]), packed_steps(words[i : i + n]), packed(often[i : i + n])) for i, n in zip(at.tolist(), runs.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))],
+                    names=["bucket", "chunk", "words", "often"],
+                )
 
-def _postings(kind: int, chunk: int, texts: int, keys: np.ndarray, where: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBatch | None:
-    """Each key of a bucket once, with the texts it is in and how often; rows of ``_ROW_KEYS`` keys.  ``places`` ascend."""
-    if not len(keys):
-        return None
-    order = np.argsort(keys, kind="stable")
-    order = order[_dealt(where[order], buckets)[0]]
-    keys, places, where = keys[order], places[order], where[order]
-    new_key = np.concatenate(([True], keys[1:] != keys[:-1]))
-    new_post = new_key | np.concatenate(([True], places[1:] != places[:-1]))
-    post_at, key_at = np.flatnonzero(new_post), np.flatnonzero(new_key)
-    post_n = np.diff(np.append(post_at, len(keys)))
-    key_post = np.searchsorted(post_at, key_at)
-    lengths = np.diff(np.append(key_post, len(post_at)))
-    cuts = np.searchsorted(where[key_at], np.arange(buckets + 1))
-    rows = []
-    for b in range(buckets):
-        for part in _cut(cuts[b], cuts[b + 1]):
-            i, j = part.start, part.stop
-            p, q = key_post[i], key_post[j] if j < len(key_at) else len(post_at)
-            rows.append((b, keys[key_at[i:j]].astype("<u8").tobytes(), lengths[i:j].astype("<u4").tobytes(), places[post_at[p:q]].astype("<u4").tobytes(), post_n[p:q].astype("<u4").tobytes()))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([r[0] for r in rows], pa.int32()), pa.array([kind] * len(rows), pa.int32()), pa.array([chunk] * len(rows), pa.int64()), pa.array([texts] * len(rows), pa.int32()),
-            *[pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 5)],
-        ],
-        names=["bucket", "kind", "chunk", "texts", "keys", "lengths", "places", "counts"],
-    )
+    return in_arrow(chunks.select("chunk", "words", "often"), run, "bucket int, chunk long, words binary, often binary")
 
 
-class _Chunk:
-    """Texts whose keys are sent together."""
-
-    def __init__(self, number: int):
-        self.number, self.size, self.texts = number, 0, 0
-        self.rare: list = []
-        self.pairs: list = []
-        self.known: list = []
-
-    def add(self, model: Model, buckets: int, ids: np.ndarray, held: np.ndarray, tokens: np.ndarray, starts: np.ndarray) -> None:
-        before = histories(tokens, starts)
-        history, word = model.history_place(before), model.place(tokens)
-        place = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        frequent, led = word >= 0, history >= 0
-        counts = np.where(frequent, model.counts[word] if len(model.counts) else 0, 0)
-        # As if no pair were known; buckets answer with what known pairs and other words add.
-        # A text ends with END, so each other word is a history once: its bucket adds both parts.
-        score = np.where(frequent, model.log_word(counts), 0.0) + np.where(led, model.log_backoff[history], 0.0)
-        keys = pair_keys(before, tokens)
-        at = np.minimum(np.searchsorted(model.pairs, keys), max(len(model.pairs) - 1, 0))
-        hot = model.pairs[at] == keys if len(model.pairs) else np.zeros(len(keys), bool)
-        score[hot] += model.gains[at[hot]]
-        self.rare.append((tokens[~frequent], _bucket_of(tokens[~frequent], buckets), place[~frequent] + self.texts))
-        cold = ~hot
-        where = _bucket_of(routed(before[cold], tokens[cold], history[cold], word[cold]), buckets)
-        self.pairs.append((keys[cold], where, place[cold] + self.texts))
-        n = len(starts) - 1
-        self.known.append((
-            ids, held, np.diff(starts), np.bincount(place, frequent, n), np.bincount(place, np.where(frequent, np.log10(counts + 1.0), 0.0), n), np.bincount(place, score, n)
-        ))
-        self.texts += n
-        self.size += len(tokens)
-
-    def rows(self, buckets: int) -> Iterator[pa.RecordBatch]:
-        for kind, waiting in ((WORDS, self.rare), (PAIRS, self.pairs)):
-            made = _postings(kind, self.number, self.texts, *(np.concatenate(x) for x in zip(*waiting)), buckets)
-            waiting.clear()
-            if made is not None:
-                yield made
-        ids, held, tokens, known, base, score = (np.concatenate(x) for x in zip(*self.known))
-        whole = b"".join([ids.astype("<i8").tobytes(), held.astype("<i8").tobytes(), tokens.astype("<i8").tobytes(), known.astype("<i8").tobytes()])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([self.number % buckets], pa.int32()), pa.array([TEXTS], pa.int32()), pa.array([self.number], pa.int64()), pa.array([self.texts], pa.int32()),
-                pa.array([whole], pa.binary()), pa.array([base.tobytes()], pa.binary()), pa.array([score.tobytes()], pa.binary()), pa.array([b""], pa.binary()),
-            ],
-            names=["bucket", "kind", "chunk", "texts", "keys", "lengths", "places", "counts"],
-        )
-
-
-def _answers(model: Model, asked: pa.Table, table: pa.Table) -> pa.Table:
-    kinds = {WORDS: ("<u8", "<i8", "<f8"), PAIRS: ("<u8", "<f8", "<i4")}
-    parts: dict[int, list] = {}
-    for kind, *row in zip(*(table.column(n) for n in ("kind", "keys", "counts", "extra"))):
-        parts.setdefault(kind.as_py(), []).append([np.frombuffer(x.as_buffer(), t) for x, t in zip(row, kinds[kind.as_py()])])
-    counted = {}
-    for kind, rows in parts.items():
-        rows = sorted((r for r in rows if len(r[0])), key=lambda r: r[0][0])  # their ranges of keys don't overlap
-        if rows:
-            counted[kind] = [np.concatenate(x) for x in zip(*rows)]
-    sums: dict[int, np.ndarray] = {}
-    sizes: dict[int, int] = {}
-    out = []
-    for i in range(asked.num_rows):
-        row = {n: asked.column(n)[i].as_py() for n in asked.column_names}
-        n = sizes[row["chunk"]] = row["texts"]
-        if row["kind"] == TEXTS:
-            whole = np.frombuffer(row["keys"], "<i8").reshape(4, n)
-            out.append((row["chunk"], n, None, whole[:3].tobytes(), whole[3].tobytes(), row["lengths"], row["places"]))
-            continue
-        keys, lengths, places, often = (np.frombuffer(row[c], t) for c, t in (("keys", "<u8"), ("lengths", "<u4"), ("places", "<u4"), ("counts", "<u4")))
-        known_keys, values, extra = counted.get(row["kind"], [np.zeros(0, t) for t in kinds[row["kind"]]])
-        at = np.minimum(np.searchsorted(known_keys, keys), max(len(known_keys) - 1, 0))
-        hit = known_keys[at] == keys if len(known_keys) else np.zeros(len(keys), bool)
-        at = at[hit]
-        total = sums.setdefault(row["chunk"], np.zeros((3, n)))
-        if row["kind"] == WORDS:
-            counts, backoff = np.zeros(len(keys), np.int64), np.zeros(len(keys))
-            counts[hit], backoff[hit] = values[at], extra[at]
-            for j, value in enumerate((hit.astype(float), np.log10(counts + 1.0), model.log_word(counts) + backoff)):
-                total[j] += np.bincount(places, np.repeat(value, lengths) * often, n)
-        else:
-            gain = np.zeros(len(keys))
-            gain[hit] = values[at] + np.where(extra[at] >= 0, model.log_lead[extra[at]], 0.0)
-            total[2] += np.bincount(places, np.repeat(gain, lengths) * often, n)
-    for chunk, total in sums.items():
-        at = np.flatnonzero(total.any(axis=0))
-        known, base, score = np.rint(total[0, at]).astype("<i8"), total[1, at], total[2, at]
-        out.append((chunk, sizes[chunk], at.astype("<u4").tobytes(), None, known.tobytes(), base.tobytes(), score.tobytes()))
-    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
-    names = ["chunk", "texts", "places", "names", "known", "base", "score"]
-    return pa.table({name: pa.array([x[i] for x in out], kind) for i, (name, kind) in enumerate(zip(names, kinds))})
-
-
-def _texts_of(answers: pa.Table) -> pa.Table:
-    """The texts of one chunk with the sums of all buckets' answers; as many numbers as the chunk has tokens at most."""
-    n = answers.column("texts")[0].as_py()
-    names, known, base, score = None, np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-    for row in answers.to_pylist():
-        at = slice(None) if row["places"] is None else np.frombuffer(row["places"], "<u4")
-        names = row["names"] or names
-        known[at] += np.frombuffer(row["known"], "<i8")
-        base[at] += np.frombuffer(row["base"])
-        score[at] += np.frombuffer(row["score"])
-    ids, held, tokens = np.frombuffer(names, "<i8").reshape(3, n)
-    return pa.table({"doc_id": pa.array(ids), "held_out": pa.array(held.astype(bool)), "n_tokens": pa.array(tokens), "n_known": pa.array(known), "base": pa.array(base), "score": pa.array(score)})
-
-
-def scores(docs: DataFrame, held_out, frequent: float = 0.0, bucket_bytes: int = BUCKET_BYTES, sent_share: float = FREQUENT) -> DataFrame:
+def scores(docs: DataFrame, held_out, bucket_bytes: int = BUCKET_BYTES, sent_share: float = SENT_SHARE) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words, A-Z in lower case, and one end per text; a null or empty text is its
     end.  ``held_out`` is an expression on doc_id; other texts are trained on, also those of
     a null doc_id, of which the expression is null.  ``score`` is log10 of the model's
     probability, ``base_score`` that of add-one words.  Rows that repeat a doc_id count and
-    are scored each by itself.  Without training texts every word is the unknown one.
+    are scored each by itself.  Without training texts every word is the unknown one.  An empty
+    table gives no rows.  doc_id is a whole number or its text; other texts are refused.
 
-    All pairs are modelled, unless the caller asks for those of words with a share of
-    ``frequent`` only.  ``sent_share`` is from where words and pairs are sent to every task;
-    it has no part in the result.
+    All pairs are modelled.  ``bucket_bytes`` and ``sent_share`` (the least share of the tokens
+    from which a history's sums may go to every task) have no part in the result.
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    size = read.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"), F.count(F.when(~F.col("held_out"), 1)).alias("texts")).first()
-    buckets = max(1, math.ceil(size["bytes"] / bucket_bytes))
-    training = read.where(~F.col("held_out"))
-    words = _table(training, WORDS, lambda tokens, starts: tokens, buckets)
-    share = min(sent_share, frequent) if frequent > 0 else sent_share
-    lexicon = word_model(words, share)
-    least = max(1.0, frequent * lexicon.n) if frequent > 0 else 0.0
-    pairs = _pair_table(training, docs.sparkSession.sparkContext.broadcast(lexicon), least, buckets)
-    model, tables = pair_model(lexicon, words, pairs, size["texts"], buckets, share)
+    size = read.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(1, math.ceil(size / bucket_bytes))
     ship(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 1 / share words and pairs at most
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 16
-        chunk = _Chunk(number)
-        for batch in batches:
-            ids = batch.column("doc_id").fill_null(-(1 << 63)).to_numpy()
-            held = batch.column("held_out").to_numpy(zero_copy_only=False)
-            for i, j, tokens, starts in _tokens(batch.column("text")):
-                chunk.add(sent.value, buckets, ids[i:j], held[i:j], tokens, starts)
-                if chunk.size >= CHUNK_TOKENS:
-                    yield from chunk.rows(buckets)
-                    number += 1
-                    chunk = _Chunk(number)
-        if chunk.texts:
-            yield from chunk.rows(buckets)
-
-    tables = tables.where(F.col("kind").isin(WORDS, PAIRS))
-    asked = in_arrow(read, run, _POSTINGS).groupBy("bucket").cogroup(tables.groupBy("bucket"))
-    found = asked.applyInArrow(lambda left, right: _answers(sent.value, left, right), _ANSWER)
-    one = found.groupBy("chunk").applyInArrow(_texts_of, _SCORED)
+    chunks = _chunks(read)
+    by_chunk = chunks.groupBy("chunk")
+    words = materialise(_asked_words(chunks, buckets).groupBy("bucket").applyInArrow(_count_words, _ANSWER))
+    n, v, *having = _stats(words, DISCOUNTED + 4).tolist()
+    model = word_model(n, v, np.array(having, float))
+    line = max(1.0, n / (HOT_PART * buckets), sent_share * n)
+    words = words.where(F.col("chunk").isNotNull())
+    needed = chunks.select("chunk", "held", "lengths", "words", "tokens").groupBy("chunk")
+    asked = needed.cogroup(words.groupBy("chunk")).applyInArrow(lambda left, right: _chunk_pairs(line, buckets, left, right), _ASKED)
+    pairs = materialise(asked.groupBy("bucket").applyInArrow(lambda part: _count_pairs(model, part), _ANSWER))
+    pair_factors = discounts(_stats(pairs, DISCOUNTED + 2).astype(float))
+    hot = _hot_sums(pairs)
+    answers = words.unionByName(pairs.where(F.col("chunk").isNotNull()))
+    found = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(lambda left, right: _scored(model, pair_factors, hot, line, buckets, left, right), _SCORED)
     total = math.log10(model.n + 1 * (model.v + 1))
-    return one.select(
-        F.expr("nullif(doc_id, -9223372036854775808)").alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"),
-        (F.col("base") - F.col("n_tokens") * F.lit(total)).alias("base_score"), "score",
+    return found.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * F.lit(total)).alias("base_score"), "score",
     )

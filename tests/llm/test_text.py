@@ -242,7 +242,7 @@ def test_tree_and_runs_of_space():
 
 
 # --- language model -----------------------------------------------------------------------
-def brute_katz(rows, frequent):
+def brute_katz(rows):
     end, start, top = b"\0end", b"\0start", katz.DISCOUNTED
     texts = [(d, h, words(t, lower=True) + [end]) for d, h, t in rows]
     counts = Counter(w for _, h, ws in texts if not h for w in ws)
@@ -257,14 +257,12 @@ def brute_katz(rows, frequent):
     taken = sum(map(one, counts.values())) / n if n else 0
     scale = min(1.0, n / (n + 1) / taken) if taken else 1.0
     word = lambda w: one(counts[w]) / n * scale if w in counts else 1 - scale * taken
-    often = {w for w, c in counts.items() if c >= max(1, frequent * n)}
     pairs = Counter()
     for _, h, ws in texts:
         for a, b in zip([start, *ws], ws) if not h else ():
-            if (a == start or a in often) and b in often:
-                pairs[a, b] += 1
+            pairs[a, b] += 1
     two = factors(pairs)
-    history = {**{w: counts[w] for w in often}, start: sum(not h for _, h, _ in texts)}
+    history = {**counts, start: sum(not h for _, h, _ in texts)}
     own, lower = Counter(), Counter()
     for (a, b), c in pairs.items():
         own[a] += two(c) / max(history[a], 1)
@@ -286,26 +284,13 @@ def brute_katz(rows, frequent):
     return out
 
 
-@pytest.mark.parametrize("frequent,bucket_bytes", [(1e-5, 48_000_000), (0.005, 2_000), (0.2, 5_000)])
-def test_katz(spark, monkeypatch, frequent, bucket_bytes):
-    monkeypatch.setattr(katz, "CHUNK_TOKENS", 500 if bucket_bytes < 10_000 else 3_000_000)
-    docs = documents(spark)
-    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    want = {r[0]: r for r in brute_katz([tuple(r) for r in docs.select("doc_id", held, "text").collect()], frequent)}
-    got = katz.scores(docs, held, frequent, bucket_bytes).collect()
-    assert len(got) == len(want)
-    for r in got:
-        w = want[r.doc_id]
-        assert tuple(r)[:5] == w[:5] and math.isclose(r.base_score, w[5], rel_tol=1e-9) and math.isclose(r.score, w[6], rel_tol=1e-9), (r, w)
-
-
-@pytest.mark.parametrize("sent_share,bucket_bytes", [(1e-5, 48_000_000), (0.005, 2_000), (0.2, 5_000), (1.0, 700)])
+@pytest.mark.parametrize("sent_share,bucket_bytes", [(1e-5, 48_000_000), (1e-6, 2_000), (0.005, 2_000), (0.2, 5_000), (1.0, 700)])
 def test_katz_models_all_pairs_whatever_is_sent(spark, monkeypatch, sent_share, bucket_bytes):
     monkeypatch.setattr(katz, "CHUNK_TOKENS", 500 if bucket_bytes < 10_000 else 3_000_000)
     docs = documents(spark)
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    want = {r[0]: r for r in brute_katz([tuple(r) for r in docs.select("doc_id", held, "text").collect()], 0.0)}
-    got = katz.scores(docs, held, bucket_bytes=bucket_bytes, sent_share=sent_share).collect()
+    want = {r[0]: r for r in brute_katz([tuple(r) for r in docs.select("doc_id", held, "text").collect()])}
+    got = katz.scores(docs, held, bucket_bytes, sent_share).collect()
     assert len(got) == len(want)
     for r in got:
         w = want[r.doc_id]
