@@ -9,8 +9,8 @@ pairs: backing off is one step from the pair to the word, and one from the word
 Texts are tokenised once, into chunks of about ``CHUNK_TOKENS`` tokens: the distinct words of
 a chunk and the tokens as places among them.  Words lie in buckets by ranges of their hash.
 A chunk sends each of its words once to the word's bucket, with its training count, and gets
-the count over all chunks back; then each of its pairs once, and gets their counts and their
-history's sums back.  So what was sent to be counted is also what is asked for, nothing
+the count over all chunks and the word's number back; then each of its pairs once, by the
+numbers of its words, and gets their counts and their history's sums back.  So what was sent to be counted is also what is asked for, nothing
 is sent twice, and what travels grows with the chunks' distinct keys, however many buckets
 there are.  All that a text's probability needs is then in its chunk.
 
@@ -98,7 +98,7 @@ def _tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         yield i, j, np.insert(word_hashes(part, starts, ends), first[1:], END), np.diff(first) + 1
 
 
-_CHUNKS = "chunk long, ids binary, nulls binary, held binary, lengths binary, words binary, often binary, tokens binary"
+_CHUNKS = "chunk long, start long, ids binary, nulls binary, held binary, lengths binary, words binary, often binary, tokens binary"
 
 
 def _chunk_row(number: int, parts: list) -> pa.RecordBatch:
@@ -108,7 +108,7 @@ def _chunk_row(number: int, parts: list) -> pa.RecordBatch:
     often = np.bincount(at[:-1][np.repeat(~held, lengths)], minlength=len(words))
     often[at[-1]] += int((~held).sum())
     row = [packed(ids), packed(nulls), packed(held), packed(lengths), packed_steps(words), packed(often), packed(at[:-1])]
-    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x], pa.binary()) for x in row)], names=[c.split()[0] for c in _CHUNKS.split(", ")])
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([at[-1]], pa.int64()), *(pa.array([x], pa.binary()) for x in row)], names=[c.split()[0] for c in _CHUNKS.split(", ")])
 
 
 @dataclass(frozen=True)
@@ -120,18 +120,19 @@ class _Pairs:
     of_token: np.ndarray
 
     @staticmethod
-    def of(words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> _Pairs:
+    def of(tokens: np.ndarray, lengths: np.ndarray, start: int) -> _Pairs:
         before = np.concatenate((tokens[:1], tokens[:-1]))
-        before[np.cumsum(lengths) - lengths] = np.searchsorted(words, START)
-        keys, of_token = np.unique(before * len(words) + tokens, return_inverse=True)
-        return _Pairs(keys // len(words), keys % len(words), of_token)
+        before[np.cumsum(lengths) - lengths] = start
+        width = max(int(tokens.max()), start) + 1
+        keys, of_token = np.unique(before * width + tokens, return_inverse=True)
+        return _Pairs(keys // width, keys % width, of_token)
 
-    def dealt(self, words: np.ndarray, counts: np.ndarray, line: float, buckets: int) -> Iterator[tuple[int, int, np.ndarray]]:
-        """Kind, bucket and pairs that go there; the same for the same chunk and counts."""
+    def dealt(self, numbers: np.ndarray, counts: np.ndarray, line: float, buckets: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Kind, bucket and pairs that go there; the same for the same chunk, numbers and counts."""
         hot = counts[self.history] >= line
         for kind, some in ((PAIRS, np.flatnonzero(~hot)), (HOT, np.flatnonzero(hot))):
-            h, w = words[self.history[some]], words[self.word[some]]
-            where = bucket_of(h if kind == PAIRS else pair_keys(h, w), buckets)
+            h, w = numbers[self.history[some]], numbers[self.word[some]]
+            where = h % buckets if kind == PAIRS else bucket_of(pair_keys(h.view("<u8"), w.view("<u8")), buckets)
             if kind == HOT:
                 order = np.argsort(where, kind="stable")
                 some, where = some[order], where[order]
@@ -171,7 +172,10 @@ def _count_words(asked: pa.Table) -> pa.Table:
     counts = np.zeros(len(words), np.int64)
     np.add.at(counts, at, np.concatenate([unpacked(x.as_py()) for x in asked.column("often")]))
     seen = counts[(words != START) & (counts > 0)]
-    rows = [(chunk, bucket, WORDS, packed(counts[at[cuts[i] : cuts[i + 1]]]), None, None, None) for i, chunk in enumerate(asked.column("chunk").to_pylist())]
+    rows = []
+    for i, chunk in enumerate(asked.column("chunk").to_pylist()):
+        own = at[cuts[i] : cuts[i + 1]]
+        rows.append((chunk, bucket, WORDS, packed(counts[own]), packed_steps(own), None, None))
     return _answers([*rows, (None, bucket, WORDS, None, None, None, [int(seen.sum()), len(seen), *_having(seen)])])
 
 
@@ -179,32 +183,31 @@ _ASKED = "bucket int, kind int, chunk long, histories binary, lengths binary, wo
 
 
 def _chunk_pairs(line: float, buckets: int, chunk: pa.Table, answers: pa.Table) -> pa.Table:
-    """The distinct pairs of a chunk with their training counts and their words' counts, dealt out.
-
-    Words of a history are told apart by 48 bits of their hash: a bucket compares them within one history only.
-    """
+    """The distinct pairs of a chunk with their training counts and their words' counts, dealt out."""
     rows = []
     for row in chunk.to_pylist():
-        words, tokens, lengths, held = unpacked_steps(row["words"], "<u8"), unpacked(row["tokens"]), unpacked(row["lengths"]), unpacked(row["held"]) == 1
-        counts = _word_counts(answers)
-        pairs = _Pairs.of(words, tokens, lengths)
+        lengths, held = unpacked(row["lengths"]), unpacked(row["held"]) == 1
+        numbers, counts = _word_answers(answers, buckets)
+        pairs = _Pairs.of(unpacked(row["tokens"]), lengths, row["start"])
         often = np.bincount(pairs.of_token[np.repeat(~held, lengths)], minlength=len(pairs.word))
-        for kind, bucket, some in pairs.dealt(words, counts, line, buckets):
+        for kind, bucket, some in pairs.dealt(numbers, counts, line, buckets):
             at, runs = _runs(pairs.history[some])
-            w = pairs.word[some]
-            rows.append((bucket, kind, row["chunk"], packed_steps(words[pairs.history[some[at]]]), packed(runs), packed(words[w] >> np.uint64(16)), packed(often[some]), packed(counts[w])))
+            h, w = numbers[pairs.history[some[at]]], pairs.word[some]
+            # A bucket's own words ascend, and their place in the bucket says which they are.
+            histories = packed_steps(h // buckets) if kind == PAIRS else packed(h)
+            rows.append((bucket, kind, row["chunk"], histories, packed(runs), packed(numbers[w]), packed(often[some]), packed(counts[w])))
     kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
     return pa.table({c.split()[0]: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(zip(_ASKED.split(", "), kinds))})
 
 
-def _word_counts(answers: pa.Table) -> np.ndarray:
-    """Counts of a chunk's words; its buckets are ranges of them."""
-    found = sorted((b, c) for b, k, c in zip(*(answers.column(n).to_pylist() for n in ("bucket", "kind", "counts"))) if k == WORDS)
-    return np.concatenate([unpacked(c) for _, c in found])
+def _word_answers(answers: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and counts of a chunk's words; its buckets are ranges of them.  Numbers of a bucket's words are alike modulo ``buckets``."""
+    found = sorted((b, n, c) for b, k, n, c in zip(*(answers.column(x).to_pylist() for x in ("bucket", "kind", "few", "counts"))) if k == WORDS)
+    return np.concatenate([unpacked_steps(n) * buckets + b for b, n, _ in found]), np.concatenate([unpacked(c) for *_, c in found])
 
 
 def _count_pairs(model: Model, asked: pa.Table) -> pa.Table:
-    """Counts of a bucket's pairs for each chunk, and per history how many pairs have each low count and the probability of their words."""
+    """Counts of a bucket's pairs for each chunk, and per history how many pairs have each low count and, if asked for an unknown pair, the probability of their words."""
     if not asked.num_rows:
         return _answers([])
     bucket = asked.column("bucket")[0].as_py()
@@ -215,9 +218,9 @@ def _count_pairs(model: Model, asked: pa.Table) -> pa.Table:
         if not mine:
             continue
         col = {n: [asked.column(n)[i].as_py() for i in mine] for n in ("histories", "lengths", "words", "often", "seen")}
-        own = [unpacked_steps(x, "<u8") for x in col["histories"]]
+        own = [(unpacked_steps if kind == PAIRS else unpacked)(x) for x in col["histories"]]
         h = np.concatenate([np.repeat(k, unpacked(n)) for k, n in zip(own, col["lengths"])])
-        w = np.concatenate([unpacked(x, "<u8") for x in col["words"]])
+        w = np.concatenate([unpacked(x) for x in col["words"]])
         cuts = np.cumsum([0, *(int.from_bytes(x[:8], "little") for x in col["words"])])
         order = np.lexsort((w, h))
         h, w = h[order], w[order]
@@ -236,7 +239,11 @@ def _count_pairs(model: Model, asked: pa.Table) -> pa.Table:
         h = h[first]
         for i, row in enumerate(mine):
             back = np.searchsorted(h, own[i]) if kind == PAIRS else np.zeros(0, np.int64)
-            out.append((chunks[row], bucket, kind, packed(counts[cuts[i] : cuts[i + 1]]), packed(few[:, back].reshape(-1)), packed(lower[back]), None))
+            mine_counts = counts[cuts[i] : cuts[i + 1]]
+            # Only where a pair is unknown does its history back off.
+            starts = np.cumsum(unpacked(col["lengths"][i])) - unpacked(col["lengths"][i])
+            needed = np.minimum.reduceat(mine_counts, starts) == 0 if kind == PAIRS else np.zeros(0, bool)
+            out.append((chunks[row], bucket, kind, packed(mine_counts), packed(few[:, back].reshape(-1)), packed(np.where(needed, lower[back], 0.0)), None))
         if kind == HOT:
             out.append((None, bucket, HOT, h.tobytes(), few.T.tobytes(), lower.tobytes(), None))
     return _answers([*out, (None, bucket, PAIRS, None, None, None, stats.tolist())])
@@ -261,7 +268,7 @@ def _hot_sums(answers: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     parts = answers.where(F.col("chunk").isNull() & (F.col("kind") == HOT)).select("counts", "few", "lower")
     parts = in_arrow(parts, run, f"h long, {', '.join(n + ' long' for n in names)}, lower double")
     rows = parts.groupBy("h").agg(*[F.sum(c).alias(c) for c in (*names, "lower")]).toArrow()
-    h = rows.column("h").to_numpy().view(np.uint64)
+    h = rows.column("h").to_numpy()
     order = np.argsort(h)
     few = np.array([rows.column(n).to_numpy() for n in names], np.int64).reshape(DISCOUNTED, -1)
     return h[order], few[:, order], rows.column("lower").to_numpy()[order]
@@ -339,19 +346,20 @@ def _scored(model: Model, pair_factors: np.ndarray, hot: tuple[np.ndarray, np.nd
     """The texts of one chunk."""
     out = []
     for row in chunk.to_pylist():
-        words, tokens, lengths = unpacked_steps(row["words"], "<u8"), unpacked(row["tokens"]), unpacked(row["lengths"])
-        counts = _word_counts(answers)
+        tokens, lengths = unpacked(row["tokens"]), unpacked(row["lengths"])
+        numbers, counts = _word_answers(answers, buckets)
         log_word = model.log_word(counts)
-        pairs = _Pairs.of(words, tokens, lengths)
+        pairs = _Pairs.of(tokens, lengths, row["start"])
         found = {(k, b): x for b, k, *x in zip(*(answers.column(n).to_pylist() for n in ("bucket", "kind", "counts", "few", "lower"))) if k != WORDS}
         pair_counts = np.zeros(len(pairs.word), np.int64)
-        few, lower = np.zeros((DISCOUNTED, len(words)), np.int64), np.zeros(len(words))
+        few, lower = np.zeros((DISCOUNTED, len(counts)), np.int64), np.zeros(len(counts))
         led = np.flatnonzero(counts >= line)
         if len(hot[0]) and len(led):
-            at = np.minimum(np.searchsorted(hot[0], words[led]), len(hot[0]) - 1)
-            led, at = led[hot[0][at] == words[led]], at[hot[0][at] == words[led]]
+            at = np.minimum(np.searchsorted(hot[0], numbers[led]), len(hot[0]) - 1)
+            same = hot[0][at] == numbers[led]  # a hot word that is no history, as an end, has no sums
+            led, at = led[same], at[same]
             few[:, led], lower[led] = hot[1][:, at], hot[2][at]
-        for kind, bucket, some in pairs.dealt(words, counts, line, buckets):
+        for kind, bucket, some in pairs.dealt(numbers, counts, line, buckets):
             own_counts, own_few, own_lower = found[kind, bucket]
             pair_counts[some] = unpacked(own_counts)
             if kind == PAIRS:
@@ -424,19 +432,18 @@ def scores(docs: DataFrame, held_out, bucket_bytes: int = BUCKET_BYTES, sent_sha
     buckets = max(1, math.ceil(size / bucket_bytes))
     ship(docs.sparkSession)
     chunks = _chunks(read)
-    by_chunk = chunks.groupBy("chunk")
     words = materialise(_asked_words(chunks, buckets).groupBy("bucket").applyInArrow(_count_words, _ANSWER))
     n, v, *having = _stats(words, DISCOUNTED + 4).tolist()
     model = word_model(n, v, np.array(having, float))
     line = max(1.0, n / (HOT_PART * buckets), sent_share * n)
     words = words.where(F.col("chunk").isNotNull())
-    needed = chunks.select("chunk", "held", "lengths", "words", "tokens").groupBy("chunk")
-    asked = needed.cogroup(words.groupBy("chunk")).applyInArrow(lambda left, right: _chunk_pairs(line, buckets, left, right), _ASKED)
+    asked = chunks.select("chunk", "start", "held", "lengths", "tokens").groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(lambda left, right: _chunk_pairs(line, buckets, left, right), _ASKED)
     pairs = materialise(asked.groupBy("bucket").applyInArrow(lambda part: _count_pairs(model, part), _ANSWER))
     pair_factors = discounts(_stats(pairs, DISCOUNTED + 2).astype(float))
     hot = _hot_sums(pairs)
     answers = words.unionByName(pairs.where(F.col("chunk").isNotNull()))
-    found = by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(lambda left, right: _scored(model, pair_factors, hot, line, buckets, left, right), _SCORED)
+    texts = chunks.select("chunk", "start", "ids", "nulls", "held", "lengths", "tokens").groupBy("chunk")
+    found = texts.cogroup(answers.groupBy("chunk")).applyInArrow(lambda left, right: _scored(model, pair_factors, hot, line, buckets, left, right), _SCORED)
     total = math.log10(model.n + 1 * (model.v + 1))
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * F.lit(total)).alias("base_score"), "score",
