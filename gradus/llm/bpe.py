@@ -29,7 +29,7 @@ LEAF = 24
 #: Matches, and stretches between spaces, that a worker remembers; how many doesn't change results.
 REMEMBERED, REMEMBERED_STRETCHES = 300_000, 100_000
 REMEMBERED_LENGTH = 64
-#: A text of more code points is split into pieces in steps, not in one list.
+#: A text of more code points is split into pieces in steps, not in one list; the pieces are the same.
 STEP_FROM = 1_000_000
 STEP = 100_000
 
@@ -44,7 +44,7 @@ class Encoder:
             self.tokens[rank] = token
         self.pattern = regex.compile(pattern)
         # A space amid white space belongs to a run that has to be seen as a whole.
-        self.in_run = regex.compile(r"\s \s")
+        self.in_run = regex.compile(r"\s (?:\s|\Z)")
         self.agreeing: dict[tuple[int, int], bool] = {}
         # Matches, and stretches from a space on by what follows it.
         self.pieces = _Known(lambda piece: _packed(self.piece(piece.encode())), REMEMBERED)
@@ -192,7 +192,8 @@ def encoder_of(rank_file: bytes, pattern: str) -> Encoder:
 
 
 def _mapped(df: DataFrame, column: str, made: dict[str, Callable[[Encoder, object], bytes]], rank_file: bytes, pattern: str) -> DataFrame:
-    names = [f.name for f in df.schema.fields if f.name != column]
+    gone = {column, *made}
+    names = [f.name for f in df.schema.fields if f.name.lower() not in {c.lower() for c in gone}]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(rank_file, pattern)
@@ -217,16 +218,16 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text")
     """``docs`` with ``text`` replaced by ``ids``, little-endian unsigned 32-bit integers.
 
     A null or empty text has no ids.  Every row is encoded by itself; the order of columns is
-    kept but for ``ids``, which comes last.
+    kept but for ``ids``, which comes last and replaces a column of that name.
     """
     return _mapped(docs, text, {"ids": lambda e, t: e.encode(t or "")}, rank_file, pattern)
 
 
 def decode(encoded: DataFrame, rank_file: bytes, pattern: str, ids: str = "ids") -> DataFrame:
-    """``encoded`` with ``ids`` replaced by the ``decoded`` bytes."""
+    """``encoded`` with ``ids`` replaced by the ``decoded`` bytes, also a column of that name."""
     return _mapped(encoded, ids, {"decoded": lambda e, t: e.decode(t or b"")}, rank_file, pattern)
 
 
 def round_trip(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text") -> DataFrame:
-    """``encode`` and ``decode`` in one pass: columns ``ids`` and ``decoded`` for ``text``."""
+    """``encode`` and ``decode`` in one pass: columns ``ids`` and ``decoded`` for ``text`` and for columns of these names."""
     return _mapped(docs, text, {"ids": lambda e, t: e.encode(t or ""), "decoded": lambda e, ids: e.decode(ids)}, rank_file, pattern)

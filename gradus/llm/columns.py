@@ -44,7 +44,16 @@ def small_or_plain(ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the first longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is not in ``ids`` (one column ``doc_id``)."""
-    gone = small_or_plain(ids.select(F.col("doc_id").alias("_gone_id")))
-    return docs.join(gone, docs["doc_id"] == F.col("_gone_id"), "left_anti")
+    own = fresh(docs, "_gone_id")
+    gone = small_or_plain(ids.select(F.col("doc_id").alias(own)))
+    return docs.join(gone, docs["doc_id"] == F.col(own), "left_anti")

@@ -3,16 +3,16 @@
 A mergeable frequent-items summary (Misra-Gries counters, merged in two levels) names every
 digest that could hold at least ``1 / HEAVY`` of the rows.  Those are counted exactly, and
 the ones that do are the heavy digests: at most ``HEAVY`` of them, so their winners can be
-sent to all tasks, which decide their rows without a shuffle.  Each digest that is left has
-fewer than ``rows / HEAVY`` rows, so a window over it fits a task.
+sent to all tasks, which decide their rows without a shuffle.  The winners of digests that are
+left are aggregated before they are shuffled, and joined back; no group is held as a whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradus.llm.columns import SPACE, packed, text_of, without
+from gradus.llm.columns import SPACE, fresh, packed, text_of, without
 from gradus.sources.tables import materialise
 
 #: A digest with more than a HEAVY-th of the rows is heavy.
@@ -34,7 +34,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def heavy_candidates(rows: DataFrame) -> DataFrame:
-    """Digests (at most HEAVY) among which is every one with a HEAVY-th of the rows."""
+    """Digests (at most HEAVY) that may have a HEAVY-th of the rows; one that is missed is decided like a light one."""
     state = F.expr(f"approx_top_k_accumulate(digest, {COUNTERS})").alias("state")
     merged = F.expr(f"approx_top_k_combine(state, {COUNTERS})").alias("state")
     parts = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_WIDTH)).alias("part")).agg(state)
@@ -43,21 +43,18 @@ def heavy_candidates(rows: DataFrame) -> DataFrame:
     return top.select(F.col("top.item").alias("digest"))
 
 
-def _order() -> list[Column]:
-    return [F.col("size").desc(), F.col("doc_id").asc_nulls_last(), F.col("rid")]
+def _winners(rows: DataFrame) -> DataFrame:
+    """digest, group_size, keep_id and keep_rid of every digest."""
+    first = F.min(F.struct(-F.col("size"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"))).alias("first")
+    counted = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), first)
+    return counted.select("digest", "group_size", F.col("first.doc_id").alias("keep_id"), F.col("first.rid").alias("keep_rid"))
 
 
 def heavy_winners(rows: DataFrame) -> DataFrame:
     """digest, keep_id, keep_rid, group_size of the digests that are heavy by exact count."""
     total = rows.count()
-    first = F.min(F.struct(-F.col("size"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"))).alias("first")
-    return (
-        rows.join(F.broadcast(heavy_candidates(rows)), "digest")
-        .groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("group_size"), first)
-        .where((F.col("group_size") >= 2) & (F.col("group_size") * F.lit(HEAVY) > F.lit(total)))
-        .select("digest", "group_size", F.col("first.doc_id").alias("keep_id"), F.col("first.rid").alias("keep_rid"))
-    )
+    counted = _winners(rows.join(F.broadcast(heavy_candidates(rows)), "digest"))
+    return counted.where((F.col("group_size") >= 2) & (F.col("group_size") * F.lit(HEAVY) > F.lit(total)))
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
@@ -70,18 +67,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     """
     rows = digests(docs)
     winners = F.broadcast(materialise(heavy_winners(rows)))
-    heavy = rows.join(winners, "digest").withColumn("kept", F.col("rid") == F.col("keep_rid"))
     rest = rows.join(winners, "digest", "left_anti")
-    by_rank = Window.partitionBy("digest").orderBy(*_order())
-    whole = by_rank.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    light = rest.select(
-        "*",
-        F.first("doc_id").over(whole).alias("keep_id"),
-        F.count(F.lit(1)).over(whole).alias("group_size"),
-        (F.row_number().over(by_rank) == 1).alias("kept"),
-    )
-    columns = ["doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"), "size"]
-    return heavy.select(*columns).unionByName(light.select(*columns))
+    decided = rows.join(winners, "digest").unionByName(rest.join(_winners(rest), "digest"))
+    return decided.select("doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), F.col("digest").alias("text_sha256"), "size")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -98,10 +86,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     if odd.isEmpty():
         return without(docs, lost)
     plain = without(without(docs.where(F.col("doc_id").isNotNull()), odd), lost)
-    marks = odd.withColumnRenamed("doc_id", "_odd_id")
-    kept = decided.where("kept").join(marks, F.col("doc_id").eqNullSafe(F.col("_odd_id")), "left_semi")
+    mark = fresh(docs, "_odd_id")
+    marks = odd.withColumnRenamed("doc_id", mark)
+    kept = decided.where("kept").join(marks, F.col("doc_id").eqNullSafe(F.col(mark)), "left_semi")
     kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest"), F.col("size").alias("_kept_size"))
-    strange = docs.join(marks, docs["doc_id"].eqNullSafe(F.col("_odd_id")), "left_semi")
+    strange = docs.join(marks, docs["doc_id"].eqNullSafe(F.col(mark)), "left_semi")
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     strange = packed(strange).select("row", digest_of(text).alias("_digest"), F.char_length(text).cast("long").alias("_size"))
     same = F.col("row.doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest")) & (F.col("_size") == F.col("_kept_size"))

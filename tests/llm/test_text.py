@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from gradus.llm import bpe, components, katz, line_dedup, minhash, nbsvm, repeats, token_files
+from gradus.llm import bpe, components, exact_dedup, katz, line_dedup, minhash, nbsvm, repeats, token_files
 from gradus.llm.text_queries import rank_file
 from tests.llm.fixture import documents, nothing, same_rows, strange, words
 
@@ -241,6 +241,27 @@ def test_tree_and_runs_of_space():
     assert np.frombuffer(encoder.encode(long), "<u4").tolist() == peer.encode_ordinary(long)
 
 
+def test_cut_at_spaces_keeps_the_matches():
+    encoder = bpe.Encoder(rank_file(), public_tokenizers.PATTERN)
+    encoder.pieces = bpe._Known(lambda piece: piece.encode() + b"|", 1_000)
+    r = random.Random(7)
+    for text in ["a ", "a\t ", "a\n ", "\t ", " ", "a  ", " a", "\t b ", *("".join(r.choice(["a", " ", "\n", "\t", "b.", "'s", "é", " x", "\u00a0", "1"]) for _ in range(r.randint(0, 9))) for _ in range(5_000))]:
+        assert encoder.encode(text) == b"".join(x.encode() + b"|" for x in encoder.pattern.findall(text)), repr(text)
+
+
+def test_columns_of_like_names(spark):
+    docs = documents(spark).select("doc_id", "text", F.lit(1).alias("ids"), F.lit(2).alias("Decoded"), F.lit(3).alias("_gone_id"), F.lit(4).alias("_odd_id"), F.lit(5).alias("odd name"))
+    coded = bpe.round_trip(docs, rank_file(), public_tokenizers.PATTERN)
+    assert coded.columns == ["doc_id", "_gone_id", "_odd_id", "odd name", "ids", "decoded"]
+    want = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert {r.doc_id: bytes(r.decoded).decode() for r in coded.collect()} == want
+    for gather in (minhash.deduplicate, exact_dedup.deduplicate):
+        kept = gather(docs)
+        assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+        odd = gather(docs.union(docs.limit(5)).withColumn("doc_id", F.when(F.col("doc_id") > 50, F.col("doc_id"))))
+        assert odd.columns == docs.columns and odd.count() > 0
+
+
 # --- language model -----------------------------------------------------------------------
 def brute_katz(rows):
     end, start, top = b"\0end", b"\0start", katz.DISCOUNTED
