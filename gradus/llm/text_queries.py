@@ -22,8 +22,9 @@ def rank_file() -> bytes:
 
 
 def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = token_files.scan(token_files.blocks_of_documents(_documents(spark, sf_dir)))
-    return counted.select(F.col("name").alias("doc_id"), "n_tokens")
+    files = token_files.write_documents(_documents(spark, sf_dir), scanned=True)
+    counted = token_files.named(token_files.scan(token_files.blocks_of_files(spark, files.path)), files)
+    return counted.select("doc_id", "n_tokens")
 
 
 def op5_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,9 @@ border gets its start from the scan.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,95 +22,109 @@ from pyspark.sql import functions as F
 
 from gradus.llm.kernels import slices, spans, utf8, word_hashes
 from gradus.llm.workers import in_arrow
-from gradus.sources.tables import materialise
+from gradus.sources.tables import materialise, staging_dir
 
 #: End-of-document id of files that this module makes; their ids have 32 bits.
-END = 0xFFFFFFFF
+END = 0
 BLOCK_TOKENS = 1 << 18
+#: Documents in a file that this module makes, so that a file is some tens of megabytes.
+FILE_DOCUMENTS = 10_000
 _PIECE_BYTES = 1 << 20
-_BLOCKS = "file string, block long, data binary, names array<long>"
+
+
+@dataclass(frozen=True)
+class FlatFiles:
+    """A folder of flat files, and which document is where in them: doc_id, part, split and ordinal."""
+
+    path: str
+    names: DataFrame
 
 
 def blocks_of_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, token_bytes: int = 4) -> DataFrame:
-    """Blocks of the files under ``path``, shards of up to 2 GB each; names are null."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "length", "content")
+    """file, block and data of the files under ``path``, shards of up to 2 GB each; an empty file has one empty block."""
     width = block_tokens * token_bytes
-    numbers = F.sequence(F.lit(0).cast("long"), F.expr(f"greatest(length - 1, 0) div {width}"))
-    cut = files.select("file", F.explode(numbers).alias("block"), "content")
-    data = F.substring("content", (F.col("block") * width + 1).cast("int"), F.lit(width))
-    return cut.select("file", "block", data.alias("data"), F.lit(None).cast("array<long>").alias("names"))
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "length", "content")
+    numbers = F.sequence(F.lit(0), F.expr(f"cast(greatest(length - 1, 0) div {width} as int)"))
+    cut = F.transform(numbers, lambda b: F.substring("content", b * F.lit(width) + 1, F.lit(width)))
+    return files.select("file", F.posexplode(cut).alias("block", "data")).withColumn("block", F.col("block").cast("long"))
 
 
-def blocks_of_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """One flat file per partition of ``docs``: 32-bit word ids, an end after each document.
+def write_documents(docs: DataFrame, file_documents: int = FILE_DOCUMENTS, scanned: bool = False) -> FlatFiles:
+    """Documents as flat files in the shared folder: 32-bit word ids, an end after each document, nothing else.
 
-    ``names`` lists the doc_id of each document that ends in the block, for telling results
-    apart; it is no index, the scan doesn't read it.
+    Spark's text writer puts the end after each row's bytes.  Rows are read twice, for the
+    tokens and for the names, and have to come in the same order each time.  A table
+    read from files does; say so by ``scanned``.  Other rows are written to a table first.
+    A null, empty or blank text is an empty document; null and repeated ids are kept.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, number = f"part-{TaskContext.get().partitionId():06d}", 0
-        waiting, named = np.zeros(0, np.uint32), []
-
-        def block(tokens: np.ndarray) -> pa.RecordBatch:
-            n = int((tokens == END).sum())
-            out = [pa.array([file]), pa.array([number], pa.int64()), pa.array([tokens.astype("<u4").tobytes()], pa.binary()), pa.array([named[:n]], pa.list_(pa.int64()))]
-            del named[:n]
-            return pa.RecordBatch.from_arrays(out, names=["file", "block", "data", "names"])
-
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
             data, offsets = utf8(batch.column("text"))
             for i, j in slices(offsets, _PIECE_BYTES):
                 part = data[offsets[i] : offsets[j]]
                 starts, ends, first = spans(part, offsets[i : j + 1] - offsets[i])
-                tokens = (word_hashes(part, starts, ends) % np.uint64(END)).astype(np.uint32)
-                waiting = np.concatenate((waiting, np.insert(tokens, first[1:], END)))
-                named += ids[i:j]
-                while len(waiting) >= block_tokens:
-                    yield block(waiting[:block_tokens])
-                    waiting, number = waiting[block_tokens:], number + 1
-        if len(waiting):
-            yield block(waiting)
+                ids = (word_hashes(part, starts, ends) % np.uint64(0xFFFFFFFF) + np.uint64(1)).astype("<u4")
+                rows = [ids[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["tokens"])
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, row = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            at = np.arange(row, row + batch.num_rows)
+            row += batch.num_rows
+            columns = [batch.column("doc_id"), np.full(len(at), part), at // file_documents, at % file_documents]
+            yield pa.RecordBatch.from_arrays([columns[0], *(pa.array(c, pa.int64()) for c in columns[1:])], names=["doc_id", "part", "split", "ordinal"])
+
+    read = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    read = read if scanned else materialise(read)
+    path = f"{staging_dir(docs.sparkSession).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    flat = in_arrow(read, tokens, "tokens binary").select(F.col("tokens").cast("string").alias("value"))
+    end = END.to_bytes(4, "little").decode()
+    flat.write.option("lineSep", end).option("compression", "none").option("maxRecordsPerFile", file_documents).text(path)
+    names = in_arrow(read.select("doc_id", F.octet_length("text").alias("size")), places, f"doc_id {read.schema['doc_id'].dataType.simpleString()}, part long, split long, ordinal long")
+    return FlatFiles(path, names)
+
 
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return in_arrow(read, run, _BLOCKS)
+def named(scanned: DataFrame, files: FlatFiles) -> DataFrame:
+    """``scanned`` documents of ``files`` with their doc_id: joined by file and ordinal after the scan."""
+    number = [F.regexp_extract("file", pattern, 1).cast("long").alias(c) for c, pattern in (("part", r"part-(\d+)-[^/]*$"), ("split", r"-c(\d+)[^/]*$"))]
+    return scanned.select("*", *number).join(files.names, ["part", "split", "ordinal"], "left").drop("part", "split")
 
 
 def scan(blocks: DataFrame, end: int = END, token_bytes: int = 4) -> DataFrame:
-    """file, ordinal, start, n_tokens and name of every document in the files.
+    """file, ordinal, start, n_tokens and finished of every document in the files.
 
     ``n_tokens`` leaves the end out.  Two ends in a row are an empty document.  Tokens after a
-    file's last end are an unfinished document, which has no row; a file without tokens has
+    file's last end are an unfinished document, its last row; a file without tokens has
     no rows.  A block may hold many documents, a part of one, or nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, block, data, names in zip(*(batch.column(c) for c in ("file", "block", "data", "names"))):
+            for file, block, data in zip(*(batch.column(c) for c in ("file", "block", "data"))):
                 raw = data.as_buffer()
                 tokens = np.frombuffer(raw, f"<u{token_bytes}") if raw is not None and raw.size else np.zeros(0, f"<u{token_bytes}")
                 at = np.flatnonzero(tokens == end)
-                ids = names.as_py()
-                if ids is not None and len(ids) != len(at):
-                    raise ValueError(f"block {block} of {file} has {len(at)} ends for {len(ids)} names")
+                begins = np.concatenate(([-1], at[:-1] + 1))[: len(at)]  # of the first, only the files' order tells
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([file.as_py()]), pa.array([block.as_py()], pa.int64()), pa.array([len(tokens)], pa.int64()),
-                        pa.array([at], pa.list_(pa.int64())), pa.array([ids], pa.list_(pa.int64())),
+                        *(pa.array([x], pa.list_(pa.int64())) for x in (begins, at)),
                     ],
-                    names=["file", "block", "tokens", "ends", "names"],
+                    names=["file", "block", "tokens", "begins", "ends"],
                 )
 
-    found = materialise(in_arrow(blocks, run, "file string, block long, tokens long, ends array<long>, names array<long>"))
+    found = materialise(in_arrow(blocks, run, "file string, block long, tokens long, begins array<long>, ends array<long>"))
     # One row per block, of 2^18 tokens or so: a file's blocks fit a window.
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     line = found.select("file", "block", "tokens", F.size("ends").alias("n"), F.expr("try_element_at(ends, -1)").alias("last"))
     placed = line.select("*", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("offset"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
-    carried = placed.select("file", "block", "offset", "earlier", F.coalesce(F.max(F.col("offset") + F.col("last") + 1).over(before), F.lit(0)).alias("open"))
-    rows = found.select("file", "block", "ends", "names", F.posexplode("ends").alias("i", "end")).join(carried, ["file", "block"])
-    start = F.when(F.col("i") == 0, F.col("open")).otherwise(F.col("offset") + F.element_at("ends", F.greatest(F.col("i"), F.lit(1))) + 1)
-    name = F.when(F.col("names").isNotNull(), F.element_at("names", F.col("i") + 1))
-    return rows.select(
-        "file", (F.col("earlier") + F.col("i")).alias("ordinal"), start.alias("start"), (F.col("offset") + F.col("end") - start).alias("n_tokens"), name.alias("name")
-    )
+    after_last = F.col("offset") + F.col("last") + 1
+    carried = placed.select("file", "block", "offset", "earlier", F.coalesce(F.max(after_last).over(before), F.lit(0)).alias("open"))
+    rows = found.select("file", "block", F.posexplode(F.arrays_zip("begins", "ends")).alias("i", "at")).join(carried, ["file", "block"])
+    start = F.when(F.col("i") == 0, F.col("open")).otherwise(F.col("offset") + F.col("at.begins"))
+    whole = rows.select("file", (F.col("earlier") + F.col("i")).alias("ordinal"), start.alias("start"), (F.col("offset") + F.col("at.ends") - start).alias("n_tokens"), F.lit(True).alias("finished"))
+    files = placed.groupBy("file").agg(F.sum("n").alias("ordinal"), F.coalesce(F.max(after_last), F.lit(0)).alias("start"), F.sum("tokens").alias("tokens"))
+    open_tail = files.where("tokens > start").select("file", "ordinal", "start", (F.col("tokens") - F.col("start")).alias("n_tokens"), F.lit(False).alias("finished"))
+    return whole.unionByName(open_tail)

@@ -21,8 +21,10 @@ from tests.llm.fixture import documents, nothing, same_rows, strange, words
 @pytest.mark.parametrize("block", [1, 3, 50, 1 << 18])
 def test_token_counts_for_any_block(spark, block):
     docs = documents(spark).repartition(3)
-    got = token_files.scan(token_files.blocks_of_documents(docs, block))
-    same_rows(got.select("name", "n_tokens").collect(), [(r.doc_id, len(words(r.text))) for r in docs.collect()])
+    made = token_files.write_documents(docs, file_documents=9)
+    got = token_files.named(token_files.scan(token_files.blocks_of_files(spark, made.path, block)), made)
+    assert got.where("not finished").isEmpty()
+    same_rows(got.select("doc_id", "n_tokens").collect(), [(r.doc_id, len(words(r.text))) for r in docs.collect()])
     files = defaultdict(list)
     for r in got.collect():
         files[r.file].append(r)
@@ -38,8 +40,15 @@ def test_flat_files(spark, tmp_path, block):
     np.array(tokens, "<u2").tofile(tmp_path / "a.bin")
     (tmp_path / "empty.bin").write_bytes(b"")
     blocks = token_files.blocks_of_files(spark, str(tmp_path), block, token_bytes=2)
-    got = sorted((r.ordinal, r.start, r.n_tokens) for r in token_files.scan(blocks, end=0, token_bytes=2).collect())
-    assert got == [(0, 0, 2), (1, 3, 0), (2, 4, 7)]  # the last token has no end
+    got = sorted((r.ordinal, r.start, r.n_tokens, r.finished) for r in token_files.scan(blocks, end=0, token_bytes=2).collect())
+    assert got == [(0, 0, 2, True), (1, 3, 0, True), (2, 4, 7, True), (3, 12, 1, False)]  # the last token has no end
+
+
+def test_flat_files_of_odd_tables(spark):
+    for docs in (strange(spark), nothing(spark), documents(spark).withColumn("ordinal", F.lit(1)).withColumn("part", F.lit(2))):
+        made = token_files.write_documents(docs)
+        got = token_files.named(token_files.scan(token_files.blocks_of_files(spark, made.path)), made)
+        same_rows(got.select("doc_id", "n_tokens").collect(), [(r.doc_id, len(words(r.text))) for r in docs.collect()])
 
 
 # --- repeats ------------------------------------------------------------------------------
