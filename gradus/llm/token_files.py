@@ -88,7 +88,7 @@ def write_documents(docs: DataFrame, file_documents: int = FILE_DOCUMENTS, scann
 
 def named(scanned: DataFrame, files: FlatFiles) -> DataFrame:
     """``scanned`` documents of ``files`` with their doc_id: joined by file and ordinal after the scan."""
-    number = [F.regexp_extract("file", pattern, 1).cast("long").alias(c) for c, pattern in (("part", r"part-(\d+)-[^/]*$"), ("split", r"-c(\d+)[^/]*$"))]
+    number = [F.regexp_extract("file", pattern, 1).cast("long").alias(c) for c, pattern in (("part", r"/part-(\d+)-[^/]*$"), ("split", r"-c(\d+)\.[^/]*$"))]
     return scanned.select("*", *number).join(files.names, ["part", "split", "ordinal"], "left").drop("part", "split")
 
 

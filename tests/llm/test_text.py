@@ -44,6 +44,13 @@ def test_flat_files(spark, tmp_path, block):
     assert got == [(0, 0, 2, True), (1, 3, 0, True), (2, 4, 7, True), (3, 12, 1, False)]  # the last token has no end
 
 
+def test_names_of_files_with_any_job_id(spark):
+    names = spark.createDataFrame([(10, 7, 0, 2), (11, 7, 3, 2), (12, 7, 12, 2)], "doc_id long, part long, split long, ordinal long")
+    file = "file:/x/part-00001-a/tokens-c5-1/part-00007-e875c865-c123-c464-a950-c12345678901-c003.txt"
+    scanned = spark.createDataFrame([(file, 2, 0, 4, True)], "file string, ordinal long, start long, n_tokens long, finished boolean")
+    assert [r.doc_id for r in token_files.named(scanned, token_files.FlatFiles("", names)).collect()] == [11]
+
+
 def test_flat_files_of_odd_tables(spark):
     for docs in (strange(spark), nothing(spark), documents(spark).withColumn("ordinal", F.lit(1)).withColumn("part", F.lit(2))):
         made = token_files.write_documents(docs)
