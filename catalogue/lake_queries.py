@@ -165,7 +165,38 @@ _PARITY = " UNION ALL ".join(
     for f in feat.MODEL_FEATURES if f not in (*feat.CLEAN_FLAGS, "monthly_debt_amount")
 )
 
+_M32 = "4294967295::ubigint"
+
+
+def _times(x: str, by: int) -> str:
+    return f"((({x}) * {by}::ubigint) & {_M32})"
+
+
+def _turned(x: str, by: int) -> str:
+    """Rotated left within 32 bits."""
+    return f"(((({x}) << {by}) & {_M32}) | (({x}) >> {32 - by}))"
+
+
+# 32-bit Murmur3 of ASCII text: blocks of four bytes, then single bytes as blocks of their own; seed and constants are the algorithm's.
+_MURMUR = {
+    "texts": f"SELECT applicant_id, cast(applicant_id AS varchar) || '|{SEED}' AS t FROM gold",
+    "blocks": """SELECT applicant_id, length(t)::ubigint AS n, list_concat(
+        list_transform(range(0, length(t) // 4), lambda i: list_sum(list_transform(range(4), lambda j: ascii(substr(t, 4 * i + j + 1, 1)) * (256 ** j)))::ubigint),
+        list_transform(range(length(t) // 4 * 4, length(t)), lambda i: ascii(substr(t, i + 1, 1))::ubigint)) AS ks FROM texts""",
+    "multiplied": f"SELECT applicant_id, n, list_transform(ks, lambda k: {_times('k', 0xCC9E2D51)}) AS ks FROM blocks",
+    "scrambled": f"SELECT applicant_id, n, list_transform(ks, lambda k: {_times(_turned('k', 15), 0x1B873593)}) AS ks FROM multiplied",
+    "mixed_in": f"""SELECT applicant_id, n, list_reduce(list_concat([42::ubigint], ks),
+        lambda h, k: (({_turned('xor(h, k)', 13)}) * 5::ubigint + {0xE6546B64}::ubigint) & {_M32}) AS h FROM scrambled""",
+    "ended1": "SELECT applicant_id, xor(h, n) AS h FROM mixed_in",
+    "ended2": f"SELECT applicant_id, {_times('xor(h, h >> 16)', 0x85EBCA6B)} AS h FROM ended1",
+    "ended3": f"SELECT applicant_id, {_times('xor(h, h >> 13)', 0xC2B2AE35)} AS h FROM ended2",
+    "ended": "SELECT applicant_id, xor(h, h >> 16)::bigint AS h FROM ended3",
+    "dealt": "SELECT ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % 1000 + 1000) % 1000 AS bucket FROM ended",
+}
+
 ORACLES = {
+    "c09_split_murmur3": with_("gold", extra=_MURMUR) + """SELECT CASE WHEN bucket < 600 THEN 'train' WHEN bucket < 800 THEN 'valid' ELSE 'test' END AS split, count(*) AS n
+        FROM dealt GROUP BY 1""",
     "a02_bronze_land": with_("raw") + "SELECT *, 'orders' AS source_file FROM raw",
     "a07_gold_by_split": with_("gold") + f"SELECT split, count(*) AS n, cast(sum({TARGET}) AS bigint) AS bads, min(applicant_id) AS first_id, max(applicant_id) AS last_id FROM gold GROUP BY 1",
     "a14_landed_check": with_("raw") + f"""

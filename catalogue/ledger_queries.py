@@ -109,7 +109,9 @@ def i19_summary(spark, sf):
     rows = ledger(spark, sf)
     held = materialise(lg.holdout_merchants(rows, SEED))
     base = lg.baselines(lg.split_by_merchant(rows, held)[1], _categories(rows)).drop("test_rows")
-    return lg.track_summary(rows, held, [base.unpivot([], base.columns, "metric", "value")]).withColumns(r6("value"))
+    derived = [c for c in lg.cashflow_features(ledger(spark, sf, with_balance=True), 6, "true_category").columns if c.startswith("ob_")]
+    agreement = {"full_ledger_agreement": tx.accuracy(_guessed(spark, sf))}
+    return lg.track_summary(rows, held, [base.unpivot([], base.columns, "metric", "value")], agreement, derived).withColumns(r6("value"))
 
 
 def i20_invariants(spark, sf):
@@ -140,6 +142,12 @@ _TEXT = {
     "weighted": "SELECT description, gram, (1 + ln(tf)) * idf AS w FROM terms JOIN idf USING (gram)",
 }
 _GUESSED = {"guessed": "SELECT *, CASE WHEN transaction_id % 5 = 0 THEN 'fees' ELSE true_category END AS category FROM ledger"}
+# Derived columns in published order.
+_DERIVED = [
+    "ob_income_monthly_median", "ob_income_payment_count", "ob_income_volatility", "ob_income_is_regular", "ob_essential_spend_monthly", "ob_essential_spend_ratio",
+    "ob_discretionary_spend_monthly", "ob_discretionary_spend_ratio", "ob_debt_repayment_monthly", "ob_cash_monthly", "ob_fees_monthly", "ob_fee_events",
+    "ob_min_balance", "ob_mean_balance", "ob_days_in_overdraft", "ob_surplus_after_essentials", "ob_essential_cover_ratio", "ob_spend_volatility",
+]
 _OUT = "CASE WHEN amount < 0 THEN -amount ELSE 0 END"
 _FLOW = {
     "flow": f"SELECT *, {_OUT} AS outflow, least(day // 30, 5) AS month FROM banked",
@@ -186,10 +194,13 @@ ORACLES = {
         round(fees / 6, 6) AS ob_fees_monthly, cast(fee_n AS double) AS ob_fee_events, round(bmin, 6) AS ob_min_balance, round(bavg, 6) AS ob_mean_balance,
         cast(od AS double) AS ob_days_in_overdraft, round(coalesce(inc_med, 0) - coalesce(ess / 6, 0), 6) AS ob_surplus_after_essentials,
         round(inc_med / nullif(ess / 6, 0), 6) AS ob_essential_cover_ratio, round(volatility, 6) AS ob_spend_volatility FROM sums JOIN spread USING (applicant_id)""",
-    "i19_summary": _H + f"""SELECT 'applicants' AS metric, cast(count(DISTINCT applicant_id) AS double) AS value FROM stemmed UNION ALL SELECT 'transactions', cast(count(*) AS double) FROM stemmed
+    "i19_summary": with_("stemmed", extra={**_HELD, **_GUESSED}) + f"""SELECT 'applicants' AS metric, cast(count(DISTINCT applicant_id) AS double) AS value FROM stemmed UNION ALL SELECT 'transactions', cast(count(*) AS double) FROM stemmed
         UNION ALL SELECT 'n_categories', cast(count(DISTINCT true_category) AS double) FROM stemmed UNION ALL SELECT 'held_out_merchants', cast(count(*) AS double) FROM held
         UNION ALL SELECT 'majority_class_baseline', round(max(n) / sum(n)::double, 6) FROM (SELECT count(*) AS n FROM test_rows GROUP BY true_category)
-        UNION ALL SELECT 'uniform_baseline', round(1 / (SELECT count(DISTINCT true_category) FROM ledger)::double, 6)""",
+        UNION ALL SELECT 'uniform_baseline', round(1 / (SELECT count(DISTINCT true_category) FROM ledger)::double, 6)
+        UNION ALL SELECT 'months_of_history', cast(max(day) // 30 + 1 AS double) FROM stemmed
+        UNION ALL SELECT 'full_ledger_agreement', round(avg(cast(category = true_category AS int)), 6) FROM guessed
+        UNION ALL SELECT 'feature ' || name, cast(place AS double) FROM (SELECT unnest({_DERIVED}) AS name, unnest(range(1, {len(_DERIVED) + 1})) AS place)""",
     "i20_invariants": with_("banked", extra={
         "a": """SELECT applicant_id, count(*) FILTER (true_category = 'income' AND amount <= 0) AS i, count(*) FILTER (true_category <> 'income' AND amount >= 0) AS s,
             count(*) FILTER (true_category = 'income') AS n, count(*) FILTER (true_category IN ('groceries', 'housing', 'transport', 'utilities')) AS e,

@@ -10,15 +10,16 @@ from catalogue.ctes import bins_over, md5u, with_
 from catalogue.fixed import BETAS, FIXED_EDGES, SEED
 from catalogue.inputs import fixed_card, gold, r6, splits
 from catalogue.scoring_queries import FACTOR, MODEL, OFFSET, band_sql, fixed_order_logit, score_sql
-from gradus.functions.columns import ScoreScaling
+from gradus.functions.columns import ScoreScaling, with_row
 from gradus.operators import drift as dr
 from gradus.operators import evaluation as ev
 from gradus.operators import scoring as sc
 from gradus.operators.features import MODEL_FEATURES, TARGET
 from gradus.operators.quality import gold_expectations
-from gradus.plans import monitoring
+from gradus.plans import lake, monitoring
+from gradus.sources import published
 from gradus.sources.retail import drift_pair, scored
-from gradus.sources.tables import read_appended, staging_dir, take_split
+from gradus.sources.tables import materialise, read_appended, save_named_table, staging_dir, take_split
 
 SCALE = ScoreScaling()
 # Bands that spread the scores of the ``scored`` view.
@@ -173,6 +174,48 @@ def h08_expectations(spark, sf):
     return gold_expectations(gold(spark, sf)).withColumns(r6("value"))
 
 
+def h08_published_gold(spark, sf):
+    """A version with planted copies is refused, the next is published: what was audited, and what readers see."""
+    root, rows = f"{staging_dir(spark)}/gold-{uuid.uuid4().hex}", materialise(gold(spark, sf))
+    twice = rows.unionByName(rows.where((F.col("applicant_id") % 10 == 3) & (F.col(TARGET) == 1)))
+    versions = {}
+    for name, candidate in (("first", twice), ("second", rows)):
+        try:
+            versions[name] = lake.publish_gold(candidate, root, 8, rate_range=(0.03, 0.30))
+        except published.AuditFailed as failure:
+            versions[name] = failure.version
+    names = spark.createDataFrame([(v, k) for k, v in versions.items()], "version string, name string")
+    seen = lake.published_gold(spark, root).agg(F.count(F.lit(1)).alias("rows_seen"), F.countDistinct("applicant_id").alias("ids_seen"))
+    log = published.audits(spark, root).join(F.broadcast(names), "version").join(
+        F.broadcast(published.publications(spark, root).select("version", F.lit(True).alias("published"))), "version", "left"
+    )
+    return with_row(log, seen).select("name", "check", F.round("value", 6).alias("value"), "passed", F.coalesce("published", F.lit(False)).alias("published"), "rows_seen", "ids_seen")
+
+
+def a09_bucketed_decisions(spark, sf):
+    """Gold and its decisions as named tables dealt by applicant, joined without an exchange: defaults per split and band."""
+    everyone, mark = materialise(gold(spark, sf)), uuid.uuid4().hex
+    card = fixed_card(take_split(everyone, "train"))
+    for name, rows in (("gold", everyone), ("decided", sc.decide(everyone, card))):
+        save_named_table(rows, f"{name}_{mark}", keys=["applicant_id"], buckets=8, path=f"{staging_dir(spark)}/{name}-{mark}")
+    joined = spark.table(f"gold_{mark}").select("applicant_id", "split", TARGET).join(spark.table(f"decided_{mark}").select("applicant_id", "band"), "applicant_id")
+    return joined.groupBy("split", "band").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(TARGET).cast("bigint")).alias("bads"))
+
+
+def h10_gated_decisions(spark, sf):
+    """A batch whose scores moved is refused before readers see it, one of the usual population is let in."""
+    train, _, test = splits(spark, sf)
+    card, train, test = fixed_card(train), materialise(train), materialise(test)
+    dest = f"{staging_dir(spark)}/gated-{uuid.uuid4().hex}"
+    moved = test.withColumns({"revolving_utilisation": F.lit(1.2), "times_90_dpd": F.lit(3.0)})
+    for batch, book in (("moved", moved), ("usual", test)):
+        try:
+            monitoring.score_book_gated(book, card, train, dest, "1", batch)
+        except RuntimeError:  # the gate's verdict: this batch stays uncommitted
+            continue
+    return read_appended(spark, dest).select("applicant_id", "score", "band", "model_version", "batch")
+
+
 def h09_gate(spark, sf):
     reference, current = drift_pair(spark, sf)
     metrics = ev.evaluate(scored(spark, sf), "p", "y")
@@ -183,7 +226,7 @@ def h09_gate(spark, sf):
 QUERIES = {f.__name__: f for f in (
     f01_auc, f02_ks, f03_evaluate, f04_calibration, f05_gains, f06_approval, f07_cutoff, f08_business, f09_bands, f10_monotone, f11_segments,
     f12_summary, f13_hist, h01_psi, h02_discrete_psi, h03_verdict, h04_drift, h04_drift_summary, a10_appended_decisions, a11_monitoring_row, h05_stress,
-    h06_control_and_treatment, h07_train_test_psi, h08_expectations, h09_gate,
+    h06_control_and_treatment, h07_train_test_psi, h08_expectations, h08_published_gold, a09_bucketed_decisions, h10_gated_decisions, h09_gate,
 )}
 
 # --- SQL ----------------------------------------------------------------------------------
@@ -356,6 +399,20 @@ ORACLES = {
         UNION ALL SELECT 'null_targets', cast(count(*) FILTER ({TARGET} IS NULL) AS double), count(*) FILTER ({TARGET} IS NULL) = 0 FROM gold
         UNION ALL SELECT 'splits', cast(count(DISTINCT split) AS double), count(DISTINCT split) = 3 FROM gold
         UNION ALL SELECT 'default_rate', round(avg({TARGET}), 6), avg({TARGET}) > 0.03 AND avg({TARGET}) < 0.12 FROM gold""",
+    "h08_published_gold": with_("gold", extra={
+        "versions": f"""SELECT 'second' AS name, applicant_id, split, {TARGET} AS y FROM gold UNION ALL SELECT 'first', applicant_id, split, {TARGET} FROM gold
+            UNION ALL SELECT 'first', applicant_id, split, {TARGET} FROM gold WHERE applicant_id % 10 = 3 AND {TARGET} = 1""",
+        "facts": """SELECT name, count(*) AS n, count(DISTINCT applicant_id) AS ids, count(*) FILTER (y IS NULL) AS nulls, count(DISTINCT split) AS splits, avg(y) AS rate
+            FROM versions GROUP BY 1""",
+        "checks": """SELECT name, 'unique_ids' AS "check", cast(n - ids AS double) AS value, n = ids AS passed FROM facts
+            UNION ALL SELECT name, 'null_targets', cast(nulls AS double), nulls = 0 FROM facts
+            UNION ALL SELECT name, 'splits', cast(splits AS double), splits = 3 FROM facts
+            UNION ALL SELECT name, 'default_rate', round(rate, 6), rate > 0.03 AND rate < 0.30 FROM facts"""})
+    + """SELECT name, "check", value, passed, bool_and(passed) OVER (PARTITION BY name) AS published, (SELECT n FROM facts WHERE name = 'second') AS rows_seen,
+        (SELECT ids FROM facts WHERE name = 'second') AS ids_seen FROM checks""",
+    "a09_bucketed_decisions": with_("train_long", "fixed_edges", extra={**MODEL, "test_long": MODEL["test_long"].replace(" WHERE split = 'test'", "")})
+    + f"SELECT split, band, count(*) AS n, cast(sum({TARGET}) AS bigint) AS bads FROM decided JOIN gold USING (applicant_id) GROUP BY 1, 2",
+    "h10_gated_decisions": with_("train_long", "fixed_edges", extra=MODEL) + "SELECT applicant_id, score, band, '1' AS model_version, 'usual' AS batch FROM decided",
     "h09_gate": with_("scored", "drift_rows", extra={**evaluated(None), **_SIDES, **stability(["p"], "drift_ref", "drift_cur"),
         "mono": f"""SELECT bool_and(coalesce(rate <= previous, true)) AS ok FROM (SELECT rate, lag(rate) OVER (ORDER BY position) AS previous FROM ({_BAND_ROWS}) JOIN ({_BAND_NAMES}) USING (band))"""})
     + f"""SELECT 'gini' AS gate, round(2 * auc - 1, 6) AS value, 0.65::double AS threshold, 2 * auc - 1 >= 0.65 AS passed FROM measured

@@ -176,11 +176,27 @@ def ledger_expectations(ledger: DataFrame, category: str = "true_category") -> D
     return one.unpivot([], one.columns, "check", "violations").withColumn("passed", F.col("violations") == 0)
 
 
-def track_summary(ledger: DataFrame, held_out: DataFrame, metrics: list[DataFrame]) -> DataFrame:
-    """Counts of the transaction track followed by given ``metric, value`` rows."""
+def track_summary(
+    ledger: DataFrame, held_out: DataFrame, metrics: list[DataFrame], accuracies: dict[str, DataFrame] | None = None, features: list[str] | None = None
+) -> DataFrame:
+    """``metric, value`` rows: counts of the transaction track, given rows, the named accuracies (each a table with an
+    ``accuracy``), and the derived features with their places."""
     per_applicant = ledger.groupBy("applicant_id").agg(F.count(F.lit(1)).alias("n"))
     counts = per_applicant.agg(F.count(F.lit(1)).cast("double").alias("applicants"), F.sum("n").cast("double").alias("transactions"))
     kinds = ledger.groupBy("true_category").agg(F.lit(1).alias("one")).agg(F.count(F.lit(1)).cast("double").alias("n_categories"))
+    months = ledger.agg((F.floor(F.max("day") / 30) + 1).cast("double").alias("months_of_history"))
     held = held_out.agg(F.count(F.lit(1)).cast("double").alias("held_out_merchants"))
-    parts = [t.unpivot([], t.columns, "metric", "value") for t in (counts, kinds, held)]
+    parts = [t.unpivot([], t.columns, "metric", "value") for t in (counts, kinds, months, held)]
+    parts += [t.select(F.lit(name).alias("metric"), F.col("accuracy").cast("double").alias("value")) for name, t in (accuracies or {}).items()]
+    if features:
+        rows = [(f"feature {name}", float(place)) for place, name in enumerate(features, 1)]
+        parts.append(ledger.sparkSession.createDataFrame(rows, "metric string, value double"))
     return reduce(DataFrame.unionByName, [*parts, *metrics])
+
+
+def summary_document(summary: DataFrame) -> DataFrame:
+    """The summary as one JSON document: numbers by name, and the features as a list."""
+    place = F.when(F.col("metric").startswith("feature "), F.struct(F.col("value").alias("place"), F.substring_index("metric", " ", -1).alias("name")))
+    number = F.when(~F.col("metric").startswith("feature "), F.struct(F.col("metric").alias("key"), F.col("value").alias("value")))
+    both = summary.agg(F.array_sort(F.collect_list(number)).alias("numbers"), F.array_sort(F.collect_list(place)).alias("places"))
+    return both.select(F.to_json(F.struct(F.map_from_entries("numbers").alias("metrics"), F.col("places.name").alias("features"))).alias("document"))

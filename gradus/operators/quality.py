@@ -224,6 +224,10 @@ def gold_expectations(
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("ids"), F.sum("null_target").alias("null_target"),
         F.try_divide(F.sum("bads").cast("double"), F.sum("known").cast("double")).alias("rate"),
     ), labels)
+    return _gold_checks(facts, splits, rate_range)
+
+
+def _gold_checks(facts: DataFrame, splits: int, rate_range: tuple[float, float]) -> DataFrame:
     low, high = rate_range
     checks = [
         ("unique_ids", "cast(total - ids as double)", "total = ids"),
@@ -235,6 +239,29 @@ def gold_expectations(
     return facts.select(F.expr(f"stack({len(checks)}, {stack}) as (check, value, passed)"))
 
 
+def gold_counters(target: str = "target_default_90dpd_2yr") -> list[Column]:
+    """What a write of gold counts as it goes, for ``written_gold_expectations``."""
+    known = F.col(target).isNotNull()
+    return [
+        F.count(F.lit(1)).alias("total"), F.count_if(~known).alias("null_target"),
+        F.sum(F.col(target).cast("bigint")).alias("bads"), F.count_if(known).alias("known"),
+    ]
+
+
+def written_gold_expectations(
+    written: DataFrame, counts: dict, id_col: str = "applicant_id", splits: int = 3, rate_range: tuple[float, float] = (0.03, 0.12)
+) -> DataFrame:
+    """``gold_expectations`` of rows that were counted while they were written.
+
+    Only ids and split labels are read back; on a table bucketed by its id the ids are grouped without an exchange.
+    """
+    ids = written.groupBy(id_col).agg(F.lit(1).alias("one")).agg(F.count(F.lit(1)).alias("ids"))
+    labels = written.groupBy("split").agg(F.lit(1).alias("one")).agg(F.count("split").alias("splits"))
+    rate = counts["bads"] / counts["known"] if counts["known"] else None
+    seen = {"total": F.lit(counts["total"]), "null_target": F.lit(counts["null_target"]), "rate": F.lit(rate).cast("double")}
+    return _gold_checks(with_row(ids, labels).withColumns(seen), splits, rate_range)
+
+
 def require(checks: DataFrame) -> None:
     """Stop the job when a check failed; the check table has a handful of rows."""
     failed = [r["check"] for r in checks.where(~F.col("passed")).select("check").collect()]

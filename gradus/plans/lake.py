@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from gradus.operators.features import ImputationConstants, build_gold, fit_constants
-from gradus.operators.quality import quality_document, quality_report, repair_counters, repaired, stamp
+from gradus.operators.quality import gold_counters, quality_document, quality_report, repair_counters, repaired, stamp, written_gold_expectations
+from gradus.sources.published import publish_table, read_published
 from gradus.sources.tables import land_raw, materialise, read_gold, read_raw_csv, read_table, write_report, write_table
 
 
@@ -29,6 +30,10 @@ class LakeLayout:
     def gold(self) -> str:
         return f"{self.root}/gold/features"
 
+    @property
+    def published(self) -> str:
+        return f"{self.root}/published/features"
+
     def report(self, name: str) -> str:
         return f"{self.root}/reports/{name}"
 
@@ -63,6 +68,21 @@ def land_gold(spark: SparkSession, lake: LakeLayout, seed: int = 42, split_metho
     return read_gold(spark, lake.gold, fmt), constants
 
 
+def publish_gold(gold: DataFrame, root: str, buckets: int = 200, **expected) -> str:
+    """A version of gold that readers see only if it meets the expectations; ``AuditFailed`` otherwise.
+
+    It is bucketed by applicant within each split, so joins on the applicant and counts of ids take no exchange.
+    """
+    def audit(written: DataFrame, counts: dict) -> DataFrame:
+        return written_gold_expectations(written, counts, **expected)
+
+    return publish_table(gold, root, audit, ["applicant_id"], buckets, ["split"], gold_counters())
+
+
+def published_gold(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+    return read_published(spark, root, version)
+
+
 def build_lake(spark: SparkSession, raw_path: str, root: str, seed: int = 42, split_method: str = "murmur3") -> LakeLayout:
     lake = LakeLayout(root)
     land_bronze(spark, raw_path, lake)

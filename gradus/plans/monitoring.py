@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradus.operators.drift import DriftReport, drift_report, stability_bins, stop_the_line, stress_shift
+from gradus.operators.drift import DriftReport, drift_report, psi, stability_bins, stop_the_line, stress_shift, with_verdict
 from gradus.operators.scoring import Scorecard, decide, score
 from gradus.sources.tables import append_decisions, append_monitoring_row, materialise, take_split
 
@@ -18,6 +18,19 @@ def score_book(gold: DataFrame, card: Scorecard, dest: str, model_version: str,
     return append_decisions(decide(gold, card), dest, model_version, batch=batch)
 
 
+def score_book_gated(gold: DataFrame, card: Scorecard, reference: DataFrame, dest: str, model_version: str, batch: str | None = None, **limits) -> bool:
+    """``score_book``, but a batch whose scores have moved too far from the reference's is written and not committed.
+
+    Raises then; readers of the decisions never see the batch.  The audit reads back the written scores, one column.
+    """
+    def audit(written: DataFrame) -> None:
+        row = with_verdict(psi(decide(reference, card).select("score"), written.select("score"), ["score"]), **limits).first()
+        if row is None or row["verdict"] == "revalidate":
+            raise RuntimeError(f"decisions are not published: score PSI {row['psi']:.4f}" if row else "decisions are not published: too few rows to compare")
+
+    return append_decisions(decide(gold, card), dest, model_version, batch=batch, audit=audit)
+
+
 def monitor(
     reference: DataFrame, current: DataFrame, card: Scorecard, dest: str, model_version: str, fail: bool = True, **limits
 ) -> DriftReport:

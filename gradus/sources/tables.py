@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
@@ -108,10 +109,23 @@ def write_table(
     writer.save(dest)
 
 
-def save_named_table(df: DataFrame, table: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+def save_named_table(
+    df: DataFrame, table: str, fmt: str = "parquet", partition_by: list[str] | None = None, keys: list[str] | None = None, buckets: int = 200, path: str | None = None
+) -> None:
+    """Overwrite a named table.
+
+    With ``keys`` its rows are dealt by them into ``buckets`` and sorted in each; tables of the same keys and
+    buckets are joined, and grouped by the keys, without an exchange.
+    """
+    if keys:
+        df = df.repartition(buckets, *keys)
     writer = df.write.mode("overwrite").format(fmt)
+    if keys:
+        writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(table)
 
 
@@ -150,10 +164,11 @@ def read_appended(spark: SparkSession, dest: str, fmt: str = "parquet") -> DataF
     return rows.join(F.broadcast(commits(spark, dest)), _PLACE, "left_semi").drop("attempt")
 
 
-def _append(df: DataFrame, dest: str, fmt: str, batch: str | None) -> bool:
+def _append(df: DataFrame, dest: str, fmt: str, batch: str | None, audit: Callable[[DataFrame], None] | None = None) -> bool:
     """Append a batch to a table whose schema is fixed by its first rows; False if it is there already.
 
-    Without a name every call is a batch of its own.  Other columns or types are refused.
+    Without a name every call is a batch of its own.  Other columns or types are refused.  ``audit`` is given the
+    rows as they were written and raises to keep them from being committed.
     """
     spark = df.sparkSession
     batch = uuid.uuid4().hex if batch is None else batch
@@ -168,15 +183,20 @@ def _append(df: DataFrame, dest: str, fmt: str, batch: str | None) -> bool:
     if not commits(spark, dest).where(F.col("batch") == batch).isEmpty():
         return False
     attempt = f"a{uuid.uuid4().hex}"
-    df.write.format(fmt).save(f"{dest}/batch={quote(batch, safe='')}/attempt={attempt}")
+    written = f"{dest}/batch={quote(batch, safe='')}/attempt={attempt}"
+    df.write.format(fmt).save(written)
+    if audit is not None:
+        audit(read_table(spark, written, fmt))
     row = spark.createDataFrame([(batch, attempt)], "batch string, attempt string").withColumn("committed_at", F.current_timestamp())
     row.coalesce(1).write.mode("append").parquet(f"{dest}/{_COMMITS}")
     return True
 
 
-def append_decisions(decisions: DataFrame, dest: str, model_version: str, fmt: str = "parquet", batch: str | None = None) -> bool:
-    """Append scored rows, stamped; the stored schema is fixed, and a named batch is added once."""
-    return _append(decisions.withColumns({"scored_at": F.current_timestamp(), "model_version": F.lit(model_version)}), dest, fmt, batch)
+def append_decisions(
+    decisions: DataFrame, dest: str, model_version: str, fmt: str = "parquet", batch: str | None = None, audit: Callable[[DataFrame], None] | None = None
+) -> bool:
+    """Append scored rows, stamped; the stored schema is fixed, a named batch is added once, and none that ``audit`` refuses."""
+    return _append(decisions.withColumns({"scored_at": F.current_timestamp(), "model_version": F.lit(model_version)}), dest, fmt, batch, audit)
 
 
 def append_monitoring_row(report: DataFrame, dest: str, model_version: str, fmt: str = "parquet", batch: str | None = None) -> bool:
