@@ -1,15 +1,18 @@
 """Counts per pair of bins: one scan of the book from which bins, IV and correlations follow.
 
 Each row adds one to a cell (bin of a, bin of b) for every pair of features, the target being
-one of them.  Cells are combined on the map side and there are only features x features x
-bins x bins of them, whatever the number of rows.  A value per bin, such as its WoE, then
+one of them.  Each task adds its rows up in arrays and hands over its cells, of which there
+are only features x features x bins x bins, whatever the number of rows.  A value per bin, such as its WoE, then
 gives every correlation exactly, and folding bins needs no second scan.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,12 +33,22 @@ def joint_bin_counts(df: DataFrame, edges: dict[str, list[float]], target: str)
     y = F.col(target).cast("bigint")
     label = F.when(y.isin(0, 1), y.cast("int")).otherwise(MISSING_BIN)
     clean = df.select(label.alias("_y"), *[number(f).alias(f) for f in edges])
-    placed = clean.select(*[(bin_index(f, e) - MISSING_BIN).cast("bigint").alias(f"b{i}") for i, (f, e) in enumerate(edges.items())], (F.col("_y") - MISSING_BIN).cast("bigint").alias(f"b{len(edges)}"))
+    placed = clean.select(*[(bin_index(f, e) - MISSING_BIN).cast("int").alias(f"b{i}") for i, (f, e) in enumerate(edges.items())], (F.col("_y") - MISSING_BIN).cast("int").alias(f"b{len(edges)}"))
     pairs = list(combinations(range(len(names)), 2))
-    codes = [F.expr(f"b{i} * {width} + b{j} + {p * width * width}L") for p, (i, j) in enumerate(pairs)]
-    if not codes:
+    if not pairs:
         return df.sparkSession.createDataFrame([], CELL_SCHEMA)
-    counted = placed.select(F.explode(F.array(*codes)).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+
+    def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros((len(pairs), width * width), dtype=np.int64)
+        for batch in batches:
+            bins = [column.to_numpy().astype(np.intp) for column in batch.columns]
+            for p, (i, j) in enumerate(pairs):
+                cells[p] += np.bincount(bins[i] * width + bins[j], minlength=width * width)
+        counts = cells.ravel()
+        met = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(counts[met], pa.int64())], names=["code", "n"])
+
+    counted = placed.mapInArrow(tallied, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     pair, cell = F.expr(f"cast(code div {width * width} as int)"), F.col("code") % (width * width)
     name = lambda side: F.get(F.array(*[F.lit(names[p[side]]) for p in pairs]), pair)
     return counted.select(

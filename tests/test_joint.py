@@ -64,6 +64,31 @@ def test_cells_are_summed_before_the_shuffle(book):
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("HashAggregate") == 2
 
 
+def test_a_task_hands_over_cells_not_rows_times_pairs(spark, book):
+    """A row is not copied once per pair of features: what leaves a task is as long as its table of cells."""
+    edges = {"u": [0.2, 0.5], "twin": [1.0], "v": [0.0], "flat": [], "text": [0.3, 0.9]}
+    plan = joint.joint_bin_counts(book, edges, "y")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+
+    # Every cell, against counts of rows one pair at a time, over several batches and partitions.
+    many = book.unionByName(book).repartition(3)
+    rows = many.collect()
+    place = lambda f, x: -1 if x is None else sum(e < x for e in edges[f])
+    number = lambda x: None if x == "x" or x is None else float(x)
+    bins = [{**{f: place(f, number(r[f])) for f in NAMES}, "y": -1 if r.y is None else r.y} for r in rows]
+    names, want = [*NAMES, "y"], {}
+    for b in bins:
+        for i, f in enumerate(names):
+            for g in names[i + 1 :]:
+                want[f, b[f], g, b[g]] = want.get((f, b[f], g, b[g]), 0) + 1
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        got = {(r.a, r.bin_a, r.b, r.bin_b): r.n for r in joint.joint_bin_counts(many, edges, "y").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want
+
+
 def test_nothing(spark, book):
     none = book.limit(0)
     edges = {"u": [0.5], "v": []}
