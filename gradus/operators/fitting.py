@@ -160,8 +160,8 @@ def fit_challenger(
 
     Spark's own early stop ends at the first round that gains too little.  Here rounds are
     doubled until the loss on ``valid``, read after every round, has not improved for
-    ``patience`` of them (or ``max_iter`` is reached), and the best round is fitted again: the
-    trees before it come out the same, as the seed does.
+    ``patience`` of them (or ``max_iter`` is reached); a second doubling fits all of them.  The
+    trees up to the best round are the model of that many rounds: none depends on later ones.
     """
     vectors = {
         name: materialise(tree_vector(df.select(*features, target), features).select("_x", F.col(target).cast("double").alias("label")))
@@ -174,16 +174,18 @@ def fit_challenger(
             featureSubsetStrategy=column_sample, minInstancesPerNode=min_instances, seed=seed,
         ).fit(vectors["train"])
 
-    rounds = min(max_iter, max(1, 2 * patience))
+    seen, fitted = 0, 0
     while True:
-        model = boosted(rounds)
-        losses = model.evaluateEachIteration(vectors["valid"])
-        best = rounds_to_keep(losses, patience)
-        if best is not None or rounds == max_iter:
-            best = best or 1 + min(range(rounds), key=losses.__getitem__)
+        seen = min(max_iter, 2 * seen or max(1, 2 * patience))
+        if seen > fitted:
+            fitted = seen if seen <= 4 * patience else max_iter
+            model = boosted(fitted)
+            losses = model.evaluateEachIteration(vectors["valid"])
+        best = rounds_to_keep(losses[:seen], patience)
+        if best is not None or seen == max_iter:
+            best = best or 1 + min(range(seen), key=losses.__getitem__)
             break
-        rounds = min(max_iter, 2 * rounds)
-    return Challenger(Trees.of(model if best == rounds else boosted(best), features))
+    return Challenger(Trees.of(model, features).first(best))
 
 
 def permutation_importance(

@@ -74,6 +74,10 @@ class Trees:
                 _read(lines, features, trees[-1])
         return cls(list(features), trees, weights)
 
+    def first(self, rounds: int) -> Trees:
+        """The model as it was after ``rounds`` rounds."""
+        return Trees(self.features, self.trees[:rounds], self.weights[:rounds])
+
     # --- as a table -----------------------------------------------------------------------
     def to_frame(self, spark: SparkSession) -> DataFrame:
         rows = [

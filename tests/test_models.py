@@ -80,3 +80,27 @@ def test_a_categoriser_is_published_too(spark, tmp_path):
     models.publish(spark, str(tmp_path), "v1", model)
     read = models.read_model(spark, str(tmp_path), "categoriser")
     assert sorted(read.transform(ledger).collect()) == sorted(model.transform(ledger).collect())
+
+
+def test_the_best_rounds_are_kept_without_another_fit(spark, book, monkeypatch):
+    fits = []
+
+    class Counted(GBTClassifier):
+        def fit(self, data):
+            fits.append(self.getMaxIter())
+            return super().fit(data)
+
+    monkeypatch.setattr(fit, "GBTClassifier", Counted)
+    train, valid = book.where("id % 3 != 0"), book.where("id % 3 = 0")
+    found = fit.fit_challenger(train, valid, NAMES, "y", max_iter=48, patience=4, step=0.4)
+    best = len(found.trees.trees)
+    assert best < fits[-1] and len(set(fits)) == len(fits)
+    vectors = fit.materialise(fit.tree_vector(train.select(*NAMES, "y"), NAMES).select("_x", F.col("y").cast("double").alias("label")))
+    again = GBTClassifier(featuresCol="_x", labelCol="label", maxIter=best, maxDepth=4, stepSize=0.4, subsamplingRate=0.9,
+                          featureSubsetStrategy="0.8", minInstancesPerNode=20, seed=42).fit(vectors)
+    assert found.trees == Trees.of(again, NAMES)
+
+    # A loss that goes on falling: 8 and 16 rounds, then all of them at once.
+    del fits[:]
+    monkeypatch.setattr(fit, "rounds_to_keep", lambda losses, patience: 20 if len(losses) == 32 else None)
+    assert len(fit.fit_challenger(train, valid, NAMES, "y", max_iter=48, patience=4).trees.trees) == 20 and fits == [8, 16, 48]
