@@ -27,7 +27,7 @@ from gradus.llm.workers import in_arrow
 #: Bytes that are merged directly.
 LEAF = 24
 #: Matches, and stretches between spaces, that a worker remembers; how many doesn't change results.
-REMEMBERED, REMEMBERED_STRETCHES = 300_000, 100_000
+REMEMBERED, REMEMBERED_STRETCHES = 300_000, 400_000
 REMEMBERED_LENGTH = 64
 #: A text of more code points is split into pieces in steps, not in one list; the pieces are the same.
 STEP_FROM = 1_000_000

@@ -341,3 +341,18 @@ def test_katz_of_odd_tables(spark):
     assert katz.scores(nothing(spark), held).count() == 0
     untrained = katz.scores(strange(spark), F.lit(True)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in untrained)
+
+
+def test_bpe_remembers_the_stretches_of_many_texts():
+    """Words that come back after 150,000 others are not split and looked up anew; the ids are the same."""
+    import base64
+
+    from gradus.llm import bpe
+
+    ranks = b"\n".join(base64.b64encode(bytes([i])) + b" %d" % i for i in range(256))
+    encoder, words = bpe.Encoder(ranks, r" ?\S+|\s+"), [f"w{i}" for i in range(150_000)]
+    texts = [" ".join(words[k::10]) for k in range(10)]
+    first, anew, plain = [encoder.encode(t) for t in texts], [], encoder.stretches.encode
+    encoder.stretches.encode = lambda rest: anew.append(rest) or plain(rest)
+    assert [encoder.encode(t) for t in texts] == first and not anew
+    assert [encoder.decode(ids).decode() for ids in first] == texts
