@@ -6,7 +6,9 @@ Descriptions repeat, so all text work runs on distinct descriptions with their c
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import VectorUDT
@@ -17,6 +19,7 @@ from pyspark.sql.types import StructField, StructType
 from gradus.functions.columns import md5_int, with_row
 from gradus.operators.ledger import BEHAVIOUR
 from gradus.operators.ordering import running_totals
+from gradus.operators.softmax import fit_softmax, text_blocks
 from gradus.sources.tables import materialise
 
 
@@ -105,17 +108,24 @@ class Categoriser:
         its place: its other columns decide.  Of equal classes the first is taken."""
         margins = self.text_margins(rows).select(F.col("described").alias("_described"), F.col("margins").alias("_margins"))
         joined = rows.join(margins, F.col("description") == F.col("_described"), "left")
-        scaled = {c: (F.col(c) - F.lit(mean)) * F.lit(1.0 / deviation if deviation else 0.0) for c, (mean, deviation) in self.scaler.items()}
+        scaled = [(F.col(c) - F.lit(mean)) * F.lit(1.0 / deviation if deviation else 0.0) for c, (mean, deviation) in self.scaler.items()]
+        # Missing values are set aside first: sums that cannot be null stay small enough to be compiled to machine code.
+        whole = reduce(lambda x, y: x & y, [v.isNotNull() for v in scaled], F.lit(True))
+        ready = joined.withColumns({
+            "_margins": F.coalesce("_margins", F.array(*[F.lit(0.0)] * len(self.classes))), "_whole": whole,
+            **{f"_scaled_{i}": F.coalesce(v, F.lit(0.0)) for i, v in enumerate(scaled)},
+        })
         scores = []
         for k, base in enumerate(self.intercepts):
-            score = F.lit(base) + F.coalesce(F.col("_margins")[k], F.lit(0.0))
-            for c, value in scaled.items():
-                score = score + value * F.lit(self.behaviour[c][k])
+            score = F.lit(base) + F.coalesce(F.get("_margins", F.lit(k)), F.lit(0.0))
+            for i, c in enumerate(self.scaler):
+                score = score + F.col(f"_scaled_{i}") * F.lit(self.behaviour[c][k])
             scores.append(score)
-        chosen = joined.withColumn("_scores", F.array(*scores))
+        chosen = ready.withColumn("_scores", F.array(*scores))
         best = F.array_position("_scores", F.array_max("_scores")).cast("int")
         names = F.array(*[F.lit(c) for c in self.classes])
-        return chosen.withColumn(out, F.get(names, best - 1)).drop("_described", "_margins", "_scores")
+        own = ["_described", "_margins", "_whole", "_scores", *[f"_scaled_{i}" for i in range(len(scaled))]]
+        return chosen.withColumn(out, F.when(F.col("_whole"), F.get(names, best - 1))).drop(*own)
 
     def save(self, folder: str) -> None:
         """The grams as a table, the rest as one row a class."""
@@ -134,16 +144,20 @@ class Categoriser:
         return cls(spark.read.parquet(f"{folder}/grams"), [r["class"] for r in rows], [r["intercept"] for r in rows], scaler, behaviour, rows[0]["rounds"] if rows else 0)
 
 
+def _text_cells(rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """_described and _cells, the (position, weight) of its known grams, of each distinct description that has some."""
+    return tfidf(description_counts(rows), vocabulary).groupBy(F.col("description").alias("_described")).agg(
+        F.sort_array(F.collect_list(F.struct("position", "weight"))).alias("_cells")
+    )
+
+
 def _vectors(rows: DataFrame, vocabulary: DataFrame, size: int, scaled: dict[str, Column], keep: list[Column]) -> DataFrame:
     """``keep`` and ``x``, the sparse vector of text and scaled columns, as a written table.
 
     A vector is stored as a struct of its kind, size, positions and values, so it is put
     together by SQL functions and only read back as a vector.
     """
-    cells = tfidf(description_counts(rows), vocabulary).groupBy(F.col("description").alias("_described")).agg(
-        F.sort_array(F.collect_list(F.struct("position", "weight"))).alias("_cells")
-    )
-    joined = rows.join(cells, F.col("description") == F.col("_described"), "left")
+    joined = rows.join(_text_cells(rows, vocabulary), F.col("description") == F.col("_described"), "left")
     found = F.coalesce(F.col("_cells"), F.array().cast("array<struct<position:int,weight:double>>"))
     places = F.concat(found["position"], F.array(*[F.lit(size + i) for i in range(len(scaled))]).cast("array<int>"))
     values = F.concat(found["weight"], F.array(*scaled.values()).cast("array<double>"))
@@ -153,40 +167,67 @@ def _vectors(rows: DataFrame, vocabulary: DataFrame, size: int, scaled: dict[str
     return materialise(out, read_as)
 
 
+def _fit_text(train: DataFrame, vocabulary: DataFrame, size: int, label: Column, c: float, max_iter: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Weights (class x position), intercepts and rounds of a fit on text alone, equal rows counted."""
+    weighted = train.groupBy("description", "true_category").agg(F.count(F.lit(1)).cast("double").alias("_weight"))
+    ready = _vectors(weighted, vocabulary, size, {}, [label.alias("label"), F.col("_weight").alias("weight")])
+    n = ready.agg(F.sum("weight")).first()[0]
+    model = LogisticRegression(
+        featuresCol="x", labelCol="label", weightCol="weight", family="multinomial", regParam=1.0 / (c * n), elasticNetParam=0.0,
+        standardization=False, maxIter=max_iter,
+    ).fit(ready)
+    return model.coefficientMatrix.toArray(), model.interceptVector.toArray(), int(model.summary.totalIterations)
+
+
+def _fit_hybrid(
+    train: DataFrame, vocabulary: DataFrame, size: int, label: Column, counts: list[int], scaled: dict[str, Column], flat: list[bool], c: float, max_iter: int
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """The same of a fit on text and ``scaled`` columns, those that are ``flat`` having one value.
+
+    Few rows are equal here, so a description's vector is shared by its rows instead (see ``softmax``).
+    """
+    cells = materialise(_text_cells(train, vocabulary).select(
+        F.col("_described").alias("described"), F.col("_cells")["position"].alias("positions"), F.col("_cells")["weight"].alias("weights")
+    ))
+    blocks, n = text_blocks(train, cells, label, list(scaled.values()))
+    places = cells.select("described", F.explode(F.arrays_zip("positions", "weights")).alias("x")).join(description_counts(train), F.col("described") == F.col("description"))
+    x, times = F.col("x")["weights"], F.col("documents")
+    moments = places.groupBy(F.col("x")["positions"].alias("position")).agg(F.sum(times * x).alias("s"), F.sum(times * x * x).alias("q")).toArrow()
+    means, deviations = np.zeros(size + len(scaled)), np.r_[np.zeros(size), [0.0 if one else 1.0 for one in flat]]
+    at, mean = np.asarray(moments["position"]), np.asarray(moments["s"]) / n
+    variance = np.asarray(moments["q"]) / n - mean * mean
+    means[at], deviations[at] = mean, np.sqrt(np.where(variance > 1e-12, variance, 0.0))
+    return fit_softmax(blocks, n, deviations, means, len(scaled), np.array(counts, float) / n, 1.0 / (c * n), max_iter)
+
+
 def fit_categoriser(train: DataFrame, behaviour: bool, c: float = 5.0, max_iter: int = 2000, min_df: int = 2) -> Categoriser:
     """Multinomial logistic model on text, or on text and standardised behaviour.
 
     The vocabulary stays a table; its size and one weight per gram and class reach the driver.
-    Text-only rows that are equal are fitted once, weighted.
+    Text-only rows that are equal are fitted once, weighted; rows with behaviour share the vector of their text.
     """
     vocabulary = numbered(fit_idf(train, min_df))
     size = vocabulary.count()
-    classes = [r[0] for r in train.groupBy("true_category").agg(F.lit(1)).orderBy("true_category").collect()]
+    found = train.groupBy("true_category").agg(F.count(F.lit(1)).alias("n")).orderBy("true_category").collect()
+    classes = [r["true_category"] for r in found]
     label = F.lit(None).cast("double")
     for i, name in enumerate(classes):
         label = F.when(F.col("true_category") == name, F.lit(float(i))).otherwise(label)
     scaler = {}
     if behaviour:
-        weighted = train.withColumn("_weight", F.lit(1.0))
         row = train.agg(*[f(c).alias(f"{c}_{n}") for c in BEHAVIOUR for n, f in (("mean", F.avg), ("deviation", F.stddev_pop))]).first()
         scaler = {c: (row[f"{c}_mean"], row[f"{c}_deviation"]) for c in BEHAVIOUR}
+        scaled = {c: (F.col(c) - F.lit(mean)) * F.lit(1.0 / deviation if deviation else 0.0) for c, (mean, deviation) in scaler.items()}
+        flat = [not deviation for _, deviation in scaler.values()]
+        weights, intercepts, rounds = _fit_hybrid(train, vocabulary, size, label, [r["n"] for r in found], scaled, flat, c, max_iter)
     else:
-        weighted = train.groupBy("description", "true_category").agg(F.count(F.lit(1)).cast("double").alias("_weight"))
-    scaled = {c: (F.col(c) - F.lit(mean)) * F.lit(1.0 / deviation if deviation else 0.0) for c, (mean, deviation) in scaler.items()}
-    ready = _vectors(weighted, vocabulary, size, scaled, [label.alias("label"), F.col("_weight").alias("weight")])
-    n = ready.agg(F.sum("weight")).first()[0]
-    model = LogisticRegression(
-        featuresCol="x", labelCol="label", weightCol="weight", family="multinomial", regParam=1.0 / (c * n), elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter,
-    ).fit(ready)
-    weights = model.coefficientMatrix.toArray()
+        weights, intercepts, rounds = _fit_text(train, vocabulary, size, label, c, max_iter)
     positions = train.sparkSession.createDataFrame(pa.table({
         "position": pa.array(range(size), pa.int32()), "weights": pa.array(list(weights.T[:size]), pa.list_(pa.float64())),
     }))
     grams = materialise(vocabulary.join(positions, "position").select("gram", "idf", "weights"))
     return Categoriser(
-        grams, classes, [float(x) for x in model.interceptVector], scaler,
-        {name: weights[:, size + i].tolist() for i, name in enumerate(scaler)}, int(model.summary.totalIterations),
+        grams, classes, [float(x) for x in intercepts], scaler, {name: weights[:, size + i].tolist() for i, name in enumerate(scaler)}, rounds,
     )
 
 
