@@ -38,7 +38,7 @@ def i06_holdout(spark, sf):
 def _split(spark, sf, behaviour=False):
     rows = ledger(spark, sf)
     held = materialise(lg.holdout_merchants(rows, SEED))
-    rows = lg.behavioural_features(rows) if behaviour else rows
+    rows = materialise(lg.behavioural_features(rows)) if behaviour else rows  # once for both sides
     return lg.split_by_merchant(rows, held)
 
 
