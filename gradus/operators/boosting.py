@@ -51,6 +51,13 @@ def thresholds(values: np.ndarray, cuts: int = CUTS) -> np.ndarray:
     return np.array(kept[:cuts])
 
 
+def features_asked(strategy: str, k: int) -> int:
+    """Features drawn for a node, by the library's names of strategies for one tree."""
+    named = {"all": k, "auto": k, "onethird": k / 3, "sqrt": math.sqrt(k), "log2": max(1.0, math.log2(k))}
+    asked = named[strategy] if strategy in named else float(strategy) * (k if "." in strategy else 1)
+    return min(k, math.ceil(asked))
+
+
 def best_splits(counts: np.ndarray, sums: np.ndarray, asked: np.ndarray, least: int) -> list[tuple[int, int] | None]:
     """Per node (feature, byte that goes left last) of the largest fall in variance, None where there is none.
 
@@ -73,11 +80,11 @@ class Boosting:
     """A boosted model that is grown by rounds; ``losses`` has the log loss on ``valid`` after each."""
 
     def __init__(
-        self, train: DataFrame, valid: DataFrame, features: list[str], label: Column, max_depth: int, step: float, subsample: float, column_share: float,
+        self, train: DataFrame, valid: DataFrame, features: list[str], label: Column, max_depth: int, step: float, subsample: float, column_sample: str,
         min_instances: int, seed: int,
     ):
         self.spark, self.features, self.depth, self.step = train.sparkSession, list(features), max_depth, step
-        self.subsample, self.columns, self.least, self.seed = subsample, math.ceil(column_share * len(features)), min_instances, seed
+        self.subsample, self.columns, self.least, self.seed = subsample, features_asked(column_sample, len(features)), min_instances, seed
         self.trees: list[list[Node]] = []
         self.losses: list[float] = []
         filled = [F.coalesce(number(f), F.lit(ABSENT)).alias(f"f{i}") for i, f in enumerate(features)]

@@ -171,7 +171,7 @@ def fit_challenger(
     from where they stand instead of being fitted again.
     """
     if train.count() > LIBRARY_ROWS:
-        grown, seen, best = Boosting(train, valid, features, F.col(target), max_depth, step, subsample, float(column_sample), min_instances, seed), 0, None
+        grown, seen, best = Boosting(train, valid, features, F.col(target), max_depth, step, subsample, column_sample, min_instances, seed), 0, None
         while best is None and seen < max_iter:
             seen = min(max_iter, 2 * seen or max(1, 2 * patience))
             best = rounds_to_keep(grown.to(seen), patience)

@@ -20,7 +20,7 @@ from gradus.functions.columns import literal, number, quoted
 #: What stands for a missing value: left of every other one, so that a split can set it apart.
 ABSENT = -1.0e12
 #: Trees whose values are added in one expression.
-TREES_AT_ONCE = 8
+TREES_AT_ONCE = 2
 NODE_SCHEMA = "tree int, node int, feature string, threshold double, left int, right int, value double, weight double"
 
 _SPLIT = re.compile(r"If \(feature (\d+) <= (\S+)\)")

@@ -25,7 +25,7 @@ def book(spark):
     return spark.createDataFrame(rows, "id long, a double, b string, c double, d int, y int").repartition(3, "id")
 
 
-def grown(train, valid, subsample=1.0, share=1.0, step=0.3, depth=4):
+def grown(train, valid, subsample=1.0, share="all", step=0.3, depth=4):
     return boosting.Boosting(train, valid, NAMES, F.col("y"), depth, step, subsample, share, 20, 42)
 
 
@@ -60,7 +60,7 @@ def test_large_books_are_not_fitted_again(spark, book, monkeypatch):
     assert rounds == list(range(len(rounds))) and len(rounds) in (4, 8, 12)
     # The same rule as for small books, and the losses are those of the model that is returned.
     y, margin = (np.array(x) for x in zip(*((r["y"], r["m"]) for r in found.trees.margin(valid, "m").select("y", "m").collect())))
-    again = boosting.Boosting(train, valid, NAMES, F.col("y"), 4, 0.4, 0.9, 0.8, 20, 42)
+    again = boosting.Boosting(train, valid, NAMES, F.col("y"), 4, 0.4, 0.9, "0.8", 20, 42)
     losses, best = again.to(len(rounds)), len(found.trees.trees)
     assert best == fit.rounds_to_keep(losses, 2) or len(rounds) == 12 and best == 1 + int(np.argmin(losses))
     assert losses[best - 1] == pytest.approx(float(np.mean(2 * np.log1p(np.exp(-2 * (2 * y - 1) * margin)))), abs=1e-9)
@@ -75,7 +75,7 @@ def test_large_books_are_not_fitted_again(spark, book, monkeypatch):
 
 def test_rows_and_features_are_drawn(spark, book):
     train, valid = book.where("id % 3 != 0"), book.where("id % 3 = 0")
-    model = grown(train, valid, subsample=0.5, share=0.25)
+    model = grown(train, valid, subsample=0.5, share="0.25")
     model.to(6)
     roots = {t[0].feature for t in model.trees if t[0].feature}
     assert len(roots) > 1 and model.columns == 1
@@ -98,3 +98,8 @@ def test_thresholds_are_placed_as_by_the_library():
     assert len(even) == 31 and even[0] == 9.5 and set(np.diff(even)) == {10.0}
     heavy = boosting.thresholds(np.r_[np.zeros(900), np.arange(1.0, 101.0)])
     assert heavy[0] == 0.5 and len(heavy) <= 31
+
+
+def test_features_drawn_by_strategy():
+    asked = [boosting.features_asked(s, 9) for s in ("all", "auto", "onethird", "sqrt", "log2", "0.8", "1.0", "4", "20")]
+    assert asked == [9, 9, 3, 3, 4, 8, 9, 4, 9] and boosting.features_asked("sqrt", 1) == 1 == boosting.features_asked("log2", 1)
